@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 
 CAPACITY = 1024
 SHARD_PIECES = 16_384
-NODES = 60_000
-FILL_NODES = 400
+NODES = 200_000
+FILL_NODES = 300
+BRANCHES = 4
 MEMO_WORDS = 400_000
 #: How byte-level vocabularies of this family pick words from text (fixed value).
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -54,34 +56,66 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fillings(counts: list[int], mask: int, room: int, waste: int) -> Iterator[tuple[int, ...]]:
+class Budget:
+    """Search nodes left."""
+
+    def __init__(self, nodes: int):
+        self.left = nodes
+
+
+def reachable(counts: list[int], mask: int, room: int) -> int:
+    """Bit t is set if some available pieces sum to t <= room."""
+    sums, keep = 1, (1 << (room + 1)) - 1
+    rest = mask & keep
+    while rest:
+        s = (rest & -rest).bit_length() - 1
+        rest &= rest - 1
+        left, n = min(counts[s], room // s), 1
+        while left > 0:  # n, 2n, 4n ... copies together reach every number of copies
+            n = min(n, left)
+            sums |= sums << (s * n) & keep
+            left, n = left - n, 2 * n
+    return sums
+
+
+def fillings(counts: list[int], mask: int, room: int, waste: int, budget: Budget) -> Iterator[tuple[int, ...]]:
     """Undominated multisets of available sizes whose sum lies in room-waste .. room, fullest first, large pieces first."""
-    for target in range(room, max(-1, room - waste - 1), -1):
-        spare, nodes, chosen = room - target, 0, []
-        stack = [(target, target)]
-        # depth-first: at each depth the next smaller available size is tried
-        while stack:
-            left, top = stack.pop()
-            if left == 0:
-                if not _dominated(chosen, counts, mask, spare):
-                    yield tuple(chosen)
-                back = True
-            else:
-                nodes += 1
-                low = mask & ((1 << (min(left, top) + 1)) - 1)
-                s = low.bit_length() - 1
-                while s > 0 and chosen.count(s) >= counts[s]:
-                    s = (low & ((1 << s) - 1)).bit_length() - 1
-                back = s <= 0 or nodes > FILL_NODES
-                if not back:
-                    stack.append((left, s - 1))
-                    chosen.append(s)
-                    stack.append((left - s, s))
-            if back:
-                if chosen and stack:
-                    chosen.pop()
-            if nodes > FILL_NODES:
-                break
+    sums = None
+    target = room
+    while target >= max(0, room - waste):
+        yield from _exactly(counts, mask, target, room - target, budget)
+        if sums is None:
+            sums = reachable(counts, mask, room)
+        below = sums & ((1 << target) - 1)
+        target = below.bit_length() - 1
+        if budget.left <= 0:
+            return
+
+
+def _exactly(counts: list[int], mask: int, target: int, spare: int, budget: Budget) -> Iterator[tuple[int, ...]]:
+    stack, chosen, nodes = [(target, target)], [], 0
+    while stack:  # depth first: at each depth the next smaller available size is tried
+        left, top = stack.pop()
+        back = True
+        if left == 0:
+            if not _dominated(chosen, counts, mask, spare):
+                yield tuple(chosen)
+        else:
+            nodes += 1
+            low = mask & ((1 << (min(left, top) + 1)) - 1)
+            s = low.bit_length() - 1
+            while s > 0 and chosen.count(s) >= counts[s]:
+                s = (low & ((1 << s) - 1)).bit_length() - 1
+            if s > 0 and nodes <= FILL_NODES:
+                back = False
+                stack.append((left, s - 1))
+                chosen.append(s)
+                stack.append((left - s, s))
+        if back and chosen and stack:
+            chosen.pop()
+        if nodes > FILL_NODES:
+            break
+    budget.left -= nodes
 
 
 def _dominated(chosen: list[int], counts: list[int], mask: int, spare: int) -> bool:
@@ -102,8 +136,8 @@ def _dominated(chosen: list[int], counts: list[int], mask: int, spare: int) -> b
     return False
 
 
-def complete(sizes: list[int], capacity: int, bins: int, nodes: int) -> tuple[list[list[int]] | None, int]:
-    """A packing into at most ``bins`` bins, or None if the search ended without; and the nodes left."""
+def complete(sizes: list[int], capacity: int, bins: int, budget: Budget) -> list[list[int]] | None:
+    """A packing into at most ``bins`` bins, or None if the search ended without."""
     counts = [0] * (capacity + 1)
     for s in sizes:
         counts[s] += 1
@@ -121,46 +155,50 @@ def complete(sizes: list[int], capacity: int, bins: int, nodes: int) -> tuple[li
             else:
                 mask &= ~(1 << s)
 
-    while True:
-        if not mask:
-            return [list(items) for items, times, _ in path for _ in range(times)], nodes
+    while mask:
         if len(options) == len(path):
             top = mask.bit_length() - 1
             use((top,), 1, 1)
-            options.append(((top, *f) for f in list(_first(fillings(counts, mask, capacity - top, min(slack, capacity)), 4))))
+            found = islice(fillings(counts, mask, capacity - top, min(slack, capacity), budget), BRANCHES)
+            options.append(iter([(top, *f) for f in found]))
             use((top,), 1, -1)
-        nodes -= 1
         bin_ = next(options[-1], None)
         if bin_ is not None:
             lost = capacity - sum(bin_)
-            need = {s: bin_.count(s) for s in bin_}
-            times = min(counts[s] // n for s, n in need.items()) if lost == 0 else 1
+            times = min(counts[s] // bin_.count(s) for s in set(bin_)) if lost == 0 else 1
             path.append((bin_, times, slack))
             slack -= lost
             use(bin_, times, 1)
             continue
         options.pop()
-        if not path or nodes <= 0:
-            return None, nodes
+        if not path or budget.left <= 0:
+            return None
         bin_, times, slack = path.pop()
         use(bin_, times, -1)
+    return [list(items) for items, times, _ in path for _ in range(times)]
+
+
+def lower_bound(sizes: list[int], capacity: int) -> int:
+    """The bound L2 of Martello and Toth: for each a, pieces above capacity-a stand alone, other pieces above half need
+    a bin each, and what pieces from a to half don't find room for there needs more."""
+    counts = np.bincount(sizes, minlength=capacity + 1)
+    n, total = np.cumsum(counts), np.cumsum(counts * np.arange(capacity + 1))
+    half, best = capacity // 2, 0
+    for a in range(half + 1):
+        big, middle = n[-1] - n[capacity - a], n[capacity - a] - n[half]
+        room = middle * capacity - (total[capacity - a] - total[half])
+        small = total[half] - (total[a - 1] if a else 0)
+        best = max(best, int(big + middle + max(0, -(-(small - room) // capacity))))
+    return best
 
 
-def _first(items, n):
-    for _, x in zip(range(n), items, strict=False):
-        yield x
-
-
-def pack(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
+def pack(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list[list[int]]:
     """Bins of sizes, as few as the search finds."""
     if not sizes:
         return []
-    best, nodes = best_fit(sizes, capacity), NODES
-    bound = -(-sum(sizes) // capacity)
-    halves = sum(1 for s in sizes if 2 * s > capacity)
-    bound = max(bound, halves)
-    while len(best) > bound and nodes > 0:
-        better, nodes = complete(sizes, capacity, len(best) - 1, nodes)
+    best, budget, bound = best_fit(sizes, capacity), Budget(nodes), lower_bound(sizes, capacity)
+    while len(best) > bound and budget.left > 0:
+        better = complete(sizes, capacity, len(best) - 1, budget)
         if better is None:
             break
         best = better
