@@ -7,10 +7,13 @@ Plan (no step holds a whole group in one task, none makes all pairs of a group):
 3. Band buckets with several classes; buckets with the same members count once. Each member is compared with its
    bucket's smallest member: first the sizes, then the signatures (5 standard deviations of slack), then the full sets,
    made anew from both texts.
-4. Components of the confirmed links. Buckets that still hold several components are cut into block pairs; each block
-   pair compares signatures across components and emits for each member its closest few untested partners. These are
-   confirmed like before, and the step repeats with eight times as many partners until no untested pair is left. So
-   every pair of a bucket is either confirmed, refuted, or already in one component.
+4. Components of the confirmed links. In a bucket that still holds several components, the most frequent one is its
+   main component, the other members are its strays. Two members of different components still have to meet: strays of a
+   bucket meet each other, and the strays of a main component's buckets meet its members in those buckets (once, not
+   once for each bucket). Both happen in tiles of bounded blocks, which hold full sets: intersections of all pairs of a
+   tile are one matrix product over the shingles that both blocks have, and a tile emits a spanning forest of the links
+   across components, never its pairs. So every pair of a bucket is confirmed, refuted, or already in one component.
+5. Components of all links.
 
 A pair at the threshold shares no bucket with a chance below 1e-7; ``bands_for`` picks the number of bands for that.
 """
@@ -122,30 +125,68 @@ def _confirm(k: int, num: int, den: int):
     return confirm
 
 
-def _closest(floor: float, most: int):
-    """In one block pair: for each member the ``most`` likeliest partners of another component."""
+def _sets(k: int):
+    """Shingle sets of whole texts as sorted 64-bit hashes."""
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            for lo, hi, part, offs in sub_batches(data, offsets):
+                starts, ends, first = word_spans(part, offs)
+                words = word_hashes(part, starts, ends)
+                body = [shingle_hashes(words[first[i] : first[i + 1]], k).tobytes() for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(body, pa.binary())], names=["rep", "body"])
+
+    return run
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets of the left with all of the right."""
+    cols = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float64)
+    for lo in range(0, len(cols), width):
+        part = cols[lo : lo + width]
+        sides = []
+        for sets in (left, right):
+            m = np.zeros((len(sets), len(part)), np.float32)
+            for row, s in zip(m, sets, strict=True):
+                s = s[np.searchsorted(s, part[0]) : np.searchsorted(s, part[-1], "right")]
+                at = np.searchsorted(part, s)
+                row[at[part[at] == s]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _forest(num: int, den: int):
+    """In one tile: links between rows of its two sides that join different components, as a spanning forest."""
 
     def tile(table: pa.Table) -> pa.RecordBatch | None:
-        ids, comp, blk = (table.column(c).to_numpy() for c in ("rep", "comp", "blk"))
+        ids, comp, side = (table.column(c).to_numpy() for c in ("rep", "comp", "blk"))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("body").to_pylist()]
         ti, tj = table.column("ti")[0].as_py(), table.column("tj")[0].as_py()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(ids), -1)
-        ia, ib = np.flatnonzero(blk == ti), np.flatnonzero(blk == tj)
+        ia, ib = np.flatnonzero(side == ti), np.flatnonzero(side == tj)
         if not len(ia) or not len(ib):
             return None
-        like = np.empty((len(ia), len(ib)), np.float32)
-        for r in range(len(ia)):
-            like[r] = (sig[ib] == sig[ia[r]]).mean(1)
-        like[(comp[ia][:, None] == comp[ib][None, :]) | (like < floor)] = -1
-        pick = np.zeros(like.shape, bool)
-        for m, axis in ((like, 1), (like, 0)):
-            if m.shape[axis] <= most:
-                pick |= m > 0
-            else:
-                best = np.argpartition(-m, most - 1, axis=axis).take(range(most), axis=axis)
-                np.put_along_axis(pick, best, True, axis=axis)
-        r, c = np.nonzero(pick & (like > 0))
-        x, y = ids[ia[r]], ids[ib[c]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        both = shared_counts([sets[i] for i in ia], [sets[i] for i in ib])
+        sizes = np.array([len(x) for x in sets])
+        total = sizes[ia][:, None] + sizes[ib][None, :] - both
+        r, c = np.nonzero((den * both >= num * total) & (both > 0) & (comp[ia][:, None] != comp[ib][None, :]))
+        root: dict[int, int] = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        out = []
+        for i, j in zip(ia[r].tolist(), ib[c].tolist(), strict=True):
+            x, y = find(int(comp[i])), find(int(comp[j]))
+            if x != y:
+                root[x] = y
+                out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     return tile
 
@@ -184,27 +225,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         store.drop(likely)
         return links
 
-    tested = store.write(members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "tested")
-    links = confirmed(tested)
-    most = 2
-    while True:
-        comps = connected_components(links, store)
-        open_ = members.where("size > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("h", "size", "rep", F.coalesce("component", "rep").alias("comp"))
-        open_ = store.write(open_, "open")
-        mixed = store.write(open_.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("h"), "mixed")
-        left = open_.join(mixed, "h", "left_semi").join(sigs.select("rep", "sig"), "rep")
-        tiles = with_tiles(left, F.col("rep"), F.col("size"), BLOCK_MEMBERS)
-        pairs = map_tiles(tiles, ["h", "ti", "tj"], _closest(floor, most), "a bigint, b bigint").distinct()
-        fresh = store.write(pairs.join(tested, ["a", "b"], "left_anti"), "fresh")
-        store.drop(open_, mixed)
-        if fresh.isEmpty():
-            if most >= BLOCK_MEMBERS:
-                break
-            most = BLOCK_MEMBERS
-            continue
-        found = confirmed(fresh)
-        tested, links = tested.union(fresh), store.write(links.union(found), "links")
-        most = min(most * 8, BLOCK_MEMBERS)
+    links = confirmed(members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
+    comps = connected_components(links, store)
+
+    # buckets that still hold several components
+    held = members.where("size > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("h", "rep", F.coalesce("component", "rep").alias("comp"))
+    held = store.write(held, "held")
+    main = held.groupBy("h", "comp").agg(F.count("*").alias("n")).groupBy("h").agg(F.count("*").alias("comps"), F.sum("n").alias("all"), F.max(F.struct("n", F.col("comp").alias("main"))).alias("top"))
+    main = store.write(main.where("comps > 1").select("h", "top.main", (F.col("all") - F.col("top.n")).alias("strays")), "main")
+    held_open = store.write(held.join(main, "h"), "open")
+    strays, core = held_open.where("comp <> main"), held_open.where("comp = main")
+    sets = held_open.select("rep").distinct().join(texts.toDF("rep", "text"), "rep").select("rep", "text").mapInArrow(_sets(shingle_words), "rep bigint, body binary").dropDuplicates(["rep"])
+    sets = store.write(sets, "sets")
+
+    among = with_tiles(strays.where("strays > 1").select(F.col("h").alias("g"), "rep", "comp", "strays"), F.col("rep"), F.col("strays"), BLOCK_MEMBERS)
+    sides = core.select("main", "rep", "comp").distinct().withColumn("side", F.lit(0)).union(strays.select("main", "rep", "comp").distinct().withColumn("side", F.lit(1)))
+    sides = store.write(sides, "sides")
+    blocks = sides.groupBy("main").agg(*[F.ceil(F.count_if(F.col("side") == i) / BLOCK_MEMBERS).cast("int").alias(f"n{i}") for i in (0, 1)])
+    meet = sides.join(store.write(blocks, "blocks"), "main")
+    own, other = (F.when(F.col("side") == 0, F.col(x)).otherwise(F.col(y)) for x, y in (("n0", "n1"), ("n1", "n0")))
+    meet = meet.withColumn("blk", F.pmod(F.xxhash64("rep"), own).cast("int") * 2 + F.col("side")).withColumn("x", F.explode(F.sequence(F.lit(0), other - 1))).withColumn("x", F.col("x") * 2 + 1 - F.col("side"))
+    meet = meet.select(F.col("main").alias("g"), "rep", "comp", "blk", F.when(F.col("side") == 0, F.col("blk")).otherwise(F.col("x")).alias("ti"), F.when(F.col("side") == 0, F.col("x")).otherwise(F.col("blk")).alias("tj"))
+    for name, tiles in (("among", among), ("meet", meet)):
+        tiles = tiles.select("g", "rep", "comp", "blk", "ti", "tj").join(sets, "rep")
+        found = store.write(map_tiles(tiles, ["g", "ti", "tj"], _forest(num, den), "a bigint, b bigint"), name)
+        links = links.union(found)
+    comps = connected_components(links, store)
+    store.drop(held, held_open, sets, sides)
     groups = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     groups = store.write(groups, "groups")
     store.drop(reps, members, stats)
