@@ -151,33 +151,41 @@ def train(rows: list[tuple[str, str]], seed: int = 3) -> ByteConvNet | None:
     nth = np.arange(len(doc)) - np.searchsorted(doc[order], doc[order])
     pick = order[nth < WINDOWS_PER_DOC]
     y = np.array([langs.index(v) for _, v in rows])[doc[pick]]
+    x = x[pick]
+    # short texts are windows too: a third of the windows is cut short
+    cut = np.where(rng.random(len(x)) < 1 / 3, rng.integers(8, 80, len(x)), WINDOW)
+    x[np.arange(WINDOW)[None, :] >= cut[:, None]] = 0
     net = ByteConvNet(langs, seed)
     if len(langs) > 1:
-        net.train(x[pick], y)
+        net.train(x, y)
     return net
 
 
+def _classified(net: ByteConvNet | None, tables, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    letters = np.array([bool(t.is_valid and _LETTER.search(t.as_py())) for t in texts], bool)
+    lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    data, offsets = utf8(texts)
+    for lo, hi, part, offs in sub_batches(data, offsets, 1 << 20) if net else ():
+        x, doc, length = windows_of(part, offs)
+        if not len(x):
+            continue
+        prob = net.probabilities(x, tables).astype(np.float64) * length[:, None]
+        total = np.zeros((hi - lo, prob.shape[1]))
+        np.add.at(total, doc, prob)
+        total /= np.maximum(total.sum(1, keepdims=True), 1e-300)
+        top = total.argmax(1)
+        for i in range(hi - lo):
+            if letters[lo + i]:
+                lang[lo + i], score[lo + i] = net.langs[top[i]], min(1.0, total[i, top[i]])
+    return lang, score
+
+
 def _predictor(model):
     def predict(batches):
         net = model.value
         tables = net.tables() if net else None
         for batch in batches:
-            texts = batch.column(1)
-            letters = np.array([bool(t.is_valid and _LETTER.search(t.as_py())) for t in texts], bool)
-            lang, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-            data, offsets = utf8(texts)
-            for lo, hi, part, offs in sub_batches(data, offsets, 1 << 20) if net else ():
-                x, doc, length = windows_of(part, offs)
-                if not len(x):
-                    continue
-                prob = net.probabilities(x, tables).astype(np.float64) * length[:, None]
-                total = np.zeros((hi - lo, prob.shape[1]))
-                np.add.at(total, doc, prob)
-                total /= np.maximum(total.sum(1, keepdims=True), 1e-300)
-                top = total.argmax(1)
-                for i in range(hi - lo):
-                    if letters[lo + i]:
-                        lang[lo + i], score[lo + i] = net.langs[top[i]], min(1.0, total[i, top[i]])
+            lang, score = _classified(net, tables, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score)], names=["key", "lang_pred", "score"])
 
     return predict
@@ -200,3 +208,16 @@ def predict(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id", te
     model = docs.sparkSession.sparkContext.broadcast(net)  # fixed size: its parameters
     rows = docs.select(F.col(id_col).cast("bigint").alias("key"), F.col(text_col))
     return rows.mapInArrow(_predictor(model), "key bigint, lang_pred string, score double").withColumnRenamed("key", id_col)
+
+
+def known_language(docs: DataFrame, net: ByteConvNet | None, text_col: str = "text", least: float = 0.4) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose language is predicted with a score of at least ``least``; ``und`` goes."""
+    model = docs.sparkSession.sparkContext.broadcast(net)
+
+    def keep(batches):
+        tables = model.value.tables() if model.value else None
+        for batch in batches:
+            _, score = _classified(model.value, tables, batch.column(batch.schema.get_field_index(text_col)))
+            yield batch.filter(pa.array((score >= least) & (score > 0)))
+
+    return docs.mapInArrow(keep, docs.schema)

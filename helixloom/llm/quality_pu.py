@@ -7,7 +7,7 @@ the least ratio of the shares of unlabelled and of positive held-back rows above
 A logistic calibration on labelled rows turns the output into a probability.
 
 Features are computed for whole texts from their bytes: frequencies of pairs of neighbouring byte classes, and shares of
-distinct words, lengths of words and lines.
+distinct, of most frequent and of repeated words, lengths of words and lines.
 """
 
 from __future__ import annotations
@@ -39,7 +39,8 @@ def _byte_classes() -> np.ndarray:
 
 CLASS = _byte_classes()
 CLASSES = int(CLASS.max()) + 1
-WIDTH = CLASSES * CLASSES + 5
+EXTRA = 9
+WIDTH = CLASSES * CLASSES + EXTRA
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -59,9 +60,12 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     count = np.diff(first)
     lengths = np.concatenate(([0], np.cumsum(ends - starts)))
     lines = np.concatenate(([0], np.cumsum(data == 10)))
+    again = np.concatenate(([0], np.cumsum(np.concatenate(([False], words[1:] == words[:-1])))))
     for i in np.flatnonzero(count):
-        lo, hi = first[i], first[i + 1]
-        out[i, -5:] = (len(np.unique(words[lo:hi])) / count[i], (lengths[hi] - lengths[lo]) / count[i] / 10, np.log1p(count[i]) / 10, (lines[offsets[i + 1]] - lines[offsets[i]]) / count[i], 1)
+        lo, hi, n = first[i], first[i + 1], count[i]
+        _, each = np.unique(words[lo:hi], return_counts=True)
+        repeat = (again[hi] - again[lo + 1]) / n
+        out[i, -EXTRA:] = (len(each) / n, np.log(len(each) / n) / 4, each.max() / n, np.sqrt(repeat), np.log1p(len(each)) / 10, (lengths[hi] - lengths[lo]) / n / 10, np.log1p(n) / 10, (lines[offsets[i + 1]] - lines[offsets[i]]) / n, 1)
     return out
 
 
@@ -207,14 +211,18 @@ def train(labelled: list[tuple[str, int]], unlabelled: list[str], seed: int = 4)
     return net
 
 
+def _scores(net: Net | None, texts: pa.Array) -> np.ndarray:
+    out = np.zeros(len(texts))
+    data, offsets = utf8(texts)
+    for lo, hi, part, offs in sub_batches(data, offsets, 1 << 20) if net else ():
+        out[lo:hi] = net.score(features(part, offs))
+    return out
+
+
 def _scorer(model, cut: float):
     def score(batches):
-        net = model.value
         for batch in batches:
-            out = np.zeros(batch.num_rows)
-            data, offsets = utf8(batch.column(1))
-            for lo, hi, part, offs in sub_batches(data, offsets, 1 << 20) if net else ():
-                out[lo:hi] = net.score(features(part, offs))
+            out = _scores(model.value, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out), pa.array((out >= cut).astype(np.int32))], names=["key", "score", "predicted"])
 
     return score
@@ -242,3 +250,15 @@ def predict(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col:
     model = docs.sparkSession.sparkContext.broadcast(net)  # fixed size: its parameters
     rows = docs.select(F.col(id_col).cast("bigint").alias("key"), F.col(text_col))
     return rows.mapInArrow(_scorer(model, cut), "key bigint, score double, predicted int").withColumnRenamed("key", id_col)
+
+
+def good_quality(docs: DataFrame, net: Net | None, text_col: str = "text", cut: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose score reaches ``cut``; all of them if there is no model."""
+    model = docs.sparkSession.sparkContext.broadcast(net)
+
+    def keep(batches):
+        for batch in batches:
+            score = _scores(model.value, batch.column(batch.schema.get_field_index(text_col)))
+            yield batch.filter(pa.array((score >= cut) | (model.value is None)))
+
+    return docs.mapInArrow(keep, docs.schema)
