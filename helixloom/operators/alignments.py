@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from helixloom.functions.seq import cigar_blocks, flip_mate, sam_flag
@@ -93,12 +93,13 @@ def short_blocks_as_mismatches(psl: DataFrame, threshold: int = 15, mismatches:
     return moved.withColumn("matches", F.col("matches") - F.col("_s")).withColumn("mismatches", F.col("mismatches") + F.col("_s")).drop("_s").where(F.col("mismatches") <= mismatches)
 
 
-_BEST = Window.partitionBy("q_name").orderBy(F.desc("matches"), "mismatches", "block_count", "t_name", "t_start")
+def _best() -> WindowSpec:
+    return Window.partitionBy("q_name").orderBy(F.desc("matches"), "mismatches", "block_count", "t_name", "t_start")
 
 
 def best_unique_hits(psl: DataFrame) -> DataFrame:
     """A read's best hit, if no other has as many matches."""
-    ranked = psl.withColumn("_rn", F.row_number().over(_BEST)).withColumn("_next", F.lead("matches").over(_BEST))
+    ranked = psl.withColumn("_rn", F.row_number().over(_best())).withColumn("_next", F.lead("matches").over(_best()))
     return ranked.where("_rn = 1 and (_next is null or _next <> matches)").drop("_rn", "_next")
 
 
@@ -106,7 +107,7 @@ def best_hits_with_ties(psl: DataFrame, allowed: Column | None = None) -> DataFr
     """A read's best hits, alone or tied on one target with each overlapping the first; or all ``allowed``."""
     top = psl.withColumn("_m", F.max("matches").over(Window.partitionBy("q_name"))).where("matches = _m").drop("_m")
     whole = Window.partitionBy("q_name")
-    first = _BEST.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = _best().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     tied = top.withColumn("_s", F.first("t_start").over(first)).withColumn("_e", F.first("t_end").over(first)).withColumn("_n", F.count("*").over(whole))
     tied = tied.withColumn("_one", F.min("t_name").over(whole) == F.max("t_name").over(whole)).withColumn("_meet", F.min((F.col("t_start") <= F.col("_e")) & (F.col("t_end") >= F.col("_s"))).over(whole))
     ok = (F.col("_n") == 1) | (F.col("_one") & F.col("_meet"))

@@ -164,8 +164,8 @@ def short_ids(reads: DataFrame) -> DataFrame:
     before = sizes.select("p", F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("o"), F.sum("n").over(Window.partitionBy()).alias("all"))
     ranked = frags.withColumn("r", F.row_number().over(Window.partitionBy("p").orderBy("frag"))).join(F.broadcast(before), "p")
     code = F.conv((F.col("r") + F.col("o") - 1).cast("string"), 10, 36)
-    width = F.ceil(F.log(F.lit(36.0), F.col("all") + 10)).cast("int")
-    ids = ranked.select("frag", F.lpad(code, width, "0").alias("code"))
+    width = F.ceil(F.log(F.col("all") + 10) / F.log(F.lit(36.0))).cast("int")
+    ids = ranked.select("frag", F.lpad(code, width, F.lit("0")).alias("code"))
     rows = reads.withColumn("frag", F.expr("left(read_id, length(read_id) - 2)")).join(ids, "frag")
     return rows.withColumn("read_id", F.concat("code", F.right("read_id", F.lit(2)))).drop("frag", "code")
 
