@@ -97,7 +97,7 @@ def _gather(parts: int):
         def flush(least):
             rows = []
             for kind, (keys, counts) in held.items():
-                if sum(map(len, keys)) > least:
+                if keys and sum(map(len, keys)) > least:
                     rows += pack(kind, keys, counts)
                     keys.clear(), counts.clear()
             if rows:
