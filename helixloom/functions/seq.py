@@ -175,3 +175,8 @@ def locus_name(symbol: Column | str) -> Column:
     """x_locus becomes X@."""
     s = _c(symbol)
     return F.when(F.lower(s).endswith("_locus"), F.concat(F.upper(F.regexp_replace(s, "(?i)_locus$", "")), F.lit("@"))).otherwise(s)
+
+
+def genome_like(start: Column, end: Column, strand: Column, at: Column) -> Column:
+    """P20: a 1-based place in a gene as a place on its chromosome."""
+    return F.when(strand.cast("string").isin("-", "-1"), end - at + 1).otherwise(start + at - 1)

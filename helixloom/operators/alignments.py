@@ -9,7 +9,7 @@ from helixloom.functions.seq import cigar_blocks, flip_mate, sam_flag
 
 
 def _sum(xs: Column) -> Column:
-    return F.aggregate(xs, F.lit(0), lambda acc, x: acc + x)
+    return F.aggregate(xs, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
 
 
 def sam_to_psl(sam: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -241,11 +241,6 @@ def clip_points(psl: DataFrame, clip: int = 20) -> DataFrame:
     return rows.select("q_name", flipped.alias("cut")).where("cut is not null")
 
 
-def genome_position(start: Column, end: Column, strand: Column, at: Column) -> Column:
-    """P20: a 1-based place in a gene as a place on its chromosome."""
-    return F.when(strand.cast("string").isin("-", "-1"), end - at + 1).otherwise(start + at - 1)
-
-
 def border_anchors(psl: DataFrame, least: int = 17) -> DataFrame:
     """Bases left and right of the border, and the read with * between; both anchors at least ``least``."""
     sizes = F.zip_with("block_sizes", "t_starts", lambda n, t: F.greatest(F.lit(0), F.least(n, F.col("border") - t)))

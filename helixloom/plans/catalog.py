@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixloom.functions import seq as S
@@ -12,22 +9,8 @@ from helixloom.operators import alignments as align
 from helixloom.operators import annotation as annot
 from helixloom.operators import intervals, pairs, reads, report
 from helixloom.plans import analogs as A
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name."""
-
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE_SQL[fn.__name__] = sql
-        return fn
-
-    return add
-
+from helixloom.plans import evidence  # noqa: F401  registers its queries
+from helixloom.plans.registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 
 def _passing(spark, sf):
     return pairs.mate_pairs(A.alignments(spark, sf))
