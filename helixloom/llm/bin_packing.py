@@ -1,7 +1,6 @@
 """Packing token sequences into bins of fixed capacity by bin completion.
 
-Texts become token pieces in one pass (token ids come from a memo of words; the tokenizer library encodes each distinct
-word once). Pieces are dealt by hash into shards of about ``SHARD_PIECES``; each shard is packed by itself, so a task
+Texts become token pieces in one pass. Pieces are dealt by hash into shards of about ``SHARD_PIECES``; each shard is packed by itself, so a task
 holds a bounded number of (id, length) rows whatever the corpus, and each shard wastes less than one bin when packed
 optimally, one in several thousand.
 
@@ -14,6 +13,7 @@ its lengths last. The search stops at the lower bound or after ``NODES`` nodes a
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -21,15 +21,18 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from helixloom.llm.bpe_codec import byte_characters
 
 CAPACITY = 1024
 SHARD_PIECES = 16_384
 NODES = 200_000
 FILL_NODES = 300
 BRANCHES = 4
-MEMO_WORDS = 400_000
 #: How byte-level vocabularies of this family pick words from text (fixed value).
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -206,34 +209,29 @@ def pack(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes."""
+    """Token ids of texts as little-endian 32-bit bytes, as the tokenizer file's own library gives them.
 
-    def __init__(self, spec: str):
-        from tokenizers import Tokenizer
+    Byte-level files whose ids follow the order of their merges are encoded by the faster rank-based library, which gives
+    the same ids; special tokens are cut out of the text first, as the file asks. Other files go to their library.
+    """
 
-        self.library = Tokenizer.from_str(spec)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.words = regex.compile(WORDS)
-        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+    def __init__(self, spec: str):
+        told = json.loads(spec)
+        self.special = {x["content"]: x["id"] for x in told["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.memo: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.memo) + len(words) > MEMO_WORDS:
-            self.memo.clear()
-        for w, e in zip(words, self.library.encode_batch(words, add_special_tokens=False), strict=True):
-            self.memo[w] = np.array(e.ids, "<u4").tobytes()
-
-    def _plain(self, text: str) -> bytes:
-        words = self.words.findall(text)
-        memo = self.memo
-        try:
-            return b"".join([memo[w] for w in words])
-        except KeyError:
-            missing = list({w for w in words if w not in memo})
-            self._learn(missing if len(memo) + len(missing) <= MEMO_WORDS else list(set(words)))
-            return b"".join([memo[w] for w in words])
+        vocab, merges = told["model"]["vocab"], told["model"]["merges"]
+        pairs = ("".join(m) if isinstance(m, list) else m.replace(" ", "") for m in merges)
+        step = told.get("pre_tokenizer") or {}
+        if told.get("normalizer") is None and step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space") and all(vocab[p] == 256 + i for i, p in enumerate(pairs)):
+            byte = {c: b for b, c in enumerate(byte_characters())}
+            ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in self.special}
+            ranked = tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+            self._plain = lambda text: ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        else:
+            library = Tokenizer.from_str(spec)
+            library.no_truncation()
+            library.no_padding()
+            self._plain = lambda text: np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.cut is None or "<" not in text:
