@@ -253,3 +253,15 @@ def interleave(first: DataFrame, second: DataFrame) -> DataFrame:
 def read_lengths(reads: DataFrame) -> DataFrame:
     """distinct lengths, longest first, with counts."""
     return reads.groupBy(F.length("seq").alias("length")).agg(F.count("*").alias("n")).orderBy(F.desc("length"))
+
+
+def deinterleave(reads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records of even and of odd ordinals."""
+    return reads.where("ord % 2 = 0"), reads.where("ord % 2 = 1")
+
+
+def no_repeats(seq: Column, share: float = 0.30) -> Column:
+    """No pair of bases makes up ``share`` or more of the sequence."""
+    pairs = [a + b for a in "ACGT" for b in "ACGT"]
+    most = F.greatest(*[(F.length(seq) - F.length(F.replace(seq, F.lit(p), F.lit("")))) / F.length(seq) for p in pairs])
+    return F.coalesce(most < share, F.lit(True))

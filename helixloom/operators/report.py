@@ -323,3 +323,38 @@ def matched_normals(tumour: DataFrame, normals: DataFrame, final: DataFrame, thr
 
     partial = normals.groupBy("g_lo", "g_hi").agg(F.max("n").alias("n"))
     return label_pair_set(label_pair_set(tumour, partial, "partial-matched-normal", threshold), final.select("g_lo", "g_hi").distinct(), "matched-normal")
+
+
+def split_junctions_trimmed(mappings: DataFrame, size: int = 40, reads: int = 1, anchor2: int = 150, mismatches: int = 30) -> DataFrame:
+    """Support of junctions whose blocks agree within ``size`` bases of the splice site.
+
+    ``mappings``: SITE columns, read_id, anchor, n_mism, sizes_1, starts_1, sizes_2, starts_2 (blocks on either side), seq, ord. A site is the
+    pair of genes with the trimmed block coordinates on both sides; rows count by distinct untrimmed coordinates.
+    """
+    text = lambda blocks: F.array_join(F.transform(blocks, lambda b: F.concat(b["s"].cast("string"), F.lit("-"), b["e"].cast("string"))), ",")
+    rows = mappings.where(F.col("n_mism") <= mismatches)
+    rows = rows.withColumn("left", text(trimmed_coordinates(F.col("sizes_1"), F.col("starts_1"), size, True))).withColumn("right", text(trimmed_coordinates(F.col("sizes_2"), F.col("starts_2"), size, False)))
+    rows = rows.withColumn("place", F.concat_ws("|", text(F.arrays_zip(F.col("starts_1").alias("s"), F.col("sizes_1").alias("e"))), text(F.arrays_zip(F.col("starts_2").alias("s"), F.col("sizes_2").alias("e")))))
+    keys = ["gene_1", "gene_2", "strand_1", "strand_2", "left", "right"]
+    out = rows.groupBy(*keys).agg(F.countDistinct("place").alias("unique"), F.max("anchor").alias("longest"), F.max_by("seq", F.struct("ord", "seq")).alias("seq"), F.countDistinct("read_id").alias("n_reads"))
+    return out.where((F.col("unique") >= reads) | (F.col("longest") >= anchor2))
+
+
+def predict_frame(report: DataFrame, features: DataFrame, coding: DataFrame | None = None) -> DataFrame:
+    """Adds effect, transcripts and, with ``coding`` (transcript, seq), proteins of in-frame fusions.
+
+    ``report``: ord, g_1, at_1, g_2, at_2; ``features`` as for ``breakpoint_class``.
+    """
+    points = report.select(F.concat(F.col("ord").cast("string"), F.lit("/1")).alias("id"), F.col("g_1").alias("gene"), F.col("at_1").alias("at")).union(report.select(F.concat(F.col("ord").cast("string"), F.lit("/2")), "g_2", "at_2"))
+    kinds = breakpoint_class(features, points)
+    sides = [kinds.where(F.col("id").endswith(f"/{i}")).select(F.expr("left(id, length(id) - 2)").alias("_o"), F.col("kind").alias(f"_k{i}"), F.col("hits").alias(f"_h{i}")) for i in (1, 2)]
+    rows = report.withColumn("_o", F.col("ord").cast("string")).join(sides[0], "_o").join(sides[1], "_o")
+    effect, names = predicted_effect(F.col("_k1"), F.col("_h1"), F.col("_k2"), F.col("_h2"))
+    out = rows.withColumn("effect", effect).withColumn("transcripts", names)
+    if coding is not None:
+        made = rows.select("_o", F.explode("_h1").alias("a"), "_h2").select("_o", "a", F.explode("_h2").alias("b")).where("a.n % 3 = (b.n - 1) % 3")
+        made = made.join(coding.toDF("t1", "s1"), F.col("a.transcript") == F.col("t1")).join(coding.toDF("t2", "s2"), F.col("b.transcript") == F.col("t2"))
+        made = made.withColumn("protein", fused_protein(F.col("s1"), F.col("a.n"), F.col("s2"), F.col("b.n")))
+        proteins = made.groupBy("_o").agg(F.array_join(F.array_sort(F.collect_set("protein")), ";").alias("proteins"))
+        out = out.join(proteins, "_o", "left").withColumn("proteins", F.coalesce("proteins", F.lit("")))
+    return out.drop("_o", "_k1", "_k2", "_h1", "_h2")

@@ -301,3 +301,56 @@ def read_headers(spark, sf):
     head = F.concat(F.lit("id"), p.cast("string"), F.lit(" "), (1 + p % 2).cast("string"), F.when(p % 7 == 0, ":Y:0").otherwise(":N:0"))
     r = A.table(spark, sf, "part").select(head.alias("read_id"), F.col("p_name").alias("seq"), F.col("p_name").alias("qual"))
     return reads.convert_headers(r).select("read_id", "seq", F.lit("convert").alias("kind")).union(reads.shorten_failed(r).select("read_id", "seq", F.lit("shorten")))
+
+
+OVERLAP = f"""{A.READS}, p AS (SELECT split_part(read_id, '/', 1) AS frag, replace(seq, 'N', 'A') AS a, replace(substr(seq, length(seq) // 3 + 1), 'N', 'A') || 'ACGTTGCA' AS b FROM reads), c AS (SELECT frag, a, b, n, len(list_filter(range(1, CAST(n AS BIGINT) + 1), lambda i: substr(right(a, n), i, 1) <> substr(b, i, 1))) AS m FROM p, range(6, 90) t(n) WHERE n <= least(length(a), length(b))),
+o AS (SELECT frag, CAST(max(n) AS INTEGER) AS overlap FROM c WHERE m <= 0.1 * n GROUP BY frag), r AS (SELECT frag, a, b, coalesce(overlap, 0) AS overlap FROM p LEFT JOIN o USING (frag))"""
+
+
+@query(f"WITH {OVERLAP} SELECT frag, CAST(overlap AS INTEGER) AS overlap, CASE WHEN overlap > 0 THEN a || substr(b, overlap + 1) END AS merged FROM r")
+def merged_mates(spark, sf):
+    r = A.reads(spark, sf).withColumn("seq", F.replace("seq", F.lit("N"), F.lit("A")))
+    second = F.concat(F.substring(F.col("seq"), F.floor(F.length("seq") / 3).cast("int") + 1, F.length("seq")), F.lit("ACGTTGCA"))
+    back = F.reverse(F.translate(second, "ACGT", "TGCA"))
+    p = r.select(F.split_part("read_id", F.lit("/"), F.lit(1)).alias("frag"), F.col("seq").alias("seq_1"), back.alias("seq_2"))
+    return reads.merge_mates(p, 0.1, 6).select("frag", "overlap", "merged")
+
+
+QUALITY = f"""{A.READS}, q AS (SELECT read_id, seq, array_to_string(list_transform(range(1, length(seq) + 1), lambda i: CASE WHEN (i * 7 + length(seq)) % 11 < 4 THEN '!' ELSE 'I' END), '') AS qual FROM reads),
+l AS (SELECT read_id, seq, list_transform(range(1, length(seq) + 1), lambda i: CASE WHEN substr(qual, i, 1) = '!' THEN 1 ELSE 0 END) AS low FROM q), w AS (SELECT read_id, seq, low, list_filter(range(1, greatest(1, length(seq) - 4) + 1), lambda i: list_sum(low[i:i + 3]) >= 2)[1] AS w0 FROM l),
+c AS (SELECT read_id, seq, CASE WHEN w0 IS NULL THEN length(seq) ELSE w0 + list_position(low[w0:w0 + 3], 1) - 2 END AS n FROM w), t AS (SELECT read_id, seq, rtrim(substr(seq, 1, n), 'N') AS s FROM c)"""
+
+
+@query(f"WITH {QUALITY} SELECT read_id, substr(seq, 1, greatest(1, length(s))) AS seq FROM t")
+def clipped_quality(spark, sf):
+    n = F.length("seq")
+    qual = F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.when((i * 7 + n) % 11 < 4, "!").otherwise("I")), "")
+    return reads.clip_quality(A.reads(spark, sf).withColumn("qual", qual)).select("read_id", "seq")
+
+
+FRAME_BODY = FRAMES.replace("SELECT pt.id, CASE", ", k AS (SELECT pt.id, n.transcript AS t, CAST(n.n AS BIGINT) AS n, CASE", 1).replace(", coalesce(n.transcript || ':' || CAST(n.n AS BIGINT), '') AS hits FROM", " FROM", 1)
+
+
+@query(f"""WITH {FRAME_BODY}), pairs AS (SELECT a.id AS ord, a.kind AS ka, b.kind AS kb, a.t AS ta, a.n AS na, b.t AS tb, b.n AS nb FROM k a JOIN k b ON b.id = a.id + 1)
+SELECT ord, CASE WHEN ka = 'CDS' AND kb = 'CDS' THEN CASE WHEN na % 3 = (nb - 1) % 3 THEN 'in-frame' ELSE 'out-of-frame' END WHEN ka = 'CDS' THEN 'CDS(truncated)/' || kb WHEN kb = 'CDS' THEN ka || '/CDS(truncated)' ELSE ka || '/' || kb END AS effect, CASE WHEN ka = 'CDS' AND kb = 'CDS' THEN ta || ':' || na || '/' || tb || ':' || nb ELSE '' END AS transcripts FROM pairs""")
+def predicted_frames(spark, sf):
+    o = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("gene"), F.concat(F.lit("T"), F.col("o_custkey").cast("string")).alias("transcript"), (F.col("o_orderkey") * 100).alias("start"), (F.col("o_orderkey") * 100 + 29).alias("end"), F.lit("+").alias("strand"))
+    features = o.select("gene", "transcript", F.lit("exon").alias("feature"), "start", "end", "strand").union(o.where("o_orderstatus = 'P'").select("gene", "transcript", F.lit("CDS"), "start", "end", "strand"))
+    at = F.col("start") + F.col("o_orderkey") % 60
+    first = o.select(F.col("o_orderkey").alias("ord"), F.col("gene").alias("g_1"), at.alias("at_1"))
+    second = o.select((F.col("o_orderkey") - 1).alias("ord"), F.col("gene").alias("g_2"), at.alias("at_2"))
+    return report.predict_frame(first.join(second, "ord"), features).select("ord", "effect", "transcripts")
+
+
+@query(f"""WITH {A.REPORT}, m AS (SELECT g_1, g_2, strand_1, strand_2, at_1 AS s1, 30 AS n1, at_1 + 50 AS s2, 10 + reads AS n2, pairs AS anchor, reads AS n_mism, ord FROM report), t AS (SELECT *, CASE WHEN n2 >= 20 THEN (s2 + n2 - 20) || '-' || (s2 + n2) ELSE (s1 + 30 - (20 - n2)) || '-' || (s1 + 30) || ',' || s2 || '-' || (s2 + n2) END AS "left", s1 || '-' || (s1 + 20) AS "right" FROM m WHERE n_mism <= 6)
+SELECT g_1 AS gene_1, g_2 AS gene_2, strand_1, strand_2, "left", "right", count(DISTINCT (s1, n2)) AS "unique", max(anchor) AS longest, count(DISTINCT ord) AS n_reads FROM t GROUP BY ALL HAVING count(DISTINCT (s1, n2)) >= 2 OR max(anchor) >= 40""")
+def trimmed_junctions(spark, sf):
+    r = A.report(spark, sf)
+    at, n2 = F.col("at_1").cast("int"), (F.col("reads") + 10).cast("int")
+    rows = r.select(F.col("g_1").alias("gene_1"), F.col("g_2").alias("gene_2"), "strand_1", "strand_2", F.col("ord").cast("string").alias("read_id"), F.col("pairs").alias("anchor"), F.col("reads").alias("n_mism"), F.array(F.lit(30), n2).alias("sizes_1"), F.array(at, at + 50).alias("starts_1"), F.array(F.lit(30), n2).alias("sizes_2"), F.array(at, at + 50).alias("starts_2"), F.lit("S").alias("seq"), "ord")
+    return report.split_junctions_trimmed(rows, size=20, reads=2, anchor2=40, mismatches=6).drop("seq")
+
+
+@query(f"WITH {A.READS}, f AS (SELECT read_id, max((length(seq) - length(replace(seq, a || b, ''))) / length(seq)) AS x FROM reads, (VALUES ('A'), ('C'), ('G'), ('T')) t(a), (VALUES ('A'), ('C'), ('G'), ('T')) u(b) GROUP BY read_id) SELECT read_id FROM f WHERE x < 0.3")
+def repeat_free_reads(spark, sf):
+    return A.reads(spark, sf).where(reads.no_repeats(F.col("seq"))).select("read_id")
