@@ -354,3 +354,72 @@ def trimmed_junctions(spark, sf):
 @query(f"WITH {A.READS}, f AS (SELECT read_id, max((length(seq) - length(replace(seq, a || b, ''))) / length(seq)) AS x FROM reads, (VALUES ('A'), ('C'), ('G'), ('T')) t(a), (VALUES ('A'), ('C'), ('G'), ('T')) u(b) GROUP BY read_id) SELECT read_id FROM f WHERE x < 0.3")
 def repeat_free_reads(spark, sf):
     return A.reads(spark, sf).where(reads.no_repeats(F.col("seq"))).select("read_id")
+
+
+@query(f"""WITH {A.ALN}, s AS (SELECT frag, mate, gene AS rname, pos, qty AS c, 2 + CASE WHEN strand = 'N' THEN 16 ELSE 0 END AS flag, line AS nm FROM aln WHERE qty % 5 <> 0)
+SELECT CAST(a.frag AS VARCHAR) || '/' AS frag, a.rname, a.pos AS pos_1, a.c || 'M' AS cigar_1, b.pos AS pos_2, b.c || 'M' AS cigar_2, a.flag = 18 AS rev FROM s a JOIN s b ON a.frag = b.frag AND a.rname = b.rname AND a.mate = 1 AND b.mate = 2 AND a.flag = b.flag AND a.nm <= 5 AND b.nm <= 4""")
+def sam_mate_merge(spark, sf):
+    flag = F.when(F.col("qty") % 5 == 0, 0).otherwise(2) + F.when(F.col("strand") == "N", 16).otherwise(0)
+    sam = A.alignments(spark, sf).select(_read_id().alias("qname"), flag.alias("flag"), F.col("gene").alias("rname"), "pos", F.concat(F.col("qty").cast("string"), F.lit("M")).alias("cigar"), F.col("line").alias("nm"))
+    return align.merge_sam_mates(sam, 5, 4).select("frag", "rname", "pos_1", "cigar_1", "pos_2", "cigar_2", F.col("rev_1").alias("rev"))
+
+
+@query("SELECT p_partkey AS ord, p_name AS seq, CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 2 END AS file FROM part")
+def deinterleaved_reads(spark, sf):
+    r = A.table(spark, sf, "part").select(F.col("p_partkey").alias("ord"), F.col("p_name").alias("seq"))
+    first, second = reads.deinterleave(r)
+    return first.withColumn("file", F.lit(1)).union(second.withColumn("file", F.lit(2)))
+
+
+@query("SELECT p_partkey AS ord, p_name AS seq, 1 AS mate FROM part UNION ALL SELECT p_partkey, p_type, 2 FROM part")
+def interleaved_reads(spark, sf):
+    p = A.table(spark, sf, "part")
+    return reads.interleave(p.select(F.col("p_partkey").alias("ord"), F.col("p_name").alias("seq")), p.select(F.col("p_partkey").alias("ord"), F.col("p_type").alias("seq")))
+
+
+@query(f"""WITH {A.ALN}, p AS (SELECT CAST(frag AS VARCHAR) AS q_name, strand, 100 AS q_size, qty AS p2, 20 + line AS n FROM aln), one AS (SELECT * FROM p WHERE q_name IN (SELECT q_name FROM p GROUP BY q_name HAVING count(*) = 1)),
+c AS (SELECT q_name, strand, CASE WHEN p2 >= 20 AND p2 >= 100 - p2 - n THEN p2 WHEN 100 - p2 - n >= 20 THEN p2 + n END AS cut FROM one) SELECT q_name, CASE WHEN strand = 'N' THEN 100 - cut ELSE cut END AS cut FROM c WHERE cut IS NOT NULL""")
+def clip_points(spark, sf):
+    rows = A.alignments(spark, sf).select(F.col("frag").cast("string").alias("q_name"), F.when(F.col("strand") == "N", "-").otherwise("+").alias("strand"), F.lit(100).alias("q_size"), F.array(F.lit(0), F.col("qty")).alias("q_starts"), F.array(F.lit(3), 20 + F.col("line")).alias("block_sizes"))
+    return align.clip_points(rows, 20)
+
+
+@query(f"""WITH {A.REPORT}, d AS (SELECT DISTINCT g_1, g_2 FROM report WHERE pairs = 50), b AS (SELECT g_1, g_2 FROM d UNION SELECT g_2, g_1 FROM d)
+SELECT ord, r.g_1, r.g_2, array_to_string(list_concat(labels, CASE WHEN b.g_1 IS NULL THEN [] ELSE ['matched'] END), ',') AS labels FROM report r LEFT JOIN b ON r.g_1 = b.g_1 AND r.g_2 = b.g_2""")
+def found_labels(spark, sf):
+    r = A.report(spark, sf)
+    return report.label_found(r, r.where("pairs = 50").select("g_1", "g_2"), "matched").select("ord", "g_1", "g_2", F.array_join("labels", ",").alias("labels"))
+
+
+@query(f"WITH {EXONS} SELECT 'v;' || transcript || ';' || gene AS id, seq FROM x WHERE gene LIKE 'K1%'")
+def extracted_transcripts(spark, sf):
+    x = _exons(spark, sf)
+    return junctions.extract_transcripts(x.select(F.concat_ws(";", "transcript", "gene").alias("id"), "seq"), x.select("gene").where("gene like 'K1%'").distinct(), "v")
+
+
+@query(f"""WITH {A.ALN}, {SUPPLIER_GENES}, h AS (SELECT ord, frag, gene AS gene_1, 'G' || CAST(part % 10 AS VARCHAR) AS gene_2, qty AS at_1, line AS at_2 FROM aln)
+SELECT ord, frag, gene_1, gene_2, CASE WHEN a.strand = 1 THEN a.e - at_1 + 1 ELSE a.s + at_1 - 1 END AS pos_1, CASE WHEN b.strand = 1 THEN b.e - at_2 + 1 ELSE b.s + at_2 - 1 END AS pos_2 FROM h JOIN sg a ON gene_1 = a.gene JOIN sg b ON gene_2 = b.gene""")
+def junction_points(spark, sf):
+    hits = A.alignments(spark, sf).select("ord", "frag", F.col("gene").alias("gene_1"), F.concat(F.lit("G"), (F.col("part") % 10).cast("string")).alias("gene_2"), F.col("qty").alias("at_1"), F.col("line").alias("at_2"))
+    return junctions.junction_points(hits, _supplier_genes(spark, sf)).select("ord", "frag", "gene_1", "gene_2", "pos_1", "pos_2")
+
+
+@query(f"WITH {EXONS} SELECT gene, transcript, exon, CASE WHEN rank = 1 THEN 'custom' ELSE seq END AS seq FROM x")
+def custom_features(spark, sf):
+    x = _exons(spark, sf).select("gene", "transcript", "exon", "seq", "rank")
+    more = x.where("rank = 1").withColumn("seq", F.lit("custom"))
+    return junctions.add_features(x, more).select("gene", "transcript", "exon", "seq")
+
+
+@query(f"WITH {A.ALN}, s AS (SELECT CAST(frag AS VARCHAR) || '/1' AS read_id, CAST(frag AS VARCHAR) AS frag, gene AS gene_1, 'G' || CAST(part % 97 AS VARCHAR) AS gene_2 FROM aln), ok AS (SELECT DISTINCT CAST(frag AS VARCHAR) AS frag, gene FROM aln WHERE line > 3) SELECT DISTINCT read_id, gene_1, gene_2 FROM s WHERE gene_1 <> gene_2 AND ((frag, gene_1) IN (SELECT (frag, gene) FROM ok) OR (frag, gene_2) IN (SELECT (frag, gene) FROM ok))")
+def allowed_splits(spark, sf):
+    a = A.alignments(spark, sf)
+    splits = a.select(_read_id("1").alias("read_id"), F.col("gene").alias("gene_1"), F.concat(F.lit("G"), (F.col("part") % 97).cast("string")).alias("gene_2"))
+    return align.filter_splits(splits, a.where("line > 3").select(F.col("frag").cast("string").alias("frag"), "gene"))
+
+
+@query(f"WITH {A.ALN}, r AS (SELECT CAST(frag AS VARCHAR) || '/' || mate AS read_id, CAST(frag AS VARCHAR) AS frag, ord FROM aln) SELECT read_id, ord FROM r WHERE frag NOT IN (SELECT frag FROM r GROUP BY frag HAVING count(*) = 2) OR frag LIKE '%7'")
+def incomplete_pairs(spark, sf):
+    r = A.alignments(spark, sf).select(_read_id().alias("read_id"), "ord")
+    keep = r.select(F.expr("left(read_id, length(read_id) - 2)").alias("frag")).where("frag like '%7'").distinct()
+    return reads.drop_complete_pairs(r, keep)
