@@ -15,6 +15,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one is made and set only where the session names none (local tests)."""
     base = spark.sparkContext.getConf().get(SETTING) or spark.conf.get(SETTING, None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {SETTING} to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="helixloom-")
         spark.conf.set(SETTING, base)
     return base.rstrip("/")
