@@ -13,6 +13,8 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MEMO_WORDS = 400_000
+MERGE_WORDS = 20_000
+GROUP_CHARS = 4 << 20
 
 
 def byte_characters() -> list[str]:
@@ -58,10 +62,10 @@ class Codec:
         made = np.array([self.vocab[a + b] for a, b in merges], np.int64)
         order = np.argsort(pairs, kind="stable")
         self.size, self.pairs, self.ranks, self.made = size, pairs[order], order, made[order]
-        self.memo: dict[str, tuple[bytes, str, int]] = {}
+        self.memo: dict[str, tuple[bytes, str]] = {}
 
-    def merge(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word."""
+    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one array, and the bounds of each word in it."""
         raw = [w.encode() for w in words]
         flat = np.frombuffer(b"".join(raw), np.uint8)
         lens = np.array([len(x) for x in raw], np.int64)
@@ -80,7 +84,7 @@ class Codec:
             group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(sym))))
             live = best[group] < none
             out_sym.append(sym[~live]), out_word.append(word[~live])
-            # the word's lowest pair, at its first place: overlapping places of the same pair wait for the next round
+            # the word's lowest pair, at its first place: other places of the same pair wait for the next round
             hits = np.flatnonzero((rank == best[group[:-1]]) & (rank < none))
             take = hits[np.concatenate(([True], group[hits[1:]] != group[hits[:-1]]))] if len(hits) else hits
             sym = sym.copy()
@@ -90,7 +94,7 @@ class Codec:
             sym, word = sym[keep], word[keep]
         sym, word = np.concatenate(out_sym), np.concatenate(out_word)
         order = np.argsort(word, kind="stable")
-        return np.split(sym[order], np.cumsum(np.bincount(word, minlength=len(words)))[:-1])
+        return sym[order], np.concatenate(([0], np.cumsum(np.bincount(word, minlength=len(words)))))
 
     def normal(self, text: str) -> str:
         if self.nfc and not text.isascii():
@@ -100,41 +104,51 @@ class Codec:
         return text
 
     def pieces(self, text: str) -> list[str]:
-        """Words and special tokens in order; special tokens are marked by a leading NUL."""
+        """Words and special tokens in order; no word that the pattern picks is the name of a special token."""
         if self.cut is None or "<" not in text:
             return self.words.findall(self.normal(text))
         out = []
         for i, part in enumerate(self.cut.split(text)):
             if i % 2:
-                out.append("\0" + part)
+                out.append(part)
             elif part:
                 out += self.words.findall(self.normal(part))
         return out
 
     def learn(self, words: set[str]) -> None:
-        memo = self.memo
-        if len(memo) + len(words) > MEMO_WORDS:
-            memo.clear()
-        plain = [w for w in words if w[0] != "\0"]
+        memo, names = self.memo, self.names
+        plain = []
         for w in words:
-            if w[0] == "\0":
-                i = self.special[w[1:]]
-                memo[w] = (np.array([i], "<u4").tobytes(), w[1:], 1)
-        for lo in range(0, len(plain), 20_000):
-            part = plain[lo : lo + 20_000]
-            for w, ids in zip(part, self.merge(part), strict=True):
-                memo[w] = (ids.astype("<u4").tobytes(), " ".join([self.names[i] for i in ids.tolist()]), len(ids))
-
-    def encode(self, text: str) -> tuple[bytes, list[str], int]:
-        """Ids as little-endian 32-bit bytes, token names by word, and the number of ids."""
-        words = self.pieces(text)
-        memo = self.memo
-        try:
-            got = [memo[w] for w in words]
-        except KeyError:
-            self.learn({w for w in words if w not in memo} if len(memo) < MEMO_WORDS // 2 else set(words))
-            got = [memo[w] for w in words]
-        return b"".join([x[0] for x in got]), [x[1] for x in got], sum([x[2] for x in got])
+            if w in self.special:
+                memo[w] = (np.array([self.special[w]], "<u4").tobytes(), w)
+            else:
+                plain.append(w)
+        for lo in range(0, len(plain), MERGE_WORDS):
+            part = plain[lo : lo + MERGE_WORDS]
+            ids, bounds = self.merge(part)
+            body, shown, cuts = ids.astype("<u4").tobytes(), [names[i] for i in ids.tolist()], bounds.tolist()
+            for w, a, b in zip(part, cuts, cuts[1:], strict=False):
+                memo[w] = (body[4 * a : 4 * b], " ".join(shown[a:b]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, list[str]]]:
+        """For each text its ids as little-endian 32-bit bytes and its token names, word by word."""
+        memo, lo = self.memo, 0
+        while lo < len(texts):
+            hi, size = lo, 0
+            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= GROUP_CHARS):
+                size += len(texts[hi])
+                hi += 1
+            words = [self.pieces(t) for t in texts[lo:hi]]
+            distinct = set(chain.from_iterable(words))
+            new = distinct.difference(memo)
+            if len(memo) + len(new) > MEMO_WORDS:
+                memo.clear()
+                new = distinct
+            self.learn(new)
+            for w in words:
+                got = [memo[x] for x in w]
+                yield b"".join([x[0] for x in got]), [x[1] for x in got]
+            lo = hi
 
     def decode(self, ids: np.ndarray) -> str:
         """What a file without a decoder gives: token names joined by spaces."""
@@ -147,9 +161,8 @@ def _digests(spec):
         codec = Codec(spec.value)
         for batch in batches:
             n_tokens, ids_sha, text_sha = [], [], []
-            for x in batch.column(1):
-                ids, names, n = codec.encode(x.as_py() or "")
-                n_tokens.append(n)
+            for ids, names in codec.encode_all([x or "" for x in batch.column(1).to_pylist()]):
+                n_tokens.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(" ".join(names).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -161,7 +174,7 @@ def _encoded(spec):
     def run(batches):
         codec = Codec(spec.value)
         for batch in batches:
-            ids = [np.frombuffer(codec.encode(x.as_py() or "")[0], "<u4").astype(np.int32) for x in batch.column(1)]
+            ids = [np.frombuffer(b, "<u4").astype(np.int32) for b, _ in codec.encode_all([x or "" for x in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"])
 
     return run
