@@ -59,15 +59,23 @@ def readthroughs(adjacent: DataFrame) -> DataFrame:
     return adjacent.select(F.when(down, F.col("g_second")).otherwise(F.col("g_first")).alias("g_5end"), F.when(down, F.col("g_first")).otherwise(F.col("g_second")).alias("g_3end"))
 
 
-def merge_intervals(bed: DataFrame) -> DataFrame:
-    """chrom, start, end with overlapping intervals merged; touching ones stay apart."""
-    order = Window.partitionBy("chrom").orderBy("start", "end")
+def _islands(bed: DataFrame, keys: list[str]) -> DataFrame:
+    order = Window.partitionBy(*keys).orderBy("start", "end")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     flagged = bed.withColumn("_new", (before.isNull() | (F.col("start") >= before)).cast("int"))
-    grouped = flagged.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy("chrom", "_island")
+    grouped = flagged.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*keys, "_island")
     return grouped.agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
+def merge_intervals(bed: DataFrame, bin_size: int = BIN) -> DataFrame:
+    """chrom, start, end with overlapping intervals merged; touching ones stay apart.
+
+    Intervals that start in one bin merge first, so the pass along a whole chromosome sees islands of bins instead of rows.
+    """
+    rows = bed.select("chrom", "start", "end").withColumn("_bin", F.floor(F.col("start") / bin_size))
+    return _islands(_islands(rows, ["chrom", "_bin"]).drop("_bin"), ["chrom"])
+
+
 def enlarge_genes(genes: DataFrame, chroms: DataFrame, size: int = 5000) -> DataFrame:
     """gene, chrom, start, end, new_start, new_end: genes stretched into free space.
 

@@ -151,7 +151,7 @@ def adjacent_pairs(spark, sf):
 i AS (SELECT *, sum(CASE WHEN before IS NULL OR s >= before THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM o)
 SELECT chrom, min(s) AS "start", max(e) AS "end" FROM i GROUP BY chrom, island""")
 def bed_merge(spark, sf):
-    return intervals.merge_intervals(A.genes(spark, sf).select("chrom", "start", "end"))
+    return intervals.merge_intervals(A.genes(spark, sf), bin_size=4096)
 
 
 @query(f"""WITH {A.GENES}, w AS (SELECT *, max(e) OVER (PARTITION BY chrom ORDER BY s, e, gene ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l, min(s) OVER (PARTITION BY chrom ORDER BY s RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r FROM genes)
