@@ -8,14 +8,15 @@ when one word makes up much of the text, and the filter's size follows the numbe
 The model interpolates: P(w | v) = share * c(v w) / c(v) + (1 - share) * (c(w) + a) / (N + a (V + 1)), with c(v w) from
 the filter and the unigram counts exact. Where the bigram is absent only the unigram part counts.
 
-What workers get by broadcast is bounded by ``broadcast_bytes``: beyond it, unigrams and filter are cut into shards by
-hash, and one pass over the texts for each combination of shards (of the word, of the word before, of the bigram) adds
-the tokens that it owns. One pass is enough while everything fits.
+Workers get the model by broadcast while it takes at most ``broadcast_bytes``. A larger model stays in its parts: the
+texts are stored in blocks, each block sends its distinct words and bigrams to the parts that hold them, the parts answer
+with counts, and the answers meet their block again. Blocks and parts are bounded, and all of it is linear in the input.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,8 @@ BITS_PER_EVENT = 8
 BASE = 1.5
 LEVELS = np.unique(np.round(BASE ** np.arange(0, 80)).astype(np.float64))
 PART_TOKENS = 1 << 19
-FLUSH = 4 << 20
+FLUSH = 3 << 19
+BLOCK_BYTES = 1 << 20
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,7 +153,7 @@ class Filter:
         at = block_of(grams, self.blocks) - self.first
         level = np.zeros(len(grams), np.int64)
         live, q = np.arange(len(grams)), 1
-        while len(live):
+        while len(live) and q <= len(LEVELS):
             pos = event_positions(grams[live], q, self.bits[at[live]].astype(np.uint64)) + self.offset[at[live]]
             hit = np.ones(len(live), bool)
             for p in pos:
@@ -159,72 +161,146 @@ class Filter:
             live = live[hit]
             level[live] = q
             q += 1
-            if q > len(LEVELS):
-                break
         return np.where(level > 0, LEVELS[level - 1], 0.0)
 
 
-def _exact(keys: np.ndarray, counts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    uniq, back = np.unique(tokens, return_inverse=True)
+def exact_counts(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Counts of the wanted hashes in a sorted table, 0 if absent."""
     if not len(keys):
-        return np.zeros(len(tokens))
-    at = np.minimum(np.searchsorted(keys, uniq), len(keys) - 1)
-    return np.where(keys[at] == uniq, counts[at], 0)[back].astype(np.float64)
+        return np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, counts[at], 0).astype(np.float64)
 
 
-def _scorer(words, befores, filt, total: int, distinct: int, alpha: float, share: float, ranges, parts: int):
-    """Sums over the tokens whose word, word before and bigram lie in the three ``ranges`` of parts."""
+class Model:
+    """The smoothed probabilities, given counts."""
 
+    def __init__(self, total: int, distinct: int, alpha: float, share: float):
+        self.total, self.distinct, self.alpha, self.share = total, distinct, alpha, share
+
+    def sums(self, bounds, c, before, pair) -> list[np.ndarray]:
+        """Per document: tokens, known tokens, base score and score, from each token's count, its predecessor's and their pair's."""
+        p1 = (c + self.alpha) / (self.total + self.alpha * (self.distinct + 1))
+        p2 = np.where(before > 0, np.minimum(pair / np.maximum(before, 1), 1.0), 0.0)
+        per_token = (np.ones(len(c), np.int64), (c > 0).astype(np.int64), np.log10(p1), np.log10(self.share * p2 + (1 - self.share) * p1))
+        return [np.add.reduceat(x, bounds[:-1]) for x in per_token]
+
+
+def _distinct(data, offsets):
+    """Bounds of the documents; distinct words and bigrams in order of their hashes; where each token finds its own."""
+    tokens, before, bounds = tokens_of(data, offsets)
+    before = np.where(before == START, END, before)  # as many texts begin as end
+    words, at_word = np.unique(tokens, return_inverse=True)
+    grams, at_gram = np.unique(bigram_hash(before, tokens), return_inverse=True)
+    return bounds, words, at_word, np.searchsorted(words, before), grams, at_gram
+
+
+SUMS = ("n_tokens", "n_known", "base_score", "score")
+
+
+def _empty_sums():
+    return [np.zeros(0, np.int64)] * 2 + [np.zeros(0)] * 2
+
+
+def _scorer(table, filt, model: Model):
     def score(batches):
-        (wk, wc), (bk, bc), f = words.value, befores.value, filt.value
+        (keys, counts), f = table.value, filt.value
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             out = []
-            for _, _, part, offs in sub_batches(data, offsets, 1 << 20):
-                tokens, before, bounds = tokens_of(part, offs)
-                before = np.where(before == START, END, before)  # as many texts begin as end
-                grams = bigram_hash(before, tokens)
-                mine = np.ones(len(tokens), bool)
-                for (lo, hi), of in zip(ranges, (tokens, before, grams), strict=True):
-                    if (lo, hi) != (0, parts):
-                        p = block_of(of, parts)
-                        mine &= (p >= lo) & (p < hi)
-                c = _exact(wk, wc, tokens)
-                p1 = (c + alpha) / (total + alpha * (distinct + 1))
-                cv, cvw = _exact(bk, bc, before[mine]), f.counts(grams[mine])
-                p2 = np.where(cv > 0, np.minimum(cvw / np.maximum(cv, 1), 1.0), 0.0)
-                logp = np.zeros(len(tokens))
-                logp[mine] = np.log10(share * p2 + (1 - share) * p1[mine])
-                sums = (mine.astype(np.int64), ((c > 0) & mine).astype(np.int64), np.where(mine, np.log10(p1), 0.0), logp)
-                out.append([np.add.reduceat(x, bounds[:-1]) for x in sums])
-            cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)] * 2
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *map(pa.array, cols)], names=[*batch.schema.names[1:], "n_tokens", "n_known", "base_score", "score"])
+            for _, _, part, offs in sub_batches(data, offsets, BLOCK_BYTES):
+                bounds, words, at_word, at_before, grams, at_gram = _distinct(part, offs)
+                # a predecessor is a token of the block too, but for the end token, which every document has
+                c = exact_counts(keys, counts, words)
+                out.append(model.sums(bounds, c[at_word], c[at_before], f.counts(grams)[at_gram]))
+            cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else _empty_sums()
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *map(pa.array, cols)], names=[*batch.schema.names[1:], *SUMS])
 
     return score
 
 
-def _shards(sizes: list[tuple[int, int]], limit: int, parts: int) -> list[tuple[int, int]]:
-    """Ranges of parts whose bytes stay below ``limit`` (parts are small and of even size)."""
-    out, lo, held = [], 0, 0
-    for part, size in sorted(sizes):
-        if held and held + size > limit:
-            out.append((lo, part))
-            lo, held = part, 0
-        held += size
-    return [*out, (lo, parts)]
-
+def _blocks(batches):
+    """Documents of about BLOCK_BYTES a row."""
+    for batch in batches:
+        data, offsets = utf8(batch.column(0))
+        ranges = [(lo, hi) for lo, hi, _, _ in sub_batches(data, offsets, BLOCK_BYTES)]
+        cols = [pa.array([batch.column(c).slice(lo, hi - lo).to_pylist() for lo, hi in ranges], pa.list_(t)) for c, t in ((0, pa.string()), (1, pa.int64()), (2, pa.bool_()))]
+        yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex for _ in ranges]), *cols], names=["block", "texts", "ids", "held"])
 
-def _unigrams(built: DataFrame, lo: int, hi: int):
-    rows = sorted(built.where((F.col("kind") == 0) & (F.col("part") >= lo) & (F.col("part") < hi)).select("part", "body", "extra").collect(), key=lambda r: r.part)
-    keys = np.frombuffer(b"".join(r.body for r in rows), np.uint64)
-    return built.sparkSession.sparkContext.broadcast((keys, np.frombuffer(b"".join(r.extra for r in rows), np.uint32)))
 
-
-def _filter(built: DataFrame, lo: int, hi: int, parts: int):
-    rows = {r.part: r for r in built.where((F.col("kind") == 1) & (F.col("part") >= lo) & (F.col("part") < hi)).select("part", "size", "body").collect()}
-    bits = np.array([rows[p]["size"] if p in rows else 64 for p in range(lo, hi)], np.int64)
-    data = b"".join(rows[p].body if p in rows else bytes(8) for p in range(lo, hi))
-    return built.sparkSession.sparkContext.broadcast(Filter(parts, lo, bits, np.frombuffer(data, np.uint8)))
+def _probes(parts: int):
+    def probe(batches):
+        for batch in batches:
+            for block, texts in zip(batch.column("block").to_pylist(), batch.column("texts"), strict=True):
+                _, words, _, _, grams, _ = _distinct(*utf8(texts.values))
+                rows = []
+                for kind, keys in ((0, words), (1, grams)):
+                    cut = np.searchsorted(block_of(keys, parts), np.arange(parts + 1))
+                    rows += [(kind, int(p), block, keys[cut[p] : cut[p + 1]].tobytes()) for p in np.flatnonzero(cut[1:] > cut[:-1])]
+                kinds, ps, blocks, keys = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(ps, pa.int32()), pa.array(blocks), pa.array(keys, pa.binary())], names=["kind", "part", "block", "keys"])
+
+    return probe
+
+
+def _answers(parts: int):
+    """One part's counts for all blocks that ask."""
+
+    def answer(model: pa.Table, asked: pa.Table) -> pa.Table:
+        counts = []
+        if model.num_rows:
+            body, part = model.column("body")[0].as_py(), model.column("part")[0].as_py()
+            if model.column("kind")[0].as_py() == 0:
+                keys, values = np.frombuffer(body, np.uint64), np.frombuffer(model.column("extra")[0].as_py(), np.uint32)
+                look = lambda wanted: exact_counts(keys, values, wanted)
+            else:
+                look = Filter(parts, part, np.array([model.column("size")[0].as_py()]), np.frombuffer(body, np.uint8)).counts
+        else:
+            look = lambda wanted: np.zeros(len(wanted))
+        for keys_ in asked.column("keys").to_pylist():
+            counts.append(look(np.frombuffer(keys_, np.uint64)).tobytes())
+        return pa.table({"block": asked.column("block"), "kind": asked.column("kind"), "part": asked.column("part"), "counts": pa.array(counts, pa.binary())})
+
+    return answer
+
+
+def _assembled(model: Model):
+    """One block's documents with the answers to all its questions, which in order of parts follow its sorted hashes."""
+
+    def assemble(block: pa.Table, answers: pa.Table) -> pa.Table:
+        texts = block.column("texts").combine_chunks().values
+        bounds, _, at_word, at_before, _, at_gram = _distinct(*utf8(texts))
+        answers = answers.sort_by([("kind", "ascending"), ("part", "ascending")])
+        got = {k: np.frombuffer(b"".join(x for x, kind in zip(answers.column("counts").to_pylist(), answers.column("kind").to_pylist(), strict=True) if kind == k), np.float64) for k in (0, 1)}
+        sums = model.sums(bounds, got[0][at_word], got[0][at_before], got[1][at_gram])
+        ids, held = (block.column(c).combine_chunks().values for c in ("ids", "held"))
+        return pa.table({"id": ids, "held_out": held, **{n: pa.array(x) for n, x in zip(SUMS, sums, strict=True)}})
+
+    return assemble
+
+
+def _unigrams(built: DataFrame, about: list):
+    """Sorted hashes and counts; stored parts arrive one partition at a time and go to their place."""
+    sizes = {r.part: r["size"] for r in about if r.kind == 0}
+    at, total = {}, 0
+    for part in sorted(sizes):
+        at[part], total = total, total + sizes[part]
+    keys, counts = np.empty(total, np.uint64), np.empty(total, np.uint32)
+    for r in built.where("kind = 0").select("part", "body", "extra").toLocalIterator():
+        keys[at[r.part] : at[r.part] + sizes[r.part]] = np.frombuffer(r.body, np.uint64)
+        counts[at[r.part] : at[r.part] + sizes[r.part]] = np.frombuffer(r.extra, np.uint32)
+    return built.sparkSession.sparkContext.broadcast((keys, counts))
+
+
+def _filter(built: DataFrame, about: list, parts: int):
+    """All blocks as one array, filled like the unigrams."""
+    sizes = {r.part: r["size"] for r in about if r.kind == 1}
+    bits = np.array([sizes.get(p, 64) for p in range(parts)], np.int64)
+    start = np.concatenate(([0], np.cumsum(bits // 8)))
+    data = np.zeros(start[-1], np.uint8)
+    for r in built.where("kind = 1").select("part", "body").toLocalIterator():
+        data[start[r.part] : start[r.part + 1]] = np.frombuffer(r.body, np.uint8)
+    return built.sparkSession.sparkContext.broadcast(Filter(parts, 0, bits, data))
 
 
 def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.1, share: float = 0.6, broadcast_bytes: int = 512 << 20) -> DataFrame:
@@ -247,22 +323,14 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     about = built.select("kind", "part", "total", "size", (F.length("body") + F.length("extra")).alias("bytes")).collect()
     total = sum(r.total for r in about)
     distinct = sum(r["size"] for r in about if r.kind == 0)
-    word_shards, gram_shards = (_shards([(r.part, r.bytes) for r in about if r.kind == k], broadcast_bytes // 3, parts) for k in (0, 1))
-    tables = [_unigrams(built, *r) for r in word_shards]
-    rows = plain.select("text", "id", "held_out", F.xxhash64("text").alias("mark"))
-    passes = []
-    for grams in gram_shards:
-        filt = _filter(built, *grams, parts)
-        for w, words in enumerate(tables):
-            for v, befores in enumerate(tables):
-                ranges = (word_shards[w], word_shards[v], grams)
-                passes.append(rows.mapInArrow(_scorer(words, befores, filt, total, distinct, alpha, share, ranges, parts), "id bigint, held_out boolean, mark bigint, n_tokens bigint, n_known bigint, base_score double, score double"))
-    out = passes[0]
-    if len(passes) > 1:
-        for more in passes[1:]:
-            out = out.unionAll(more)
-        # rows that repeat an id and a text have equal sums, and come back as often as they were
-        copies = F.count("*") / F.lit(len(passes))
-        sums = [(F.sum(c) / copies).cast(kind).alias(c) for c, kind in (("n_tokens", "bigint"), ("n_known", "bigint"), ("base_score", "double"), ("score", "double"))]
-        out = out.groupBy("id", "held_out", "mark").agg(copies.cast("int").alias("copies"), *sums).withColumn("copies", F.explode(F.sequence(F.lit(1), "copies")))
+    model = Model(total, distinct, alpha, share)
+    rows = plain.select("text", "id", "held_out")
+    schema = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+    if sum(r.bytes for r in about) <= broadcast_bytes:
+        out = rows.mapInArrow(_scorer(_unigrams(built, about), _filter(built, about, parts), model), schema)
+    else:
+        blocks = store.write(rows.mapInArrow(_blocks, "block string, texts array<string>, ids array<bigint>, held array<boolean>"), "blocks")
+        asked = blocks.select("block", "texts").mapInArrow(_probes(parts), "kind int, part int, block string, keys binary")
+        answers = built.groupBy("kind", "part").cogroup(asked.groupBy("kind", "part")).applyInArrow(_answers(parts), "block string, kind int, part int, counts binary")
+        out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assembled(model), schema)
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
