@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BIN = 1 << 17
@@ -36,21 +36,26 @@ def adjacent_genes(genes: DataFrame) -> DataFrame:
     """g_first, g_second: genes of one chromosome and strand with no whole gene between them (J12); start <= end.
 
     In order of (start, end, gene), j follows i without a blocker when start_j <= the least end of the genes that start
-    after end_i. That minimum is a suffix minimum over starts, found for end_i through a window that merges both points.
+    after end_i. That limit is a suffix minimum over starts; the genes up to it are a run of ranks after i's own, so the
+    partners are found by an equality of ranks. Both numbers come from windows that merge genes and questions.
     """
     key = Window.partitionBy("chrom", "strand")
-    points = genes.select("chrom", "strand", "start", "end", "gene", F.lit(1).alias("is_gene"), F.col("start").alias("at"), F.lit(None).cast(dict(genes.dtypes)["gene"]).alias("of"))
-    asks = genes.select("chrom", "strand", "start", "end", "gene", F.lit(0).alias("is_gene"), F.col("end").alias("at"), F.col("gene").alias("of"))
-    later = key.orderBy(F.col("at")).rangeBetween(1, Window.unboundedFollowing)
-    limits = points.unionByName(asks).withColumn("limit", F.min(F.when(F.col("is_gene") == 1, F.col("end"))).over(later)).where("is_gene = 0")
-    a = limits.select("chrom", "strand", F.col("start").alias("start_a"), F.col("end").alias("end_a"), F.col("gene").alias("gene_a"), F.coalesce("limit", F.lit(2**62)).alias("limit"))
-    # every gene of the range (start_a, limit] is a partner; bins bound the search, open ends stop at the last bin
+    ranked = genes.select("chrom", "strand", "gene", "start", "end", F.row_number().over(key.orderBy("start", "end", "gene")).alias("rank"))
+    points = ranked.select("chrom", "strand", F.col("start").alias("at"), F.col("end").alias("its_end"), F.lit(None).cast("int").alias("of"))
+
+    def asked(at: str, rows: DataFrame, answer: Column, frame: WindowSpec, name: str) -> DataFrame:
+        asks = rows.select("chrom", "strand", F.col(at).alias("at"), F.lit(None).cast(dict(points.dtypes)["its_end"]).alias("its_end"), F.col("rank").alias("of"))
+        both = points.unionByName(asks).withColumn(name, answer.over(frame))
+        return both.where("of is not null").select("chrom", "strand", F.col("of").alias("rank"), name)
+
+    limits = asked("end", ranked, F.min("its_end"), key.orderBy("at").rangeBetween(1, Window.unboundedFollowing), "limit")
     last = genes.groupBy("chrom", "strand").agg(F.max("start").alias("last"))
-    a = a.join(last, ["chrom", "strand"]).withColumn("upto", F.greatest("start_a", F.least("limit", "last")))
-    a = a.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start_a") / BIN), F.floor(F.col("upto") / BIN))))
-    b = genes.select("chrom", "strand", F.floor(F.col("start") / BIN).alias("bin"), F.col("start").alias("start_b"), F.col("end").alias("end_b"), F.col("gene").alias("gene_b"))
-    pairs = a.join(b, ["chrom", "strand", "bin"]).where("struct(start_a, end_a, gene_a) < struct(start_b, end_b, gene_b) and gene_a <> gene_b and start_b <= limit")
-    return pairs.select("chrom", "strand", F.col("gene_a").alias("g_first"), F.col("gene_b").alias("g_second"))
+    limits = limits.join(last, ["chrom", "strand"]).withColumn("limit", F.coalesce("limit", "last"))
+    upto = asked("limit", limits, F.count("its_end"), key.orderBy("at").rangeBetween(Window.unboundedPreceding, 0), "upto")
+    a = ranked.select("chrom", "strand", "rank", F.col("gene").alias("g_first")).join(upto, ["chrom", "strand", "rank"])
+    a = a.where("upto > rank").select("chrom", "strand", "g_first", F.explode(F.sequence(F.col("rank").cast("bigint") + 1, F.col("upto"))).alias("rank"))
+    b = ranked.select("chrom", "strand", F.col("rank").cast("bigint").alias("rank"), F.col("gene").alias("g_second"))
+    return a.join(b, ["chrom", "strand", "rank"]).where("g_first <> g_second").select("chrom", "strand", "g_first", "g_second")
 
 
 def readthroughs(adjacent: DataFrame) -> DataFrame:

@@ -23,8 +23,9 @@ def mate_pairs(alignments: DataFrame, homologs: DataFrame | None = None, no_prot
     """
     left, right = (alignments.where(F.col("mate") == m).select("frag", *[F.col(c).alias(f"{c}_{m}") for c in ("ord", "gene", "transcript", "strand", "pos")]) for m in (1, 2))
     pairs = left.join(right, "frag")
-    shared = pairs.where("gene_1 = gene_2").select("frag").distinct()
-    out = pairs.join(shared, "frag", "left_anti").where("strand_1 <> strand_2")
+    # rows of a fragment lie together after the join, so the test for a shared gene needs no second one
+    shared = F.max(F.col("gene_1") == F.col("gene_2")).over(Window.partitionBy("frag"))
+    out = pairs.withColumn("_shared", shared).where("not _shared and strand_1 <> strand_2").drop("_shared")
     out = out.withColumn("g_lo", pair_low("gene_1", "gene_2")).withColumn("g_hi", pair_high("gene_1", "gene_2"))
     if homologs is not None:
         out = out.join(homologs.select("g_lo", "g_hi"), ["g_lo", "g_hi"], "left_anti")
@@ -39,14 +40,14 @@ def pair_discovery(passing: DataFrame) -> DataFrame:
     """g_lo, g_hi, n: fragments that support a pair at a position not seen before (A1).
 
     A fragment counts once for a pair, and only if the first of its combinations for that pair is also the first of all
-    combinations with its position key, in order of (frag, ord_1, ord_2). Both firsts are minima, so hot keys combine
-    before the shuffle.
+    combinations with its position key, in order of (frag, ord_1, ord_2). So each key gives at most one count: its first
+    combination's, if that is also the first of its fragment and pair. The first of a key is a minimum, which combines
+    before the shuffle however often a key occurs.
     """
-    rank = F.struct("frag", "ord_1", "ord_2")
-    first_of_pair = passing.groupBy("frag", "g_lo", "g_hi").agg(F.min(F.struct("ord_1", "ord_2", "z")).alias("m"))
-    first_of_pair = first_of_pair.select("g_lo", "g_hi", F.col("m.z").alias("z"), F.struct("frag", F.col("m.ord_1").alias("ord_1"), F.col("m.ord_2").alias("ord_2")).alias("rank"))
-    first_of_key = passing.groupBy("z").agg(F.min(rank).alias("rank"))
-    return first_of_pair.join(first_of_key, ["z", "rank"], "left_semi").groupBy("g_lo", "g_hi").agg(F.count("*").alias("n"))
+    own = Window.partitionBy("frag", "g_lo", "g_hi").orderBy("ord_1", "ord_2", "z")
+    marked = passing.withColumn("_later", (F.row_number().over(own) > 1).cast("int"))
+    first = marked.groupBy("z").agg(F.min(F.struct("frag", "ord_1", "ord_2", "_later", "g_lo", "g_hi")).alias("m"))
+    return first.where("m._later = 0").groupBy(F.col("m.g_lo").alias("g_lo"), F.col("m.g_hi").alias("g_hi")).agg(F.count("*").alias("n"))
 
 
 def pair_reads(passing: DataFrame) -> DataFrame:
