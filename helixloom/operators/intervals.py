@@ -37,7 +37,8 @@ def adjacent_genes(genes: DataFrame) -> DataFrame:
 
     In order of (start, end, gene), j follows i without a blocker when start_j <= the least end of the genes that start
     after end_i. That limit is a suffix minimum over starts; the genes up to it are a run of ranks after i's own, so the
-    partners are found by an equality of ranks. Both numbers come from windows that merge genes and questions.
+    partners are found by an equality of ranks. Both numbers come from windows that merge genes and questions; they run
+    from the far end, since frames that grow backwards are computed in one pass and shrinking ones are not.
     """
     key = Window.partitionBy("chrom", "strand")
     ranked = genes.select("chrom", "strand", "gene", "start", "end", F.row_number().over(key.orderBy("start", "end", "gene")).alias("rank"))
@@ -48,7 +49,7 @@ def adjacent_genes(genes: DataFrame) -> DataFrame:
         both = points.unionByName(asks).withColumn(name, answer.over(frame))
         return both.where("of is not null").select("chrom", "strand", F.col("of").alias("rank"), name)
 
-    limits = asked("end", ranked, F.min("its_end"), key.orderBy("at").rangeBetween(1, Window.unboundedFollowing), "limit")
+    limits = asked("end", ranked, F.min("its_end"), key.orderBy(-F.col("at")).rangeBetween(Window.unboundedPreceding, -1), "limit")
     last = genes.groupBy("chrom", "strand").agg(F.max("start").alias("last"))
     limits = limits.join(last, ["chrom", "strand"]).withColumn("limit", F.coalesce("limit", "last"))
     upto = asked("limit", limits, F.count("its_end"), key.orderBy("at").rangeBetween(Window.unboundedPreceding, 0), "upto")
@@ -89,7 +90,7 @@ def enlarge_genes(genes: DataFrame, chroms: DataFrame, size: int = 5000) -> Data
     """
     order = Window.partitionBy("chrom").orderBy("start", "end", "gene")
     left_end = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    right_start = F.min("start").over(Window.partitionBy("chrom").orderBy("start").rangeBetween(1, Window.unboundedFollowing))
+    right_start = F.min("start").over(Window.partitionBy("chrom").orderBy(-F.col("start")).rangeBetween(Window.unboundedPreceding, -1))
     gaps = genes.withColumn("_l", left_end).withColumn("_r", right_start).join(chroms, "chrom")
     free_left = F.when(F.col("_l").isNull(), F.col("start") - 1).otherwise(F.floor((F.col("start") - F.col("_l") - 1) / 2))
     free_right = F.when(F.col("_r").isNull(), F.col("length") - F.col("end")).otherwise(F.floor((F.col("_r") - F.col("end") - 1) / 2))
