@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 
 def windowed_counts(events: DataFrame, time_col: str, keys: list[str], width: str = "10 minutes", late: str = "10 minutes") -> DataFrame:
-    """Counts per tumbling window and key; on a stream, events later than ``late`` are dropped."""
-    rows = events.withWatermark(time_col, late) if events.isStreaming else events
-    return rows.groupBy(F.window(time_col, width).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), *keys, "n")
+    """Counts per tumbling window and key; on a stream, events later than ``late`` are dropped.
+
+    Watermarks need times with a zone; those without are read in the session's zone and given back as they came.
+    """
+    kind = dict(events.dtypes)[time_col]
+    rows = events.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, late) if events.isStreaming else events
+    counts = rows.groupBy(F.window(time_col, width).alias("w"), *keys).agg(F.count("*").alias("n"))
+    return counts.select(F.col("w.start").cast(kind).alias("window_start"), *keys, "n")
 
 
 def streaming_pair_support(alignments: DataFrame) -> DataFrame:
