@@ -313,7 +313,7 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     """
     spark = docs.sparkSession
     store = SharedTables(spark, "lm")
-    plain = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(True)).alias("held_out"), F.col(text_col).alias("text"))
+    plain = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(held_out, F.lit(True)).alias("held_out"), F.col(text_col).alias("text"))
     train = plain.where("not held_out").select("text")
     chars = train.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
     parts = 1 << max(0, math.ceil(math.log2(max(1, chars / 6 / PART_TOKENS))))
