@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -212,11 +213,13 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit bytes, as the tokenizer file's own library gives them.
 
     Byte-level files whose ids follow the order of their merges are encoded by the faster rank-based library, which gives
-    the same ids; special tokens are cut out of the text first, as the file asks. Other files go to their library.
+    the same ids; special tokens are cut out of the text first, as the file asks. Other files go to their library, and so
+    do texts on which the faster one fails (runs of a million white-space characters and more).
     """
 
     def __init__(self, spec: str):
         told = json.loads(spec)
+        self.spec, self.ranked = spec, None
         self.special = {x["content"]: x["id"] for x in told["added_tokens"]}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         vocab, merges = told["model"]["vocab"], told["model"]["merges"]
@@ -225,13 +228,22 @@ class Encoder:
         if told.get("normalizer") is None and step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space") and all(vocab[p] == 256 + i for i, p in enumerate(pairs)):
             byte = {c: b for b, c in enumerate(byte_characters())}
             ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in self.special}
-            ranked = tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
-            self._plain = lambda text: ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
-        else:
-            library = Tokenizer.from_str(spec)
-            library.no_truncation()
-            library.no_padding()
-            self._plain = lambda text: np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            self.ranked = tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        library = Tokenizer.from_str(self.spec)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
+    def _plain(self, text: str) -> bytes:
+        if self.ranked is not None:
+            try:
+                return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+            except ValueError:  # the pattern's stack ends at a run of a million white-space characters
+                pass
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.cut is None or "<" not in text:

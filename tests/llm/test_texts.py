@@ -108,6 +108,17 @@ def test_packing(docs, texts):
     assert bin_packing.pack_documents(docs.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("run", [" " * 1_000_010, "\n" * 1_100_000, " \n" * 600_000])
+def test_packing_of_very_long_white_space(run):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), bin_packing.Encoder(open(path, encoding="utf-8").read())
+    for text in (run, f"one{run}two é", f"a<|endoftext|>{run}b"):
+        ids = np.frombuffer(encoder.encode(text), "<u4")
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_bin_completion_beats_best_fit():
     assert len(bin_packing.pack([6, 5, 5, 4, 4, 3, 3], 10)) == 3
     assert len(bin_packing.pack([44, 24, 24, 22, 21, 17, 8, 8, 6, 6], 61)) == 3 and len(bin_packing.best_fit([44, 24, 24, 22, 21, 17, 8, 8, 6, 6], 61)) >= 3
