@@ -174,6 +174,17 @@ def symbol_resolve(spark, sf):
     return annot.resolve_symbols(wanted, *tables)
 
 
+@query("""WITH k AS (SELECT p_partkey AS k, upper(p_name || ' ' || CAST(p_partkey // 50 AS VARCHAR)) AS sym FROM part), direct AS (SELECT DISTINCT sym, 'P' || CAST(k AS VARCHAR) AS gene FROM k WHERE k % 2 = 0), syn AS (SELECT DISTINCT sym, 'Q' || CAST(k AS VARCHAR) AS gene FROM k WHERE k % 2 <> 0),
+t AS (SELECT * FROM direct UNION SELECT * FROM syn WHERE sym NOT IN (SELECT sym FROM direct)), w AS (SELECT DISTINCT a.sym AS s1, b.sym AS s2 FROM k a JOIN k b ON b.k = a.k + 1 WHERE a.sym <> b.sym)
+SELECT DISTINCT least(x.gene, y.gene) AS g_lo, greatest(x.gene, y.gene) AS g_hi FROM w JOIN t x ON w.s1 = x.sym JOIN t y ON w.s2 = y.sym WHERE x.gene <> y.gene""")
+def symbol_resolve_whole(spark, sf):
+    """Every row of part in one of the two tables: even keys as symbols, odd ones as synonyms; a symbol is a name with the fifty of its key."""
+    p = A.table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", F.floor(F.col("p_partkey") / 50).cast("string")).alias("symbol"))
+    wanted = p.toDF("p_partkey", "symbol_1").join(p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("symbol").alias("symbol_2")), "p_partkey")
+    tables = [p.where(F.col("p_partkey") % 2 == i).select(F.concat(F.lit(c), F.col("p_partkey").cast("string")).alias("gene"), "symbol") for i, c in ((0, "P"), (1, "Q"))]
+    return annot.resolve_symbols(wanted, *tables)
+
+
 @query("""WITH d AS (SELECT DISTINCT 'P' || CAST(p_partkey AS VARCHAR) AS gene, trim(p_name) || CASE WHEN p_partkey % 50 < 2 THEN '' ELSE CAST(p_partkey AS VARCHAR) END AS name, p_partkey % 50 = 0 AS pseudo FROM part),
 g AS (SELECT * FROM d WHERE name IN (SELECT name FROM d WHERE pseudo)), p AS (SELECT DISTINCT a.gene AS g_lo, b.gene AS g_hi FROM g a JOIN g b ON a.name = b.name AND a.gene < b.gene),
 par AS (SELECT DISTINCT least('P' || CAST(p_partkey AS VARCHAR), 'P' || CAST(p_partkey + 25 AS VARCHAR)) AS g_lo, greatest('P' || CAST(p_partkey AS VARCHAR), 'P' || CAST(p_partkey + 25 AS VARCHAR)) AS g_hi FROM part WHERE p_partkey % 25 = 0),

@@ -50,3 +50,18 @@ def test_wiggle_against_sequential_rule(spark, sf):
             bucket.append(r)
             want.add(r.ord)
     assert {r.ord for r in catalog.QUERIES["wiggle_filter"](spark, sf).collect()} == want
+
+
+def test_symbol_resolve_takes_every_part(spark, sf):
+    rows = spark.read.parquet(f"{sf}/part.parquet").collect()
+    symbol = {r.p_partkey: f"{r.p_name} {r.p_partkey // 50}".upper() for r in rows}
+    tables = {}, {}
+    for k, s in symbol.items():
+        tables[k % 2].setdefault(s, set()).add(f"{'PQ'[k % 2]}{k}")
+    ids = lambda s: tables[0].get(s) or tables[1][s]
+    want = {tuple(sorted((a, b))) for k, s in symbol.items() if symbol.get(k + 1, s) != s for a in ids(s) for b in ids(symbol[k + 1])}
+    got = [tuple(r) for r in catalog.QUERIES["symbol_resolve_whole"](spark, sf).select("g_lo", "g_hi").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    hidden = {g for s, genes in tables[1].items() if s in tables[0] for g in genes}
+    paired = {k for k, s in symbol.items() if any(symbol.get(k + d, s) != s for d in (-1, 1))}
+    assert {f"{'PQ'[k % 2]}{k}" for k in paired} - hidden <= {g for pair in got for g in pair}
