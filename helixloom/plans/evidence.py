@@ -191,6 +191,36 @@ def gene_gene_junctions(spark, sf):
     return junctions.gene_gene_junctions(_exon_pairs(spark).where("g_lo <> g_hi"), _exons(spark, sf).groupBy("gene").agg(F.min("seq").alias("seq")))
 
 
+def _all_exon_pairs(spark, sf):
+    """Each gene with itself and with the next one; a pair whose second gene has no exons finds no partner in the joins."""
+    n = _exons(spark, sf).select(F.substring("gene", 2, 99).cast("bigint").alias("n")).distinct()
+    return n.withColumn("d", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.concat(F.lit("K"), F.col("n").cast("string")).alias("g_lo"), F.concat(F.lit("K"), (F.col("n") + F.col("d")).cast("string")).alias("g_hi"))
+
+
+ALL_GENES = "(SELECT DISTINCT CAST(substr(gene, 2) AS BIGINT) AS i FROM x) t"
+ALL_JUNCTIONS = JUNCTIONS.replace("range(0, 60) t(i)", ALL_GENES)
+
+
+@query(f"WITH {ALL_JUNCTIONS} SELECT * FROM j")
+def exon_exon_junctions_whole(spark, sf):
+    return junctions.exon_exon_junctions(_all_exon_pairs(spark, sf), _exons(spark, sf), 8)
+
+
+@query(f"WITH {ALL_JUNCTIONS} SELECT gene_1, gene_2, seq, min(id) AS id, coalesce(array_to_string(list_sort(list(DISTINCT id))[2:], '|'), '') AS others FROM j GROUP BY gene_1, gene_2, seq")
+def unique_junction_sequences_whole(spark, sf):
+    return junctions.unique_sequences(exon_exon_junctions_whole(spark, sf)).select("gene_1", "gene_2", "seq", "id", "others")
+
+
+@query(f"WITH {ALL_JUNCTIONS}, f AS (SELECT id, gene_1, gene_2, min(id) OVER (PARTITION BY gene_1, gene_2, seq) AS f FROM j) SELECT id, gene_1, gene_2, CAST(dense_rank() OVER (PARTITION BY gene_1, gene_2 ORDER BY f) - 1 AS INTEGER) AS index FROM f")
+def junction_sequence_index_whole(spark, sf):
+    return junctions.sequence_index(exon_exon_junctions_whole(spark, sf))
+
+
+@query(f"WITH {EXONS}, g AS (SELECT gene, min(seq) AS seq FROM x GROUP BY gene), pr AS (SELECT 'K' || i AS a, 'K' || (i + 1) AS b FROM {ALL_GENES}), o AS (SELECT a, b FROM pr UNION ALL SELECT b, a FROM pr) SELECT a || '|' || b || '|' || length(p.seq) AS id, p.seq || q.seq AS seq FROM o JOIN g p ON a = p.gene JOIN g q ON b = q.gene")
+def gene_gene_junctions_whole(spark, sf):
+    return junctions.gene_gene_junctions(_all_exon_pairs(spark, sf).where("g_lo <> g_hi"), _exons(spark, sf).groupBy("gene").agg(F.min("seq").alias("seq")))
+
+
 @query(f"WITH {EXONS} SELECT transcript, gene, string_agg(seq, '' ORDER BY rank, exon) AS seq, string_agg(exon, ',' ORDER BY rank, exon) AS exons FROM x GROUP BY transcript, gene HAVING length(string_agg(seq, '')) > 60")
 def transcript_sequences(spark, sf):
     x = _exons(spark, sf)

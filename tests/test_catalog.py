@@ -65,3 +65,31 @@ def test_symbol_resolve_takes_every_part(spark, sf):
     hidden = {g for s, genes in tables[1].items() if s in tables[0] for g in genes}
     paired = {k for k, s in symbol.items() if any(symbol.get(k + d, s) != s for d in (-1, 1))}
     assert {f"{'PQ'[k % 2]}{k}" for k in paired} - hidden <= {g for pair in got for g in pair}
+
+
+def test_junctions_take_every_gene(spark, tmp_path):
+    rows = [(k, f"{'abcdefghijklmnop'[k % 13:]} {k % 7}", 1 + k % 5) for k in range(1000)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    exons = {}
+    for k, name, size in rows:
+        seq = "".join("ACGTACGTACGTACGTACGTACGTACN"["abcdefghijklmnopqrstuvwxyz ".index(c)] if c.islower() or c == " " else c for c in name + "a" * size)
+        exons.setdefault(k % 200, []).append((f"T{k % 400}", k // 400, f"R{k}/{1 + k % 2}", seq))
+    want, firsts, genes = [], [], {n: min(e[3] for e in x) for n, x in exons.items()}
+    for n in range(200):
+        for m in {n - 1, n, n + 1} & set(exons):
+            for a in exons[n]:
+                for b in exons[m]:
+                    if n != m or a[0] < b[0] or (a[0] == b[0] and a[1] < b[1]):
+                        left, right = a[3][-8:], b[3][:8]
+                        want.append((f"K{n}", f"K{m}", f"K{n}-K{m};{a[0]}-{b[0]};{a[2]}-{b[2]};rank_exon={a[1]}-{b[1]};length={len(left + right)};junction={len(left)}", left + right))
+            if n != m:
+                firsts.append((f"K{n}|K{m}|{len(genes[n])}", genes[n] + genes[m]))
+    run = lambda name, *cols: sorted(tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).select(*cols).collect())
+    assert run("exon_exon_junctions_whole", "gene_1", "gene_2", "id", "seq") == sorted(want)
+    assert {x[0] for x in want} == {f"K{n}" for n in range(200)}
+    same = {}
+    for a, b, i, seq in sorted(want):
+        same.setdefault((a, b), {}).setdefault(seq, []).append(i)
+    assert run("unique_junction_sequences_whole", "gene_1", "gene_2", "seq", "id", "others") == sorted((*p, seq, ids[0], "|".join(ids[1:])) for p, by in same.items() for seq, ids in by.items())
+    assert run("junction_sequence_index_whole", "gene_1", "gene_2", "id", "index") == sorted((*p, i, k) for p, by in same.items() for k, ids in enumerate(sorted(by.values())) for i in ids)
+    assert run("gene_gene_junctions_whole", "id", "seq") == sorted(firsts)
