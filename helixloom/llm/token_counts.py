@@ -75,14 +75,16 @@ class Automaton:
 
 
 def word_pieces(spec: str) -> set[bytes]:
-    """Byte pieces of a byte-level vocabulary: initial ones keep their space, pieces with other white space are left out."""
+    """Byte pieces of a byte-level vocabulary: initial ones keep their space, pieces with other white space are left out.
+
+    The space alone is an initial piece too: a word for which no longer one fits is cut into it and continuing pieces."""
     byte = {c: b for b, c in enumerate(byte_characters())}
     special = {x["content"] for x in json.loads(spec)["added_tokens"]}
     out = set()
     for token in json.loads(spec)["model"]["vocab"]:
         if token not in special:
             piece = bytes(byte[c] for c in token)
-            if len(piece[1:].split()) <= 1 and not any(b in b"\x20\t\n\x0b\x0c\r" for b in piece[1:]) and piece[:1] not in (b"\t", b"\n", b"\x0b", b"\x0c", b"\r") and piece != b" ":
+            if len(piece[1:].split()) <= 1 and not any(b in b"\x20\t\n\x0b\x0c\r" for b in piece[1:]) and piece[:1] not in (b"\t", b"\n", b"\x0b", b"\x0c", b"\r"):
                 out.add(piece)
     return out
 
@@ -113,9 +115,9 @@ def _counter(spec):
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id_col>, n_words, n_tokens, n_unknown`` of each whole text.
 
-    Words are runs of bytes other than ASCII white space; one that can't be cut into pieces counts as one unknown token.
-    Null and empty texts have zeros. Row by row: repeated rows, null ids and very long texts need no special case; an
-    empty table gives an empty result and other columns are not read.
+    Words are runs of bytes other than ASCII white space; one that can't be cut into pieces counts as one unknown token
+    (none with a vocabulary of all bytes and the space). Null and empty texts have zeros. Row by row: repeated rows, null
+    ids and very long texts need no special case; an empty table gives an empty result and other columns are not read.
     """
     with open(path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())  # a tokenizer file, megabytes

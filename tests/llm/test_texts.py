@@ -77,6 +77,27 @@ def test_token_counts_equal_greedy(docs, texts):
     assert Counter(tuple(r) for r in token_counts.token_counts(docs, path).collect()) == want
 
 
+def test_token_counts_cut_every_word(spark):
+    import json
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    told = json.load(open(path, encoding="utf-8"))
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    pieces = {bytes(byte[c] for c in t) for t in set(told["model"]["vocab"]) - {x["content"] for x in told["added_tokens"]}}
+
+    def greedy(word):
+        at, n = 0, 0
+        while at < len(word):
+            at, n = next(e for e in range(len(word), at, -1) if word[at:e] in pieces), n + 1
+        return n
+
+    texts = ["яблоко шкаф этот", "世界 日本語 人工知能は世界を変える技術である", "สวัสดี ภาษาไทย", "plain words", *(chr(c) for c in range(33, 0x3000, 37))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = {i: (len(ws), sum(greedy(b" " + w) for w in ws), 0) for i, ws in enumerate(t.encode().split() for t in texts)}
+    assert {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in token_counts.token_counts(rows, path).collect()} == want
+
+
 def test_automaton_with_missing_pieces():
     pieces = {b" a", b" ab", b" abcd", b"b", b"bc", b"c", b"cde", b"x"}
     automaton = token_counts.Automaton(pieces)
