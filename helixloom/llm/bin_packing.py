@@ -8,7 +8,9 @@ Within a shard, equal lengths are interchangeable, so the search runs over a his
 piece opens a bin, its fillings are enumerated by rising waste, dominated ones (an available larger piece could replace
 one or two of the filling's) are skipped, and a branch ends when its waste exceeds what a solution better than the
 incumbent may waste. Best-fit decreasing gives the first incumbent. A filling without waste is applied as often as
-its lengths last. The search stops at the lower bound or after ``NODES`` nodes and returns the incumbent.
+its lengths last. A first round tries ``BRANCHES`` fillings a bin and ``FILL_NODES`` nodes for those of one sum; a round
+that left something out and found nothing is followed by one of four times the width. So the search ends at the lower
+bound, when nothing is left to try, or after ``NODES`` nodes, and returns the incumbent.
 """
 
 from __future__ import annotations
@@ -61,10 +63,15 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 class Budget:
-    """Search nodes left."""
+    """Search nodes left, and how wide the present round searches: fillings tried for a bin, nodes for those of one sum.
+    ``cut`` tells that the round left something out."""
 
-    def __init__(self, nodes: int):
+    def __init__(self, nodes: int, width: int = 1):
         self.left = nodes
+        self.round(width)
+
+    def round(self, width: int) -> None:
+        self.branches, self.fill, self.cut = BRANCHES * width, FILL_NODES * width, False
 
 
 def reachable(counts: list[int], mask: int, room: int) -> int:
@@ -93,11 +100,12 @@ def fillings(counts: list[int], mask: int, room: int, waste: int, budget: Budget
         below = sums & ((1 << target) - 1)
         target = below.bit_length() - 1
         if budget.left <= 0:
+            budget.cut = True
             return
 
 
 def _exactly(counts: list[int], mask: int, target: int, spare: int, budget: Budget) -> Iterator[tuple[int, ...]]:
-    stack, chosen, nodes = [(target, target)], [], 0
+    stack, chosen, nodes, most = [(target, target)], [], 0, min(budget.fill, budget.left)
     while stack:  # depth first: at each depth the next smaller available size is tried
         left, top = stack.pop()
         back = True
@@ -110,14 +118,15 @@ def _exactly(counts: list[int], mask: int, target: int, spare: int, budget: Budg
             s = low.bit_length() - 1
             while s > 0 and chosen.count(s) >= counts[s]:
                 s = (low & ((1 << s) - 1)).bit_length() - 1
-            if s > 0 and nodes <= FILL_NODES:
+            if s > 0 and nodes <= most:
                 back = False
                 stack.append((left, s - 1))
                 chosen.append(s)
                 stack.append((left - s, s))
         if back and chosen and stack:
             chosen.pop()
-        if nodes > FILL_NODES:
+        if nodes > most:
+            budget.cut = True
             break
     budget.left -= nodes
 
@@ -163,8 +172,9 @@ def complete(sizes: list[int], capacity: int, bins: int, budget: Budget) -> list
         if len(options) == len(path):
             top = mask.bit_length() - 1
             use((top,), 1, 1)
-            found = islice(fillings(counts, mask, capacity - top, min(slack, capacity), budget), BRANCHES)
-            options.append(iter([(top, *f) for f in found]))
+            found = list(islice(fillings(counts, mask, capacity - top, min(slack, capacity), budget), budget.branches + 1))
+            budget.cut |= len(found) > budget.branches
+            options.append(iter([(top, *f) for f in found[: budget.branches]]))
             use((top,), 1, -1)
         bin_ = next(options[-1], None)
         if bin_ is not None:
@@ -200,12 +210,16 @@ def pack(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list
     """Bins of sizes, as few as the search finds."""
     if not sizes:
         return []
-    best, budget, bound = best_fit(sizes, capacity), Budget(nodes), lower_bound(sizes, capacity)
+    best, budget, bound, width = best_fit(sizes, capacity), Budget(nodes), lower_bound(sizes, capacity), 1
     while len(best) > bound and budget.left > 0:
         better = complete(sizes, capacity, len(best) - 1, budget)
-        if better is None:
+        if better is not None:
+            best = better
+        elif budget.cut:
+            width *= 4
+        else:
             break
-        best = better
+        budget.round(width)
     return best
 
 

@@ -152,6 +152,13 @@ def test_bin_completion_beats_best_fit():
     assert bin_packing.pack([]) == []
 
 
+def test_bin_completion_goes_on_beyond_its_first_round():
+    sizes = [47, 14, 44, 45, 56, 25, 34, 54, 55, 50, 50, 43, 17, 51, 32, 38, 32, 33, 43, 29, 48, 52, 34, 40, 44, 20]
+    bins = bin_packing.pack(sizes, 115)
+    assert sorted(sum(bins, [])) == sorted(sizes) and all(sum(b) <= 115 for b in bins)
+    assert len(bins) == bin_packing.lower_bound(sizes, 115) == 9 < len(bin_packing.best_fit(sizes, 115))
+
+
 def test_fingerprints(docs, texts):
     known = sorted({i for i, _ in texts if i is not None})
     first = {i: min(t or "" for j, t in texts if j == i) for i in known}
