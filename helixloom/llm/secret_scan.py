@@ -45,8 +45,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Spans of key-like strings that touch no base span."""
-    return [m.span() for m in _CANDIDATE.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e in taken)]
+    """Spans of at least LEAST key-like characters outside the base spans: of a string that these touch, what is left."""
+    found = []
+    for m in _CANDIDATE.finditer(text):
+        at, end = m.span()
+        for s, _, e in taken:
+            if s < end and at < e:
+                found.append((at, s))
+                at = e
+        found.append((at, end))
+    return [(s, e) for s, e in found if e - s >= LEAST]
 
 
 class Markov:
