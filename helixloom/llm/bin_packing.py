@@ -1,7 +1,8 @@
 """Packing token sequences into bins of fixed capacity by bin completion.
 
-Texts become token pieces in one pass. Pieces are dealt by hash into shards of about ``SHARD_PIECES``; each shard is packed by itself, so a task
-holds a bounded number of (id, length) rows whatever the corpus, and each shard wastes less than one bin when packed
+Texts become token pieces in one pass, whose rows (numbers only) are stored. A piece of full length is a sequence of its own
+and isn't moved. The others are dealt by hash into shards of about ``SHARD_PIECES`` pieces; each shard is packed by itself,
+so a task holds a bounded number of rows whatever the corpus, and each shard wastes less than one bin when packed
 optimally, one in several thousand.
 
 Within a shard, equal lengths are interchangeable, so the search runs over a histogram of lengths: the largest remaining
@@ -9,16 +10,19 @@ piece opens a bin, its fillings are enumerated by rising waste, dominated ones (
 one or two of the filling's) are skipped, and a branch ends when its waste exceeds what a solution better than the
 incumbent may waste. Best-fit decreasing gives the first incumbent. A filling without waste is applied as often as
 its lengths last. A first round tries ``BRANCHES`` fillings a bin and ``FILL_NODES`` nodes for those of one sum; a round
-that left something out and found nothing is followed by one of four times the width. So the search ends at the lower
-bound, when nothing is left to try, or after ``NODES`` nodes, and returns the incumbent.
+that left something out and found nothing is followed by one of four times the width. This ends at the lower bound, when
+nothing is left to try, or after ``NODES`` nodes. An incumbent above the bound is then improved in parts: a few of its bins,
+the emptiest among them, are completed anew, largest piece first and each by its fullest filling, and the new bins are
+taken if they gather the free room in fewer bins. After ``REPAIRS`` such moves the incumbent is the result.
 """
 
 from __future__ import annotations
 
 import json
+import random
 import zlib
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 from itertools import islice
 
 import numpy as np
@@ -30,12 +34,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from helixloom.llm.bpe_codec import byte_characters
+from helixloom.llm.shared import SharedTables
 
 CAPACITY = 1024
 SHARD_PIECES = 16_384
 NODES = 200_000
 FILL_NODES = 300
 BRANCHES = 4
+REPAIRS = 3000
+POOL = 16
 #: How byte-level vocabularies of this family pick words from text (fixed value).
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -206,7 +213,53 @@ def lower_bound(sizes: list[int], capacity: int) -> int:
     return best
 
 
-def pack(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list[list[int]]:
+def refill(items: list[int], capacity: int) -> list[list[int]]:
+    """Bins opened by the largest item left and filled as full as the others allow, by large ones first."""
+    out, items = [], sorted(items, reverse=True)
+    while items:
+        top, *items = items
+        room = capacity - top
+        keep, fits = (1 << (room + 1)) - 1, [i for i, s in enumerate(items) if s <= room]
+        sums = [1]  # bit t of entry k: some of the last k that fit sum to t
+        for i in reversed(fits):
+            sums.append(sums[-1] | sums[-1] << items[i] & keep)
+        left, chosen = sums[-1].bit_length() - 1, set()
+        for k, i in enumerate(fits, 2):
+            if not left:
+                break
+            if items[i] <= left and sums[-k] >> (left - items[i]) & 1:
+                chosen.add(i)
+                left -= items[i]
+        out.append([top, *(items[i] for i in chosen)])
+        items = [s for i, s in enumerate(items) if i not in chosen]
+    return out
+
+
+def repaired(bins: list[list[int]], capacity: int, bound: int, moves: int = REPAIRS, pool: int = POOL, seed: int = 1) -> list[list[int]]:
+    """The packing after ``moves`` completions of ``pool`` of its bins, each taken unless it spreads the free room."""
+    rng = random.Random(seed)
+    bins, free = [list(b) for b in bins], [capacity - sum(b) for b in bins]
+    for _ in range(moves):
+        if len(bins) <= bound or len(bins) < 3:
+            break
+        open_ = [i for i, f in enumerate(free) if f]
+        picked = {max(open_, key=free.__getitem__), *rng.sample(open_, min(len(open_), pool // 2))}
+        while len(picked) < min(pool, len(bins)):
+            picked.add(rng.randrange(len(bins)))
+        at = sorted(picked)
+        new = refill([s for i in at for s in bins[i]], capacity)
+        new += [[]] * (len(at) - len(new))
+        if len(new) > len(at) or sum((capacity - sum(b)) ** 2 for b in new) < sum(free[i] ** 2 for i in at):
+            continue
+        for i, b in zip(at, new, strict=True):
+            bins[i], free[i] = b, capacity - sum(b)
+        if not all(new):
+            bins = [b for b in bins if b]
+            free = [capacity - sum(b) for b in bins]
+    return bins
+
+
+def pack(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES, moves: int = REPAIRS) -> list[list[int]]:
     """Bins of sizes, as few as the search finds."""
     if not sizes:
         return []
@@ -220,7 +273,7 @@ def pack(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list
         else:
             break
         budget.round(width)
-    return best
+    return repaired(best, capacity, bound, moves) if budget.left <= 0 else best
 
 
 class Encoder:
@@ -266,9 +319,15 @@ class Encoder:
         return b"".join([np.array([self.special[p]], "<u4").tobytes() if i % 2 else self._plain(p) for i, p in enumerate(parts)])
 
 
+@lru_cache(1)
+def encoder_of(spec: str) -> Encoder:
+    """One encoder a worker, whatever the number of its tasks."""
+    return Encoder(spec)
+
+
 def _pieces(spec, end: int, capacity: int):
     def run(batches):
-        encoder, tail, full = Encoder(spec.value), np.array([end], "<u4").tobytes(), 4 * capacity
+        encoder, tail, full = encoder_of(spec.value), np.array([end], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for i, x in enumerate(batch.column(1)):
@@ -279,7 +338,7 @@ def _pieces(spec, end: int, capacity: int):
                     stop = first + k * full
                     row.append(i), piece.append(k), start.append(at // 4), length.append((stop - at) // 4), crc.append(zlib.crc32(ids[at:stop]))
                     at = stop
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *(pa.array(c, pa.int64()) for c in (piece, start, length, crc))], names=["id", "piece", "start", "length", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(c, pa.int64()) for c in (start, length, crc))], names=["id", "piece", "start", "length", "ids_crc32"])
 
     return run
 
@@ -294,15 +353,13 @@ def _placed(capacity: int):
         for i in range(len(length) - 1, -1, -1):
             wait.setdefault(int(length[i]), []).append(i)
         sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-        whole = wait.pop(capacity, [])
-        bins = pack([int(x) for x in length if x < capacity], capacity)
+        bins = pack(length.tolist(), capacity)
         for b, items in enumerate(bins):
             at = 0
             for s in items:
                 i = wait[s].pop()
                 sequence[i], offset[i] = b, at
                 at += s
-        sequence[whole] = np.arange(len(bins), len(bins) + len(whole))
         return table.drop_columns(["shard"]).append_column("sequence_id", pa.array(sequence + (shard << 32))).append_column("offset", pa.array(offset))
 
     return run
@@ -318,9 +375,11 @@ def pack_documents(docs: DataFrame, path: str, end: int = 2, id_col: str = "doc_
     with open(path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())  # a tokenizer file, megabytes
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col))
-    shards = max(1, -(-rows.count() // SHARD_PIECES))
-    schema = "id bigint, piece bigint, start bigint, length bigint, ids_crc32 bigint"
-    pieces = rows.mapInArrow(_pieces(spec, end, capacity), schema)
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "ids_crc32", F.lit(1)), F.lit(shards)))
-    placed = pieces.groupBy("shard").applyInArrow(_placed(capacity), f"{schema}, sequence_id bigint, offset bigint")
-    return placed.withColumnRenamed("id", id_col)
+    schema = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+    pieces = SharedTables(docs.sparkSession, "pieces").write(rows.mapInArrow(_pieces(spec, end, capacity), schema), "pieces")
+    full, short = pieces.where(F.col("length") == capacity), pieces.where(F.col("length") < capacity)
+    shards = max(1, -(-short.count() // SHARD_PIECES))
+    short = short.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "ids_crc32", F.lit(1)), F.lit(shards)))
+    placed = short.groupBy("shard").applyInArrow(_placed(capacity), f"{schema}, sequence_id bigint, offset bigint")
+    alone = full.withColumn("sequence_id", F.monotonically_increasing_id() + F.lit(1 << 62)).withColumn("offset", F.lit(0).cast("bigint"))
+    return placed.unionByName(alone).withColumnRenamed("id", id_col)

@@ -1,8 +1,11 @@
 """Byte-pair encoding and decoding with the vocabulary of a tokenizer file, merged by batched numpy rounds.
 
 The symbols of many words lie in one flat array. Each round looks all neighbouring pairs up in the sorted array of
-mergeable pairs by binary search, takes each word's pair of lowest rank at its first place, and merges it; words
-without a mergeable pair are finished. Words that occurred before are taken from a bounded memo of finished words.
+mergeable pairs by binary search, takes each word's pair of lowest rank and merges it, in all its places from the left if
+the file's ranks allow that (a pair with a made token always ranks behind the pairs that make it), else in the first;
+words without a mergeable pair are finished. Words of more than LONG_WORD symbols, for which rounds would be too many, go
+through a queue of pairs by rank and place, n log n in their length. Words that occurred before are taken from a bounded
+memo of finished words.
 
 Supports the pipeline of files of this kind: special tokens cut out of the raw text first; NFC, white space runs to one
 space, lower case; a regular expression that picks words; bytes as printable characters; BPE with a word-end suffix.
@@ -11,9 +14,11 @@ space, lower case; a regular expression that picks words; bytes as printable cha
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -23,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MEMO_WORDS = 400_000
+MEMO_CHARS = 32 << 20
+LONG_WORD = 512
 MERGE_WORDS = 20_000
 GROUP_CHARS = 4 << 20
 
@@ -62,7 +69,13 @@ class Codec:
         made = np.array([self.vocab[a + b] for a, b in merges], np.int64)
         order = np.argsort(pairs, kind="stable")
         self.size, self.pairs, self.ranks, self.made = size, pairs[order], order, made[order]
+        self.made_by_rank = made
+        latest = np.full(size, -1, np.int64)
+        np.maximum.at(latest, made, np.arange(len(made)))
+        self.ordered = bool((np.maximum(latest[pairs // size], latest[pairs % size]) < np.arange(len(made))).all())
+        self.rank_of = dict(zip(pairs.tolist(), range(len(pairs)), strict=True))
         self.memo: dict[str, tuple[bytes, str]] = {}
+        self.held = 0
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and the bounds of each word in it."""
@@ -84,9 +97,13 @@ class Codec:
             group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(sym))))
             live = best[group] < none
             out_sym.append(sym[~live]), out_word.append(word[~live])
-            # the word's lowest pair, at its first place: other places of the same pair wait for the next round
             hits = np.flatnonzero((rank == best[group[:-1]]) & (rank < none))
-            take = hits[np.concatenate(([True], group[hits[1:]] != group[hits[:-1]]))] if len(hits) else hits
+            if self.ordered:  # all places of the word's lowest pair; of places that overlap (aaa) every other one
+                begins = np.concatenate(([True], hits[1:] != hits[:-1] + 1))[: len(hits)]
+                place = np.arange(len(hits))
+                take = hits[(place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0]
+            else:  # its first place: the others wait for the next round
+                take = hits[np.concatenate(([True], group[hits[1:]] != group[hits[:-1]]))[: len(hits)]]
             sym = sym.copy()
             sym[take] = self.made[at[take]]
             keep = live.copy()
@@ -96,6 +113,37 @@ class Codec:
         order = np.argsort(word, kind="stable")
         return sym[order], np.concatenate(([0], np.cumsum(np.bincount(word, minlength=len(words)))))
 
+    def merge_long(self, word: str) -> np.ndarray:
+        """Ids of one word by a queue of (rank, place)."""
+        raw = np.frombuffer(word.encode(), np.uint8)
+        first = self.byte[raw]
+        first[-1] = self.last[raw[-1]]
+        n, size, rank_of, made = len(first), self.size, self.rank_of, self.made_by_rank.tolist()
+        sym = first.tolist()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        ranks = [rank_of.get(k) for k in (first[:-1] * size + first[1:]).tolist()]
+        queue = [r * n + i for i, r in enumerate(ranks) if r is not None]
+        heapq.heapify(queue)
+        while queue:
+            r, i = divmod(heapq.heappop(queue), n)
+            j = after[i]
+            if sym[i] < 0 or j >= n or rank_of.get(sym[i] * size + sym[j]) != r:
+                continue  # merged meanwhile
+            sym[i], sym[j] = made[r], -1
+            k = after[i] = after[j]
+            h = before[i]
+            if k < n:
+                before[k] = i
+                q = rank_of.get(sym[i] * size + sym[k])
+                if q is not None:
+                    heapq.heappush(queue, q * n + i)
+            if h >= 0:
+                q = rank_of.get(sym[h] * size + sym[i])
+                if q is not None:
+                    heapq.heappush(queue, q * n + h)
+        out = np.array(sym, np.int64)
+        return out[out >= 0]
+
     def normal(self, text: str) -> str:
         if self.nfc and not text.isascii():
             text = unicodedata.normalize("NFC", text)
@@ -119,8 +167,12 @@ class Codec:
         memo, names = self.memo, self.names
         plain = []
         for w in words:
+            self.held += len(w)
             if w in self.special:
                 memo[w] = (np.array([self.special[w]], "<u4").tobytes(), w)
+            elif len(w) > LONG_WORD:
+                ids = self.merge_long(w)
+                memo[w] = (ids.astype("<u4").tobytes(), " ".join([names[i] for i in ids.tolist()]))
             else:
                 plain.append(w)
         for lo in range(0, len(plain), MERGE_WORDS):
@@ -141,9 +193,9 @@ class Codec:
             words = [self.pieces(t) for t in texts[lo:hi]]
             distinct = set(chain.from_iterable(words))
             new = distinct.difference(memo)
-            if len(memo) + len(new) > MEMO_WORDS:
+            if len(memo) + len(new) > MEMO_WORDS or self.held > MEMO_CHARS:
                 memo.clear()
-                new = distinct
+                self.held, new = 0, distinct
             self.learn(new)
             for w in words:
                 got = [memo[x] for x in w]
@@ -156,9 +208,15 @@ class Codec:
         return " ".join([names[i] for i in ids.tolist()])
 
 
+@lru_cache(1)
+def codec_of(spec: str) -> Codec:
+    """One codec a worker, whatever the number of its tasks."""
+    return Codec(spec)
+
+
 def _digests(spec):
     def run(batches):
-        codec = Codec(spec.value)
+        codec = codec_of(spec.value)
         for batch in batches:
             n_tokens, ids_sha, text_sha = [], [], []
             for ids, names in codec.encode_all([x or "" for x in batch.column(1).to_pylist()]):
@@ -172,7 +230,7 @@ def _digests(spec):
 
 def _encoded(spec):
     def run(batches):
-        codec = Codec(spec.value)
+        codec = codec_of(spec.value)
         for batch in batches:
             ids = [np.frombuffer(b, "<u4").astype(np.int32) for b, _ in codec.encode_all([x or "" for x in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"])
@@ -182,7 +240,7 @@ def _encoded(spec):
 
 def _decoded(spec):
     def run(batches):
-        codec = Codec(spec.value)
+        codec = codec_of(spec.value)
         for batch in batches:
             texts = [None if x.as_py() is None else codec.decode(np.array(x.as_py(), np.int64)) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])

@@ -22,7 +22,6 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBED = 8
 TRAIN_DOCS = 3000
-WINDOWS_PER_DOC = 3
 UNKNOWN = "und"
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -70,7 +69,7 @@ class ByteConvNet:
             best.append(np.take_along_axis(total, at[:, None, :], 1)[:, 0])
         return best, where
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 5, batch: int = 64, rate: float = 4e-3, seed: int = 5) -> None:
+    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 3, batch: int = 128, rate: float = 4e-3, seed: int = 5) -> None:
         rng = np.random.default_rng(seed)
         share = np.bincount(y, minlength=len(self.langs)) / len(y)
         weight = 1 / np.maximum(share * len(self.langs), 1e-6)
@@ -144,14 +143,9 @@ def train(rows: list[tuple[str, str]], seed: int = 3) -> ByteConvNet | None:
         return None
     data = np.frombuffer(b"".join(t for t, _ in rows), np.uint8)
     offsets = np.concatenate(([0], np.cumsum([len(t) for t, _ in rows])))
-    x, doc, length = windows_of(data, offsets)
+    x, doc, _ = windows_of(data, offsets)
     rng = np.random.default_rng(seed)
-    rank = rng.random(len(doc)) + (length < WINDOW // 4)  # long windows first
-    order = np.lexsort((rank, doc))
-    nth = np.arange(len(doc)) - np.searchsorted(doc[order], doc[order])
-    pick = order[nth < WINDOWS_PER_DOC]
-    y = np.array([langs.index(v) for _, v in rows])[doc[pick]]
-    x = x[pick]
+    y = np.array([langs.index(v) for _, v in rows])[doc]
     # short texts are windows too: a third of the windows is cut short
     cut = np.where(rng.random(len(x)) < 1 / 3, rng.integers(8, 80, len(x)), WINDOW)
     x[np.arange(WINDOW)[None, :] >= cut[:, None]] = 0
@@ -192,7 +186,8 @@ def _predictor(model):
 
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_DOCS) -> ByteConvNet | None:
-    """Trains on at most ``most`` rows (by hash order of ids) that have a language, a text and ``learn``."""
+    """Trains on the whole texts of at most ``most`` labelled documents (by hash order of ids, one row an id, 64 million
+    characters) that have a language, a text and ``learn``. None if there is no such row; other columns are not read."""
     keep = learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
     rows = sample_rows(docs, id_col, keep, [text_col, lang_col], most, 11)
     return train([(r[1], r[2]) for r in rows])
@@ -211,7 +206,11 @@ def predict(docs: DataFrame, net: ByteConvNet | None, id_col: str = "doc_id", te
 
 
 def known_language(docs: DataFrame, net: ByteConvNet | None, text_col: str = "text", least: float = 0.4) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose language is predicted with a score of at least ``least``; ``und`` goes."""
+    """The rows of ``docs``, unchanged, whose language is predicted with a score of at least ``least``; ``und`` goes.
+
+    So null, empty and blank texts and texts without a letter go, and everything if there is no model. Rows are judged one
+    by one: repeats and null ids need no special case, other columns pass through, an empty table gives an empty one.
+    """
     model = docs.sparkSession.sparkContext.broadcast(net)
 
     def keep(batches):

@@ -6,11 +6,14 @@ bigram's hash choose a block and all its events stay there, so blocks are built
 when one word makes up much of the text, and the filter's size follows the number of distinct bigrams.
 
 The model interpolates: P(w | v) = share * c(v w) / c(v) + (1 - share) * (c(w) + a) / (N + a (V + 1)), with c(v w) from
-the filter and the unigram counts exact. Where the bigram is absent only the unigram part counts.
-
-Workers get the model by broadcast while it takes at most ``broadcast_bytes``. A larger model stays in its parts: the
-texts are stored in blocks, each block sends its distinct words and bigrams to the parts that hold them, the parts answer
-with counts, and the answers meet their block again. Blocks and parts are bounded, and all of it is linear in the input.
+the filter and the unigram counts exact (64 bits). Where the bigram is absent only the unigram part counts, in full if v
+itself was never seen. Levels round counts down, so the bigram shares of a v add up to 1 at most.
+
+Workers get the model by broadcast while all copies of it in one executor (one a Python worker) take at most
+``broadcast_bytes``. A larger model stays in its parts: the texts are stored in blocks, each block sends its distinct words
+and bigrams to the parts that hold them, the parts answer with counts, and the answers meet their block again. Blocks and
+parts are bounded, and all of it is linear in the input. The driver sees sums over the parts, never a list of them, unless
+the model is broadcast (at most MOST_PARTS parts then).
 """
 
 from __future__ import annotations
@@ -28,13 +31,14 @@ from helixloom.llm.words import mix, sub_batches, utf8, word_hashes, word_spans
 
 END = np.uint64(0xE4D0E4D0E4D0E4D1)
 START = np.uint64(0x57A257A257A257A3)
-PROBES = 4
-BITS_PER_EVENT = 8
+PROBES = 6
+BITS_PER_EVENT = 12
 BASE = 1.5
 LEVELS = np.unique(np.round(BASE ** np.arange(0, 80)).astype(np.float64))
 PART_TOKENS = 1 << 19
 FLUSH = 3 << 19
 BLOCK_BYTES = 1 << 20
+MOST_PARTS = 1 << 14
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,7 +63,7 @@ def bigram_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def block_of(grams: np.ndarray, blocks: int) -> np.ndarray:
-    return (((grams >> np.uint64(40)) * np.uint64(blocks)) >> np.uint64(24)).astype(np.int64)
+    return (((grams >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -74,6 +78,23 @@ def event_positions(grams: np.ndarray, level: int, bits: np.ndarray) -> np.ndarr
     return np.stack([((a + b * np.uint64(i)) & np.uint64(0xFFFFFFFF)) * bits >> np.uint64(32) for i in range(PROBES)])
 
 
+def runs_of(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, first, past last) of each run of equal values."""
+    if not len(sorted_values):
+        return []
+    cut = [0, *(np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1).tolist(), len(sorted_values)]
+    return [(int(sorted_values[lo]), lo, hi) for lo, hi in zip(cut, cut[1:], strict=False)]
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in four bytes each, in eight if one of them needs that."""
+    return counts.astype("<u4" if counts.max(initial=0) < 1 << 32 else "<i8").tobytes()
+
+
+def unpacked(body: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(body, "<i8" if n and len(body) == 8 * n else "<u4").astype(np.int64)
+
+
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     k, c = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(k, kind="stable")
@@ -87,11 +108,8 @@ def _gather(parts: int):
 
     def pack(kind, keys, counts):
         k, c = _merged(keys, counts)
-        part = block_of(k, parts)
-        cut = np.searchsorted(part, np.arange(parts + 1))
-        for p in np.flatnonzero(cut[1:] > cut[:-1]):
-            lo, hi = cut[p], cut[p + 1]
-            yield kind, int(p), k[lo:hi].tobytes(), c[lo:hi].astype(np.uint32).tobytes()
+        for p, lo, hi in runs_of(block_of(k, parts)):
+            yield kind, p, k[lo:hi].tobytes(), packed(c[lo:hi])
 
     def gather(batches):
         held = {0: ([], []), 1: ([], [])}
@@ -121,7 +139,7 @@ def _gather(parts: int):
 
 def _combine(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
-    counts = [np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column("counts").to_pylist()]
+    counts = [unpacked(x, len(k)) for x, k in zip(table.column("counts").to_pylist(), keys, strict=True)]
     return _merged(keys, counts)
 
 
@@ -130,7 +148,7 @@ def _finish(table: pa.Table) -> pa.Table:
     kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
     keys, counts = _combine(table)
     if kind == 0:
-        body, extra, total, size = keys.tobytes(), counts.astype(np.uint32).tobytes(), int(counts.sum()), len(keys)
+        body, extra, total, size = keys.tobytes(), packed(counts), int(counts.sum()), len(keys)
     else:
         levels = level_of(counts)
         bits = max(64, int(levels.sum()) * BITS_PER_EVENT + 63 & ~63)
@@ -181,8 +199,9 @@ class Model:
     def sums(self, bounds, c, before, pair) -> list[np.ndarray]:
         """Per document: tokens, known tokens, base score and score, from each token's count, its predecessor's and their pair's."""
         p1 = (c + self.alpha) / (self.total + self.alpha * (self.distinct + 1))
-        p2 = np.where(before > 0, np.minimum(pair / np.maximum(before, 1), 1.0), 0.0)
-        per_token = (np.ones(len(c), np.int64), (c > 0).astype(np.int64), np.log10(p1), np.log10(self.share * p2 + (1 - self.share) * p1))
+        p2 = np.minimum(pair / np.maximum(before, 1), 1.0)
+        both = np.where(before > 0, self.share * p2 + (1 - self.share) * p1, p1)
+        per_token = (np.ones(len(c), np.int64), (c > 0).astype(np.int64), np.log10(p1), np.log10(both))
         return [np.add.reduceat(x, bounds[:-1]) for x in per_token]
 
 
@@ -235,8 +254,7 @@ def _probes(parts: int):
                 _, words, _, _, grams, _ = _distinct(*utf8(texts.values))
                 rows = []
                 for kind, keys in ((0, words), (1, grams)):
-                    cut = np.searchsorted(block_of(keys, parts), np.arange(parts + 1))
-                    rows += [(kind, int(p), block, keys[cut[p] : cut[p + 1]].tobytes()) for p in np.flatnonzero(cut[1:] > cut[:-1])]
+                    rows += [(kind, p, block, keys[lo:hi].tobytes()) for p, lo, hi in runs_of(block_of(keys, parts))]
                 kinds, ps, blocks, keys = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(ps, pa.int32()), pa.array(blocks), pa.array(keys, pa.binary())], names=["kind", "part", "block", "keys"])
 
@@ -244,22 +262,29 @@ def _probes(parts: int):
 
 
 def _answers(parts: int):
-    """One part's counts for all blocks that ask."""
-
-    def answer(model: pa.Table, asked: pa.Table) -> pa.Table:
-        counts = []
-        if model.num_rows:
-            body, part = model.column("body")[0].as_py(), model.column("part")[0].as_py()
-            if model.column("kind")[0].as_py() == 0:
-                keys, values = np.frombuffer(body, np.uint64), np.frombuffer(model.column("extra")[0].as_py(), np.uint32)
-                look = lambda wanted: exact_counts(keys, values, wanted)
-            else:
-                look = Filter(parts, part, np.array([model.column("size")[0].as_py()]), np.frombuffer(body, np.uint8)).counts
-        else:
-            look = lambda wanted: np.zeros(len(wanted))
-        for keys_ in asked.column("keys").to_pylist():
-            counts.append(look(np.frombuffer(keys_, np.uint64)).tobytes())
-        return pa.table({"block": asked.column("block"), "kind": asked.column("kind"), "part": asked.column("part"), "counts": pa.array(counts, pa.binary())})
+    """Counts for all blocks that ask, from rows sorted by part with the model's row before the questions to it. Rows are
+    answered as they come, so a part that every block asks (the most frequent words) takes no more memory than others."""
+
+    def lookup(kind, part, body, extra, size):
+        if body is None:
+            return lambda wanted: np.zeros(len(wanted))
+        if kind == 1:
+            return Filter(parts, part, np.array([size]), np.frombuffer(body, np.uint8)).counts
+        keys = np.frombuffer(body, np.uint64)
+        values = unpacked(extra, len(keys))
+        return lambda wanted: exact_counts(keys, values, wanted)
+
+    def answer(batches):
+        at, look = None, None
+        for batch in batches:
+            rows, counts = [], []
+            cols = [batch.column(c).to_pylist() for c in ("kind", "part", "block", "keys", "body", "extra", "size")]
+            for i, (kind, part, block, keys, body, extra, size) in enumerate(zip(*cols, strict=True)):
+                if at != (kind, part):
+                    at, look = (kind, part), lookup(kind, part, body, extra, size)
+                if block is not None:
+                    rows.append(i), counts.append(look(np.frombuffer(keys, np.uint64)).tobytes())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows, pa.int64())) for c in ("block", "kind", "part")), pa.array(counts, pa.binary())], names=["block", "kind", "part", "counts"])
 
     return answer
 
@@ -285,10 +310,10 @@ def _unigrams(built: DataFrame, about: list):
     at, total = {}, 0
     for part in sorted(sizes):
         at[part], total = total, total + sizes[part]
-    keys, counts = np.empty(total, np.uint64), np.empty(total, np.uint32)
+    keys, counts = np.empty(total, np.uint64), np.empty(total, np.int64)
     for r in built.where("kind = 0").select("part", "body", "extra").toLocalIterator():
         keys[at[r.part] : at[r.part] + sizes[r.part]] = np.frombuffer(r.body, np.uint64)
-        counts[at[r.part] : at[r.part] + sizes[r.part]] = np.frombuffer(r.extra, np.uint32)
+        counts[at[r.part] : at[r.part] + sizes[r.part]] = unpacked(r.extra, sizes[r.part])
     return built.sparkSession.sparkContext.broadcast((keys, counts))
 
 
@@ -303,13 +328,18 @@ def _filter(built: DataFrame, about: list, parts: int):
     return built.sparkSession.sparkContext.broadcast(Filter(parts, 0, bits, data))
 
 
-def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.1, share: float = 0.6, broadcast_bytes: int = 512 << 20) -> DataFrame:
+def workers_of(spark) -> int:
+    """Python workers of one executor, at most: its cores, or all cores where the session doesn't say."""
+    return int(spark.sparkContext.getConf().get("spark.executor.cores") or spark.sparkContext.defaultParallelism)
+
+
+def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.1, share: float = 0.6, broadcast_bytes: int = 1 << 30) -> DataFrame:
     """Scores every row of ``docs``; learns from the rows where ``held_out`` is false.
 
     Returns ``<id_col>, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10 probabilities), one row per
     row. Tokens are words lower-cased (A-Z) plus one end token; null, empty and blank texts are the end token alone. A
     null ``held_out`` (a null id) counts as held out. Nothing to learn from: all counts are 0. Words are counted by 64-bit
-    hash. Other columns of ``docs`` are not read; rows that repeat an id are scored each.
+    hash. Other columns of ``docs`` are not read; rows that repeat an id are scored each; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     store = SharedTables(spark, "lm")
@@ -320,17 +350,18 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     gathered = train.mapInArrow(_gather(parts), "kind int, part int, keys binary, counts binary")
     built = gathered.groupBy("kind", "part").applyInArrow(_finish, "kind int, part int, body binary, extra binary, total bigint, size bigint")
     built = store.write(built, "model")
-    about = built.select("kind", "part", "total", "size", (F.length("body") + F.length("extra")).alias("bytes")).collect()
-    total = sum(r.total for r in about)
-    distinct = sum(r["size"] for r in about if r.kind == 0)
+    sums = built.agg(F.sum("total").alias("total"), F.sum(F.when(F.col("kind") == 0, F.col("size"))).alias("distinct"), F.sum(F.length("body") + F.length("extra")).alias("bytes")).first()
+    total, distinct = sums.total or 0, sums.distinct or 0
     model = Model(total, distinct, alpha, share)
     rows = plain.select("text", "id", "held_out")
     schema = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    if sum(r.bytes for r in about) <= broadcast_bytes:
+    if parts <= MOST_PARTS and (sums.bytes or 0) * workers_of(spark) <= broadcast_bytes:
+        about = built.select("kind", "part", "size").collect()
         out = rows.mapInArrow(_scorer(_unigrams(built, about), _filter(built, about, parts), model), schema)
     else:
         blocks = store.write(rows.mapInArrow(_blocks, "block string, texts array<string>, ids array<bigint>, held array<boolean>"), "blocks")
         asked = blocks.select("block", "texts").mapInArrow(_probes(parts), "kind int, part int, block string, keys binary")
-        answers = built.groupBy("kind", "part").cogroup(asked.groupBy("kind", "part")).applyInArrow(_answers(parts), "block string, kind int, part int, counts binary")
+        both = built.drop("total").unionByName(asked, allowMissingColumns=True).repartition("kind", "part").sortWithinPartitions("kind", "part", F.col("block").isNotNull())
+        answers = both.mapInArrow(_answers(parts), "block string, kind int, part int, counts binary")
         out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assembled(model), schema)
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")

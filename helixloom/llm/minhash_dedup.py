@@ -2,17 +2,20 @@
 
 Plan (no step holds a whole group in one task, none makes all pairs of a group):
 
-1. One pass over the texts: the set of hashed word shingles, its size and 128-bit digest, universal-hash minima, band keys.
-2. Documents with equal sets form a class; only its smallest id goes on. The minimum is a partial aggregate.
+1. One pass over the texts: the set of hashed word shingles and its size, universal-hash minima, band keys, and a 128-bit
+   digest of the sequence of lower-cased words.
+2. Documents of equal sequences form a class; only its smallest id goes on. The minimum is a partial aggregate.
 3. Band buckets with several classes; buckets with the same members count once. Each member is compared with its
    bucket's smallest member: first the sizes, then the signatures (5 standard deviations of slack), then the full sets,
-   made anew from both texts.
+   made anew from both texts under a hash that is independent of the one of step 1, so no single collision makes a link.
 4. Components of the confirmed links. In a bucket that still holds several components, the most frequent one is its
    main component, the other members are its strays. Two members of different components still have to meet: strays of a
    bucket meet each other, and the strays of a main component's buckets meet its members in those buckets (once, not
-   once for each bucket). Both happen in tiles of bounded blocks, which hold full sets: intersections of all pairs of a
-   tile are one matrix product over the shingles that both blocks have, and a tile emits a spanning forest of the links
-   across components, never its pairs. So every pair of a bucket is confirmed, refuted, or already in one component.
+   once for each bucket). Both happen in tiles of bounded blocks (by members and by shingles), twice: first with sizes and
+   signatures alone, which return the members that any pair of the tile may link; then with the full sets of these
+   members, where intersections of all pairs are one matrix product over the shingles that both blocks have. A tile
+   emits a spanning forest of the links across components, never its pairs. So every pair of a bucket is confirmed,
+   refuted, or already in one component.
 5. Components of all links.
 
 A pair at the threshold shares no bucket with a chance below 1e-7; ``bands_for`` picks the number of bands for that.
@@ -20,7 +23,6 @@ A pair at the threshold shares no bucket with a chance below 1e-7; ``bands_for``
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
@@ -31,12 +33,15 @@ from pyspark.sql import functions as F
 from helixloom.llm.components import connected_components
 from helixloom.llm.shared import SharedTables
 from helixloom.llm.tiles import map_tiles, with_tiles
-from helixloom.llm.words import mix, shingle_hashes, sub_batches, utf8, word_hashes, word_spans
+from helixloom.llm.words import mix, normal_digests, shingle_hashes, sub_batches, utf8, word_hashes, word_spans
 
 ROWS = 5
 MISS = 1e-7
 SIGMAS = 5.0
 BLOCK_MEMBERS = 256
+BLOCK_SHINGLES = 1 << 20
+#: Seed of the word hash that confirms; minima use another.
+CONFIRM = 2
 
 
 def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -65,15 +70,15 @@ def _sketcher(k: int, rows: int, bands: int, seed: int):
             for lo, hi, part, offs in sub_batches(data, offsets):
                 starts, ends, first = word_spans(part, offs)
                 words = word_hashes(part, starts, ends)
-                sizes, digests, sigs, keys = [], [], [], []
+                digests = normal_digests(part, starts, ends, first)
+                sizes, sigs, keys = [], [], []
                 for i in range(hi - lo):
                     s = shingle_hashes(words[first[i] : first[i + 1]], k)
                     sizes.append(len(s))
                     if not len(s):
-                        digests.append(None), sigs.append(None), keys.append(None)
+                        sigs.append(None), keys.append(None)
                         continue
                     m = minima(s, factors, shifts)
-                    digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     sigs.append((m & np.uint32(0xFFFF)).astype(np.uint16).tobytes())
                     acc = salt.copy()
                     for r in range(rows):
@@ -108,7 +113,7 @@ def _confirm(k: int, num: int, den: int):
     def one(batch, name, lo, hi):
         data, offsets = utf8(batch.column(name).slice(lo, hi - lo))
         starts, ends, first = word_spans(data, offsets)
-        return word_hashes(data, starts, ends), first
+        return word_hashes(data, starts, ends, seed=CONFIRM), first
 
     def confirm(batches):
         for batch in batches:
@@ -133,7 +138,7 @@ def _sets(k: int):
             data, offsets = utf8(batch.column(1))
             for lo, hi, part, offs in sub_batches(data, offsets):
                 starts, ends, first = word_spans(part, offs)
-                words = word_hashes(part, starts, ends)
+                words = word_hashes(part, starts, ends, seed=CONFIRM)
                 body = [shingle_hashes(words[first[i] : first[i + 1]], k).tobytes() for i in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(body, pa.binary())], names=["rep", "body"])
 
@@ -158,6 +163,31 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int =
     return out
 
 
+def _maybe(floor: float, num: int, den: int):
+    """In one tile: the rows that sizes and signatures let link with a row of the other side and of another component."""
+
+    def tile(table: pa.Table) -> pa.RecordBatch | None:
+        comp, side, n = (table.column(c).to_numpy() for c in ("comp", "blk", "n"))
+        ti, tj = table.column("ti")[0].as_py(), table.column("tj")[0].as_py()
+        ia, ib = np.flatnonzero(side == ti), np.flatnonzero(side == tj)
+        if not len(ia) or not len(ib):
+            return None
+        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(n), -1)
+        hit = np.zeros(len(n), bool)
+        for lo in range(0, len(ia), 32):
+            a = ia[lo : lo + 32]
+            ok = (comp[a][:, None] != comp[ib][None, :]) & (den * np.minimum(n[a][:, None], n[ib][None, :]) >= num * np.maximum(n[a][:, None], n[ib][None, :]))
+            r, c = np.nonzero(ok)
+            for s in range(0, len(r), 1 << 14):
+                p, q = a[r[s : s + (1 << 14)]], ib[c[s : s + (1 << 14)]]
+                same = (sigs[p] == sigs[q]).mean(1) >= floor
+                hit[p[same]] = hit[q[same]] = True
+        table = table.filter(pa.array(hit)).select(["g", "rep", "comp", "blk", "ti", "tj"]).combine_chunks()
+        return table.to_batches()[0] if table.num_rows else None
+
+    return tile
+
+
 def _forest(num: int, den: int):
     """In one tile: links between rows of its two sides that join different components, as a spanning forest."""
 
@@ -209,12 +239,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = store.write(sketches.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     first = sketches.join(classes, (sketches.id == classes.rep) & (sketches.digest == classes.digest), "left_semi")
     reps = store.write(first.select(F.col("id").alias("rep"), "n", "sig", "bands"), "reps")
-    keyed = reps.select("rep", F.explode("bands").alias("h"))
+    keyed = reps.select("rep", "n", F.explode("bands").alias("h"))
     stats = keyed.groupBy("h").agg(F.count("*").alias("size"), F.min("rep").alias("leader"), F.max("rep").alias("last"), F.expr("bit_xor(xxhash64(rep))").alias("mark"))
     # one bucket for each set of members
     stats = stats.where("leader < last").groupBy("size", "leader", "last", "mark").agg(F.min("h").alias("h"))
     stats = store.write(stats.select("h", "size", "leader"), "buckets")
-    members = store.write(keyed.join(stats, "h").select("h", "size", "leader", "rep"), "members")
+    members = store.write(keyed.join(stats, "h").select("h", "size", "leader", "rep", "n"), "members")
     sigs, texts = reps.select("rep", "n", "sig"), plain.where("id is not null")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -229,26 +259,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = connected_components(links, store)
 
     # buckets that still hold several components
-    held = members.where("size > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("h", "rep", F.coalesce("component", "rep").alias("comp"))
+    held = members.where("size > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("h", "rep", "n", F.coalesce("component", "rep").alias("comp"))
     held = store.write(held, "held")
-    main = held.groupBy("h", "comp").agg(F.count("*").alias("n")).groupBy("h").agg(F.count("*").alias("comps"), F.sum("n").alias("all"), F.max(F.struct("n", F.col("comp").alias("main"))).alias("top"))
-    main = store.write(main.where("comps > 1").select("h", "top.main", (F.col("all") - F.col("top.n")).alias("strays")), "main")
+    main = held.groupBy("h", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("w")).groupBy("h")
+    main = main.agg(F.count("*").alias("comps"), F.sum("k").alias("ks"), F.sum("w").alias("ws"), F.max(F.struct("k", "w", F.col("comp").alias("main"))).alias("top"))
+    main = store.write(main.where("comps > 1").select("h", "top.main", (F.col("ks") - F.col("top.k")).alias("strays"), (F.col("ws") - F.col("top.w")).alias("weight")), "main")
     held_open = store.write(held.join(main, "h"), "open")
     strays, core = held_open.where("comp <> main"), held_open.where("comp = main")
     sets = held_open.select("rep").distinct().join(texts.toDF("rep", "text"), "rep").select("rep", "text").mapInArrow(_sets(shingle_words), "rep bigint, body binary").dropDuplicates(["rep"])
     sets = store.write(sets, "sets")
 
-    among = with_tiles(strays.where("strays > 1").select(F.col("h").alias("g"), "rep", "comp", "strays"), F.col("rep"), F.col("strays"), BLOCK_MEMBERS)
-    sides = core.select("main", "rep", "comp").distinct().withColumn("side", F.lit(0)).union(strays.select("main", "rep", "comp").distinct().withColumn("side", F.lit(1)))
+    def in_blocks(members, shingles):
+        """Members as blocks count them: many, or of many shingles."""
+        return F.greatest(members.cast("double"), shingles * (BLOCK_MEMBERS / BLOCK_SHINGLES))
+
+    among = with_tiles(strays.where("strays > 1").select(F.col("h").alias("g"), "rep", "comp", "strays", "weight"), F.col("rep"), in_blocks(F.col("strays"), F.col("weight")), BLOCK_MEMBERS)
+    sides = core.select("main", "rep", "comp", "n").distinct().withColumn("side", F.lit(0)).union(strays.select("main", "rep", "comp", "n").distinct().withColumn("side", F.lit(1)))
     sides = store.write(sides, "sides")
-    blocks = sides.groupBy("main").agg(*[F.ceil(F.count_if(F.col("side") == i) / BLOCK_MEMBERS).cast("int").alias(f"n{i}") for i in (0, 1)])
-    meet = sides.join(store.write(blocks, "blocks"), "main")
+    blocks = sides.groupBy("main").agg(*[F.ceil(in_blocks(F.count_if(F.col("side") == i), F.coalesce(F.sum(F.when(F.col("side") == i, F.col("n"))), F.lit(0))) / BLOCK_MEMBERS).cast("int").alias(f"n{i}") for i in (0, 1)])
+    meet = sides.drop("n").join(store.write(blocks, "blocks"), "main")
     own, other = (F.when(F.col("side") == 0, F.col(x)).otherwise(F.col(y)) for x, y in (("n0", "n1"), ("n1", "n0")))
     meet = meet.withColumn("blk", F.pmod(F.xxhash64("rep"), own).cast("int") * 2 + F.col("side")).withColumn("x", F.explode(F.sequence(F.lit(0), other - 1))).withColumn("x", F.col("x") * 2 + 1 - F.col("side"))
     meet = meet.select(F.col("main").alias("g"), "rep", "comp", "blk", F.when(F.col("side") == 0, F.col("blk")).otherwise(F.col("x")).alias("ti"), F.when(F.col("side") == 0, F.col("x")).otherwise(F.col("blk")).alias("tj"))
+    tile = ["g", "ti", "tj"]
     for name, tiles in (("among", among), ("meet", meet)):
-        tiles = tiles.select("g", "rep", "comp", "blk", "ti", "tj").join(sets, "rep")
-        found = store.write(map_tiles(tiles, ["g", "ti", "tj"], _forest(num, den), "a bigint, b bigint"), name)
+        tiles = tiles.select("g", "rep", "comp", "blk", "ti", "tj").join(sigs, "rep")
+        tiles = store.write(map_tiles(tiles, tile, _maybe(floor, num, den), "g bigint, rep bigint, comp bigint, blk int, ti int, tj int"), f"{name}-maybe")
+        found = store.write(map_tiles(tiles.join(sets, "rep"), tile, _forest(num, den), "a bigint, b bigint"), name)
+        store.drop(tiles)
         links = links.union(found)
     comps = connected_components(links, store)
     store.drop(held, held_open, sets, sides)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixloom.llm.sampling import sample_rows
+from helixloom.llm.sampling import rows_of, sample_rows
 from helixloom.llm.words import sub_batches, utf8, word_hashes, word_spans
 
 MOST_POSITIVE = 2500
@@ -229,16 +229,15 @@ def _scorer(model, cut: float):
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_labelled: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Net | None:
-    """Trains on at most ``most_labelled`` labelled rows and ``most_unlabelled`` rows of any kind, both where ``learn``
-    holds and by hash order of ids. Labels other than 0 and 1, null ids and null texts are left out."""
-    marked = labels.where(learn & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("labelled"), label_col)
-    picked = sample_rows(marked.withColumnRenamed("labelled", id_col), id_col, F.lit(True), [label_col], most_labelled, 21)
-    texts = docs.where(F.col(text_col).isNotNull())
-    told = docs.sparkSession.createDataFrame([(r[0], int(r[1])) for r in picked], "picked bigint, told int")
-    labelled = texts.join(F.broadcast(told), F.col(id_col) == F.col("picked")).select(id_col, text_col, "told").collect()
-    labelled.sort(key=lambda r: (r[0], r[2], r[1]))
-    others = sample_rows(texts, id_col, learn, [text_col], most_unlabelled, 22)
-    return train([(r[1], r[2]) for r in labelled], [r[1] for r in others])
+    """Trains on at most ``most_labelled`` labelled documents and ``most_unlabelled`` documents of any kind, both where
+    ``learn`` holds and by hash order of ids, one row an id, each sample of 64 million characters at most. Labels other
+    than 0 and 1, null ids and null texts are left out; of contradicting labels of an id one counts. None if there are no
+    positives or no texts. Other columns are not read."""
+    picked = {r[0]: int(r[1]) for r in sample_rows(labels, id_col, learn & F.col(label_col).isin(0, 1), [label_col], most_labelled, 21)}
+    has_text = F.col(text_col).isNotNull()
+    labelled = rows_of(docs, id_col, list(picked), [text_col], has_text)
+    others = sample_rows(docs, id_col, learn & has_text, [text_col], most_unlabelled, 22)
+    return train([(text, picked[i]) for i, text in labelled], [text for _, text in others])
 
 
 def predict(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
@@ -253,7 +252,11 @@ def predict(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col:
 
 
 def good_quality(docs: DataFrame, net: Net | None, text_col: str = "text", cut: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose score reaches ``cut``; all of them if there is no model."""
+    """The rows of ``docs``, unchanged, whose score reaches ``cut``; all of them if there is no model.
+
+    Null texts are scored like empty ones. Rows are judged one by one: repeats and null ids need no special case, other
+    columns pass through, an empty table gives an empty one.
+    """
     model = docs.sparkSession.sparkContext.broadcast(net)
 
     def keep(batches):

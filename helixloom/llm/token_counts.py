@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections import deque
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -89,9 +90,15 @@ def word_pieces(spec: str) -> set[bytes]:
     return out
 
 
+@lru_cache(1)
+def _tools(spec: str) -> tuple[Automaton, dict[bytes, int]]:
+    """One automaton and memo a worker, whatever the number of its tasks."""
+    return Automaton(word_pieces(spec)), {}
+
+
 def _counter(spec):
     def run(batches):
-        automaton, memo = Automaton(word_pieces(spec.value)), {}
+        automaton, memo = _tools(spec.value)
         for batch in batches:
             n_words, n_tokens, n_unknown = [], [], []
             for x in batch.column(1):

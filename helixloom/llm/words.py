@@ -1,39 +1,29 @@
 """Vectorised word splitting and hashing over the UTF-8 buffers of Arrow string columns.
 
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D; all of these are ASCII, so splitting bytes and
-splitting code points agree. Word hashes are polynomial prefix sums over a random byte table, finished by a 64-bit
-mixer: one pass over the bytes, no Python object per word.
+splitting code points agree. A word's hash folds its bytes in, eight at a time, through a bijective
+64-bit mixer, so each block of eight changes all bits before the next one enters; words beyond LONG_WORD bytes are hashed
+by BLAKE2b. Two seeds give two independent hashes. No Python object is made per word of common length.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 20
 SUB_BATCH = 4 << 20
-
-_rng = np.random.default_rng(20240611)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE_LOWER = _BYTE.copy()
-_BYTE_LOWER[65:91] = _BYTE[97:123]
-_P = 0x9E3779B97F4A7C15 | 1
-_P_INV = pow(_P, -1, 1 << 64)
+LONG_WORD = 64
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Masks that keep the first n bytes of a little-endian block of eight.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_SEEDS = np.random.default_rng(20240611).integers(1, 2**63, 16, dtype=np.uint64)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_powers: dict[int, np.ndarray] = {}
-
-
-def _powers_of(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, BLOCK + 1), base, np.uint64)
-        have[0] = 1
-        _powers[base] = have = np.multiply.accumulate(have)
-    return have
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,21 +76,38 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of each word, of its lower-cased (A-Z only) bytes if ``lower``."""
-    table = _BYTE_LOWER if lower else _BYTE
-    out = np.empty(len(starts), np.uint64)
-    lo = 0
-    while lo < len(starts):
-        base = starts[lo]
-        hi = max(lo + 1, int(np.searchsorted(ends, base + BLOCK, "right")))
-        size = int(ends[hi - 1] - base)
-        sums = np.zeros(size + 1, np.uint64)
-        np.cumsum(table[data[base : base + size]] * _powers_of(_P, size)[:size], out=sums[1:])
-        s, e = starts[lo:hi] - base, ends[lo:hi] - base
-        out[lo:hi] = (sums[e] - sums[s]) * _powers_of(_P_INV, size)[s] + (e - s).astype(np.uint64)
-        lo = hi
-    return mix(out)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word, of its lower-cased (A-Z only) bytes if ``lower``; each ``seed`` gives another hash."""
+    size = ends - starts
+    padded = np.zeros(len(data) + LONG_WORD + 8, np.uint8)
+    padded[: len(data)] = _LOWER[data] if lower else data
+    eights = np.ndarray(len(data) + LONG_WORD + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    out = mix(size.astype(np.uint64) ^ _SEEDS[seed])
+    for at in range(0, min(LONG_WORD, int(size.max(initial=0))), 8):
+        live = np.flatnonzero(size > at) if at else slice(None)
+        block = eights[starts[live] + at] & _FIRST[np.minimum(size[live] - at, 8)]
+        out[live] = mix(out[live] * np.uint64(0x9E3779B97F4A7C15) + (block ^ _SEEDS[seed + 1]))
+    key = seed.to_bytes(1, "little")
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = int.from_bytes(hashlib.blake2b(padded[starts[i] : ends[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+    return out
+
+
+def normal_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> list[bytes | None]:
+    """A 128-bit digest of each document's sequence of lower-cased words; None without words."""
+    if not len(starts):
+        return [None] * (len(first) - 1)
+    # the words of all documents, each with one space behind it
+    step = np.concatenate(([0], np.cumsum(ends - starts + 1)))
+    solid = np.zeros(len(data) + 1, np.int8)
+    solid[starts] += 1
+    solid[ends] -= 1
+    inside = np.cumsum(solid[:-1], dtype=np.int8).astype(bool)
+    flat = np.full(step[-1], 32, np.uint8)
+    kept = np.ones(step[-1], bool)
+    kept[step[1:] - 1] = False
+    flat[kept] = _LOWER[data[inside]]
+    return [hashlib.blake2b(flat[step[a] : step[b]].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:

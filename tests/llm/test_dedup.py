@@ -1,5 +1,7 @@
 """MinHash near-duplicates, components and embedding near-duplicates against brute force, and their edge cases."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from helixloom.llm import minhash_dedup as M
 from helixloom.llm.components import connected_components
 from helixloom.llm.embedding_dedup import near_duplicate_vectors, possible, quantised
 from helixloom.llm.shared import SharedTables
+from helixloom.llm.words import word_hashes
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -100,8 +103,10 @@ def test_bounds_hold():
     x /= np.linalg.norm(x, axis=1)[:, None]
     q = quantised(x)
     for t in (0.3, 0.6, 0.9):
-        found = set(zip(*possible(q, q, t), strict=True))
-        assert {(i, j) for i, j in zip(*np.nonzero(x @ x.T >= t), strict=True)} <= found
+        r, c, sure = possible(q, q, t)
+        links = set(zip(*np.nonzero(x @ x.T >= t), strict=True))
+        assert set(zip(r[sure], c[sure], strict=True)) <= links <= set(zip(r, c, strict=True))
+        assert sure.any() and (t > 0.3 or not sure.all())
 
 
 def test_vectors_match_all_pairs(spark):
@@ -126,3 +131,53 @@ def test_vectors_without_rows(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert near_duplicate_vectors(df).count() == 0
     assert near_duplicate_vectors(df.withColumn("links", F.lit(1))).count() == 0
+
+
+def test_vectors_with_repeated_ids(spark):
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    df = spark.createDataFrame([(1, x, 0), (1, x, 0), (1, y, 0), (2, x, 0), (None, x, 0)], "vec_id bigint, embedding array<double>, label int")
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in near_duplicate_vectors(df).collect())
+    assert got == [(0, 0, None, True), (1, 0, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
+
+
+def test_word_hashes():
+    rng = random.Random(5)
+    words = ["a", "b", "A", "ab", "ba", "x" * 8, "x" * 9, "x" * 64, "x" * 65, "X" * 65, "ß", "Ⅳ"]
+    words += ["".join(rng.choice("ab") for _ in range(n)) for n in (7, 8, 9, 16, 17, 40, 63, 64, 65, 500) for _ in range(200)]
+    # two words that a polynomial hash modulo a power of two can't tell apart (Thue-Morse and its complement)
+    morse = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    words += [morse, morse.translate(str.maketrans("ab", "ba"))]
+    raw = [w.encode() for w in words]
+    ends = np.cumsum([len(x) for x in raw])
+    starts = ends - [len(x) for x in raw]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    folded = [w.translate(ASCII) for w in words]
+    for lower, want in ((True, folded), (False, words)):
+        for seed in (0, 2):
+            got = word_hashes(data, starts, ends, lower, seed).tolist()
+            assert len({(h, w) for h, w in zip(got, want, strict=True)}) == len(set(got)) == len(set(want))
+    assert not set(word_hashes(data, starts, ends).tolist()) & set(word_hashes(data, starts, ends, seed=2).tolist())
+
+
+def test_words_alike_stay_apart(spark):
+    morse = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, f"{morse} one two"), (2, f"{other} one two"), (3, f"{morse.upper()}  ONE two")], "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in M.near_duplicates(df, shingle_words=3, num=85).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_long_texts_and_tiles_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_SHINGLES", 50_000)
+    rng = np.random.default_rng(8)
+    texts = []
+    for _ in range(3):
+        base = [f"w{i}" for i in rng.integers(0, 5000, 20_000)]
+        for share in (0.0, 0.005, 0.04, 0.12, 0.12):
+            text = list(base)
+            for i in np.flatnonzero(rng.random(len(base)) < share):
+                text[i] = f"v{rng.integers(0, 5000)}"
+            texts.append(" ".join(text))
+    sets, want = brute(texts, 5, 80, 100)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in M.near_duplicates(df).collect()}
+    assert got == {i: (len(s), w) for i, (s, w) in enumerate(zip(sets, want, strict=True))}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from helixloom.llm import language_id, quality_pu, queries
+from helixloom.llm import language_id, quality_pu, queries, sampling
 
 SF = "/root/testdata/sf0.01"
 
@@ -79,6 +79,28 @@ def test_quality_edges(spark):
     assert quality_pu.good_quality(df, None).count() == 5 and quality_pu.predict(df.limit(0), net).count() == 0
 
 
+def test_fits_with_clashing_columns_and_repeats(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    for name in ("picked", "told", "keep", "o", "i", "h", "r", "c0", "b"):
+        docs, labels = docs.withColumn(name, F.lit("x")), labels.withColumn(name, F.lit("x"))
+    repeats = docs.union(docs.limit(1).crossJoin(spark.range(500)).drop("id"))
+    one, two = (language_id.fit(d, F.lit(True)) for d in (docs, repeats))
+    assert all(np.array_equal(a, b) for a, b in zip(one._params(), two._params(), strict=True))
+    one, two = (quality_pu.fit(d, m, F.lit(True)) for d, m in ((docs, labels), (repeats, labels.union(labels))))
+    assert all(np.array_equal(a, b) for a, b in zip(one.params(), two.params(), strict=True))
+    assert language_id.fit(docs.limit(0), F.lit(True)) is None and quality_pu.fit(docs.limit(0), labels, F.lit(True)) is None
+    assert quality_pu.fit(docs, labels.limit(0), F.lit(True)) is None
+
+
+def test_samples_are_bounded(spark):
+    rows = spark.createDataFrame([(i % 50 if i < 400 else 7, f"text {i}") for i in range(1000)] + [(None, "x")], "id bigint, text string")
+    got = sampling.sample_rows(rows, "id", F.lit(True), ["text"], 20, 3)
+    assert len(got) == 20 == len({i for i, _ in got}) and got == sampling.sample_rows(rows.repartition(5), "id", F.lit(True), ["text"], 20, 3)
+    assert sum(len(t) for _, t in sampling.sample_rows(rows, "id", F.lit(True), ["text"], 20, 3, most_chars=60)) <= 60
+    assert {i for i, _ in sampling.rows_of(rows, "id", [7, 3, 7, 999], ["text"], F.lit(True))} == {3, 7}
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     out, docs = {}, spark.read.parquet(f"{SF}/documents.parquet")

@@ -56,6 +56,21 @@ def test_merge_rounds_equal_library_on_random_words():
     assert all(ids[bounds[i] : bounds[i + 1]].tolist() == library.encode(w, add_special_tokens=False).ids for i, w in enumerate(words))
 
 
+def test_long_words_equal_library():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    library, codec = Tokenizer.from_file(path), bpe_codec.Codec(open(path, encoding="utf-8").read())
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n)) for n in (511, 512, 513, 2000, 200_000)]
+    words += ["a" * 5000, "ab" * 3000, "é" * 700, "!" * 9000]
+    assert codec.ordered
+    for w, (ids, _) in zip(words, codec.encode_all(words), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(w, add_special_tokens=False).ids
+    codec.ordered = False  # one place a round, for files whose ranks ask for that
+    assert codec.merge(words[:2] + ["aaaa" * 30])[0].tolist() == sum((library.encode(w, add_special_tokens=False).ids for w in words[:2] + ["aaaa" * 30]), [])
+
+
 def test_token_counts_equal_greedy(docs, texts):
     path = tokenizer_path("byte_bpe_50k.json")
     pieces = token_counts.word_pieces(open(path, encoding="utf-8").read())
@@ -127,6 +142,7 @@ def test_packing(docs, texts):
         by[r.sequence_id] = r.offset + r.length
     assert max(by.values()) <= 64 and len(by) <= math.ceil(total / 64) * 1.02 + 2
     assert bin_packing.pack_documents(docs.limit(0), path).count() == 0
+    assert dict(bin_packing.pack_documents(docs.limit(0), path).dtypes)["piece"] == "int"
 
 
 @pytest.mark.parametrize("run", [" " * 1_000_010, "\n" * 1_100_000, " \n" * 600_000])
@@ -152,6 +168,46 @@ def test_bin_completion_beats_best_fit():
     assert bin_packing.pack([]) == []
 
 
+def least_bins(sizes, capacity):
+    """The optimum by trying every distribution of the sizes over so many bins."""
+    sizes = sorted(sizes, reverse=True)
+
+    def fits(k, room):
+        if k == len(sizes):
+            return True
+        for r in sorted(set(room)):
+            if r >= sizes[k]:
+                at = room.index(r)
+                if fits(k + 1, [*room[:at], r - sizes[k], *room[at + 1 :]]):
+                    return True
+        return False
+
+    n = bin_packing.lower_bound(sizes, capacity)
+    while not fits(0, [capacity] * n):
+        n += 1
+    return n
+
+
+def test_packing_reaches_the_optimum_of_small_inputs():
+    rng = np.random.default_rng(6)
+    better = 0
+    for _ in range(150):
+        sizes = rng.integers(8, 70, rng.integers(8, 15)).tolist()
+        n = len(bin_packing.pack(sizes, 100))
+        assert n == least_bins(sizes, 100)
+        better += n < len(bin_packing.best_fit(sizes, 100))
+    assert better
+
+
+def test_repairs_improve_on_best_fit():
+    rng = np.random.default_rng(7)
+    sizes = rng.integers(1, 1024, 1000).tolist()
+    first, bound = bin_packing.best_fit(sizes, 1024), bin_packing.lower_bound(sizes, 1024)
+    bins = bin_packing.repaired(first, 1024, bound)
+    assert sorted(sum(bins, [])) == sorted(sizes) and all(0 < sum(b) <= 1024 for b in bins)
+    assert len(bins) <= len(first) and max(1024 - sum(b) for b in bins) > max(1024 - sum(b) for b in first)
+
+
 def test_bin_completion_goes_on_beyond_its_first_round():
     sizes = [47, 14, 44, 45, 56, 25, 34, 54, 55, 50, 50, 43, 17, 51, 32, 38, 32, 33, 43, 29, 48, 52, 34, 40, 44, 20]
     bins = bin_packing.pack(sizes, 115)
@@ -238,6 +294,29 @@ def test_secrets_beside_base_spans(docs):
         assert key[:8] not in shown and key[::-1][:8] not in shown
 
 
+def test_secrets_of_long_texts():
+    models = secret_scan.train(["some ordinary words of a plain text"])
+    text = " ".join(f"deadbeef{i:024x}" for i in range(300_000))  # 10 MB of hashes
+    base, spans = secret_scan.all_spans(text, models)
+    assert len(base) == 300_000 and spans == base
+    assert secret_scan.candidates(("q" * 30 + " ") * 3, [(5, 0, 40)]) == [(40, 61), (62, 92)]
+
+
+def test_secret_models_sum_over_all_texts(spark, docs, texts):
+    clash = docs.withColumn("picked", F.lit(1)).withColumn("at", F.lit("x")).withColumn("n", F.lit("y"))
+    one, whole = secret_scan.fit(clash.repartition(7)), secret_scan.train([t for _, t in texts])
+    assert np.allclose(one.step, whole.step) and np.allclose(one.start, whole.start) and one.limit == whole.limit
+    assert secret_scan.fit(docs.limit(0)).limit == 0.0
+    text = "password=abcdefghijklmn these plain words Follow eachother quickly and WITHOUT any0interruption deadbeefdeadbeef_tail"
+    models = secret_scan.train([text])
+    words = re.findall("[A-Za-z]{2,}", text.replace("password=abcdefghijklmn", "").replace("deadbeefdeadbeef", ""))
+    joins = ("_".join, "-".join, "/".join, lambda x: "".join(w.capitalize() for w in x), lambda x: "_".join(x).upper())
+    want = [models.ratio(w) for w in words if len(w) >= 8] + [models.ratio(joins[k % 5](words[3 * k : 3 * k + 3])) for k in range(len(words) // 3)]
+    import pyarrow as pa
+
+    assert np.allclose(sorted(want), sorted(secret_scan._ratios(pa.array([text]), models)))
+
+
 def test_language_model(docs, texts):
     lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) == 0
@@ -253,6 +332,15 @@ def test_language_model(docs, texts):
         assert {r.train_tokens for r in rows} == {n}
     key = lambda r: (r.doc_id or -1, r.n_tokens, r.base_score)
     assert np.allclose([r.score for r in sorted(one, key=key)], [r.score for r in sorted(many, key=key)])
+    # the score by hand, with bigram counts brought down to their levels
+    pairs = Counter(p for i, ts in tokens if not is_held(i) for p in zip([None, *ts], ts, strict=False))
+    level = lambda c: max((x for x in lm_bloom.LEVELS if x <= c), default=0)
+    p1 = lambda x: (counts[x] + 0.1) / (n + 0.1 * (v + 1))
+    p = lambda a, x: 0.6 * min(1, level(pairs[a, x]) / counts[a]) + 0.4 * p1(x) if counts[a] else p1(x)
+    exact = {(i, len(ts)): sum(math.log10(p(a, x)) for a, x in zip([None, *ts], ts, strict=False)) for i, ts in tokens}
+    off = [r.score - exact[r.doc_id, r.n_tokens] for r in one if r.doc_id is not None]
+    # never below; above only where the filter takes an absent bigram for a present one
+    assert min(off) > -1e-6 and sum(off) < 0.02 * sum(len(ts) for _, ts in tokens)
     out = [r for r in one if r.held_out]
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
     assert lm_bloom.lm_scores(docs.limit(0), held).count() == 0
@@ -260,6 +348,21 @@ def test_language_model(docs, texts):
     assert len(alone) == 5 and all(r.n_known == 0 and r.train_tokens == 0 for r in alone)
 
 
+def test_counts_beyond_32_bits():
+    import pyarrow as pa
+
+    keys = np.arange(3, dtype=np.uint64) << np.uint64(40)
+    for count, width in ((3 << 30, 4), (5 << 32, 8)):
+        body = lm_bloom.packed(np.array([1, count, 2]))
+        assert len(body) == 3 * width and lm_bloom.unpacked(body, 3).tolist() == [1, count, 2]
+    rows = [lm_bloom.packed(np.array([1, 3 << 30, 2])), lm_bloom.packed(np.array([1, 3 << 30, 5 << 32]))]
+    table = pa.table({"kind": pa.array([0, 0], pa.int32()), "part": pa.array([0, 0], pa.int32()), "keys": [keys.tobytes()] * 2, "counts": rows})
+    made = lm_bloom._finish(table)
+    assert lm_bloom.unpacked(made["extra"][0].as_py(), 3).tolist() == [2, 6 << 30, (5 << 32) + 2]
+    assert made["total"][0].as_py() == (6 << 30) + (5 << 32) + 4
+    assert lm_bloom.block_of(np.array([2**64 - 1, 0], np.uint64), 1 << 30).tolist() == [(1 << 30) - 1, 0]
+
+
 def test_bloom_levels_never_fall_short():
     rng = np.random.default_rng(3)
     keys = np.unique(rng.integers(0, 2**63, 4000).astype(np.uint64))
