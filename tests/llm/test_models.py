@@ -160,3 +160,31 @@ def test_pipeline_packs_everything(stages):
     pieces = stages["packing"]
     assert pieces.select("doc_id").distinct().count() == stages["secrets"].count()
     assert pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
+
+
+def test_stages_with_odd_rows(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    schema = docs.schema
+    text = "one plain text of some words that says the same as the other one does " * 3
+    odd = [(None, text, None, None, None), (900, text, "en", "s", 1), (900, text, "en", "s", 1), (901, text.upper(), None, "s", 1), (900, "wholly different words stand here, nothing near to them anywhere else in the table", None, None, None)]
+    odd += [(902, None, None, None, None), (903, "", "en", None, 0), (903, " \n", None, None, 2), (None, None, None, None, None), (904, "password = abcdefghijklmnop " * 30_000, None, None, None)]
+    one = docs.union(spark.createDataFrame(odd, schema))
+    for name in ("_row", "r", "picked", "told", "component_id", "kept"):
+        one = one.withColumn(name, F.lit("x"))
+    count = one.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, one.limit(0), "/root/testdata/sf0.001").count() == 0, name
+        out = stage(spark, one, "/root/testdata/sf0.001")
+        assert out.columns == one.columns and out.count() <= count, name
+        rows = out.where("doc_id is null or doc_id >= 900").collect()
+        if name == "language":
+            assert not [r for r in rows if not (r.text or "").strip()]
+        if name == "near_dedup":
+            left = sorted((r.doc_id or 0, (r.text or "")[:9]) for r in rows)
+            assert left == sorted([(0, ""), (900, "one plain"), (900, "wholly di"), (902, ""), (903, ""), (903, " \n"), (904, "password ")])
+        if name == "secrets":
+            assert len(rows) == len(odd) and {r.text for r in rows if r.doc_id == 904} == {"[SECRET] " * 30_000}
+            assert [r.n_chars for r in rows if r.doc_id == 904] == [270_000] and sum(r.text is None for r in rows) == 2
+    packed = corpus_pipeline.packing(spark, one, "")
+    assert packed.groupBy("piece").count().where("piece = 0").first()["count"] == count
+    assert corpus_pipeline.packing(spark, one.limit(0), "").count() == 0
