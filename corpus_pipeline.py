@@ -21,29 +21,58 @@ LANGUAGE_SCORE = 0.3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose quality score reaches QUALITY_CUT."""
+    """Keeps the rows whose quality score reaches QUALITY_CUT, as they are.
+
+    Rows are judged one by one, so repeated rows and null ids need no special case; null texts are scored like empty ones.
+    Whole texts count. Without positive labels there is no model and all rows stay; an empty table gives an empty one.
+    """
     net = quality_pu.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
     return quality_pu.good_quality(docs, net, cut=QUALITY_CUT)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a recognised language."""
+    """Keeps the rows in a recognised language, as they are.
+
+    Null, empty and blank texts and texts without a letter have none and go. Rows are judged one by one, so repeated rows and
+    null ids need no special case. If no row has a language there is nothing to learn from, nothing is recognised and
+    nothing stays; an empty table gives an empty one.
+    """
     return language_id.known_language(docs, language_id.fit(docs, F.lit(True)), least=LANGUAGE_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least id of each group of near duplicates (five words, 0.8 or more)."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Keeps one row of each group of near duplicates (five words, 0.8 or more), as it is: the row of least doc_id.
+
+    Decided row by row: of rows that repeat an id with near texts one stays, different texts under one id are judged apart,
+    and rows without an id come last in their group. Ties go to any one row. Rows with a null, empty or blank text are
+    near to nothing and stay. An empty table gives an empty one.
+    """
+    store = SharedTables(spark, "rows")
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = store.write(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(rows, id_col=row).select(F.col(row).alias("r"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row))
+    named = rows.select(row, "doc_id").join(groups, F.col(row) == F.col("r"))
+    kept = named.groupBy("component_id").agg(F.min_by(row, order).alias(row)).select(row)
+    return rows.join(kept, row, "left_semi").select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets in the texts; lengths follow."""
+    """Replaces each secret by a mark; n_chars follows, all else stays as it was, and so do rows without a secret.
+
+    Null and empty texts stay as they are. Repeated rows and null ids need no special case; an empty table gives an empty one.
+    """
     return secret_scan.without_secrets(docs, secret_scan.fit(docs), size_col="n_chars")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all documents into sequences of at most 1024 tokens."""
+    """Packs the tokens of all rows into sequences of at most 1024 tokens; a row per piece.
+
+    Null and empty texts are their end token alone; repeated rows and rows without an id are packed each. An empty table gives
+    an empty one.
+    """
     return pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
