@@ -166,15 +166,19 @@ def sam_flag(flag: Column | str, bit: int) -> Column:
 
 
 def gtf_attributes(text: Column | str) -> Column:
-    """The attribute column as a map."""
-    bare = F.regexp_replace(F.rtrim(F.replace(_c(text), F.lit('"'), F.lit(""))), ";$", "")
-    return F.str_to_map(bare, F.lit("; *"), F.lit(" "))
+    """The attribute column as a map. Of a key that occurs more than once (such as tag) the last value counts; parts
+    that aren't a key and a value are left out."""
+    parts = F.transform(F.split(F.translate(_c(text), "\"'", ""), ";"), lambda x: F.split(F.trim(x), " "))
+    pairs = F.filter(parts, lambda x: F.size(x) == 2)
+    keys = F.transform(pairs, lambda x: F.element_at(x, 1))
+    last = F.filter(pairs, lambda x, i: F.array_position(F.slice(keys, i + 2, F.size(keys)), F.element_at(x, 1)) == 0)
+    return F.map_from_entries(F.transform(last, lambda x: F.struct(F.element_at(x, 1).alias("key"), F.element_at(x, 2).alias("value"))))
 
 
 def locus_name(symbol: Column | str) -> Column:
-    """x_locus becomes X@."""
+    """A symbol with _locus in it, in any case, becomes its part before the first _, in upper case, and @."""
     s = _c(symbol)
-    return F.when(F.lower(s).endswith("_locus"), F.concat(F.upper(F.regexp_replace(s, "(?i)_locus$", "")), F.lit("@"))).otherwise(s)
+    return F.when(F.instr(F.lower(s), "_locus") > 0, F.concat(F.upper(F.split_part(s, F.lit("_"), F.lit(1))), F.lit("@"))).otherwise(s)
 
 
 def genome_like(start: Column, end: Column, strand: Column, at: Column) -> Column:

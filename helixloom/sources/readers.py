@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,27 +31,128 @@ def groups(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, *rest))).alias("rows"))
 
 
-def fastq(spark: SparkSession, path: str, lines_per_split: int = 400_000) -> DataFrame:
-    """SRC3: ord, read_id, seq, qual. Records are framed by line number, since a quality line may start with @.
+FASTQ_ROW = "file string, ord bigint, read_id string, seq string, qual string"
+#: Numbers kept for the lines of a byte of a split: compressed text has many lines to a byte.
+LINES_PER_BYTE = 4096
+
+
+class _Framer:
+    """Records of four lines out of the lines of splits, in their order.
+
+    A line is a header if it starts with @ and the next but one with +: a quality line may start with @, but the next but
+    one after it is a sequence. What precedes a split's first header, and the record that its end cuts, are loose lines.
+    """
+
+    def __init__(self):
+        self.key, self.held, self.at, self.framed = None, [], 0, False
+
+    def flush(self) -> list[tuple]:
+        """What is held of the last split, as loose lines: (file, split's start, number of the line, line)."""
+        out = [(*self.key, self.at + i, x) for i, x in enumerate(self.held)] if self.key else []
+        self.held, self.at, self.framed = [], 0, False
+        return out
+
+    def feed(self, batch: pa.RecordBatch) -> Iterator[tuple[list[tuple], tuple | None]]:
+        """Loose lines and framed records (file, start, number of the first line, lines) of a batch of value, file, start."""
+        files = batch.column(1).dictionary_encode()
+        which, start = files.indices.to_numpy(), batch.column(2).to_numpy()
+        cut = np.flatnonzero((which[1:] != which[:-1]) | (start[1:] != start[:-1])) + 1
+        bounds = [0, *cut.tolist(), batch.num_rows]
+        for lo, hi in zip(bounds, bounds[1:], strict=False):
+            if lo == hi:
+                continue
+            key = (files.dictionary[int(which[lo])].as_py(), int(start[lo]))
+            loose = []
+            if key != self.key:
+                loose = self.flush()
+                self.key = key
+            lines = batch.column(0).slice(lo, hi - lo)
+            if self.held:
+                lines = pa.concat_arrays([pa.array(self.held, lines.type), lines])
+            if not self.framed:
+                head, plus = (pc.starts_with(lines, x).to_numpy(zero_copy_only=False) for x in "@+")
+                heads = np.flatnonzero(head[:-2] & plus[2:])
+                if not len(heads):
+                    self.held = lines.to_pylist()
+                    yield loose, None
+                    continue
+                first = int(heads[0])
+                loose += [(*key, self.at + i, x) for i, x in enumerate(lines.slice(0, first).to_pylist())]
+                lines, self.at, self.framed = lines.slice(first), self.at + first, True
+            n = len(lines) // 4 * 4
+            yield loose, (*key, self.at, lines.slice(0, n)) if n else None
+            self.held, self.at = lines.slice(n).to_pylist(), self.at + n
+
+
+def _whole_records(batches):
+    framer = _Framer()
+    for batch in batches:
+        for _, found in framer.feed(batch):
+            if found:
+                file, start, at, lines = found
+                n = len(lines) // 4
+                ids, seqs, quals = (lines.take(pa.array(np.arange(k, 4 * n, 4))) for k in (0, 1, 3))
+                ord_ = start * LINES_PER_BYTE + at + 4 * np.arange(n)
+                yield pa.RecordBatch.from_arrays([pa.array([file] * n, pa.string()), pa.array(ord_), pc.utf8_slice_codeunits(ids, 1), seqs, quals], names=["file", "ord", "read_id", "seq", "qual"])
+
+
+def _loose_lines(batches):
+    framer = _Framer()
+    names = ["file", "start", "at", "line"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+    for batch in batches:
+        for loose, _ in framer.feed(batch):
+            if loose:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*loose, strict=True), types, strict=True)], names=names)
+    loose = framer.flush()
+    if loose:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*loose, strict=True), types, strict=True)], names=names)
+
+
+def _cut_records(lines: pd.DataFrame) -> pd.DataFrame:
+    """One file's loose lines, a few for each of its splits, framed in order; an incomplete record at the end is left out."""
+    lines = lines.sort_values(["start", "at"], ignore_index=True)
+    n = len(lines) // 4 * 4
+    head = lines.iloc[0:n:4]
+    out = {"file": head["file"], "ord": head["start"] * LINES_PER_BYTE + head["at"], "read_id": head["line"].str.slice(1)}
+    return pd.DataFrame({k: v.to_numpy() for k, v in out.items()} | {"seq": lines["line"].iloc[1:n:4].to_numpy(), "qual": lines["line"].iloc[3:n:4].to_numpy()})
+
+
+def fastq(spark: SparkSession, path: str) -> DataFrame:
+    """SRC3: file, ord (the order of records in their file), read_id, seq, qual; plain or compressed text.
+
+    Splits are those of the text source (one for a gzip file), and each is framed by itself. Only the records that a split's
+    end cuts are put together by file, from a second pass that returns nothing but these lines.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    loose = lines.mapInArrow(_loose_lines, "file string, start bigint, at bigint, line string")
+    return lines.mapInArrow(_whole_records, FASTQ_ROW).union(loose.groupBy("file").applyInPandas(_cut_records, FASTQ_ROW))
+
+
+#: Endings of read files, and how the names of mates differ (fixed values).
+READ_FILES = (".fq", ".fastq", ".fq.gz", ".fastq.gz", ".fq.bz2", ".fastq.bz2")
+MATE_MARKS = (("_1.", "_2."), ("_R1.", "_R2."), ("_R1_", "_R2_"), (".1.", ".2."))
+
+
+def read_files(spark: SparkSession, folder: str) -> tuple[list[tuple[str, str]], list[str]]:
+    """SRC23: the read files of a folder in order of their names: pairs of mates, and files without a mate.
 
-    Splits hold a multiple of four lines each (the only place where an RDD is used: text files have no such framing).
+    The folder is listed by Hadoop's file system, so it may be on any store that Spark reads. File names reach the driver.
     """
-    sc = spark.sparkContext
-    conf = {"mapreduce.input.lineinputformat.linespermap": str(lines_per_split // 4 * 4)}
-    base = "org.apache.hadoop"
-    lines = sc.newAPIHadoopFile(path, f"{base}.mapreduce.lib.input.NLineInputFormat", f"{base}.io.LongWritable", f"{base}.io.Text", conf=conf)
-
-    def frame(rows):
-        held, at = [], 0
-        for offset, line in rows:
-            if not held:
-                at = offset
-            held.append(line.rstrip("\r"))
-            if len(held) == 4:
-                yield at, held[0][1:], held[1], held[3]
-                held = []
-
-    return spark.createDataFrame(lines.mapPartitions(frame), "ord bigint, read_id string, seq string, qual string")
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    paths = sorted(x.getPath().toString() for x in listed if x.isFile() and x.getLen() > 0 and x.getPath().getName().endswith(READ_FILES))
+    pairs, taken = [], set()
+    for p in paths:
+        folder_, name = p.rsplit("/", 1)
+        for one, two in MATE_MARKS:
+            at = name.rfind(one)
+            mate = f"{folder_}/{name[:at]}{two}{name[at + len(one):]}"
+            if at >= 0 and mate in paths and not taken & {p, mate}:
+                pairs.append((p, mate))
+                taken |= {p, mate}
+                break
+    return pairs, [p for p in paths if p not in taken]
 
 
 def paired_fastq(spark: SparkSession, first: str, second: str) -> DataFrame:

@@ -35,21 +35,34 @@ def by_candidate(df: DataFrame, path: str, column: str = "fusion") -> None:
     df.repartition(column).write.partitionBy(column).parquet(path)
 
 
-#: Header of the VCF text (fixed values).
-VCF_HEADER = [
-    "##fileformat=VCFv4.3",
-    '##INFO=<ID=SVTYPE,Number=1,Type=String,Description="Type of structural variant">',
-    '##INFO=<ID=MATEID,Number=.,Type=String,Description="ID of mate breakends">',
-    '##INFO=<ID=SP,Number=1,Type=Integer,Description="Spanning pairs">',
-    '##INFO=<ID=SR,Number=1,Type=Integer,Description="Spanning reads">',
-    '##INFO=<ID=PUBLISHED,Number=0,Type=Flag,Description="Known from the literature">',
-    "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO",
-]
-
-
-def vcf_lines(rows: DataFrame) -> DataFrame:
+#: Keys of the INFO column (fixed values): number, type, what it tells.
+VCF_INFO = {
+    "SVTYPE": ("1", "String", "Type of structural variant"),
+    "MATEID": ("1", "String", "ID of the mate breakend"),
+    "EVENT": ("1", "String", "ID of the fusion that the breakend belongs to"),
+    "SP": ("1", "Integer", "Read pairs that span the fusion"),
+    "SR": ("1", "Integer", "Reads over the fusion junction"),
+    "FUSION": ("1", "String", "Symbols of the fused genes"),
+    "END": ("1", "String", "Side of the fusion: 5 or 3"),
+    "GENE5": ("1", "String", "Symbol of the gene on the 5 prime side"),
+    "GENE3": ("1", "String", "Symbol of the gene on the 3 prime side"),
+    "GENS5": ("1", "String", "Gene id on the 5 prime side"),
+    "GENS3": ("1", "String", "Gene id on the 3 prime side"),
+    "EFFECT": ("1", "String", "Predicted effect"),
+    "DESC": ("1", "String", "Labels of the fusion"),
+    "PUBLISHED": ("0", "Flag", "Known from the literature or from public databases"),
+    "STRAND": ("1", "String", "Strand of the gene at this breakend"),
+}
+
+
+def vcf_header(about: dict[str, str] | None = None) -> list[str]:
+    """Header lines; ``about`` gives further ones, such as fileDate, source, reference, in its order."""
+    return ["##fileformat=VCFv4.3", *[f"##{k}={v}" for k, v in (about or {}).items()], *[f'##INFO=<ID={k},Number={n},Type={t},Description="{d}">' for k, (n, t, d) in VCF_INFO.items()], "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
+
+
+def vcf_lines(rows: DataFrame, about: dict[str, str] | None = None) -> DataFrame:
     """SNK6: header and rows in order, ready for one text file."""
-    head = rows.sparkSession.createDataFrame(list(enumerate(VCF_HEADER)), "end int, value string").select(F.lit(-1).cast("bigint").alias("ord"), "end", "value")
+    head = rows.sparkSession.createDataFrame(list(enumerate(vcf_header(about))), "end int, value string").select(F.lit(-1).cast("bigint").alias("ord"), "end", "value")
     body = rows.select("ord", "end", F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "id", "ref", "alt", "qual", "filter", "info").alias("value"))
     return head.union(body).orderBy("ord", "end").select("value")
 
