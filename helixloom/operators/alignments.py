@@ -219,15 +219,25 @@ def merge_parts(parts: DataFrame, exactly_two: bool = False, absorb: int = 9, ov
     )
 
 
-def merge_sam_mates(sam: DataFrame, most_1: int = 10000, most_2: int = 10000, other_strand: bool = False) -> DataFrame:
-    """Properly paired mates of a fragment on one target, side by side: cigar_1 and cigar_2 with the gap between.
+def merge_sam_mates(sam: DataFrame, most: int = 10000, most_short: int = 10000, short: int = 20, other_strand: bool = False) -> DataFrame:
+    """Properly paired mates of a fragment on one target, side by side: frag, rname and pos, cigar, flag of each.
 
-    ``sam``: qname (.../1 or .../2), flag, rname, pos, cigar, nm.
+    ``sam``: qname (its last character tells the mates apart), flag, rname, pos, cigar, seq, nm. Flags tell the first mate. A
+    read may have ``most`` mismatches, one of at most ``short`` bases only ``most_short``. Mates must lie on one strand, or on
+    both with ``other_strand``, where the second one's strand bit is then flipped. Each CIGAR is padded by the mate's length
+    as hard-clipped bases, on the side where the mate lies.
     """
-    rows = sam.where(sam_flag("flag", 2)).withColumn("frag", F.expr("left(qname, length(qname) - 1)")).withColumn("mate", F.right("qname", F.lit(1)).cast("int")).withColumn("rev", sam_flag("flag", 16))
-    a, b = (rows.where(F.col("mate") == m).where(F.coalesce("nm", F.lit(0)) <= most).select("frag", "rname", *[F.col(c).alias(f"{c}_{m}") for c in ("pos", "cigar", "rev")]) for m, most in ((1, most_1), (2, most_2)))
+    nm, size = F.coalesce("nm", F.lit(0)), F.length("seq")
+    rows = sam.where(sam_flag("flag", 1) & sam_flag("flag", 2)).where((nm <= most) & ((size > short) | (nm <= most_short)))
+    rows = rows.select(F.expr("left(qname, length(qname) - 1)").alias("frag"), "rname", "pos", "cigar", "flag", size.alias("n"), sam_flag("flag", 16).alias("rev"), sam_flag("flag", 64).alias("first"))
+    a, b = (rows.where(F.col("first") == first).select("frag", "rname", *[F.col(c).alias(f"{c}_{m}") for c in ("pos", "cigar", "flag", "n", "rev")]) for m, first in ((1, True), (2, False)))
     same = F.col("rev_1") == F.col("rev_2")
-    return a.join(b, ["frag", "rname"]).where(~same if other_strand else same)
+    both = a.join(b, ["frag", "rname"]).where(~same if other_strand else same)
+    mate = [F.concat(F.col(f"n_{m}").cast("string"), F.lit("H")) for m in (2, 1)]
+    one = F.when(F.col("rev_1"), F.concat(mate[0], "cigar_1")).otherwise(F.concat("cigar_1", mate[0]))
+    two = F.when(F.col("rev_1"), F.concat("cigar_2", mate[1])).otherwise(F.concat(mate[1], "cigar_2"))
+    flag = F.col("flag_2").bitwiseXOR(F.lit(16)) if other_strand else F.col("flag_2")
+    return both.select("frag", "rname", "pos_1", one.alias("cigar_1"), "flag_1", "pos_2", two.alias("cigar_2"), flag.alias("flag_2"))
 
 
 def clip_points(psl: DataFrame, clip: int = 20) -> DataFrame:

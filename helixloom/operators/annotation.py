@@ -138,3 +138,8 @@ def gene_sequences(genes: DataFrame, genome: DataFrame) -> DataFrame:
     padded = F.rpad(cut, (F.col("end") - F.col("start") + 1).cast("int"), F.lit("N"))
     both = genes.join(genome, "chrom").withColumn("s", padded)
     return both.select("gene", F.when(F.col("strand").cast("string").isin("-", "-1"), reverse_complement("s", keep_n=True)).otherwise(F.col("s")).alias("seq"))
+
+
+def sequence_lengths(sequences: DataFrame) -> DataFrame:
+    """Id, length."""
+    return sequences.select("id", F.length("seq").alias("length"))

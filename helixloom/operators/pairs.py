@@ -174,15 +174,12 @@ def extract_candidates(candidates: DataFrame, threshold_pairs: int = 3, threshol
     has = lambda names: F.arrays_overlap("labels", F.array(*[F.lit(x) for x in names]))
     always = has(further)
     usual = ((F.col("n") >= threshold_pairs) & (has(allowed) | ~has(skip))) | ((F.col("n") >= known) & has(allowed))
-    accepted = (always | usual).cast("int")
-    # accepted pairs before this one: those of greater n, from a table of one row per n, and those of equal n before it
-    marked = candidates.withColumn("_ok", accepted)
-    by_n = marked.groupBy("n").agg(F.sum("_ok").alias("_per"))
-    by_n = by_n.withColumn("_over", F.coalesce(F.sum("_per").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_per")
-    inside = Window.partitionBy("n").orderBy("g_lo", "g_hi").rowsBetween(Window.unboundedPreceding, -1)
-    out = marked.join(by_n, "n").withColumn("_before", F.col("_over") + F.coalesce(F.sum("_ok").over(inside), F.lit(0)))
-    status = F.when(always | (usual & (F.col("_before") < threshold_count)), "further_analysis").otherwise("skipped")
-    return out.withColumn("status", status).drop("_ok", "_over", "_before")
+    # the last pair within the limit: one row, found by each partition's first rows alone
+    place = F.struct((-F.col("n")).alias("n"), "g_lo", "g_hi")
+    first = candidates.where(always | usual).select(place.alias("k")).orderBy("k").limit(threshold_count)
+    last = first.agg(F.when(F.count("*") >= threshold_count, F.max("k")).alias("k")).scalar()
+    within = F.coalesce(place <= last, F.lit(True)) if threshold_count > 0 else F.lit(False)
+    return candidates.withColumn("status", F.when(always | (usual & within), "further_analysis").otherwise("skipped"))
 
 
 def selected_reads(candidates: DataFrame, reads: DataFrame) -> DataFrame:

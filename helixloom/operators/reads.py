@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixloom.functions.seq import codelength, reverse_complement
+from helixloom.functions.seq import codelength, reverse_complement, zero_pad
+from helixloom.operators.ranks import with_rank
 
 
 def _both(df: DataFrame, seq: Column, qual: Column) -> DataFrame:
@@ -60,17 +63,25 @@ def clip_quality(reads: DataFrame, window: int = 4, threshold: int = 5, offset:
     return _both(rows, _cut("seq", F.lit(1), keep), _cut("qual", F.lit(1), keep)).drop("_low")
 
 
-def mask_low_quality(reads: DataFrame, mark: str = "B", replacement: str = "N", threshold: int = 0) -> DataFrame:
-    """Bases under a run of ``mark`` qualities at the end become ``replacement``, if the run is long enough."""
-    kept = F.length(F.rtrim(F.col("qual"), F.lit(mark)))
-    run = F.length("qual") - kept
-    masked = F.concat(F.substring(F.col("seq"), F.lit(1), kept), F.repeat(F.lit(replacement), run))
-    return reads.withColumn("seq", F.when(run >= max(1, threshold), masked).otherwise(F.col("seq")))
+def mask_low_quality(reads: DataFrame, mark: str = "B", replacement: str = "N", threshold: int = 0, find: bool = False) -> DataFrame:
+    """Bases under a run of ``mark`` qualities at the end become ``replacement``; with ``find`` all bases from the first
+    mark on, whose qualities become marks too. Masked reads with fewer than ``threshold`` bases before that go."""
+    first = F.instr("qual", mark)
+    kept = F.when(first > 0, first - 1).otherwise(F.length("qual")) if find else F.length(F.rtrim(F.col("qual"), F.lit(mark)))
+    rest = F.length("qual") - kept
+    masked = _both(reads, F.concat(_cut("seq", F.lit(1), kept), F.repeat(F.lit(replacement), rest)), F.concat(_cut("qual", F.lit(1), kept), F.repeat(F.lit(mark), rest)))
+    return masked if not threshold else masked.where((F.length(F.rtrim(F.col("qual"), F.lit(mark))) >= threshold) | ~F.col("qual").endswith(mark))
+
+
+def least_quality(reads: DataFrame) -> str:
+    """The least quality character of all reads, F without any (one value reaches the driver)."""
+    low = reads.where("qual <> ''").select(F.min(F.array_min(F.split("qual", ""))).alias("m")).first()["m"]
+    return low or "F"
 
 
-def pad(reads: DataFrame, size: int, base: str = "N", quality: str = "!") -> DataFrame:
-    """P5: padded or cut to one size."""
-    return _both(reads, F.rpad("seq", size, base), F.rpad("qual", size, quality))
+def pad(reads: DataFrame, size: int, base: str = "N", quality: str | None = None) -> DataFrame:
+    """P5: padded or cut to one size; qualities by ``quality``, the least one of the reads if none is given."""
+    return _both(reads, F.rpad("seq", size, base), F.rpad("qual", size, quality or least_quality(reads)))
 
 
 def windows(reads: DataFrame, width: int, step: int) -> DataFrame:
@@ -91,30 +102,53 @@ def fragment_pairs(pairs: DataFrame, width: int = 82, step: int = 60, anchors: i
     rows = pairs.select("*", F.posexplode(starts("seq_1")).alias("i", "a")).select("*", F.posexplode(starts("seq_2")).alias("j", "b"))
     rows = rows.where((F.col("i") < anchors) | (F.col("j") < anchors))
     n = F.row_number().over(Window.partitionBy("frag").orderBy("i", "j"))
-    return rows.select(F.concat(F.lpad(n.cast("string"), 2, "0"), F.lit("_"), "frag").alias("read_id"), _cut("seq_1", F.col("a") + 1, F.lit(width)).alias("seq_1"), _cut("seq_2", F.col("b") + 1, F.lit(width)).alias("seq_2"))
+    return rows.select(F.concat(zero_pad(n, 2), F.lit("_"), "frag").alias("read_id"), _cut("seq_1", F.col("a") + 1, F.lit(width)).alias("seq_1"), _cut("seq_2", F.col("b") + 1, F.lit(width)).alias("seq_2"))
 
 
 def split_at(reads: DataFrame, cuts: DataFrame, wiggle: int = 0, gap: int = 0, anchor: int = 15, reverse_second: bool = False) -> DataFrame:
     """Two parts per cut (and cuts around it within ``wiggle``, part 2 up to ``gap`` bases later): read_id __NNa / __NNb."""
     moved = reads.join(cuts, "read_id").withColumn("w", F.explode(F.sequence(F.lit(-wiggle), F.lit(wiggle)))).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(gap))))
     moved = moved.withColumn("c", F.col("cut") + F.col("w")).where((F.col("c") >= anchor) & (F.length("seq") - F.col("c") - F.col("g") >= anchor - 1))
-    n = F.lpad(F.row_number().over(Window.partitionBy("read_id").orderBy("cut", "w", "g")).cast("string"), 2, "0")
+    n = zero_pad(F.row_number().over(Window.partitionBy("read_id").orderBy("cut", "w", "g")), 2)
     moved = moved.withColumn("nn", n)
     second = _cut("seq", F.col("c") + F.col("g") + 1, F.length("seq"))
     parts = F.array(F.struct(F.lit("a").alias("x"), _cut("seq", F.lit(1), F.col("c")).alias("s")), F.struct(F.lit("b").alias("x"), (reverse_complement(second) if reverse_second else second).alias("s")))
     return moved.withColumn("p", F.explode(parts)).select(F.concat("read_id", F.lit("__"), "nn", F.col("p.x")).alias("read_id"), F.col("p.s").alias("seq"))
 
 
+def phred_format(reads: DataFrame) -> str:
+    """Sanger, solexa or illumina, by the least quality character of all reads (one number reaches the driver)."""
+    low = ord(least_quality(reads))
+    return "sanger" if low < 59 else "solexa" if low < 64 else "illumina"
+
+
 def phred_offset(reads: DataFrame) -> int:
-    """33 or 64, by the least quality character of all reads (one number reaches the driver)."""
-    low = reads.select(F.min(F.array_min(F.transform(F.split("qual", ""), lambda c: F.ascii(c)))).alias("m")).first()["m"]
-    return 33 if low is None or low < 59 else 64
+    """33 or 64, by the least quality character of all reads."""
+    return 33 if phred_format(reads) == "sanger" else 64
+
 
+#: Offset and least score of the quality formats (fixed values).
+FORMATS = {"sanger": (33, 0), "solexa": (64, -5), "illumina": (64, 0), "illumina-1.5": (64, 0)}
 
-def convert_quality(reads: DataFrame, source: int, target: int) -> DataFrame:
-    """Shifts quality characters between offsets; scores below 0 become 0."""
+
+def converted_score(score: int, source: str, target: str) -> int:
+    """A score in the scale of another format: Solexa scores are odds of an error, the others probabilities."""
+    if (source == "solexa") == (target == "solexa"):
+        return score
+    if target == "solexa":
+        return max(-5, round(10 * math.log10(10 ** (score / 10) - 1))) if score > 0 else -5
+    return round(10 * math.log10(10 ** (score / 10) + 1))
+
+
+def convert_quality(reads: DataFrame, source: str | int, target: str | int) -> DataFrame:
+    """Quality characters from one format to another (or between the offsets 33 and 64); scores below the target's least
+    become that. In illumina-1.5 the two least scores are written as B."""
+    source, target = ({33: "sanger", 64: "illumina"}.get(x, x) for x in (source, target))
+    (from_, _), (to, least) = FORMATS[source], FORMATS[target]
     chars = [chr(c) for c in range(33, 127)]
-    moved = [chr(min(126, max(target, ord(c) - source + target))) for c in chars]
+    moved = [chr(min(126, to + max(least, converted_score(ord(c) - from_, source, target)))) for c in chars]
+    if target == "illumina-1.5":
+        moved = ["B" if c in "@A" else c for c in moved]
     return reads.withColumn("qual", F.translate("qual", "".join(chars), "".join(moved)))
 
 
@@ -157,16 +191,13 @@ def drop_repeats(reads: DataFrame, threshold: float = 1.4, window: int = 24, k:
 
 
 def short_ids(reads: DataFrame) -> DataFrame:
-    """Ids by rank of the fragment in base 36, mate kept. The rank comes from range partitions: their counts are
-    added up over one row each."""
-    frags = reads.select(F.expr("left(read_id, length(read_id) - 2)").alias("frag")).distinct().repartitionByRange("frag").withColumn("p", F.spark_partition_id())
-    sizes = frags.groupBy("p").agg(F.count("*").alias("n"))
-    before = sizes.select("p", F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("o"), F.sum("n").over(Window.partitionBy()).alias("all"))
-    ranked = frags.withColumn("r", F.row_number().over(Window.partitionBy("p").orderBy("frag"))).join(F.broadcast(before), "p")
-    code = F.conv((F.col("r") + F.col("o") - 1).cast("string"), 10, 36)
-    width = F.ceil(F.log(F.col("all") + 10) / F.log(F.lit(36.0))).cast("int")
-    ids = ranked.select("frag", F.lpad(code, width, F.lit("0")).alias("code"))
-    rows = reads.withColumn("frag", F.expr("left(read_id, length(read_id) - 2)")).join(ids, "frag")
+    """Ids by rank of the fragment in base 36, mate kept; as wide as half of the reads and ten more need."""
+    frag = F.expr("left(read_id, length(read_id) - 2)")
+    total = max(1, reads.count())
+    width = max(1, math.ceil(round(math.log((total + 10) / 2, 36), 9)))
+    ranked = with_rank(reads.select(frag.alias("frag")).distinct(), "frag", "_r")
+    ids = ranked.select("frag", zero_pad(F.conv(F.col("_r").cast("string"), 10, 36), width).alias("code"))
+    rows = reads.withColumn("frag", frag).join(ids, "frag")
     return rows.withColumn("read_id", F.concat("code", F.right("read_id", F.lit(2)))).drop("frag", "code")
 
 
@@ -177,28 +208,48 @@ def simulated_reads(sequences: DataFrame, step: int = 1, gap: int = 50, length:
     return rows.select(F.concat("id", F.lit("_"), "at").alias("frag"), _cut("seq", F.col("at") + 1, F.lit(length)).alias("seq_1"), reverse_complement(_cut("seq", F.col("at") + length + gap + 1, F.lit(length))).alias("seq_2"))
 
 
-def overlap_length(a: str, b: str, most: float = 0.3, least: int = 13) -> int:
-    """Bases that mate 1's end shares with the reverse-complemented mate 2's start; 0 if there is no good overlap."""
-    x, y = (np.frombuffer(s.encode("ascii", "replace"), np.uint8) for s in (a, b))
-    for n in range(min(len(x), len(y)), least - 1, -1):
-        if np.count_nonzero(x[-n:] != y[:n]) <= most * n:
-            return n
-    return 0
+def _matrix(texts: pd.Series, width: int, fill: int) -> np.ndarray:
+    """Sequences as rows of bytes, filled to one width."""
+    data = b"".join(x.encode("ascii", "replace").ljust(width, bytes([fill])) for x in texts)
+    return np.frombuffer(data, np.uint8).reshape(len(texts), width)
+
+
+def overlap_lengths(a: pd.Series, b: pd.Series, most: float = 0.3, least: int = 13, log_reject: bool = False) -> np.ndarray:
+    """Bases that each a's end shares with its b's start, the longest overlap with at most a share ``most`` of mismatches; 0 if
+    there is none. With ``log_reject`` an overlap above 50 bases may have log2 of its length and two mismatches. All pairs
+    of equal lengths are compared at once."""
+    out = np.zeros(len(a), np.int32)
+    sizes = pd.DataFrame({"a": a.str.len().to_numpy(), "b": b.str.len().to_numpy()})
+    for (la, lb), rows in sizes.groupby(["a", "b"]).indices.items():
+        for lo in range(0, len(rows), 4096):
+            part = rows[lo : lo + 4096]
+            x, y = _matrix(a.iloc[part], la, 0), _matrix(b.iloc[part], lb, 1)
+            open_ = np.arange(len(part))
+            for n in range(min(la, lb), least - 1, -1):
+                if not len(open_):
+                    break
+                miss = (x[open_, la - n :] != y[open_, :n]).sum(1)
+                hit = miss <= most * n
+                if log_reject and n > 50:
+                    hit &= miss - 2 <= math.log2(n)
+                out[part[open_[hit]]] = n
+                open_ = open_[~hit]
+    return out
 
 
-def mate_overlaps(pairs: DataFrame, most: float = 0.3, least: int = 13) -> DataFrame:
+def mate_overlaps(pairs: DataFrame, most: float = 0.3, least: int = 13, log_reject: bool = False) -> DataFrame:
     """Adds overlap, the bases shared by seq_1 and the reverse complement of seq_2."""
 
     @F.pandas_udf("int")
     def found(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([overlap_length(x or "", y or "", most, least) for x, y in zip(a, b, strict=True)], dtype="int32")
+        return pd.Series(overlap_lengths(a.fillna(""), b.fillna(""), most, least, log_reject))
 
     return pairs.withColumn("overlap", found("seq_1", reverse_complement("seq_2")))
 
 
 def merge_mates(pairs: DataFrame, most: float = 0.1, least: int = 11) -> DataFrame:
-    """Merged sequences of overlapping mates; the others keep null."""
-    rows = mate_overlaps(pairs, most, least)
+    """Merged sequences of overlapping mates; the others keep null. Long overlaps with too many mismatches are rejected."""
+    rows = mate_overlaps(pairs, most, least, log_reject=True)
     second = reverse_complement("seq_2")
     return rows.withColumn("merged", F.when(F.col("overlap") > 0, F.concat("seq_1", F.substring(second, F.col("overlap") + 1, F.length(second)))))
 
@@ -215,10 +266,11 @@ def fragment_histogram(overlaps: DataFrame, read_length: int) -> tuple[DataFrame
 
 def adapter(pairs: DataFrame, k: int = 13, share: float = 0.0001, first: int = 3_000_000) -> str | None:
     """The most frequent k-mer that follows the overlap in mate 1 of the first ``first`` pairs (a fixed sample size of the
-    method); ties by the greater k-mer; None below the share. K-mers of at most two bases don't count."""
+    method); ties by the greater k-mer; None below the share. K-mers of at most two bases and repetitive ones (S10) don't
+    count."""
     over = mate_overlaps(pairs.orderBy("frag").limit(first))
     mers = over.where((F.col("overlap") > 0) & (F.length("seq_1") - F.col("overlap") >= k)).select(_cut("seq_1", F.col("overlap") + 1, F.lit(k)).alias("mer"))
-    good = mers.where(F.size(F.array_distinct(F.split("mer", ""))) > 2)
+    good = mers.where(F.size(F.array_distinct(F.split("mer", ""))) > 2).where(no_repeats(F.col("mer")))
     top = good.groupBy("mer").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("mer")).first()
     return top["mer"] if top and top["n"] > share * first else None
 
@@ -229,16 +281,20 @@ def trim_adapter(reads: DataFrame, adapter_seq: str, mismatches: float = 0.3, le
 
     @F.pandas_udf("int")
     def start(seqs: pd.Series) -> pd.Series:
-        out = []
-        for s in seqs:
-            x, at = np.frombuffer((s or "").encode("ascii", "replace"), np.uint8), -1
-            for i in range(max(0, len(x) - least + 1)):
-                n = min(len(pattern), len(x) - i)
-                if np.count_nonzero(x[i : i + n] != pattern[:n]) <= mismatches * n and n >= least:
-                    at = i
+        seqs = seqs.fillna("")
+        sizes = seqs.str.len().to_numpy()
+        out = sizes.astype(np.int32)
+        for size in np.unique(sizes):  # reads of one length at once
+            rows = np.flatnonzero(sizes == size)
+            x, open_ = _matrix(seqs.iloc[rows], int(size), 0), np.arange(len(rows))
+            for i in range(max(0, size - least + 1)):
+                n = min(len(pattern), size - i)
+                if not len(open_) or n < least:
                     break
-            out.append(len(x) if at < 0 else at)
-        return pd.Series(out, dtype="int32")
+                hit = (x[open_, i : i + n] != pattern[:n]).sum(1) <= mismatches * n
+                out[rows[open_[hit]]] = i
+                open_ = open_[~hit]
+        return pd.Series(out)
 
     rows = reads.withColumn("_n", start("seq"))
     short = F.col("_n") < shortest

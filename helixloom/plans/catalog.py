@@ -163,21 +163,10 @@ def gene_enlargement(spark, sf):
     return intervals.enlarge_genes(rows, chroms, 50)
 
 
-@query("""WITH direct AS (SELECT DISTINCT upper(p_name) AS sym, 'P' || CAST(p_partkey AS VARCHAR) AS gene FROM part WHERE p_partkey % 40 = 0), syn AS (SELECT DISTINCT upper(p_name) AS sym, 'Q' || CAST(p_partkey AS VARCHAR) AS gene FROM part WHERE p_partkey % 40 = 1),
-t AS (SELECT * FROM direct UNION SELECT * FROM syn WHERE sym NOT IN (SELECT sym FROM direct)),
-w AS (SELECT DISTINCT upper(a.p_name) AS s1, upper(b.p_name) AS s2 FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1 WHERE upper(a.p_name) <> upper(b.p_name))
-SELECT DISTINCT least(x.gene, y.gene) AS g_lo, greatest(x.gene, y.gene) AS g_hi FROM w JOIN t x ON w.s1 = x.sym JOIN t y ON w.s2 = y.sym WHERE x.gene <> y.gene""")
-def symbol_resolve(spark, sf):
-    p = A.table(spark, sf, "part")
-    wanted = p.select("p_partkey", F.col("p_name").alias("symbol_1")).join(p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("symbol_2")), "p_partkey")
-    tables = [p.where(f"p_partkey % 40 = {i}").select(F.concat(F.lit(c), F.col("p_partkey").cast("string")).alias("gene"), F.col("p_name").alias("symbol")) for i, c in ((0, "P"), (1, "Q"))]
-    return annot.resolve_symbols(wanted, *tables)
-
-
 @query("""WITH k AS (SELECT p_partkey AS k, upper(p_name || ' ' || CAST(p_partkey // 50 AS VARCHAR)) AS sym FROM part), direct AS (SELECT DISTINCT sym, 'P' || CAST(k AS VARCHAR) AS gene FROM k WHERE k % 2 = 0), syn AS (SELECT DISTINCT sym, 'Q' || CAST(k AS VARCHAR) AS gene FROM k WHERE k % 2 <> 0),
 t AS (SELECT * FROM direct UNION SELECT * FROM syn WHERE sym NOT IN (SELECT sym FROM direct)), w AS (SELECT DISTINCT a.sym AS s1, b.sym AS s2 FROM k a JOIN k b ON b.k = a.k + 1 WHERE a.sym <> b.sym)
 SELECT DISTINCT least(x.gene, y.gene) AS g_lo, greatest(x.gene, y.gene) AS g_hi FROM w JOIN t x ON w.s1 = x.sym JOIN t y ON w.s2 = y.sym WHERE x.gene <> y.gene""")
-def symbol_resolve_whole(spark, sf):
+def symbol_resolve(spark, sf):
     """Every row of part in one of the two tables: even keys as symbols, odd ones as synonyms; a symbol is a name with the fifty of its key."""
     p = A.table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", F.floor(F.col("p_partkey") / 50).cast("string")).alias("symbol"))
     wanted = p.toDF("p_partkey", "symbol_1").join(p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("symbol").alias("symbol_2")), "p_partkey")
@@ -233,27 +222,38 @@ def split_junction_summary(spark, sf):
     return report.split_junctions(rows, reads=2, mismatches=3, mismatches_gap=5)
 
 
-SQUISH = f"""WITH {A.REPORT}, rep AS (SELECT ord, g_1, g_2, symbol_1, symbol_2, at_1 % 10 AS pos_1, at_2 % 10 AS pos_2, CASE WHEN pairs % 3 = 0 THEN '' ELSE 'E' || CAST(pairs AS VARCHAR) END AS exon_1, CASE WHEN pairs % 3 = 0 THEN '' ELSE 'F' || CAST(pairs AS VARCHAR) END AS exon_2, pairs, reads, reads * 1000000 + at_1 AS longest FROM report),
-u AS (SELECT *, CASE WHEN ord % 2 = 0 THEN 'BOWTIE' ELSE 'BOWTIE+BLAT' END AS method FROM rep), l AS (SELECT DISTINCT least(g_1, g_2) AS g_lo, greatest(g_1, g_2) AS g_hi FROM rep),
-lab AS (SELECT *, list_concat(['known'], CASE WHEN length(g_lo) = 3 THEN ['dist10kbp', 'dist100kbp'] ELSE ['short_distance'] END) AS labels FROM l), {_pair_set_sql('common', 80)},
-m AS (SELECT u.*, labels, coalesce(n, 0) AS common_n FROM u JOIN lab ON least(u.g_1, u.g_2) = lab.g_lo AND greatest(u.g_1, u.g_2) = lab.g_hi LEFT JOIN common c ON lab.g_lo = c.g_lo AND lab.g_hi = c.g_hi WHERE u.reads >= 2 AND u.pairs >= 2),
+SQUISH = f"""WITH {A.REPORT}, rep AS (SELECT ord, g_1, g_2, CASE WHEN g_1 LIKE '%7' THEN symbol_1 || '_Locus_x' ELSE symbol_1 END AS symbol_1, symbol_2, at_1 % 10 AS pos_1, at_2 % 10 AS pos_2, CASE WHEN pairs % 3 = 0 THEN '' ELSE 'E' || CAST(pairs AS VARCHAR) END AS exon_1, CASE WHEN pairs % 3 = 0 THEN '' ELSE 'F' || CAST(pairs AS VARCHAR) END AS exon_2, pairs, reads, reads * 1000000 + at_1 AS longest FROM report),
+u AS (SELECT *, CASE WHEN ord % 2 = 0 THEN 'BOWTIE' ELSE 'BOWTIE+BLAT' END AS method FROM rep), {_pair_set_sql('common', 80)},
+m AS (SELECT u.*, coalesce(n, 0) AS common_n, length(least(g_1, g_2)) AS w FROM u LEFT JOIN common c ON least(u.g_1, u.g_2) = c.g_lo AND greatest(u.g_1, u.g_2) = c.g_hi WHERE u.reads >= 2 AND u.pairs >= 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY pos_1, pos_2, g_1, g_2 ORDER BY pairs DESC, reads DESC, longest DESC, method) AS rn FROM m),
 ms AS (SELECT pos_1, pos_2, g_1, g_2, string_agg(DISTINCT method, ';' ORDER BY method) AS methods, arg_max(exon_1, rn) FILTER (exon_1 <> '') AS x1, arg_max(exon_2, rn) FILTER (exon_1 <> '') AS x2 FROM k GROUP BY ALL)
-SELECT k.pos_1, k.pos_2, k.g_1, k.g_2, methods, CASE WHEN exon_1 <> '' THEN exon_1 ELSE coalesce(x1, '') END AS exon_1, CASE WHEN exon_1 <> '' THEN exon_2 ELSE coalesce(x2, '') END AS exon_2, pairs, reads, common_n, CASE WHEN len(labels) = 3 THEN 'known,1K<gap<10K' ELSE 'known' END AS labels
+SELECT k.pos_1, k.pos_2, k.g_1, k.g_2, CASE WHEN symbol_1 LIKE '%_Locus%' THEN replace(symbol_1, '_Locus_x', '') || '@' ELSE symbol_1 END AS symbol_1, methods, CASE WHEN exon_1 <> '' THEN exon_1 ELSE coalesce(x1, '') END AS exon_1, CASE WHEN exon_1 <> '' THEN exon_2 ELSE coalesce(x2, '') END AS exon_2, pairs, reads, common_n, CASE w WHEN 3 THEN 'known,1K<gap<10K' WHEN 2 THEN 'known,' ELSE 'known,short_distance' END AS labels
 FROM k JOIN ms USING (pos_1, pos_2, g_1, g_2) WHERE rn = 1"""
 
 
 @query(SQUISH)
 def merge_reports_squish(spark, sf):
+    """Labels by the length of a gene's name: a set of distances that is listed, one that isn't, and none."""
     exon = lambda c: F.when(F.col("pairs") % 3 == 0, "").otherwise(F.concat(F.lit(c), F.col("pairs").cast("string")))
-    rep = A.report(spark, sf).select("ord", "g_1", "g_2", "symbol_1", "symbol_2", (F.col("at_1") % 10).alias("pos_1"), (F.col("at_2") % 10).alias("pos_2"), exon("E").alias("exon_1"), exon("F").alias("exon_2"), "pairs", "reads", (F.col("reads") * 1000000 + F.col("at_1")).alias("longest"))
+    symbol = F.when(F.col("g_1").endswith("7"), F.concat("symbol_1", F.lit("_Locus_x"))).otherwise(F.col("symbol_1"))
+    rep = A.report(spark, sf).select("ord", "g_1", "g_2", symbol.alias("symbol_1"), "symbol_2", (F.col("at_1") % 10).alias("pos_1"), (F.col("at_2") % 10).alias("pos_2"), exon("E").alias("exon_1"), exon("F").alias("exon_2"), "pairs", "reads", (F.col("reads") * 1000000 + F.col("at_1")).alias("longest"))
     labels = rep.select(F.least("g_1", "g_2").alias("g_lo"), F.greatest("g_1", "g_2").alias("g_hi")).distinct()
-    labels = labels.withColumn("labels", F.when(F.length("g_lo") == 3, F.array(F.lit("known"), F.lit("dist10kbp"), F.lit("dist100kbp"))).otherwise(F.array(F.lit("known"), F.lit("short_distance"))))
+    texts = lambda *x: F.array(*map(F.lit, x))
+    size = F.length("g_lo")
+    labels = labels.withColumn("labels", F.when(size == 3, texts("known", "dist10kbp", "dist200kbp", "dist100kbp")).when(size == 2, texts("known", "short_distance", "dist10kbp", "dist100kbp")).otherwise(texts("known", "short_distance")))
     merged = report.merge_reports([(rep.where("ord % 2 = 0"), "BOWTIE"), (rep.where("ord % 2 = 1"), "BOWTIE+BLAT")], labels, _pair_set(spark, sf, 80))
-    return report.squish(merged).select("pos_1", "pos_2", "g_1", "g_2", "methods", "exon_1", "exon_2", "pairs", "reads", "common_n", F.array_join("labels", ",").alias("labels"))
+    return report.squish(merged).select("pos_1", "pos_2", "g_1", "g_2", "symbol_1", "methods", "exon_1", "exon_2", "pairs", "reads", "common_n", F.array_join("labels", ",").alias("labels"))
+
 
+#: The rows of a group one after the other, each with the list of those kept before it.
+WIGGLE_SQL = f"""WITH RECURSIVE {A.REPORT}, r AS (SELECT ord, g_1, g_2, at_1, at_2, pairs, reads, g_1 || '|' || g_2 || '|' || chrom_1 || strand_1 || '|' || chrom_2 || strand_2 AS g, list_contains(labels, 'exon-exon') AS free, row_number() OVER (PARTITION BY g_1, g_2, chrom_1, strand_1, chrom_2, strand_2 ORDER BY ord) AS k FROM report),
+t AS (SELECT g, k, ord, true AS keep, [{{'p': pairs, 'r': reads, 'x': at_1, 'y': at_2}}] AS kept FROM r WHERE k = 1
+  UNION ALL SELECT g, k, ord, NOT hit, CASE WHEN hit THEN kept ELSE list_append(kept, {{'p': pairs, 'r': reads, 'x': at_1, 'y': at_2}}) END FROM (
+    SELECT r.*, t.kept, NOT r.free AND len(list_filter(t.kept, lambda z: z.p >= r.pairs AND z.r >= r.reads AND abs(z.x - r.at_1) <= 20 AND abs(z.y - r.at_2) <= 20)) > 0 AS hit FROM t JOIN r ON r.g = t.g AND r.k = t.k + 1))
+SELECT r.ord, g_1, g_2, at_1, at_2, pairs, reads FROM r JOIN t ON r.g = t.g AND r.k = t.k WHERE t.keep"""
 
-@query()
+
+@query(WIGGLE_SQL)
 def wiggle_filter(spark, sf):
     return report.filter_wiggle(A.report(spark, sf)).select("ord", "g_1", "g_2", "at_1", "at_2", "pairs", "reads")
 
@@ -290,21 +290,41 @@ def genome_vs_transcriptome(spark, sf):
     return align.better_on_transcriptome(a.where("mate = 1").select(F.col("frag").alias("read_id"), "ord", (F.col("qty") % 4).alias("n_mism")), a.where("mate = 2").select(F.col("frag").alias("read_id"), "ord", (F.col("qty") % 3).alias("n_mism")))
 
 
-VCF_TAIL = """, n AS (SELECT *, symbol_1 || '--' || symbol_2 AS xid, count(*) OVER (PARTITION BY symbol_1, symbol_2) AS c, row_number() OVER (PARTITION BY symbol_1, symbol_2 ORDER BY ord) - 1 AS i FROM report),
-d AS (SELECT *, xid || '__5' || CASE WHEN c > 1 THEN '__' || i ELSE '' END AS id5, xid || '__3' || CASE WHEN c > 1 THEN '__' || i ELSE '' END AS id3, ';SP=' || pairs || ';SR=' || reads || CASE WHEN list_contains(labels, 'known') THEN ';PUBLISHED' ELSE '' END AS tail FROM n)
-SELECT ord, 1 AS "end", chrom_1 AS chrom, at_1 AS pos, id5 AS id, 'N' AS ref, CASE WHEN strand_2 = '+' THEN 'N[' || chrom_2 || ':' || at_2 || '[' ELSE 'N]' || chrom_2 || ':' || at_2 || ']' END AS alt, '.' AS qual, 'PASS' AS filter, 'SVTYPE=BND;MATEID=' || id3 || tail AS info FROM d
-UNION ALL SELECT ord, 2, chrom_2, at_2, id3, 'N', CASE WHEN strand_1 = '+' THEN ']' || chrom_1 || ':' || at_1 || ']N' ELSE '[' || chrom_1 || ':' || at_1 || '[N' END, '.', 'PASS', 'SVTYPE=BND;MATEID=' || id5 || tail FROM d"""
+VCF = f"""WITH {A.REPORT}, n AS (SELECT *, symbol_1 || '--' || symbol_2 AS x, row_number() OVER (ORDER BY ord) - 1 AS i, count(*) OVER (PARTITION BY symbol_1, symbol_2) AS c, CASE WHEN pairs % 9 = 0 THEN repeat('N', 20) ELSE '' END AS gap FROM report),
+d AS (SELECT *, CASE WHEN c > 1 THEN '__' || i ELSE '' END AS t, ';EVENT=' || x || CASE WHEN c > 1 THEN '__' || i ELSE '' END || CASE WHEN list_contains(labels, 'known') THEN ';PUBLISHED' ELSE '' END || ';FUSION=' || x AS a,
+  ';SR=' || reads || ';SP=' || pairs || ';GENE5=' || symbol_1 || ';GENS5=' || g_1 || ';GENE3=' || symbol_2 || ';GENS3=' || g_2 || ';EFFECT=' || CASE WHEN reads % 2 = 0 THEN 'in-frame' ELSE '' END || ';DESC=' || array_to_string(labels, ',') AS z FROM n)
+SELECT ord, 1 AS "end", chrom_1 AS chrom, at_1 AS pos, x || '__5' || t AS id, 'N' AS ref, gap || CASE WHEN strand_2 = '-' THEN 'N]' || chrom_2 || ':' || at_2 || ']' ELSE 'N[' || chrom_2 || ':' || at_2 || '[' END AS alt, '.' AS qual, 'PASS' AS filter, 'SVTYPE=BND;MATEID=' || x || '__3' || t || a || ';END=5;STRAND=' || strand_1 || z AS info FROM d
+UNION ALL SELECT ord, 2, chrom_2, at_2, x || '__3' || t, 'N', CASE WHEN strand_1 = '-' THEN ']' || chrom_1 || ':' || at_1 || ']N' ELSE '[' || chrom_1 || ':' || at_1 || '[N' END || gap, '.', 'PASS', 'SVTYPE=BND;MATEID=' || x || '__5' || t || a || ';END=3;STRAND=' || strand_2 || z FROM d"""
 
 
-@query(f"WITH {A.REPORT}{VCF_TAIL}")
+@query(VCF)
 def vcf_rows(spark, sf):
-    return report.vcf_rows(A.report(spark, sf))
+    seq = F.when(F.col("pairs") % 9 == 0, "ACGT*NNNNNNNNAC").otherwise("ACGT*ACNNNNNN")
+    return report.vcf_rows(A.report(spark, sf).withColumn("seq", seq).withColumn("effect", F.when(F.col("reads") % 2 == 0, "in-frame")))
+
+
+#: Labels by the number of pairs, beside those of the report.
+MORE_LABELS = {11: "cosmic", 13: "TCGA-normal", 17: "gtex", 19: "known_rt_circ_rna", 23: "sr1.23", 29: "gliomas", 31: "rt_circ_rna"}
+
 
+def _any(names):
+    return " OR ".join(f"contains(l, '{x}')" for x in names)
 
-@query(f"""WITH {A.REPORT}, r AS (SELECT ord, upper(symbol_1) AS a, upper(symbol_2) AS b, array_to_string(labels, ',') AS l FROM report), g AS (SELECT min(ord) AS ord, arg_min(a || '--' || b, ord) AS pair, max(CASE WHEN l LIKE '%known%' THEN 1 ELSE 0 END) AS k, max(CASE WHEN l LIKE '%readthrough%' THEN 1 ELSE 0 END) AS t, max(CASE WHEN l LIKE '%exon-exon%' THEN 1 ELSE 0 END) AS x FROM r GROUP BY least(a, b), greatest(a, b))
-SELECT ord, pair, concat_ws('; ', CASE WHEN k = 1 THEN 'already known fusion' END, CASE WHEN t = 1 THEN 'readthrough' END, CASE WHEN x = 1 THEN 'exon-exon fusion junction' END, CASE WHEN k = 0 AND t = 0 THEN 'probably novel' END) AS phrases FROM g""")
+
+@query(f"""WITH {A.REPORT}, r AS (SELECT ord, upper(symbol_1) AS a, upper(symbol_2) AS b, lower(array_to_string(list_concat(labels, CASE pairs {' '.join(f"WHEN {k} THEN ['{v}']" for k, v in MORE_LABELS.items())} ELSE [] END), ',')) AS l FROM report),
+g AS (SELECT min(ord) AS ord, arg_min(a, ord) AS a, arg_min(b, ord) AS b, bool_or({_any(report.KNOWN)}) AS k, bool_or({_any(report.DOUBTFUL)}) AS q, bool_or(l LIKE '%readthrough%') AS t, bool_or(contains(l, 'rt_circ_rna')) AS c, bool_or(l LIKE '%exon-exon%') AS x FROM r GROUP BY least(a, b), greatest(a, b)),
+p AS (SELECT DISTINCT a, b FROM r)
+SELECT ord, g.a || '--' || g.b AS pair, concat_ws('; ', CASE WHEN p.a IS NOT NULL THEN 'reciprocal fusion' END, CASE WHEN k THEN 'already known fusion' END, CASE WHEN q THEN 'probably false positive' END, CASE WHEN t THEN 'readthrough' END, CASE WHEN c THEN 'rt-circRNA' END, CASE WHEN x THEN 'exon-exon fusion junction' END, CASE WHEN NOT (k OR q OR t OR c) THEN 'probably novel fusion' END) AS phrases FROM g LEFT JOIN p ON p.a = g.b AND p.b = g.a""")
 def summary_labels(spark, sf):
-    return report.summary(A.report(spark, sf))
+    more = F.array().cast("array<string>")
+    for n, label in MORE_LABELS.items():
+        more = F.when(F.col("pairs") == n, F.array(F.lit(label))).otherwise(more)
+    return report.summary(A.report(spark, sf).withColumn("labels", F.concat("labels", more)))
+
+
+@query(f"""WITH {A.REPORT} SELECT count(DISTINCT (least(symbol_1, symbol_2), greatest(symbol_1, symbol_2))) AS genes, count(DISTINCT (symbol_1, symbol_2, chrom_1, at_1, strand_1, chrom_2, at_2, strand_2)) AS transcripts FROM report""")
+def summary_counts(spark, sf):
+    return report.summary_counts(A.report(spark, sf))
 
 
 @query(f"""WITH {A.READS}, s AS (SELECT read_id, replace(seq, 'N', 'A') AS seq, unnest(range(1, greatest(1, length(seq) - least(length(seq), 24) + 1) + 1)) AS i FROM reads), k AS (SELECT read_id, i, substr(seq, CAST(i + j AS BIGINT), 2) AS mer FROM s, range(0, 23) t(j) WHERE j + 2 <= least(length(seq), 24)),

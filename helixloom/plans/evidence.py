@@ -122,14 +122,14 @@ def quality_steps(spark, sf):
 
 
 @query(f"""WITH {A.READS}, p AS (SELECT split_part(read_id, '/', 1) AS frag, seq AS s1, reverse(seq) AS s2 FROM reads), w AS (SELECT frag, s1, s2, i, j FROM p, range(0, 20) t(i), range(0, 20) u(j) WHERE i * 8 <= greatest(0, length(s1) - 12) AND j * 8 <= greatest(0, length(s2) - 12) AND (i < 2 OR j < 2)),
-n AS (SELECT *, row_number() OVER (PARTITION BY frag ORDER BY i, j) AS k FROM w) SELECT lpad(CAST(k AS VARCHAR), 2, '0') || '_' || frag AS read_id, substr(s1, i * 8 + 1, 12) AS seq_1, substr(s2, j * 8 + 1, 12) AS seq_2 FROM n""")
+n AS (SELECT *, row_number() OVER (PARTITION BY frag ORDER BY i, j) AS k FROM w) SELECT printf('%02d', k) || '_' || frag AS read_id, substr(s1, i * 8 + 1, 12) AS seq_1, substr(s2, j * 8 + 1, 12) AS seq_2 FROM n""")
 def fragment_pairs(spark, sf):
     p = A.reads(spark, sf).select(F.split_part("read_id", F.lit("/"), F.lit(1)).alias("frag"), F.col("seq").alias("seq_1"), F.reverse("seq").alias("seq_2"))
     return reads.fragment_pairs(p, 12, 8, 2)
 
 
 @query(f"""WITH {A.READS}, c AS (SELECT read_id, seq, length(seq) // 2 + w AS c, g, row_number() OVER (PARTITION BY read_id ORDER BY w, g) AS k FROM reads, (VALUES (-1), (0), (1)) t(w), (VALUES (0), (1)) u(g) WHERE length(seq) // 2 + w >= 8 AND length(seq) - (length(seq) // 2 + w) - g >= 7)
-SELECT read_id || '__' || lpad(CAST(k AS VARCHAR), 2, '0') || x AS read_id, CASE WHEN x = 'a' THEN substr(seq, 1, c) ELSE substr(seq, c + g + 1) END AS seq FROM c, (VALUES ('a'), ('b')) t(x)""")
+SELECT read_id || '__' || printf('%02d', k) || x AS read_id, CASE WHEN x = 'a' THEN substr(seq, 1, c) ELSE substr(seq, c + g + 1) END AS seq FROM c, (VALUES ('a'), ('b')) t(x)""")
 def split_reads(spark, sf):
     r = A.reads(spark, sf)
     return reads.split_at(r, r.select("read_id", F.floor(F.length("seq") / 2).cast("int").alias("cut")), wiggle=1, gap=1, anchor=8)
@@ -162,18 +162,23 @@ def _exons(spark, sf):
     return A.reads(spark, sf).select(F.concat(F.lit("K"), (n % 200).cast("string")).alias("gene"), F.concat(F.lit("T"), (n % 400).cast("string")).alias("transcript"), F.col("read_id").alias("exon"), F.floor(n / 400).alias("rank"), "seq")
 
 
-def _exon_pairs(spark):
-    return spark.createDataFrame([(f"K{i}", f"K{i + d}") for i in range(60) for d in (0, 1)], "g_lo string, g_hi string")
+def _exon_pairs(spark, sf):
+    """Each gene with itself and with the next one; a pair whose second gene has no exons finds no partner in the joins."""
+    n = _exons(spark, sf).select(F.substring("gene", 2, 99).cast("bigint").alias("n")).distinct()
+    return n.withColumn("d", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.concat(F.lit("K"), F.col("n").cast("string")).alias("g_lo"), F.concat(F.lit("K"), (F.col("n") + F.col("d")).cast("string")).alias("g_hi"))
+
+
+ALL_GENES = "(SELECT DISTINCT CAST(substr(gene, 2) AS BIGINT) AS i FROM x) t"
 
 
-JUNCTIONS = f"""{EXONS}, pr AS (SELECT 'K' || i AS a, 'K' || (i + d) AS b FROM range(0, 60) t(i), range(0, 2) u(d)), o AS (SELECT a, b FROM pr UNION ALL SELECT b, a FROM pr WHERE a <> b),
+JUNCTIONS = f"""{EXONS}, pr AS (SELECT 'K' || i AS a, 'K' || (i + d) AS b FROM {ALL_GENES}, range(0, 2) u(d)), o AS (SELECT a, b FROM pr UNION ALL SELECT b, a FROM pr WHERE a <> b),
 j AS (SELECT x.gene AS gene_1, y.gene AS gene_2, x.gene || '-' || y.gene || ';' || x.transcript || '-' || y.transcript || ';' || x.exon || '-' || y.exon || ';rank_exon=' || x.rank || '-' || y.rank || ';length=' || length(right(x.seq, 8) || left(y.seq, 8)) || ';junction=' || length(right(x.seq, 8)) AS id, CAST(length(right(x.seq, 8)) AS INTEGER) AS junction, right(x.seq, 8) || left(y.seq, 8) AS seq
   FROM o JOIN x ON o.a = x.gene JOIN x y ON o.b = y.gene WHERE x.gene <> y.gene OR x.transcript < y.transcript OR (x.transcript = y.transcript AND x.rank < y.rank))"""
 
 
 @query(f"WITH {JUNCTIONS} SELECT * FROM j")
 def exon_exon_junctions(spark, sf):
-    return junctions.exon_exon_junctions(_exon_pairs(spark), _exons(spark, sf), 8)
+    return junctions.exon_exon_junctions(_exon_pairs(spark, sf), _exons(spark, sf), 8)
 
 
 @query(f"WITH {JUNCTIONS} SELECT gene_1, gene_2, seq, min(id) AS id, coalesce(array_to_string(list_sort(list(DISTINCT id))[2:], '|'), '') AS others FROM j GROUP BY gene_1, gene_2, seq")
@@ -186,39 +191,9 @@ def junction_sequence_index(spark, sf):
     return junctions.sequence_index(exon_exon_junctions(spark, sf))
 
 
-@query(f"WITH {EXONS}, g AS (SELECT gene, min(seq) AS seq FROM x GROUP BY gene), pr AS (SELECT 'K' || i AS a, 'K' || (i + 1) AS b FROM range(0, 60) t(i)), o AS (SELECT a, b FROM pr UNION ALL SELECT b, a FROM pr) SELECT a || '|' || b || '|' || length(p.seq) AS id, p.seq || q.seq AS seq FROM o JOIN g p ON a = p.gene JOIN g q ON b = q.gene")
-def gene_gene_junctions(spark, sf):
-    return junctions.gene_gene_junctions(_exon_pairs(spark).where("g_lo <> g_hi"), _exons(spark, sf).groupBy("gene").agg(F.min("seq").alias("seq")))
-
-
-def _all_exon_pairs(spark, sf):
-    """Each gene with itself and with the next one; a pair whose second gene has no exons finds no partner in the joins."""
-    n = _exons(spark, sf).select(F.substring("gene", 2, 99).cast("bigint").alias("n")).distinct()
-    return n.withColumn("d", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.concat(F.lit("K"), F.col("n").cast("string")).alias("g_lo"), F.concat(F.lit("K"), (F.col("n") + F.col("d")).cast("string")).alias("g_hi"))
-
-
-ALL_GENES = "(SELECT DISTINCT CAST(substr(gene, 2) AS BIGINT) AS i FROM x) t"
-ALL_JUNCTIONS = JUNCTIONS.replace("range(0, 60) t(i)", ALL_GENES)
-
-
-@query(f"WITH {ALL_JUNCTIONS} SELECT * FROM j")
-def exon_exon_junctions_whole(spark, sf):
-    return junctions.exon_exon_junctions(_all_exon_pairs(spark, sf), _exons(spark, sf), 8)
-
-
-@query(f"WITH {ALL_JUNCTIONS} SELECT gene_1, gene_2, seq, min(id) AS id, coalesce(array_to_string(list_sort(list(DISTINCT id))[2:], '|'), '') AS others FROM j GROUP BY gene_1, gene_2, seq")
-def unique_junction_sequences_whole(spark, sf):
-    return junctions.unique_sequences(exon_exon_junctions_whole(spark, sf)).select("gene_1", "gene_2", "seq", "id", "others")
-
-
-@query(f"WITH {ALL_JUNCTIONS}, f AS (SELECT id, gene_1, gene_2, min(id) OVER (PARTITION BY gene_1, gene_2, seq) AS f FROM j) SELECT id, gene_1, gene_2, CAST(dense_rank() OVER (PARTITION BY gene_1, gene_2 ORDER BY f) - 1 AS INTEGER) AS index FROM f")
-def junction_sequence_index_whole(spark, sf):
-    return junctions.sequence_index(exon_exon_junctions_whole(spark, sf))
-
-
 @query(f"WITH {EXONS}, g AS (SELECT gene, min(seq) AS seq FROM x GROUP BY gene), pr AS (SELECT 'K' || i AS a, 'K' || (i + 1) AS b FROM {ALL_GENES}), o AS (SELECT a, b FROM pr UNION ALL SELECT b, a FROM pr) SELECT a || '|' || b || '|' || length(p.seq) AS id, p.seq || q.seq AS seq FROM o JOIN g p ON a = p.gene JOIN g q ON b = q.gene")
-def gene_gene_junctions_whole(spark, sf):
-    return junctions.gene_gene_junctions(_all_exon_pairs(spark, sf).where("g_lo <> g_hi"), _exons(spark, sf).groupBy("gene").agg(F.min("seq").alias("seq")))
+def gene_gene_junctions(spark, sf):
+    return junctions.gene_gene_junctions(_exon_pairs(spark, sf).where("g_lo <> g_hi"), _exons(spark, sf).groupBy("gene").agg(F.min("seq").alias("seq")))
 
 
 @query(f"WITH {EXONS} SELECT transcript, gene, string_agg(seq, '' ORDER BY rank, exon) AS seq, string_agg(exon, ',' ORDER BY rank, exon) AS exons FROM x GROUP BY transcript, gene HAVING length(string_agg(seq, '')) > 60")
@@ -237,18 +212,32 @@ def smoothed_junctions(spark, sf):
     return report.smooth_junctions(rows).groupBy("key", "cut_1", "cut_2").agg(F.count("*").alias("n"))
 
 
-FRAMES = """f AS (SELECT 'C' || CAST(o_custkey AS VARCHAR) AS gene, 'T' || CAST(o_custkey AS VARCHAR) AS transcript, o_orderkey * 100 AS s, o_orderkey * 100 + 29 AS e, o_orderstatus = 'P' AS cds FROM orders), pt AS (SELECT o_orderkey AS id, 'C' || CAST(o_custkey AS VARCHAR) AS gene, o_orderkey * 100 + o_orderkey % 60 AS at FROM orders),
-sp AS (SELECT gene, min(s) AS lo, max(e) AS hi FROM f GROUP BY gene), h AS (SELECT pt.id, f.transcript, pt.at FROM pt JOIN f ON pt.gene = f.gene AND f.cds AND pt.at BETWEEN f.s AND f.e), n AS (SELECT h.id, h.transcript, sum(greatest(0, least(w.e, h.at) - w.s + 1)) AS n FROM h JOIN f w ON w.transcript = h.transcript AND w.cds GROUP BY ALL)
-SELECT pt.id, CASE WHEN n.id IS NOT NULL THEN 'CDS' WHEN pt.at NOT BETWEEN lo AND hi THEN 'intergenic' WHEN NOT EXISTS (SELECT 1 FROM f WHERE f.gene = pt.gene AND pt.at BETWEEN f.s AND f.e) THEN 'intronic' WHEN NOT EXISTS (SELECT 1 FROM f WHERE f.gene = pt.gene AND cds) THEN 'exonic(no-known-CDS)' ELSE 'UTR' END AS kind, coalesce(n.transcript || ':' || CAST(n.n AS BIGINT), '') AS hits FROM pt JOIN sp USING (gene) LEFT JOIN n ON n.id = pt.id"""
+#: An order is an exon of two transcripts' genes; orders in status P are coding from a base of their own on. Every eleventh
+#: point lies on another chromosome.
+FRAMES = """f AS (SELECT 'C' || CAST(o_custkey AS VARCHAR) AS gene, 'T' || CAST(o_custkey AS VARCHAR) || '_' || CAST(o_orderkey % 2 AS VARCHAR) AS tr, 'c' || CAST(o_custkey % 5 AS VARCHAR) AS chrom, CASE WHEN o_custkey % 2 = 1 THEN '-' ELSE '+' END AS strand, o_orderkey * 100 AS s, o_orderkey * 100 + 29 AS e, o_orderkey * 100 + o_orderkey % 4 AS cs, o_orderstatus = 'P' AS coding FROM orders),
+pt AS (SELECT o_orderkey AS id, 'C' || CAST(o_custkey AS VARCHAR) AS gene, CASE WHEN o_orderkey % 11 = 0 THEN 'cx' ELSE 'c' || CAST(o_custkey % 5 AS VARCHAR) END AS chrom, CASE WHEN o_custkey % 2 = 1 THEN '-' ELSE '+' END AS strand, o_orderkey * 100 + o_orderkey % 40 AS p FROM orders),
+ex AS (SELECT id, tr, p, pt.strand, sum(CASE WHEN e < p THEN e - s + 1 WHEN s <= p THEN p - s + 1 ELSE 0 END) AS upto, sum(e - s + 1) AS total, bool_or(p BETWEEN s AND e) AS hit, min(e) AS e1, max(s) AS s2 FROM pt JOIN f USING (gene, chrom) GROUP BY id, tr, p, pt.strand),
+cd AS (SELECT id, tr, sum(CASE WHEN e < p THEN e - cs + 1 WHEN cs <= p THEN p - cs + 1 ELSE 0 END) AS upto, sum(e - cs + 1) AS total, bool_or(p BETWEEN cs AND e) AS hit, max(e) AS e2, p FROM pt JOIN f USING (gene, chrom) WHERE coding GROUP BY id, tr, p),
+h AS (SELECT id, tr, ex.strand, CAST(CASE WHEN ex.strand = '+' THEN cd.upto ELSE cd.total - cd.upto + 1 END AS BIGINT) AS n, CAST(CASE WHEN ex.strand = '+' THEN ex.upto ELSE ex.total - ex.upto + 1 END AS BIGINT) AS m, CASE WHEN ex.strand = '+' THEN e2 = cd.p ELSE cd.upto = 1 END AS final FROM cd JOIN ex USING (id, tr) WHERE cd.hit AND cd.total % 3 = 0),
+k AS (SELECT id, CASE WHEN id IN (SELECT id FROM h) THEN 'CDS' WHEN id IN (SELECT id FROM cd WHERE hit AND total % 3 <> 0) THEN 'CDS(no-known-start-or-end)' WHEN id IN (SELECT id FROM ex WHERE hit) THEN CASE WHEN gene IN (SELECT gene FROM f WHERE coding) THEN 'UTR' ELSE 'exonic(no-known-CDS)' END WHEN id IN (SELECT id FROM ex WHERE e1 < p AND s2 > p) THEN 'intronic' ELSE 'intergenic' END AS kind FROM pt)"""
 
 
-@query(f"WITH {FRAMES}")
+def _frame_features(spark, sf):
+    key, cust = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    strand = F.when(F.col("o_custkey") % 2 == 1, "-").otherwise("+")
+    chrom = F.concat(F.lit("c"), (F.col("o_custkey") % 5).cast("string"))
+    o = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.concat(F.lit("C"), cust).alias("gene"), F.concat(F.lit("T"), cust, F.lit("_"), (key % 2).cast("string")).alias("transcript"), chrom.alias("chrom"), strand.alias("strand"))
+    end = (key * 100 + 29).alias("end")
+    exon = o.select("gene", "transcript", F.lit("exon").alias("feature"), "chrom", "strand", (key * 100).alias("start"), end)
+    coding = o.where("o_orderstatus = 'P'").select("gene", "transcript", F.lit("CDS"), "chrom", "strand", key * 100 + key % 4, end)
+    points = o.select(key.alias("id"), "gene", F.when(key % 11 == 0, "cx").otherwise(F.col("chrom")).alias("chrom"), (key * 100 + key % 40).alias("at"), "strand")
+    return exon.union(coding), points
+
+
+@query(f"WITH {FRAMES} SELECT k.id, kind, coalesce(string_agg(tr || ':' || n || ':' || (m - n) || CASE WHEN final THEN ':last' ELSE '' END, ';' ORDER BY tr), '') AS hits FROM k LEFT JOIN h ON h.id = k.id GROUP BY k.id, kind")
 def breakpoint_classes(spark, sf):
-    o = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("gene"), F.concat(F.lit("T"), F.col("o_custkey").cast("string")).alias("transcript"), (F.col("o_orderkey") * 100).alias("start"), (F.col("o_orderkey") * 100 + 29).alias("end"), F.lit("+").alias("strand"))
-    features = o.select("gene", "transcript", F.lit("exon").alias("feature"), "start", "end", "strand").union(o.where("o_orderstatus = 'P'").select("gene", "transcript", F.lit("CDS"), "start", "end", "strand"))
-    points = o.select(F.col("o_orderkey").alias("id"), "gene", (F.col("start") + F.col("o_orderkey") % 60).alias("at"))
-    rows = report.breakpoint_class(features, points)
-    return rows.select("id", "kind", F.array_join(F.transform("hits", lambda h: F.concat(h["transcript"], F.lit(":"), h["n"].cast("string"))), ";").alias("hits"))
+    rows = report.breakpoint_class(*_frame_features(spark, sf))
+    return rows.select("id", "kind", F.array_join(F.transform("hits", lambda h: F.concat_ws(":", h["transcript"], h["n"].cast("string"), h["utr"].cast("string"), F.when(h["last"], "last"))), ";").alias("hits"))
 
 
 @query(f"""WITH {A.ALN}, p AS (SELECT gene AS fusion, frag AS read_id FROM aln WHERE mate = 1), j AS (SELECT gene AS fusion, frag AS read_id FROM aln WHERE line % 3 = 0), u AS (SELECT fusion, read_id, 1 AS p, 0 AS j FROM p UNION ALL SELECT fusion, read_id, 0, 1 FROM j)
@@ -272,10 +261,11 @@ def short_read_labels(spark, sf):
     return out.select("g_lo", "g_hi", "n", F.array_join("labels", ",").alias("labels"))
 
 
-@query("SELECT CAST(min(o_orderkey) AS BIGINT) AS ord, o_orderpriority AS name FROM orders WHERE o_custkey % 4 <> 1 GROUP BY o_orderpriority ORDER BY 1 LIMIT 3")
+@query("SELECT CAST(min(o_orderkey) AS BIGINT) AS ord, 'Human ' || o_orderpriority || ' virus' AS name FROM orders WHERE o_custkey % 4 NOT IN (1, 2) GROUP BY o_orderpriority ORDER BY 1 LIMIT 3")
 def top_viruses(spark, sf):
-    rows = A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("ord"), (F.col("o_custkey") % 4).alias("n"), F.col("o_orderpriority").alias("name"))
-    return report.top_viruses(rows).select("ord", "name")
+    kind = F.element_at(F.array(F.lit("_virus,_complete_genome"), F.lit("_virus"), F.lit("_phage"), F.lit("_virus_complete_genome")), (F.col("o_custkey") % 4 + 1).cast("int"))
+    rows = A.table(spark, sf, "orders").select(F.col("o_orderkey").alias("ord"), (F.col("o_custkey") % 4).alias("n"), F.concat(F.lit("Human_"), "o_orderpriority", kind).alias("name"))
+    return report.top_viruses(rows)
 
 
 @query(f"""WITH {A.GENES}, b AS (SELECT DISTINCT chrom, s // 100 AS k FROM genes) SELECT gene, CASE WHEN s // 100 % 3 = 2 THEN 'not-converted' WHEN s // 100 % 2 = 0 THEN 'n' || chrom || ':' || (s // 100 * 1000 + s % 100) || ':+' ELSE 'n' || chrom || ':' || (s // 100 * 1000 + 99 - s % 100) || ':-' END AS "to" FROM genes""")
@@ -358,17 +348,12 @@ def clipped_quality(spark, sf):
     return reads.clip_quality(A.reads(spark, sf).withColumn("qual", qual)).select("read_id", "seq")
 
 
-FRAME_BODY = FRAMES.replace("SELECT pt.id, CASE", ", k AS (SELECT pt.id, n.transcript AS t, CAST(n.n AS BIGINT) AS n, CASE", 1).replace(", coalesce(n.transcript || ':' || CAST(n.n AS BIGINT), '') AS hits FROM", " FROM", 1)
-
-
-@query(f"""WITH {FRAME_BODY}), pairs AS (SELECT a.id AS ord, a.kind AS ka, b.kind AS kb, a.t AS ta, a.n AS na, b.t AS tb, b.n AS nb FROM k a JOIN k b ON b.id = a.id + 1)
-SELECT ord, CASE WHEN ka = 'CDS' AND kb = 'CDS' THEN CASE WHEN na % 3 = (nb - 1) % 3 THEN 'in-frame' ELSE 'out-of-frame' END WHEN ka = 'CDS' THEN 'CDS(truncated)/' || kb WHEN kb = 'CDS' THEN ka || '/CDS(truncated)' ELSE ka || '/' || kb END AS effect, CASE WHEN ka = 'CDS' AND kb = 'CDS' THEN ta || ':' || na || '/' || tb || ':' || nb ELSE '' END AS transcripts FROM pairs""")
+@query(f"""WITH {FRAMES}, j AS (SELECT a.id AS ord, a.kind AS ka, b.kind AS kb FROM k a JOIN k b ON b.id = a.id + 1), x AS (SELECT ord, a.tr || ':' || a.m || '/' || b.tr || ':' || b.m AS t, a.n % 3 = (b.n - 1) % 3 AS ok, a.tr AS ta, b.tr AS tb FROM j JOIN h a ON a.id = ord JOIN h b ON b.id = ord + 1),
+y AS (SELECT ord, bool_or(ok) AS ok, string_agg(t, ';' ORDER BY ta, tb) FILTER (ok) AS good, string_agg(t, ';' ORDER BY ta, tb) AS every FROM x GROUP BY ord)
+SELECT ord, CASE WHEN ka = 'CDS' AND kb = 'CDS' THEN CASE WHEN ok THEN 'in-frame' ELSE 'out-of-frame' END ELSE CASE WHEN ka = 'CDS' THEN CASE WHEN ord IN (SELECT id FROM h WHERE final) THEN 'CDS(complete)' ELSE 'CDS(truncated)' END ELSE ka END || '/' || CASE WHEN kb = 'CDS' THEN CASE WHEN ord + 1 IN (SELECT id FROM h WHERE n = 1) THEN 'CDS(complete)' ELSE 'CDS(truncated)' END ELSE kb END END AS effect, coalesce(CASE WHEN ok THEN good ELSE every END, '') AS transcripts FROM j LEFT JOIN y USING (ord)""")
 def predicted_frames(spark, sf):
-    o = A.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("gene"), F.concat(F.lit("T"), F.col("o_custkey").cast("string")).alias("transcript"), (F.col("o_orderkey") * 100).alias("start"), (F.col("o_orderkey") * 100 + 29).alias("end"), F.lit("+").alias("strand"))
-    features = o.select("gene", "transcript", F.lit("exon").alias("feature"), "start", "end", "strand").union(o.where("o_orderstatus = 'P'").select("gene", "transcript", F.lit("CDS"), "start", "end", "strand"))
-    at = F.col("start") + F.col("o_orderkey") % 60
-    first = o.select(F.col("o_orderkey").alias("ord"), F.col("gene").alias("g_1"), at.alias("at_1"))
-    second = o.select((F.col("o_orderkey") - 1).alias("ord"), F.col("gene").alias("g_2"), at.alias("at_2"))
+    features, points = _frame_features(spark, sf)
+    first, second = (points.select((F.col("id") - i).alias("ord"), *[F.col(c).alias(f"{n}_{i + 1}") for c, n in (("gene", "g"), ("chrom", "chrom"), ("at", "at"), ("strand", "strand"))]) for i in (0, 1))
     return report.predict_frame(first.join(second, "ord"), features).select("ord", "effect", "transcripts")
 
 
@@ -386,12 +371,24 @@ def repeat_free_reads(spark, sf):
     return A.reads(spark, sf).where(reads.no_repeats(F.col("seq"))).select("read_id")
 
 
-@query(f"""WITH {A.ALN}, s AS (SELECT frag, mate, gene AS rname, pos, qty AS c, 2 + CASE WHEN strand = 'N' THEN 16 ELSE 0 END AS flag, line AS nm FROM aln WHERE qty % 5 <> 0)
-SELECT CAST(a.frag AS VARCHAR) || '/' AS frag, a.rname, a.pos AS pos_1, a.c || 'M' AS cigar_1, b.pos AS pos_2, b.c || 'M' AS cigar_2, a.flag = 18 AS rev FROM s a JOIN s b ON a.frag = b.frag AND a.rname = b.rname AND a.mate = 1 AND b.mate = 2 AND a.flag = b.flag AND a.nm <= 5 AND b.nm <= 4""")
+@query(f"""WITH {A.ALN}, s AS (SELECT frag, mate, gene AS rname, pos, qty AS n, strand = 'N' AS rev, 3 + CASE WHEN strand = 'N' THEN 16 ELSE 0 END + 64 * mate AS flag FROM aln WHERE qty % 5 <> 0 AND line <= 5 AND (qty > 20 OR line <= 4)),
+p AS (SELECT a.frag, a.rname, a.pos AS pos_1, a.n AS n1, a.flag AS f1, a.rev AS r1, b.pos AS pos_2, b.n AS n2, b.flag AS f2, b.rev AS r2 FROM s a JOIN s b ON a.frag = b.frag AND a.rname = b.rname AND a.mate = 1 AND b.mate = 2)
+SELECT CAST(frag AS VARCHAR) || '/' AS frag, rname, pos_1, CASE WHEN r1 THEN n2 || 'H' || n1 || 'M' ELSE n1 || 'M' || n2 || 'H' END AS cigar_1, f1 AS flag_1, pos_2, CASE WHEN r1 THEN n2 || 'M' || n1 || 'H' ELSE n1 || 'H' || n2 || 'M' END AS cigar_2, CASE WHEN r1 = r2 THEN f2 ELSE xor(f2, 16) END AS flag_2, CASE WHEN r1 = r2 THEN 'same' ELSE 'other' END AS strands FROM p""")
 def sam_mate_merge(spark, sf):
-    flag = F.when(F.col("qty") % 5 == 0, 0).otherwise(2) + F.when(F.col("strand") == "N", 16).otherwise(0)
-    sam = A.alignments(spark, sf).select(_read_id().alias("qname"), flag.alias("flag"), F.col("gene").alias("rname"), "pos", F.concat(F.col("qty").cast("string"), F.lit("M")).alias("cigar"), F.col("line").alias("nm"))
-    return align.merge_sam_mates(sam, 5, 4).select("frag", "rname", "pos_1", "cigar_1", "pos_2", "cigar_2", F.col("rev_1").alias("rev"))
+    flag = F.when(F.col("qty") % 5 == 0, 1).otherwise(3) + F.when(F.col("strand") == "N", 16).otherwise(0) + 64 * F.col("mate")
+    sam = A.alignments(spark, sf).select(_read_id().alias("qname"), flag.alias("flag"), F.col("gene").alias("rname"), "pos", F.concat(F.col("qty").cast("string"), F.lit("M")).alias("cigar"), F.expr("repeat('A', qty)").alias("seq"), F.col("line").alias("nm"))
+    same, other = (align.merge_sam_mates(sam, 5, 4, other_strand=x).withColumn("strands", F.lit(n)) for x, n in ((False, "same"), (True, "other")))
+    return same.union(other)
+
+
+@query(f"WITH {A.READS} SELECT read_id AS id, CAST(length(seq) AS INTEGER) AS length FROM reads")
+def sequence_lengths(spark, sf):
+    return annot.sequence_lengths(A.reads(spark, sf).withColumnRenamed("read_id", "id"))
+
+
+@query()
+def shuffled_sequences(spark, sf):
+    return junctions.shuffled(A.reads(spark, sf).withColumnRenamed("read_id", "id"))
 
 
 @query("SELECT p_partkey AS ord, p_name AS seq, CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 2 END AS file FROM part")

@@ -60,7 +60,7 @@ def test_symbol_resolve_takes_every_part(spark, sf):
         tables[k % 2].setdefault(s, set()).add(f"{'PQ'[k % 2]}{k}")
     ids = lambda s: tables[0].get(s) or tables[1][s]
     want = {tuple(sorted((a, b))) for k, s in symbol.items() if symbol.get(k + 1, s) != s for a in ids(s) for b in ids(symbol[k + 1])}
-    got = [tuple(r) for r in catalog.QUERIES["symbol_resolve_whole"](spark, sf).select("g_lo", "g_hi").collect()]
+    got = [tuple(r) for r in catalog.QUERIES["symbol_resolve"](spark, sf).select("g_lo", "g_hi").collect()]
     assert len(got) == len(set(got)) and set(got) == want
     hidden = {g for s, genes in tables[1].items() if s in tables[0] for g in genes}
     paired = {k for k, s in symbol.items() if any(symbol.get(k + d, s) != s for d in (-1, 1))}
@@ -85,11 +85,28 @@ def test_junctions_take_every_gene(spark, tmp_path):
             if n != m:
                 firsts.append((f"K{n}|K{m}|{len(genes[n])}", genes[n] + genes[m]))
     run = lambda name, *cols: sorted(tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).select(*cols).collect())
-    assert run("exon_exon_junctions_whole", "gene_1", "gene_2", "id", "seq") == sorted(want)
+    assert run("exon_exon_junctions", "gene_1", "gene_2", "id", "seq") == sorted(want)
     assert {x[0] for x in want} == {f"K{n}" for n in range(200)}
     same = {}
     for a, b, i, seq in sorted(want):
         same.setdefault((a, b), {}).setdefault(seq, []).append(i)
-    assert run("unique_junction_sequences_whole", "gene_1", "gene_2", "seq", "id", "others") == sorted((*p, seq, ids[0], "|".join(ids[1:])) for p, by in same.items() for seq, ids in by.items())
-    assert run("junction_sequence_index_whole", "gene_1", "gene_2", "id", "index") == sorted((*p, i, k) for p, by in same.items() for k, ids in enumerate(sorted(by.values())) for i in ids)
-    assert run("gene_gene_junctions_whole", "id", "seq") == sorted(firsts)
+    assert run("unique_junction_sequences", "gene_1", "gene_2", "seq", "id", "others") == sorted((*p, seq, ids[0], "|".join(ids[1:])) for p, by in same.items() for seq, ids in by.items())
+    assert run("junction_sequence_index", "gene_1", "gene_2", "id", "index") == sorted((*p, i, k) for p, by in same.items() for k, ids in enumerate(sorted(by.values())) for i in ids)
+    assert run("gene_gene_junctions", "id", "seq") == sorted(firsts)
+
+
+def test_extract_goes_by_the_limit(spark):
+    from helixloom.operators import pairs
+
+    rows = [(f"A{i % 7}", f"B{i}", 1 + i % 4, ["known"] if i % 5 == 0 else ["paralog"] if i % 3 == 0 else ["further_fusion"] if i == 6 else []) for i in range(40)]
+    df = spark.createDataFrame(rows, "g_lo string, g_hi string, n int, labels array<string>")
+    for limit in (0, 1, 5, 12, 1000):
+        taken, want = 0, set()
+        for lo, hi, n, labels in sorted(rows, key=lambda r: (-r[2], r[0], r[1])):
+            usual = n >= 2 and ("known" in labels or "paralog" not in labels)
+            always = "further_fusion" in labels
+            if always or (usual and taken < limit):
+                want.add(hi)
+            taken += always or usual
+        got = pairs.extract_candidates(df, threshold_pairs=2, threshold_count=limit).where("status = 'further_analysis'")
+        assert {r.g_hi for r in got.collect()} == want, limit

@@ -1,10 +1,16 @@
+import bz2
+import gzip
 import math
+import random
 from collections import Counter
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from helixloom.functions import seq as S
 from helixloom.operators import alignments, annotation, reads, report
+from helixloom.operators.ranks import with_rank
 from helixloom.sources import readers, sinks
 
 
@@ -24,7 +30,8 @@ def test_scalars(spark):
     assert one(spark, "Actin like 3 pseudogene [Source:X] (fragment)", S.clean_description("x")) == "actin like 3"
     assert one(spark, "bcr--abl1", S.pair_symbols("x")) == ["BCR", "ABL1"]
     assert one(spark, 'gene_id "G1"; gene_name "X";', S.gtf_attributes("x")) == {"gene_id": "G1", "gene_name": "X"}
-    assert one(spark, "igh_locus", S.locus_name("x")) == "IGH@"
+    assert one(spark, "igh_locus", S.locus_name("x")) == "IGH@" and one(spark, "Igk_Locus_2", S.locus_name("x")) == "IGK@" and one(spark, "IGHM", S.locus_name("x")) == "IGHM"
+    assert one(spark, 'gene_id "G1"; tag "basic"; exon_number 3; tag "CCDS"; note "two words";', S.gtf_attributes("x")) == {"gene_id": "G1", "tag": "CCDS", "exon_number": "3"}
 
 
 def test_window_entropy():
@@ -48,12 +55,24 @@ def test_read_transformations(spark):
     assert reads.trim(r, final_size=3, end=5).first().seq == "AAA"
     assert reads.trim_poly_tails(r, least=1).first().seq == "ACGTACGT"
     assert reads.mask_low_quality(spark.createDataFrame([("a", "ACGT", "IIBB")], "read_id string, seq string, qual string")).first().seq == "ACNN"
-    assert reads.pad(r, 24).first().seq.endswith("NN")
+    two = spark.createDataFrame([("a", "ACGTA", "IBIIB"), ("b", "ACGTA", "IIIII"), ("c", "ACGTA", "IIIBB")], "read_id string, seq string, qual string")
+    assert [(x.seq, x.qual) for x in reads.mask_low_quality(two, find=True).orderBy("read_id").collect()] == [("ANNNN", "IBBBB"), ("ACGTA", "IIIII"), ("ACGNN", "IIIBB")]
+    assert [x.read_id for x in reads.mask_low_quality(two, threshold=4).orderBy("read_id").collect()] == ["a", "b"]
+    assert reads.pad(r, 24).first().seq.endswith("NN") and reads.pad(two, 7).first().qual == "IBIIBBB"
     assert [x.seq for x in reads.windows(r, 20, 1).orderBy("at").collect()] == ["NNACGTACGTAAAAAAAAAA", "NACGTACGTAAAAAAAAAAA", "ACGTACGTAAAAAAAAAAAA"]
     assert reads.clip_quality(spark.createDataFrame([("a", "ACGTACGTAC", "IIIII!!!!I")], "read_id string, seq string, qual string")).first().seq == "ACGTA"
     assert reads.convert_headers(spark.createDataFrame([("id 1:N:0", "A", "I"), ("x 1:Y:0", "A", "I")], "read_id string, seq string, qual string")).first().read_id == "id/1"
     assert reads.phred_offset(r) == 64 and reads.phred_offset(spark.createDataFrame([('a', 'AC', 'I#')], 'read_id string, seq string, qual string')) == 33
     assert reads.convert_quality(spark.createDataFrame([("a", "AC", "hB")], "read_id string, seq string, qual string"), 64, 33).first().qual == "I#"
+    odd = spark.createDataFrame([("a", "ACGTAC", ";@AJhB")], "read_id string, seq string, qual string")
+    assert reads.phred_format(odd) == "solexa" and reads.phred_offset(odd) == 64
+    # Solexa scores -5, 0, 1, 10, 40, 2 as probabilities: 1, 3, 4, 10, 40, 4
+    assert reads.convert_quality(odd, "solexa", "sanger").first().qual == "".join(chr(33 + q) for q in (1, 3, 4, 10, 40, 4))
+    assert reads.convert_quality(odd.withColumn("qual", F.lit("!\"#$+I")), "sanger", "illumina-1.5").first().qual == "BBBCJh"
+    many = reads.split_at(spark.createDataFrame([("a", "A" * 300, "I" * 300)], "read_id string, seq string, qual string"), spark.createDataFrame([("a", 150)], "read_id string, cut int"), wiggle=60)
+    assert many.select("read_id").distinct().count() == many.count() == 242 and many.where("read_id = 'a__100a'").count() == 1
+    wide = reads.fragment_pairs(spark.createDataFrame([("f", "A" * 300, "C" * 20)], "frag string, seq_1 string, seq_2 string"), 10, 2, 4)
+    assert wide.select("read_id").distinct().count() == wide.count() > 100
     cut = reads.split_at(spark.createDataFrame([("a", "A" * 20 + "C" * 20, "I" * 40)], "read_id string, seq string, qual string"), spark.createDataFrame([("a", 20)], "read_id string, cut int"))
     assert {x.read_id: x.seq for x in cut.collect()} == {"a__01a": "A" * 20, "a__01b": "C" * 20}
 
@@ -64,6 +83,16 @@ def test_mates(spark):
     p = spark.createDataFrame([("f", left, right)], "frag string, seq_1 string, seq_2 string")
     assert reads.mate_overlaps(p).first().overlap == 16
     assert reads.merge_mates(p).first().merged == left + "GGTTAACC"
+    long = "".join(random.Random(1).choices("ACGT", k=120))
+    worse = list(long)
+    for i in range(0, 110, 12):
+        worse[i] = {"A": "C", "C": "G", "G": "T", "T": "A"}[worse[i]]
+    for other, found in ((worse, 0), (worse[:60] + list(long[60:]), 120)):  # 10 and 5 mismatches; log2 of 120 and 2 are 8.9
+        pair = spark.createDataFrame([("f", long, one(spark, "".join(other), S.reverse_complement("x")))], "frag string, seq_1 string, seq_2 string")
+        assert reads.merge_mates(pair).first().overlap == found
+    texts = [("ACGTAC", "TACGG"), ("AAAA", ""), ("ACGTACGT", "ACGTACGT")]
+    plain = lambda a, b: next((n for n in range(min(len(a), len(b)), 1, -1) if sum(x != y for x, y in zip(a[-n:], b[:n], strict=True)) <= 0.3 * n), 0)
+    assert reads.overlap_lengths(pd.Series([a for a, _ in texts]), pd.Series([b for _, b in texts]), 0.3, 2).tolist() == [plain(a, b) for a, b in texts]
     made = reads.simulated_reads(spark.createDataFrame([("s", "ACGT" * 10)], "id string, seq string"), step=10, gap=5, length=10)
     assert made.count() == 2 and made.first().seq_1 == "ACGTACGTAC"
     ids = reads.short_ids(spark.createDataFrame([("y/1", "A", "I"), ("x/1", "A", "I"), ("x/2", "A", "I")], "read_id string, seq string, qual string"))
@@ -93,13 +122,55 @@ def test_split_parts_and_junctions(spark):
 
 
 def test_frames_and_effects(spark):
-    f = spark.createDataFrame([("G", "T", "exon", 1, 30, "+"), ("G", "T", "exon", 50, 80, "+"), ("G", "T", "CDS", 10, 30, "+"), ("G", "T", "CDS", 50, 60, "+")], "gene string, transcript string, feature string, start int, end int, strand string")
-    p = spark.createDataFrame([(1, "G", 12), (2, "G", 40), (3, "G", 70), (4, "G", 99), (5, "X", 1), (6, "G", 55)], "id int, gene string, at int")
+    rows = [("G", "T", "exon", 1, 30), ("G", "T", "exon", 50, 80), ("G", "T", "CDS", 10, 30), ("G", "T", "CDS", 50, 58), ("G", "U", "exon", 200, 260), ("G", "U", "CDS", 200, 260), ("N", "V", "exon", 1, 9), ("N", "V", "exon", 20, 30)]
+    f = spark.createDataFrame([(*r, c, s) for r in rows for c, s in [("1", "+")]] + [("M", "W", "exon", 1, 30, "2", "-"), ("M", "W", "CDS", 4, 15, "2", "-"), ("M", "W", "CDS", 21, 26, "2", "-"), ("M", "W", "exon", 40, 50, "2", "-")], "gene string, transcript string, feature string, start int, end int, chrom string, strand string")
+    points = [(1, "G", "1", 12, "+"), (2, "G", "1", 40, "+"), (3, "G", "1", 70, "+"), (4, "G", "1", 99, "+"), (5, "X", "1", 1, "+"), (6, "G", "1", 58, "+"), (7, "G", "1", 210, "+"), (8, "G", "2", 12, "+"), (9, "G", "1", 12, "-"), (10, "N", "1", 5, "+"), (11, "N", "1", 15, "+"), (12, "M", "2", 5, "-"), (13, "M", "2", 4, "-"), (14, "M", "2", 26, "-")]
+    p = spark.createDataFrame(points, "id int, gene string, chrom string, at int, strand string")
     got = {r.id: (r.kind, [tuple(h) for h in r.hits]) for r in report.breakpoint_class(f, p).collect()}
-    assert got == {1: ("CDS", [("T", 3)]), 2: ("intronic", []), 3: ("UTR", []), 4: ("intergenic", []), 5: ("---", []), 6: ("CDS", [("T", 27)])}
-    rows = spark.createDataFrame([("CDS", [("T", 3)], "CDS", [("U", 4)]), ("CDS", [("T", 3)], "CDS", [("U", 5)]), ("CDS", [("T", 3)], "UTR", []), ("UTR", [], "intronic", [])], "k1 string, h1 array<struct<transcript:string,n:bigint>>, k2 string, h2 array<struct<transcript:string,n:bigint>>")
+    assert got == {
+        1: ("CDS", [("T", 3, 9, False)]), 2: ("intronic", []), 3: ("UTR", []), 4: ("intergenic", []), 5: ("---", []), 6: ("CDS", [("T", 30, 9, True)]),
+        7: ("CDS(no-known-start-or-end)", []), 8: ("intergenic", []), 9: ("intergenic", []), 10: ("exonic(no-known-CDS)", []), 11: ("intronic", []),
+        # on the reverse strand places count from the end: 18 coding bases, 41 of the transcript
+        12: ("CDS", [("W", 17, 20, False)]), 13: ("CDS", [("W", 18, 20, True)]), 14: ("CDS", [("W", 1, 15, False)]),
+    }
+    hit = "array<struct<transcript:string,n:bigint,utr:bigint,last:boolean>>"
+    rows = spark.createDataFrame([("CDS", [("T", 3, 9, False)], "CDS", [("U", 4, 1, False)]), ("CDS", [("T", 3, 9, False)], "CDS", [("U", 5, 0, False)]), ("CDS", [("T", 3, 0, False)], "UTR", []), ("CDS", [("S", 1, 0, False), ("T", 3, 0, True)], "UTR", []), ("intronic", [], "CDS", [("U", 1, 0, False)]), ("intronic", [], "CDS", [("U", 2, 0, True)]), ("UTR", [], "CDS(no-known-start-or-end)", [])], f"k1 string, h1 {hit}, k2 string, h2 {hit}")
     effect, names = report.predicted_effect(F.col("k1"), F.col("h1"), F.col("k2"), F.col("h2"))
-    assert [tuple(r) for r in rows.select(effect, names).collect()] == [("in-frame", "T:3/U:4"), ("out-of-frame", "T:3/U:5"), ("CDS(truncated)/UTR", ""), ("UTR/intronic", "")]
+    assert [tuple(r) for r in rows.select(effect, names).collect()] == [("in-frame", "T:12/U:5"), ("out-of-frame", "T:12/U:5"), ("CDS(truncated)/UTR", ""), ("CDS(complete)/UTR", ""), ("intronic/CDS(complete)", ""), ("intronic/CDS(truncated)", ""), ("UTR/CDS(no-known-start-or-end)", "")]
+    fusions = spark.createDataFrame([(1, "G", "1", 12, "+", "M", "2", 26, "-"), (2, "G", "1", 12, "+", "M", "2", 25, "-"), (3, "G", "1", 40, "+", "M", "2", 26, "-")], "ord int, g_1 string, chrom_1 string, at_1 int, strand_1 string, g_2 string, chrom_2 string, at_2 int, strand_2 string")
+    seqs = spark.createDataFrame([("T", "C" * 9 + "ATG" + "G" * 50), ("W", "T" * 15 + "GCCAAATAAGGG" + "C" * 14)], "transcript string, seq string")
+    out = {r.ord: (r.effect, r.transcripts, r.proteins) for r in report.predict_frame(fusions, f, seqs).collect()}
+    assert out == {1: ("in-frame", "T:12/W:16", "MAK"), 2: ("out-of-frame", "T:12/W:17", "MPNKGPPPP"), 3: ("intronic/CDS(complete)", "", "")}
+
+
+def test_mates_of_sam_rows(spark):
+    rows = [("a/1", 67, "c", 10, "30M", 30, 1), ("a/2", 131, "c", 90, "20M", 20, 1), ("b/1", 83, "c", 10, "30M", 30, 0), ("b/2", 147, "c", 90, "20M", 20, 0), ("d/1", 67, "c", 1, "20M", 20, 2), ("d/2", 131, "c", 9, "30M", 30, 0), ("e/1", 67, "c", 1, "9M", 9, 0), ("e/2", 147, "c", 5, "8M", 8, 0), ("f/1", 65, "c", 1, "9M", 9, 0), ("f/2", 131, "c", 5, "8M", 8, 0)]
+    sam = spark.createDataFrame([(q, f, r, p, c, "A" * n, nm) for q, f, r, p, c, n, nm in rows], "qname string, flag int, rname string, pos int, cigar string, seq string, nm int")
+    got = {r.frag: (r.cigar_1, r.cigar_2, r.flag_2) for r in alignments.merge_sam_mates(sam, 3, 1).collect()}
+    assert got == {"a/": ("30M20H", "30H20M", 131), "b/": ("20H30M", "20M30H", 147)}  # d: two mismatches in a short read
+    got = {r.frag: (r.cigar_1, r.cigar_2, r.flag_2) for r in alignments.merge_sam_mates(sam, other_strand=True).collect()}
+    assert got == {"e/": ("9M8H", "9H8M", 131)}
+
+
+def test_ranks(spark):
+    for values in ([], [5], list(range(3000, 0, -1)), [x * x for x in range(500)]):
+        df = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(3)
+        got = {r.v: r.k for r in with_rank(df, "v", "k", 8).collect()}
+        assert got == {v: i for i, v in enumerate(sorted(values))}
+    r = spark.createDataFrame([(f"{i:04d}{'ab'[i % 2]}/{m}", "A", "I") for i in range(700) for m in (1, 2)], "read_id string, seq string, qual string")
+    ids = sorted(x.read_id for x in reads.short_ids(r).collect())
+    assert len(set(ids)) == 1400 and ids[0] == "00/1" and ids[-1] == "JF/2"
+
+
+def test_wiggle_of_a_hot_pair():
+    rng = random.Random(3)
+    rows = [(rng.randint(1, 6), rng.randint(1, 6), rng.randint(0, 300), rng.randint(0, 300), rng.random() < 0.1) for _ in range(3000)]
+    state, kept = report.Wiggle(20), []
+    for p, r, x, y, free in rows:
+        want = free or not any(q >= p and s >= r and abs(u - x) <= 20 and abs(v - y) <= 20 for q, s, u, v in kept)
+        assert state.keep(p, r, x, y, free) == want
+        if want:
+            kept.append((p, r, x, y))
 
 
 def test_inspect_and_smooth(spark):
@@ -125,7 +196,7 @@ def test_annotation(spark):
 
 def test_files(spark, tmp_path):
     (tmp_path / "r.fq").write_text("@a/1\nACGT\n+\n@III\n@b/1\nTT\n+\nII\n@c/1\nG\n+\n@\n")
-    got = readers.fastq(spark, str(tmp_path / "r.fq"), lines_per_split=4).orderBy("ord").collect()
+    got = readers.fastq(spark, str(tmp_path / "r.fq")).orderBy("ord").collect()
     assert [(r.read_id, r.seq, r.qual) for r in got] == [("a/1", "ACGT", "@III"), ("b/1", "TT", "II"), ("c/1", "G", "@")]
     (tmp_path / "s.fa").write_text(">a x\nAC\nGT\n>b\nTT\n")
     assert sorted(map(tuple, readers.fasta(spark, str(tmp_path / "s.fa")).collect())) == [("a", "ACGT"), ("b", "TT")]
@@ -146,3 +217,38 @@ def test_files(spark, tmp_path):
     assert readers.fasta(spark, str(tmp_path / "out")).count() == 2
     blocks = sinks.divergent_blocks(spark.createDataFrame([("a", "b"), ("a", "c"), ("d", "e")], "g_1 string, g_2 string"))
     assert sorted(map(tuple, blocks.collect())) == [("a", "b", 0), ("a", "c", 1), ("d", "e", 0)]
+
+
+@pytest.mark.parametrize("n", [20, 200, 20_000])
+def test_fastq_of_any_packing(spark, tmp_path, n):
+    rng = random.Random(n)
+    want = []
+    for i in range(n):
+        size = rng.randint(0, 60)
+        qual = "".join(rng.choice("@+!I#") for _ in range(size))
+        want.append((f"r{i} 1:N:0", "".join(rng.choice("ACGTN") for _ in range(size)), qual))
+    text = "".join(f"@{i}\n{s}\n+{i if k % 3 else ''}\n{q}\n" for k, (i, s, q) in enumerate(want)).encode()
+    files = {"p.fq": text, "g.fq.gz": gzip.compress(text), "b.fq.bz2": bz2.compress(text)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", max(50, n))
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        for name, body in files.items():
+            (tmp_path / name).write_bytes(body)
+            rows = readers.fastq(spark, str(tmp_path / name)).collect()
+            assert [(r.read_id, r.seq, r.qual) for r in sorted(rows, key=lambda r: r.ord)] == want, name
+        both = readers.fastq(spark, f"{tmp_path}/*.fq*").groupBy("file").count().collect()
+        assert sorted(r["count"] for r in both) == [n] * 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_read_files(spark, tmp_path):
+    for name in ("b_1.fq.gz", "b_2.fq.gz", "a_R1_001.fastq", "a_R2_001.fastq", "single.fq", "notes.txt", "c_1.fq", "x.1.fastq.bz2", "x.2.fastq.bz2"):
+        (tmp_path / name).write_text("@a\nA\n+\nI\n")
+    (tmp_path / "empty_1.fq").write_text("")
+    pairs, single = readers.read_files(spark, str(tmp_path))
+    base = lambda p: p.rsplit("/", 1)[1]
+    assert [tuple(map(base, p)) for p in pairs] == [("a_R1_001.fastq", "a_R2_001.fastq"), ("b_1.fq.gz", "b_2.fq.gz"), ("x.1.fastq.bz2", "x.2.fastq.bz2")]
+    assert list(map(base, single)) == ["c_1.fq", "single.fq"]
+    assert readers.paired_fastq(spark, *pairs[0]).count() == 1
