@@ -143,3 +143,33 @@ def gene_sequences(genes: DataFrame, genome: DataFrame) -> DataFrame:
 def sequence_lengths(sequences: DataFrame) -> DataFrame:
     """Id, length."""
     return sequences.select("id", F.length("seq").alias("length"))
+
+
+def pseudogene_families(symbols: DataFrame, pseudogenes: DataFrame) -> DataFrame:
+    """Families of pseudogenes by their symbols: base, mark, gene (the family's own), genes (its pseudogenes, an array).
+
+    A symbol of a pseudogene that ends in P or L and a number, or in P or L alone, belongs to the family of what is before
+    the mark, of three characters and more (CEL and CELP aren't one). A family of one symbol needs a gene of the base's
+    name; the family's own gene is that one, else the one of its first symbol. ``symbols``: gene, symbol.
+    """
+    named = symbols.select("gene", F.upper("symbol").alias("symbol"))
+    alias = named.where("symbol like 'MT-%'").withColumn("symbol", F.concat(F.lit("MT"), F.expr("substring(symbol, 4)")))
+    genes = named.union(alias).groupBy("symbol").agg(F.min("gene").alias("own"))
+    found = []
+    for mark in "PL":
+        base, rest = (F.regexp_extract("symbol", f"^(.*){mark}([^{mark}]*)$", i) for i in (1, 2))
+        rows = named.join(pseudogenes.select("gene").distinct(), "gene", "left_semi").withColumn("base", base).withColumn("rest", rest)
+        found.append(rows.where(F.length("base") > 2).where(F.col("rest").rlike("^[0-9]+$") | ((F.col("rest") == "") & (F.col("base") != "CEL"))).withColumn("mark", F.lit(mark)))
+    families = found[0].union(found[1]).groupBy("base", "mark").agg(F.min("symbol").alias("first"), F.countDistinct("symbol").alias("n"), F.array_sort(F.collect_set("gene")).alias("genes"))
+    rows = families.join(genes.toDF("base", "_base"), "base", "left").join(genes.toDF("first", "_first"), "first", "left")
+    return rows.where("n > 1 or _base is not null").select("base", "mark", F.coalesce("_base", "_first").alias("gene"), "genes")
+
+
+def shield_regions(families: DataFrame, genes: DataFrame, ribosomal: DataFrame | None = None) -> DataFrame:
+    """Chrom, start (from 0), end of the pseudogenes of all families that aren't a family's own gene, in order; without
+    mitochondrial and ribosomal ones. ``genes``: gene, chrom, start, end; swapped ends are put right."""
+    wanted = families.select(F.explode("genes").alias("gene")).distinct().join(families.select("gene").distinct(), "gene", "left_anti")
+    if ribosomal is not None:
+        wanted = wanted.join(ribosomal.select("gene").distinct(), "gene", "left_anti")
+    rows = genes.where(F.lower("chrom") != "mt").join(wanted, "gene", "left_semi")
+    return rows.select("chrom", (F.least("start", "end") - 1).alias("start"), F.greatest("start", "end").alias("end")).orderBy("chrom", "start", "end")

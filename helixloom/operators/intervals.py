@@ -102,3 +102,23 @@ def tile_genes(genes: DataFrame, length: int, step: int) -> DataFrame:
     """Windows of ``length`` every ``step`` along each gene (P27): gene, chrom, start, end."""
     starts = F.sequence(F.col("start"), F.greatest(F.col("start"), F.col("end") - length + 1), F.lit(step).cast("bigint"))
     return genes.select("gene", "chrom", "end", F.explode(starts).alias("at")).select("gene", "chrom", F.col("at").alias("start"), F.least(F.col("at") + length - 1, F.col("end")).alias("end"))
+
+
+def synthetic_exons(enlarged: DataFrame, exons: DataFrame, short: int = 200, skip: DataFrame | None = None) -> DataFrame:
+    """Gene, chrom, start, end of the exons that cover what genes gained (the result of ``enlarge_genes``).
+
+    A gene with one exon, or shorter than ``short``, gets one exon over all of it; another that grew gets one for each side
+    that grew. A gene that didn't grow gets one only if it is short and has several exons. Genes in ``skip`` get none.
+    ``exons``: gene and a row an exon.
+    """
+    counts = exons.groupBy("gene").agg(F.count("*").alias("_n"))
+    rows = enlarged.join(counts, "gene")
+    if skip is not None:
+        rows = rows.join(skip.select("gene").distinct(), "gene", "left_anti")
+    left, right = F.col("new_start") < F.col("start"), F.col("new_end") > F.col("end")
+    small = (F.col("end") - F.col("start")) < short
+    part = lambda a, b: F.struct(F.col(a).alias("start"), F.col(b).alias("end"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    sides = F.concat(F.when(left, F.array(part("new_start", "start"))).otherwise(none), F.when(right, F.array(part("end", "new_end"))).otherwise(none))
+    parts = F.when(left | right, F.when((F.col("_n") == 1) | small, F.array(part("new_start", "new_end"))).otherwise(sides)).when((F.col("_n") > 1) & small, F.array(part("start", "end"))).otherwise(none)
+    return rows.select("gene", "chrom", F.explode(parts).alias("p")).select("gene", "chrom", "p.start", "p.end")

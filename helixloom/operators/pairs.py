@@ -51,9 +51,10 @@ def pair_discovery(passing: DataFrame) -> DataFrame:
 
 
 def pair_reads(passing: DataFrame) -> DataFrame:
-    """g_lo, g_hi, n, reads: all distinct supporting fragments of a pair, as a sorted list (A2)."""
-    grouped = passing.select("g_lo", "g_hi", "frag").distinct().groupBy("g_lo", "g_hi")
-    return grouped.agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("frag")), lambda x: x.cast("string")), ",").alias("reads"))
+    """g_lo, g_hi, n, frag: all distinct supporting fragments of a pair, a row each, with their number (A2). A pair may have any
+    number of them, so they aren't gathered in one row."""
+    rows = passing.select("g_lo", "g_hi", "frag").distinct()
+    return rows.join(rows.groupBy("g_lo", "g_hi").agg(F.count("*").alias("n")), ["g_lo", "g_hi"]).select("g_lo", "g_hi", "n", "frag")
 
 
 def transcript_pairs(passing: DataFrame) -> DataFrame:

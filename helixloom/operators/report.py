@@ -44,14 +44,22 @@ def split_junctions(mappings: DataFrame, reads: int = 1, anchor2: int = 40, mism
     """Support of exact splice sites. ``mappings``: SITE columns, read_id, start, end, anchor, n_mism, seq, ord.
 
     A junction sequence with a gap (*n) has its own mismatch limit. Rows that agree in site and place count once; the
-    sequence is that of the last row. A site stays with enough unique reads or a long anchor.
+    sequence is that of the last row. A site stays with enough unique reads or a long anchor. Returns SITE, unique, longest,
+    seq, n_reads; the names of a site's reads, which may be very many, are the rows of ``split_junction_reads``.
     """
+    good = _few_mismatches(mappings, mismatches, mismatches_gap)
+    out = good.groupBy(*SITE).agg(F.countDistinct(F.struct("start", "end")).alias("unique"), F.max("anchor").alias("longest"), F.max_by("seq", F.struct("ord", "seq")).alias("seq"), F.countDistinct("read_id").alias("n_reads"))
+    return supported(out, reads, anchor2)
+
+
+def _few_mismatches(mappings: DataFrame, mismatches: int, mismatches_gap: int) -> DataFrame:
     limit = F.when(F.instr(F.lower("seq"), "*n") > 0, mismatches_gap).otherwise(mismatches)
-    good = mappings.where(F.col("n_mism") <= limit)
-    once = good.groupBy(*SITE, "start", "end").agg(F.max("anchor").alias("anchor"), F.max(F.struct("ord", "seq")).alias("last"), F.collect_set("read_id").alias("reads"))
-    out = once.groupBy(*SITE).agg(F.count("*").alias("unique"), F.max("anchor").alias("longest"), F.max("last").alias("last"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("reads")))).alias("reads"))
-    out = out.where((F.col("unique") >= reads) | (F.col("longest") >= anchor2))
-    return out.select(*SITE, "unique", "longest", F.col("last.seq").alias("seq"), F.size("reads").cast("bigint").alias("n_reads"), F.array_join("reads", ",").alias("reads"))
+    return mappings.where(F.col("n_mism") <= limit)
+
+
+def split_junction_reads(mappings: DataFrame, sites: DataFrame, mismatches: int = 2, mismatches_gap: int = 7) -> DataFrame:
+    """SITE and read_id: the reads behind the rows of ``split_junctions``, one row a read; a sink may join the names."""
+    return _few_mismatches(mappings, mismatches, mismatches_gap).select(*SITE, "read_id").distinct().join(sites.select(*SITE), SITE)
 
 
 def trimmed_coordinates(sizes: Column, starts: Column, size: int = 40, left: bool = True) -> Column:
@@ -243,6 +251,14 @@ def inspect_sequences(report: DataFrame, poly: int = 15, short: float = 1.4, lon
     return rows.withColumn("labels", F.concat("labels", *[F.coalesce(m, empty) for m in more])).drop("_s", "_a", "_l")
 
 
+def repeat_free(inspected: DataFrame, poly: bool = True, short: bool = True, long: bool = True) -> tuple[DataFrame, DataFrame]:
+    """F16: rows without the asked labels of ``inspect_sequences``, and the removed ones."""
+    names = [*([f"poly{b}" for b in "ACGT"] if poly else []), *(["short_repeats"] if short else []), *(["long_repeats"] if long else [])]
+    hit = F.arrays_overlap("labels", F.array(*map(F.lit, names))) if names else F.lit(False)
+    hit = F.coalesce(hit, F.lit(False))
+    return inspected.where(~hit), inspected.where(hit)
+
+
 def smooth_junctions(reads: DataFrame, width: int = 3) -> DataFrame:
     """Reads at cuts within ``width`` of another cut of the same pair also count there. ``reads``: key, cut_1, cut_2,
     read_id, seq_1, seq_2. A read keeps one row per cut, its own first; sequences are trimmed to the common cut."""

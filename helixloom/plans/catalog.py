@@ -44,7 +44,7 @@ def pair_discovery(spark, sf):
     return _candidates(spark, sf)
 
 
-@query(f"WITH {A.PASSING}, d AS (SELECT DISTINCT g_lo, g_hi, frag FROM passing) SELECT g_lo, g_hi, count(*) AS n, string_agg(CAST(frag AS VARCHAR), ',' ORDER BY frag) AS reads FROM d GROUP BY g_lo, g_hi")
+@query(f"WITH {A.PASSING}, d AS (SELECT DISTINCT g_lo, g_hi, frag FROM passing) SELECT g_lo, g_hi, count(*) OVER (PARTITION BY g_lo, g_hi) AS n, frag FROM d")
 def pair_reads(spark, sf):
     return pairs.pair_reads(_passing(spark, sf))
 
@@ -209,17 +209,29 @@ def exon_junction_summary(spark, sf):
     return report.junction_summary(hits)
 
 
-@query(f"""WITH {A.REPORT}, m AS (SELECT g_1 AS gene_1, g_2 AS gene_2, chrom_1, strand_1, at_1 % 50 AS pos_1, chrom_2, strand_2, at_1 % 50 AS pos_2, CAST(ord AS VARCHAR) AS read_id, at_1 % 7 AS s, at_2 % 3 AS e, pairs AS anchor, reads AS n_mism, CASE WHEN pairs % 2 = 0 THEN 'AC*N' ELSE 'AC*G' END || CAST(ord AS VARCHAR) AS seq, ord FROM report),
+SPLITS = f"""WITH {A.REPORT}, m AS (SELECT g_1 AS gene_1, g_2 AS gene_2, chrom_1, strand_1, at_1 % 50 AS pos_1, chrom_2, strand_2, at_1 % 50 AS pos_2, CAST(ord AS VARCHAR) AS read_id, at_1 % 7 AS s, at_2 % 3 AS e, pairs AS anchor, reads AS n_mism, CASE WHEN pairs % 2 = 0 THEN 'AC*N' ELSE 'AC*G' END || CAST(ord AS VARCHAR) AS seq, ord FROM report),
 g AS (SELECT * FROM m WHERE n_mism <= CASE WHEN seq LIKE '%*N%' THEN 5 ELSE 3 END),
 o AS (SELECT gene_1, gene_2, chrom_1, strand_1, pos_1, chrom_2, strand_2, pos_2, s, e, max(anchor) AS anchor FROM g GROUP BY ALL),
-u AS (SELECT gene_1, gene_2, chrom_1, strand_1, pos_1, chrom_2, strand_2, pos_2, count(*) AS "unique", max(anchor) AS longest FROM o GROUP BY ALL),
-r AS (SELECT gene_1, gene_2, chrom_1, strand_1, pos_1, chrom_2, strand_2, pos_2, arg_max(seq, (ord, seq)) AS seq, count(DISTINCT read_id) AS n_reads, string_agg(DISTINCT read_id, ',' ORDER BY read_id) AS reads FROM g GROUP BY ALL)
-SELECT * FROM u JOIN r USING (gene_1, gene_2, chrom_1, strand_1, pos_1, chrom_2, strand_2, pos_2) WHERE "unique" >= 2 OR longest >= 40""")
-def split_junction_summary(spark, sf):
+u AS (SELECT gene_1, gene_2, chrom_1, strand_1, pos_1, chrom_2, strand_2, pos_2, count(*) AS "unique", max(anchor) AS longest FROM o GROUP BY ALL HAVING count(*) >= 2 OR max(anchor) >= 40),
+r AS (SELECT gene_1, gene_2, chrom_1, strand_1, pos_1, chrom_2, strand_2, pos_2, arg_max(seq, (ord, seq)) AS seq, count(DISTINCT read_id) AS n_reads FROM g GROUP BY ALL)"""
+SITE = ", ".join(report.SITE)
+
+
+def _split_mappings(spark, sf):
     r = A.report(spark, sf)
     seq = F.concat(F.when(F.col("pairs") % 2 == 0, "AC*N").otherwise("AC*G"), F.col("ord").cast("string"))
-    rows = r.select(F.col("g_1").alias("gene_1"), F.col("g_2").alias("gene_2"), "chrom_1", "strand_1", (F.col("at_1") % 50).alias("pos_1"), "chrom_2", "strand_2", (F.col("at_1") % 50).alias("pos_2"), F.col("ord").cast("string").alias("read_id"), (F.col("at_1") % 7).alias("start"), (F.col("at_2") % 3).alias("end"), F.col("pairs").alias("anchor"), F.col("reads").alias("n_mism"), seq.alias("seq"), "ord")
-    return report.split_junctions(rows, reads=2, mismatches=3, mismatches_gap=5)
+    return r.select(F.col("g_1").alias("gene_1"), F.col("g_2").alias("gene_2"), "chrom_1", "strand_1", (F.col("at_1") % 50).alias("pos_1"), "chrom_2", "strand_2", (F.col("at_1") % 50).alias("pos_2"), F.col("ord").cast("string").alias("read_id"), (F.col("at_1") % 7).alias("start"), (F.col("at_2") % 3).alias("end"), F.col("pairs").alias("anchor"), F.col("reads").alias("n_mism"), seq.alias("seq"), "ord")
+
+
+@query(f"{SPLITS} SELECT * FROM u JOIN r USING ({SITE})")
+def split_junction_summary(spark, sf):
+    return report.split_junctions(_split_mappings(spark, sf), reads=2, mismatches=3, mismatches_gap=5)
+
+
+@query(f"{SPLITS} SELECT DISTINCT {SITE}, read_id FROM g JOIN u USING ({SITE})")
+def split_junction_reads(spark, sf):
+    rows = _split_mappings(spark, sf)
+    return report.split_junction_reads(rows, report.split_junctions(rows, reads=2, mismatches=3, mismatches_gap=5), 3, 5)
 
 
 SQUISH = f"""WITH {A.REPORT}, rep AS (SELECT ord, g_1, g_2, CASE WHEN g_1 LIKE '%7' THEN symbol_1 || '_Locus_x' ELSE symbol_1 END AS symbol_1, symbol_2, at_1 % 10 AS pos_1, at_2 % 10 AS pos_2, CASE WHEN pairs % 3 = 0 THEN '' ELSE 'E' || CAST(pairs AS VARCHAR) END AS exon_1, CASE WHEN pairs % 3 = 0 THEN '' ELSE 'F' || CAST(pairs AS VARCHAR) END AS exon_2, pairs, reads, reads * 1000000 + at_1 AS longest FROM report),

@@ -450,3 +450,40 @@ def incomplete_pairs(spark, sf):
     r = A.alignments(spark, sf).select(_read_id().alias("read_id"), "ord")
     keep = r.select(F.expr("left(read_id, length(read_id) - 2)").alias("frag")).where("frag like '%7'").distinct()
     return reads.drop_complete_pairs(r, keep)
+
+
+GENE_EXONS = """x AS (SELECT 'C' || CAST(o_custkey AS VARCHAR) AS gene, o_custkey % 2 = 1 AS up, o_orderkey * 10 AS s, o_orderkey * 10 + 4 + o_orderkey % 5 AS e FROM orders), g AS (SELECT gene, min(s) AS gs, max(e) AS ge FROM x GROUP BY gene)"""
+
+
+def _gene_exons(spark, sf):
+    rows = A.table(spark, sf, "orders").select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("gene"), F.when(F.col("o_custkey") % 2 == 1, 1).otherwise(-1).alias("strand"), (F.col("o_orderkey") * 10).alias("exon_start"), (F.col("o_orderkey") * 10 + 4 + F.col("o_orderkey") % 5).alias("exon_end"))
+    return rows.join(rows.groupBy("gene").agg(F.min("exon_start").alias("gene_start"), F.max("exon_end").alias("gene_end")), "gene")
+
+
+@query(f"""WITH {GENE_EXONS}, p AS (SELECT DISTINCT gene, ge - gs + 1 AS n, CASE WHEN up THEN s - gs + 1 ELSE ge - e + 1 END AS f, CASE WHEN up THEN e - gs + 1 ELSE ge - s + 1 END AS l FROM x JOIN g USING (gene)),
+c AS (SELECT DISTINCT CAST(substr(gene, 2) AS BIGINT) AS k FROM x), o AS (SELECT 'C' || k AS a, 'C' || (k + 1) AS b FROM c UNION ALL SELECT 'C' || (k + 1), 'C' || k FROM c)
+SELECT DISTINCT a || '|' || b || '|' || x1.n AS id, x1.l - 1 AS "left", x1.n + x2.f - 1 AS "right", '+' AS strand FROM o JOIN p x1 ON x1.gene = a JOIN p x2 ON x2.gene = b""")
+def junction_candidates(spark, sf):
+    exons = _gene_exons(spark, sf)
+    n = F.expr("cast(substring(gene, 2) as bigint)")
+    return junctions.junction_candidates(exons.select(F.col("gene").alias("g_lo"), F.concat(F.lit("C"), (n + 1).cast("string")).alias("g_hi")).distinct(), exons)
+
+
+@query(f"""WITH {A.GENES}, w AS (SELECT gene, chrom, s, e, 1 + s % 3 AS n, s - CASE s % 2 WHEN 0 THEN 7 ELSE 0 END AS a, e + CASE WHEN s % 5 > 1 THEN 9 ELSE 0 END AS b FROM genes),
+k AS (SELECT *, a < s OR b > e AS grown, e - s < 40 AS small FROM w)
+SELECT gene, chrom, a AS "start", b AS "end" FROM k WHERE grown AND (n = 1 OR small) UNION ALL SELECT gene, chrom, a, s FROM k WHERE n > 1 AND NOT small AND a < s UNION ALL SELECT gene, chrom, e, b FROM k WHERE n > 1 AND NOT small AND b > e UNION ALL SELECT gene, chrom, s, e FROM k WHERE NOT grown AND n > 1 AND small""")
+def synthetic_exons(spark, sf):
+    g = A.genes(spark, sf)
+    s = F.col("start")
+    grown = g.select("gene", "chrom", "start", "end", (s - F.when(s % 2 == 0, 7).otherwise(0)).alias("new_start"), (F.col("end") + F.when(s % 5 > 1, 9).otherwise(0)).alias("new_end"))
+    return intervals.synthetic_exons(grown, g.select("gene", F.explode(F.sequence(F.lit(1), 1 + s % 3)).alias("exon")), 40)
+
+
+@query("""WITH s AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS gene, 'GEN' || CAST(p_partkey % 50 AS VARCHAR) || CASE p_partkey % 4 WHEN 0 THEN 'P' WHEN 1 THEN 'P' || CAST(p_size AS VARCHAR) WHEN 2 THEN 'L' || CAST(p_size AS VARCHAR) ELSE '' END AS sym, p_partkey % 3 <> 0 AS pseudo FROM part), own AS (SELECT sym, min(gene) AS own FROM s GROUP BY sym),
+f AS (SELECT regexp_extract(sym, '^(GEN[0-9]+)([PL])([0-9]*)$', 1) AS base, regexp_extract(sym, '^(GEN[0-9]+)([PL])([0-9]*)$', 2) AS mark, min(sym) AS first, count(DISTINCT sym) AS n, string_agg(DISTINCT gene, ',' ORDER BY gene) AS genes FROM s WHERE pseudo AND sym SIMILAR TO 'GEN[0-9]+[PL][0-9]*' GROUP BY 1, 2)
+SELECT f.base, f.mark, coalesce(a.own, b.own) AS gene, genes FROM f LEFT JOIN own a ON a.sym = f.base LEFT JOIN own b ON b.sym = f.first WHERE n > 1 OR a.own IS NOT NULL""")
+def pseudogene_families(spark, sf):
+    key, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    tail = F.when(key % 4 == 0, "P").when(key % 4 == 1, F.concat(F.lit("P"), size)).when(key % 4 == 2, F.concat(F.lit("L"), size)).otherwise("")
+    p = A.table(spark, sf, "part").select(F.concat(F.lit("P"), key.cast("string")).alias("gene"), F.concat(F.lit("gen"), (key % 50).cast("string"), tail).alias("symbol"), (key % 3 != 0).alias("pseudo"))
+    return annot.pseudogene_families(p, p.where("pseudo")).withColumn("genes", F.array_join("genes", ","))

@@ -242,12 +242,15 @@ def dump_schema(ddl: str, table: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def fusion_pairs(spark: SparkSession, path: str, column: int, header: bool = True) -> DataFrame:
-    """SRC18: symbol_1, symbol_2 out of a column of names such as A--B, A::B or A->B."""
+def fusion_pairs(spark: SparkSession, path: str, column: int, header: bool = True, csv: bool = False, several: str | None = None) -> DataFrame:
+    """SRC18: symbol_1, symbol_2 out of a column of names such as A--B, A::B or A->B; of a comma-separated file with quotes if
+    ``csv``, and of each part of the column between ``several`` (a pattern) if given."""
     from helixloom.functions.seq import pair_symbols
 
-    rows = tsv(spark, path, header=header)
-    names = pair_symbols(F.col(rows.columns[column]))
+    rows = spark.read.option("header", header).option("escape", '"').csv(path) if csv else tsv(spark, path, header=header)
+    name = F.col(rows.columns[column])
+    rows = rows.select((F.explode(F.split(name, several)) if several else name).alias("n"))
+    names = pair_symbols("n")
     return rows.select(names.alias("p")).where("size(p) = 2 and p[0] <> '' and p[1] <> '' and p[0] <> p[1]").select(F.least(F.col("p")[0], F.col("p")[1]).alias("symbol_1"), F.greatest(F.col("p")[0], F.col("p")[1]).alias("symbol_2")).distinct()
 
 
@@ -261,6 +264,45 @@ def counted_pairs(spark: SparkSession, path: str, name_column: int, count_column
     return p.select(F.least(F.col("p")[0], F.col("p")[1]).alias("symbol_1"), F.greatest(F.col("p")[0], F.col("p")[1]).alias("symbol_2")).distinct()
 
 
+def translocation_pairs(rows: DataFrame, column: str) -> DataFrame:
+    """SRC18: symbol_1, symbol_2 out of names such as A{T1.1}:r.1_142_B{T2.3}:r.444_3097. Of a name with two different parts
+    their symbols make a pair, of one with more all parts of different transcripts do; a symbol makes none with itself."""
+    parts = F.filter(F.split(F.upper(F.col(column)), ":"), lambda x: x.endswith("}"))
+    bare = F.transform(parts, lambda x: F.split(F.substring(x, F.lit(1), F.length(x) - 1), r"\{"))
+    told = F.array_distinct(F.transform(bare, lambda x: F.struct(F.element_at(F.split(F.element_at(x, 1), "_"), -1).alias("s"), F.element_at(x, -1).alias("t"))))
+    named = rows.select(told.alias("p")).where("size(p) > 1")
+    pairs = named.select("p", F.posexplode("p").alias("i", "a")).select("a", F.explode(F.slice("p", F.col("i") + 2, F.size("p"))).alias("b"), F.size("p").alias("n"))
+    pairs = pairs.where("(n = 2 or a.t <> b.t) and a.s <> b.s")
+    return pairs.select(F.least("a.s", "b.s").alias("symbol_1"), F.greatest("a.s", "b.s").alias("symbol_2")).distinct()
+
+
+#: Names of receptor loci that get @, first parts of symbols with a dash, and corrected symbols (fixed values).
+LOCI = ("IGH", "IGL", "IGK", "TRA", "TRB")
+DASHED = ("HLA", "NKX2")
+CORRECTED = {"SEC16A1": "SEC16A", "NKX2": "NKX2-1"}
+
+
+def alteration_pairs(rows: DataFrame, column: str) -> DataFrame:
+    """SRC18: symbol_1, symbol_2 out of alterations such as A-B Fusion. A symbol may have a dash itself if it begins with a part
+    of DASHED; names of three parts without one are left out."""
+    p = F.split(F.translate(F.regexp_replace(F.upper(F.col(column)), " FUSION.*$", ""), "?", "-"), "-")
+    at = lambda i: F.trim(F.get(p, F.lit(i)))
+    joined = lambda i, j: F.concat_ws("-", at(i), at(j))
+    two = F.size(p) == 2
+    first, second = F.get(p, F.lit(0)).isin(*DASHED), F.get(p, F.lit(1)).isin(*DASHED)
+    a = F.when(two, at(0)).when(first, joined(0, 1)).when(second, joined(1, 2))
+    b = F.when(two, at(1)).when(first, at(2)).when(second, at(0))
+
+    def corrected(x):
+        out = F.when(x.isin(*LOCI), F.concat(x, F.lit("@")))
+        for wrong, right in CORRECTED.items():
+            out = out.when(x == wrong, right)
+        return out.otherwise(x)
+
+    named = rows.where(F.col(column).endswith("usion")).where(F.size(p).isin(2, 3)).select(corrected(a).alias("a"), corrected(b).alias("b")).where("a is not null")
+    return named.select(F.least("a", "b").alias("symbol_1"), F.greatest("a", "b").alias("symbol_2")).distinct()
+
+
 def duplicate_groups(groups_table: DataFrame) -> DataFrame:
     """SRC18: all pairs inside the groups of duplicated genes (group, gene)."""
     a, b = groups_table.select("group", F.col("gene").alias("g_lo")), groups_table.select("group", F.col("gene").alias("g_hi"))

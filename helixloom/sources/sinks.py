@@ -30,9 +30,12 @@ def fastq(df: DataFrame, path: str) -> None:
     df.select(F.concat(F.lit("@"), "read_id", F.lit("\n"), "seq", F.lit("\n+\n"), "qual").alias("value")).write.text(path)
 
 
-def by_candidate(df: DataFrame, path: str, column: str = "fusion") -> None:
-    """SNK4, R10: one folder per candidate."""
-    df.repartition(column).write.partitionBy(column).parquet(path)
+def by_candidate(df: DataFrame, path: str, column: str = "fusion", listing: str | None = None) -> None:
+    """SNK4, R10: one folder per candidate; the candidates' names as a text file ``listing`` if given. A hot candidate's rows are
+    written by several tasks."""
+    df.write.partitionBy(column).parquet(path)
+    if listing:
+        df.select(F.col(column).cast("string")).distinct().orderBy(column).coalesce(1).write.text(listing)
 
 
 #: Keys of the INFO column (fixed values): number, type, what it tells.

@@ -182,6 +182,24 @@ def test_inspect_and_smooth(spark):
     assert got == {(100, "a"): "AAAA", (100, "b"): "AAAA", (102, "b"): "AAAAAA", (102, "a"): "AAAA"}
 
 
+def test_repeat_free(spark):
+    rows = spark.createDataFrame([(1, []), (2, ["polyA", "x"]), (3, ["short_repeats"]), (4, ["long_repeats"])], "i int, labels array<string>")
+    ids = lambda df: sorted(r.i for r in df.collect())
+    kept, gone = report.repeat_free(rows)
+    assert (ids(kept), ids(gone)) == ([1], [2, 3, 4])
+    assert ids(report.repeat_free(rows, long=False)[0]) == [1, 4] and ids(report.repeat_free(rows, False, False, False)[1]) == []
+
+
+def test_shield_regions(spark):
+    symbols = spark.createDataFrame([("g1", "ABC"), ("g2", "ABCP1"), ("g3", "ABCP2"), ("g4", "XYZP"), ("g5", "CELP"), ("g6", "RPL5"), ("g7", "CEL"), ("g8", "QQQP7")], "gene string, symbol string")
+    pseudo = symbols.where("gene in ('g2', 'g3', 'g4', 'g5', 'g8')").select("gene")
+    families = annotation.pseudogene_families(symbols, pseudo)
+    assert {(r.base, r.gene, tuple(r.genes)) for r in families.collect()} == {("ABC", "g1", ("g2", "g3"))}
+    genes = spark.createDataFrame([("g2", "2", 50, 10), ("g3", "1", 5, 9), ("g4", "1", 7, 8)], "gene string, chrom string, start int, end int")
+    assert [tuple(r) for r in annotation.shield_regions(families, genes).collect()] == [("1", 4, 9), ("2", 9, 50)]
+    assert [r.chrom for r in annotation.shield_regions(families, genes, symbols.where("gene = 'g3'")).collect()] == ["2"]
+
+
 def test_annotation(spark):
     seqs = spark.createDataFrame([("e1", "AC" * 50), ("e2", "GT" * 50)], "id string, seq string")
     exons = spark.createDataFrame([("t", "g", "e2", 2, 1, 100), ("t", "g", "e1", 1, 1, 100)], "transcript string, gene string, exon string, rank int, exon_start int, exon_end int")
@@ -211,6 +229,12 @@ def test_files(spark, tmp_path):
     assert (m.frag, m.mate, m.transcript, m.gene, m.n_mism) == ("f", 1, "T", "G", 1)
     (tmp_path / "l.tsv").write_text("n\tc\nA--B|C--D\t7\nE--F\t1\n")
     assert sorted(map(tuple, readers.counted_pairs(spark, str(tmp_path / "l.tsv"), 0, 1).collect())) == [("A", "B"), ("C", "D")]
+    (tmp_path / "q.csv").write_text('id,name,x\n1,"a, b",A::B\n2,"c ""d""",C::D::E\n')
+    assert sorted(map(tuple, readers.fusion_pairs(spark, str(tmp_path / "q.csv"), 2, csv=True).collect())) == [("A", "B")]
+    named = spark.createDataFrame([("TMPRSS2{NM_1.2}:r.1_142_ERG{NM_2.3}:r.444_3097",), ("A{T1}:r.1_2_B{T2}:r.3_4_A{T3}:r.5_6",), ("A{T1}:r.1_2",), ("A{T1}:r.1_A{T4}:r.2",)], "n string")
+    assert sorted(map(tuple, readers.translocation_pairs(named, "n").collect())) == [("A", "B"), ("ERG", "TMPRSS2")]
+    told = spark.createDataFrame([("ALK-EML4 Fusion",), ("IGH?MYC Fusion",), ("HLA-A-ROS1 Fusion",), ("BCR-HLA-B fusion",), ("X-Y-Z Fusion",), ("V600E",), ("SEC16A1-NOTCH1 Fusion",)], "n string")
+    assert sorted(map(tuple, readers.alteration_pairs(told, "n").collect())) == [("ALK", "EML4"), ("BCR", "HLA-B"), ("HLA-A", "ROS1"), ("IGH@", "MYC"), ("NOTCH1", "SEC16A")]
     assert readers.dump_schema("CREATE TABLE `gene` (\n  `id` int,\n  `name` text,\n  KEY `id` (`id`)\n) ENGINE=x;", "gene").names == ["id", "name"]
     assert readers.configuration("[paths]\na = /x # note\n") == {"paths": {"a": "/x"}}
     sinks.fasta(readers.fasta(spark, str(tmp_path / "s.fa")), str(tmp_path / "out"))
