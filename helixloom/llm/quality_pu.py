@@ -3,9 +3,12 @@
 A small network is trained in numpy on trusted positives and unlabelled web text by minimising the non-negative unbiased
 risk (Kiryo et al. 2017): with class prior p, loss l, R = p R_P(+) + max(0, R_U(-) - p R_P(-)); when the difference turns
 negative the step goes against it. The prior is estimated from a first classifier of positives against unlabelled text:
-the least ratio of the shares of unlabelled and of positive held-back rows above a threshold, with a confidence margin.
+the least ratio of the shares of all texts and of held-back positives above a threshold, with a confidence margin.
 A logistic calibration on labelled rows turns the output into a probability.
 
+Networks are trained on bounded samples; what describes the corpus covers all of its texts: means and deviations of the
+features come from one pass, the shares above the thresholds from another.
+
 Features are computed for whole texts from their bytes: frequencies of pairs of neighbouring byte classes, and shares of
 distinct, of most frequent and of repeated words, lengths of words and lines.
 """
@@ -153,20 +156,21 @@ def train_plain(net: Net, x: np.ndarray, y: np.ndarray, epochs: int = 25, batch:
             adam.move(net.gradients(x[i], d.astype(np.float32)))
 
 
-def estimated_prior(pos: np.ndarray, unl: np.ndarray, mean: np.ndarray, scale: np.ndarray, seed: int = 4) -> float:
-    """Share of positives in unlabelled text; the half that the classifier didn't see is compared."""
+def estimated_prior(pos: np.ndarray, unl: np.ndarray, mean: np.ndarray, scale: np.ndarray, above=None, seed: int = 4) -> float:
+    """Share of positives in unlabelled text, from a classifier of every other row. ``above`` (network, thresholds) counts the
+    corpus: how many texts reach each threshold, and all texts; without it the other unlabelled rows stand for the corpus."""
     net = Net(seed, mean, scale)
     train_plain(net, np.concatenate((pos[::2], unl[::2])), np.concatenate((np.ones(len(pos[::2])), np.zeros(len(unl[::2])))))
     p, u = np.sort(net.margin(pos[1::2])), np.sort(net.margin(unl[1::2]))
     if not len(p) or not len(u):
         return 0.5
-    best, bound = 1.0, np.inf
-    for t in np.quantile(p, np.linspace(0, 0.95, 96)):
-        qp, qu = 1 - np.searchsorted(p, t) / len(p), 1 - np.searchsorted(u, t) / len(u)
-        width = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(p)) + 1 / np.sqrt(len(u)))
-        if qp > 0 and (qu + width) / qp < bound:
-            best, bound = qu / qp, (qu + width) / qp
-    return float(np.clip(best, 0.05, 0.98))
+    steps = np.quantile(p, np.linspace(0, 0.95, 96))
+    counts, n = above(net, steps) if above else (len(u) - np.searchsorted(u, steps), len(u))
+    qp, qu = 1 - np.searchsorted(p, steps) / len(p), counts / n
+    width = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(p)) + 1 / np.sqrt(n))
+    ok = qp > 0
+    best = np.argmin((qu[ok] + width) / qp[ok])
+    return float(np.clip(qu[ok][best] / qp[ok][best], 0.05, 0.98))
 
 
 def calibrate(net: Net, x: np.ndarray, y: np.ndarray) -> None:
@@ -196,21 +200,91 @@ def _matrix(texts: list[str]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, WIDTH), np.float32)
 
 
-def train(labelled: list[tuple[str, int]], unlabelled: list[str], seed: int = 4) -> Net | None:
-    """A calibrated network; None without positives or unlabelled texts."""
+#: Feature sums are kept in whole units of 2^-16, so that they don't depend on the order of adding.
+UNIT = 1 << 16
+
+
+def feature_sums(x: np.ndarray) -> np.ndarray:
+    """Number of rows, and sums and sums of squares of each feature in units."""
+    units = np.rint(x.astype(np.float64) * UNIT)
+    squares = np.rint(x.astype(np.float64) ** 2 * UNIT)
+    return np.concatenate(([len(x)], units.sum(0), squares.sum(0))).astype(np.int64)
+
+
+def moments(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Means and deviations out of ``feature_sums``."""
+    n = max(1, int(sums[0]))
+    mean, square = (sums[1 + i * WIDTH : 1 + (i + 1) * WIDTH] / UNIT / n for i in (0, 1))
+    return mean.astype(np.float32), (np.sqrt(np.maximum(square - mean**2, 0)) + 1e-3).astype(np.float32)
+
+
+def train(labelled: list[tuple[str, int]], unlabelled: list[str], about: tuple[np.ndarray, np.ndarray] | None = None, above=None, seed: int = 4) -> Net | None:
+    """A calibrated network; None without positives or unlabelled texts. ``about`` (means and deviations of the features) and
+    ``above`` (see ``estimated_prior``) describe the corpus; without them the unlabelled texts do."""
     x, y = _matrix([t for t, _ in labelled]), np.array([v for _, v in labelled], np.float64)
     u = _matrix(unlabelled)
     if not y.sum() or not len(u):
         return None
-    mean, scale = u.mean(0), u.std(0) + 1e-3
+    mean, scale = about or moments(feature_sums(u))
     net = Net(seed, mean, scale)
     pos, unl = net.ready(x[y == 1]), net.ready(u)
-    net.prior = estimated_prior(pos, unl, mean, scale)
+    net.prior = estimated_prior(pos, unl, mean, scale, above)
     train_risk(net, pos, unl, net.prior)
     calibrate(net, x, y)
     return net
 
 
+def _features_of(batches):
+    for batch in batches:
+        data, offsets = utf8(batch.column(0))
+        for _, _, part, offs in sub_batches(data, offsets, 1 << 20):
+            yield features(part, offs)
+
+
+def _added(rows: DataFrame, size: int) -> np.ndarray:
+    """The sums by place of rows (at, n): at most ``size`` numbers reach the driver."""
+    out = np.zeros(size, np.int64)
+    for at, n in rows.groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[at] = n
+    return out
+
+
+def _placed(values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], names=["at", "n"])
+
+
+def corpus_moments(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Means and deviations of the features of all rows of ``texts`` (one column)."""
+
+    def run(batches):
+        total = np.zeros(1 + 2 * WIDTH, np.int64)
+        for x in _features_of(batches):
+            total += feature_sums(x)
+        yield _placed(total)
+
+    return moments(_added(texts.mapInArrow(run, "at bigint, n bigint"), 1 + 2 * WIDTH))
+
+
+def corpus_above(texts: DataFrame):
+    """For ``estimated_prior``: counts over all rows of ``texts``."""
+
+    def above(net: Net, steps: np.ndarray) -> tuple[np.ndarray, int]:
+        sent = texts.sparkSession.sparkContext.broadcast(net)  # fixed size: its parameters
+
+        def run(batches):
+            total = np.zeros(len(steps) + 1, np.int64)
+            for x in _features_of(batches):
+                margins = np.sort(sent.value.margin(sent.value.ready(x)))
+                total[:-1] += len(margins) - np.searchsorted(margins, steps)
+                total[-1] += len(margins)
+            yield _placed(total)
+
+        counts = _added(texts.mapInArrow(run, "at bigint, n bigint"), len(steps) + 1)
+        return counts[:-1], max(1, int(counts[-1]))
+
+    return above
+
+
 def _scores(net: Net | None, texts: pa.Array) -> np.ndarray:
     out = np.zeros(len(texts))
     data, offsets = utf8(texts)
@@ -231,13 +305,17 @@ def _scorer(model, cut: float):
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_labelled: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Net | None:
     """Trains on at most ``most_labelled`` labelled documents and ``most_unlabelled`` documents of any kind, both where
     ``learn`` holds and by hash order of ids, one row an id, each sample of 64 million characters at most. Labels other
-    than 0 and 1, null ids and null texts are left out; of contradicting labels of an id one counts. None if there are no
-    positives or no texts. Other columns are not read."""
+    than 0 and 1, null ids and null texts are left out; of contradicting labels of an id one counts. Features are scaled, and
+    the prior is estimated, by all rows of ``docs`` where ``learn`` holds, two passes over their whole texts. None if there
+    are no positives or no texts. Other columns are not read."""
     picked = {r[0]: int(r[1]) for r in sample_rows(labels, id_col, learn & F.col(label_col).isin(0, 1), [label_col], most_labelled, 21)}
     has_text = F.col(text_col).isNotNull()
     labelled = rows_of(docs, id_col, list(picked), [text_col], has_text)
     others = sample_rows(docs, id_col, learn & has_text, [text_col], most_unlabelled, 22)
-    return train([(text, picked[i]) for i, text in labelled], [text for _, text in others])
+    if not any(picked[i] for i, _ in labelled) or not others:
+        return None
+    texts = docs.where(learn & has_text).select(F.col(text_col).alias("text"))
+    return train([(text, picked[i]) for i, text in labelled], [text for _, text in others], corpus_moments(texts), corpus_above(texts))
 
 
 def predict(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:

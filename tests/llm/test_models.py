@@ -87,8 +87,18 @@ def test_fits_with_clashing_columns_and_repeats(spark):
     repeats = docs.union(docs.limit(1).crossJoin(spark.range(500)).drop("id"))
     one, two = (language_id.fit(d, F.lit(True)) for d in (docs, repeats))
     assert all(np.array_equal(a, b) for a, b in zip(one._params(), two._params(), strict=True))
-    one, two = (quality_pu.fit(d, m, F.lit(True)) for d, m in ((docs, labels), (repeats, labels.union(labels))))
-    assert all(np.array_equal(a, b) for a, b in zip(one.params(), two.params(), strict=True))
+    one, two = (quality_pu.fit(d, m, F.lit(True)) for d, m in ((docs, labels), (docs.repartition(5), labels.union(labels))))
+    assert all(np.array_equal(a, b) for a, b in zip(one.params(), two.params(), strict=True)) and one.prior == two.prior
+    # what describes the corpus covers all rows, repeated ones too
+    texts = [r.text for r in docs.collect() if r.text is not None]
+    x = quality_pu._matrix(texts)
+    mean, scale = quality_pu.corpus_moments(docs.where("text is not null").select("text"))
+    assert np.allclose(mean, x.mean(0), atol=1e-4) and np.allclose(scale, x.std(0) + 1e-3, atol=5e-3)
+    margins = one.margin(one.ready(x))
+    steps = np.quantile(margins, [0.1, 0.5, 0.9])
+    counts, n = quality_pu.corpus_above(docs.where("text is not null").select("text"))(one, steps)
+    assert n == len(texts) and np.abs(counts - [(margins >= t).sum() for t in steps]).max() <= 1
+    assert not np.array_equal(one.mean, quality_pu.fit(repeats, labels, F.lit(True)).mean)
     assert language_id.fit(docs.limit(0), F.lit(True)) is None and quality_pu.fit(docs.limit(0), labels, F.lit(True)) is None
     assert quality_pu.fit(docs, labels.limit(0), F.lit(True)) is None
 
