@@ -92,28 +92,70 @@ def windows(reads: DataFrame, width: int, step: int) -> DataFrame:
     return _both(rows, _cut("seq", F.col("at") + 1, F.lit(width)), _cut("qual", F.col("at") + 1, F.lit(width)))
 
 
-def fragment_pairs(pairs: DataFrame, width: int = 82, step: int = 60, anchors: int = 4) -> DataFrame:
-    """Windows of mate 1 against the first ``anchors`` windows of mate 2 and the reverse, without repeats: read_id
-    (NN_id), seq_1, seq_2. ``pairs``: frag, seq_1, seq_2."""
-
-    def starts(c: str) -> Column:
-        return F.sequence(F.lit(0), F.greatest(F.lit(0), F.length(c) - width), F.lit(step))
-
-    rows = pairs.select("*", F.posexplode(starts("seq_1")).alias("i", "a")).select("*", F.posexplode(starts("seq_2")).alias("j", "b"))
-    rows = rows.where((F.col("i") < anchors) | (F.col("j") < anchors))
-    n = F.row_number().over(Window.partitionBy("frag").orderBy("i", "j"))
-    return rows.select(F.concat(zero_pad(n, 2), F.lit("_"), "frag").alias("read_id"), _cut("seq_1", F.col("a") + 1, F.lit(width)).alias("seq_1"), _cut("seq_2", F.col("b") + 1, F.lit(width)).alias("seq_2"))
-
-
-def split_at(reads: DataFrame, cuts: DataFrame, wiggle: int = 0, gap: int = 0, anchor: int = 15, reverse_second: bool = False) -> DataFrame:
-    """Two parts per cut (and cuts around it within ``wiggle``, part 2 up to ``gap`` bases later): read_id __NNa / __NNb."""
-    moved = reads.join(cuts, "read_id").withColumn("w", F.explode(F.sequence(F.lit(-wiggle), F.lit(wiggle)))).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(gap))))
-    moved = moved.withColumn("c", F.col("cut") + F.col("w")).where((F.col("c") >= anchor) & (F.length("seq") - F.col("c") - F.col("g") >= anchor - 1))
-    n = zero_pad(F.row_number().over(Window.partitionBy("read_id").orderBy("cut", "w", "g")), 2)
-    moved = moved.withColumn("nn", n)
-    second = _cut("seq", F.col("c") + F.col("g") + 1, F.length("seq"))
-    parts = F.array(F.struct(F.lit("a").alias("x"), _cut("seq", F.lit(1), F.col("c")).alias("s")), F.struct(F.lit("b").alias("x"), (reverse_complement(second) if reverse_second else second).alias("s")))
-    return moved.withColumn("p", F.explode(parts)).select(F.concat("read_id", F.lit("__"), "nn", F.col("p.x")).alias("read_id"), F.col("p.s").alias("seq"))
+def half_pairs(reads: DataFrame, anchor: int = 22) -> DataFrame:
+    """P8, for single reads: frag, seq_1, qual_1, seq_2, qual_2 with the read's first half and ``anchor`` bases more, and the same
+    of its reverse complement."""
+    half = F.ceil(F.length("seq") / 2).cast("int") + anchor
+    frag = F.regexp_replace("read_id", "/[12]$", "")
+    back = reverse_complement("seq")
+    cut = lambda x: F.substring(x, F.lit(1), half)
+    return reads.select(frag.alias("frag"), cut(F.col("seq")).alias("seq_1"), cut(F.col("qual")).alias("qual_1"), cut(back).alias("seq_2"), cut(F.reverse("qual")).alias("qual_2"))
+
+
+def fragment_pairs(pairs: DataFrame, width: int = 82, step: int = 60, anchors: int = 4, wiggle_end: int = 16, skip: int = 0, single: bool = False) -> DataFrame:
+    """Windows of mate 1 against the first ``anchors`` windows of mate 2, then the first ones of mate 1 against the other
+    windows of mate 2: read_id (NN_id, from 00), seq_1, seq_2 and qualities if ``pairs`` (frag, seq_1, seq_2) has them.
+
+    Windows end at ``width`` and every ``step`` bases on, and at the end of a mate if ``wiggle_end`` bases or more (any, with
+    ``single``) are left there; a mate up to ``width`` is one window. Windows and mates below ``skip`` are left out.
+    """
+
+    def ends(c: str) -> Column:
+        n = F.length(c)
+        every = F.sequence(F.lit(width), F.greatest(F.lit(width), n - 1), F.lit(step))
+        rest = F.lit(True) if single else n - F.element_at(every, -1) >= wiggle_end
+        return F.when(n <= width, F.array(n)).when(rest, F.concat(every, F.array(n))).otherwise(every)
+
+    rows = pairs.where((F.length("seq_1") >= skip) & (F.length("seq_2") >= skip))
+    rows = rows.select("*", F.posexplode(ends("seq_1")).alias("i", "a")).select("*", F.posexplode(ends("seq_2")).alias("j", "b")).where((F.col("i") < anchors) | (F.col("j") < anchors))
+    late = F.col("j") >= anchors
+    cut = lambda c, end: _cut(c, F.greatest(F.lit(0), F.col(end) - width) + 1, F.least(F.col(end), F.lit(width)))
+    names = [(c, e) for c, e in (("seq_1", "a"), ("qual_1", "a"), ("seq_2", "b"), ("qual_2", "b")) if c in pairs.columns]
+    rows = rows.select("frag", "i", "j", late.alias("late"), *[cut(c, e).alias(c) for c, e in names]).where((F.length("seq_1") >= skip) & (F.length("seq_2") >= skip))
+    order = Window.partitionBy("frag").orderBy("late", F.when(F.col("late"), F.col("i")).otherwise(F.col("j")), F.when(F.col("late"), F.col("j")).otherwise(F.col("i")))
+    n = F.row_number().over(order) - 1
+    return rows.select(F.concat(zero_pad(n, 2), F.lit("_"), "frag").alias("read_id"), *[c for c, _ in names])
+
+
+def split_at(reads: DataFrame, cuts: DataFrame, wiggle: int = 0, gap: int = 0, anchor: int = 15, reverse_second: bool = False, anchor_max: int = 500) -> DataFrame:
+    """Two parts per cut: read_id __NNa / __NNb (from 00), seq, qual. ``cuts``: read_id, cut, the last base of part one,
+    from 0.
+
+    Each cut stands for those within ``wiggle`` too, in rising order. With a ``gap`` parts keep 1 to ``gap`` bases between
+    them, before and after the cut, and none without a gap. Part one has ``anchor`` bases at least, part two two fewer (one
+    fewer after a gap behind the cut). If a part is longer than ``anchor_max``, a copy follows with part one's last, else part
+    two's first ``anchor_max`` bases.
+    """
+    wanted = cuts.select("read_id", F.explode(F.sequence(F.col("cut") - wiggle, F.col("cut") + wiggle)).alias("c")).groupBy("read_id").agg(F.array_sort(F.collect_set("c")).alias("_cuts"))
+    n = F.length("seq")
+    place = lambda a, b, least: F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"), (b + least <= n).alias("ok"))
+    plain = F.transform("_cuts", lambda c: place(c + 1, c + 1, anchor - 2))
+    gaps = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(max(1, gap))), lambda g: F.flatten(F.transform("_cuts", lambda c: F.array(place(c + 1 - g, c + 1, anchor - 2), place(c + 1, c + 1 + g, anchor - 1))))))
+    good = F.filter(gaps if gap else plain, lambda p: p["ok"] & (p["a"] >= anchor))
+    parts = F.array_distinct(F.transform(good, lambda p: F.struct(F.lit(0).alias("from"), p["a"].alias("a"), p["b"].alias("b"), n.alias("to"))))
+
+    def copies(p: Column) -> Column:
+        long = F.when(p["a"] > anchor_max, F.struct((p["a"] - anchor_max).alias("from"), p["a"].alias("a"), p["b"].alias("b"), p["to"].alias("to")))
+        long = long.when(p["to"] - p["b"] >= anchor_max, F.struct(p["from"].alias("from"), p["a"].alias("a"), p["b"].alias("b"), (p["b"] + anchor_max).alias("to")))
+        return F.filter(F.array(p, long), lambda x: x.isNotNull())
+
+    rows = reads.join(wanted, "read_id").select("read_id", "seq", "qual", F.posexplode(F.flatten(F.transform(parts, copies))).alias("i", "p"))
+    piece = lambda c, a, b: _cut(c, F.col(a) + 1, F.col(b) - F.col(a))
+    second = piece("seq", "p.b", "p.to"), piece("qual", "p.b", "p.to")
+    if reverse_second:
+        second = reverse_complement(second[0]), F.reverse(second[1])
+    both = F.array(F.struct(F.lit("a").alias("x"), piece("seq", "p.from", "p.a").alias("seq"), piece("qual", "p.from", "p.a").alias("qual")), F.struct(F.lit("b").alias("x"), second[0].alias("seq"), second[1].alias("qual")))
+    return rows.select(F.concat("read_id", F.lit("__"), zero_pad(F.col("i"), 2)).alias("n"), F.explode(both).alias("r")).select(F.concat("n", "r.x").alias("read_id"), "r.seq", "r.qual")
 
 
 def phred_format(reads: DataFrame) -> str:

@@ -121,18 +121,30 @@ def quality_steps(spark, sf):
     return masked.select("read_id", F.col("seq").alias("masked")).join(padded.select("read_id", F.col("seq").alias("padded")), "read_id").join(moved.select("read_id", F.col("qual").alias("quality")), "read_id")
 
 
-@query(f"""WITH {A.READS}, p AS (SELECT split_part(read_id, '/', 1) AS frag, seq AS s1, reverse(seq) AS s2 FROM reads), w AS (SELECT frag, s1, s2, i, j FROM p, range(0, 20) t(i), range(0, 20) u(j) WHERE i * 8 <= greatest(0, length(s1) - 12) AND j * 8 <= greatest(0, length(s2) - 12) AND (i < 2 OR j < 2)),
-n AS (SELECT *, row_number() OVER (PARTITION BY frag ORDER BY i, j) AS k FROM w) SELECT printf('%02d', k) || '_' || frag AS read_id, substr(s1, i * 8 + 1, 12) AS seq_1, substr(s2, j * 8 + 1, 12) AS seq_2 FROM n""")
+def _window_ends(c):
+    return f"CASE WHEN length({c}) <= 12 THEN [length({c})] WHEN length({c}) - range(12, length({c}), 8)[-1] >= 4 THEN list_append(range(12, length({c}), 8), length({c})) ELSE range(12, length({c}), 8) END"
+
+
+@query(f"""WITH {A.READS}, p AS (SELECT split_part(read_id, '/', 1) AS frag, seq AS s1, left(reverse(seq), 26) AS s2 FROM reads), e AS (SELECT *, {_window_ends('s1')} AS e1, {_window_ends('s2')} AS e2 FROM p),
+w AS (SELECT frag, i, j, substr(s1, greatest(0, e1[i + 1] - 12) + 1, least(12, e1[i + 1])) AS seq_1, substr(s2, greatest(0, e2[j + 1] - 12) + 1, least(12, e2[j + 1])) AS seq_2 FROM e, range(0, 30) t(i), range(0, 30) u(j) WHERE i < len(e1) AND j < len(e2) AND (i < 2 OR j < 2)),
+n AS (SELECT *, row_number() OVER (PARTITION BY frag ORDER BY j >= 2, CASE WHEN j >= 2 THEN i ELSE j END, CASE WHEN j >= 2 THEN j ELSE i END) - 1 AS k FROM w) SELECT printf('%02d', k) || '_' || frag AS read_id, seq_1, seq_2 FROM n""")
 def fragment_pairs(spark, sf):
-    p = A.reads(spark, sf).select(F.split_part("read_id", F.lit("/"), F.lit(1)).alias("frag"), F.col("seq").alias("seq_1"), F.reverse("seq").alias("seq_2"))
-    return reads.fragment_pairs(p, 12, 8, 2)
+    p = A.reads(spark, sf).select(F.split_part("read_id", F.lit("/"), F.lit(1)).alias("frag"), F.col("seq").alias("seq_1"), F.left(F.reverse("seq"), F.lit(26)).alias("seq_2"))
+    return reads.fragment_pairs(p, 12, 8, 2, 4)
+
+
+SPLIT_READS = f"""WITH {A.READS}, c AS (SELECT read_id, seq, length(seq) AS n, length(seq) // 2 - 1 + w AS c, g, d FROM reads, (VALUES (-1), (0), (1)) t(w), (VALUES (1), (2)) u(g), (VALUES (0), (1)) v(d)),
+q AS (SELECT read_id, seq, n, c, g, d, c + 1 - CASE WHEN d = 0 THEN g ELSE 0 END AS a, c + 1 + CASE WHEN d = 1 THEN g ELSE 0 END AS b FROM c), f AS (SELECT read_id, seq, n, a, b, min((g, c, d)) AS o FROM q WHERE a >= 8 AND n - b >= 6 + d GROUP BY read_id, seq, n, a, b),
+y AS (SELECT read_id, seq, o, 0 AS copy, 0 AS l, a, b, n AS r FROM f UNION ALL SELECT read_id, seq, o, 1, CASE WHEN a > 20 THEN a - 20 ELSE 0 END, a, b, CASE WHEN a > 20 THEN n ELSE b + 20 END FROM f WHERE a > 20 OR n - b >= 20),
+k AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY o, copy) - 1 AS k FROM y)
+SELECT read_id || '__' || printf('%02d', k) || x AS read_id, CASE WHEN x = 'a' THEN substr(seq, l + 1, a - l) ELSE substr(seq, b + 1, r - b) END AS seq FROM k, (VALUES ('a'), ('b')) t(x)"""
 
 
-@query(f"""WITH {A.READS}, c AS (SELECT read_id, seq, length(seq) // 2 + w AS c, g, row_number() OVER (PARTITION BY read_id ORDER BY w, g) AS k FROM reads, (VALUES (-1), (0), (1)) t(w), (VALUES (0), (1)) u(g) WHERE length(seq) // 2 + w >= 8 AND length(seq) - (length(seq) // 2 + w) - g >= 7)
-SELECT read_id || '__' || printf('%02d', k) || x AS read_id, CASE WHEN x = 'a' THEN substr(seq, 1, c) ELSE substr(seq, c + g + 1) END AS seq FROM c, (VALUES ('a'), ('b')) t(x)""")
+@query(SPLIT_READS)
 def split_reads(spark, sf):
     r = A.reads(spark, sf)
-    return reads.split_at(r, r.select("read_id", F.floor(F.length("seq") / 2).cast("int").alias("cut")), wiggle=1, gap=1, anchor=8)
+    cuts = r.select("read_id", (F.floor(F.length("seq") / 2).cast("int") - 1).alias("cut"))
+    return reads.split_at(r, cuts, wiggle=1, gap=2, anchor=8, anchor_max=20).select("read_id", "seq")
 
 
 @query(f"""WITH {A.READS} SELECT read_id || '_' || CAST(p AS VARCHAR) AS frag, substr(seq, p + 1, 10) AS seq_1, reverse(translate(substr(seq, p + 16, 10), 'ACGTN', 'TGCAA')) AS seq_2 FROM (SELECT read_id, seq, unnest(range(0, length(seq) - 25 + 1, 3)) AS p FROM reads)""")

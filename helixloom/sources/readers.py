@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import numpy as np
 import pandas as pd
@@ -264,6 +267,46 @@ def counted_pairs(spark: SparkSession, path: str, name_column: int, count_column
     return p.select(F.least(F.col("p")[0], F.col("p")[1]).alias("symbol_1"), F.greatest(F.col("p")[0], F.col("p")[1]).alias("symbol_2")).distinct()
 
 
+def _sheet_rows(body: bytes, sheet: int) -> list[tuple[int, list[str]]]:
+    """Rows of a sheet of a workbook (a zip of XML files) as texts, with their numbers."""
+    main = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    with zipfile.ZipFile(io.BytesIO(body)) as book:
+        shared = []
+        if "xl/sharedStrings.xml" in book.namelist():
+            shared = ["".join(t.text or "" for t in x.iter(f"{main}t")) for x in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{main}si")]
+        root = ElementTree.fromstring(book.read(f"xl/worksheets/sheet{sheet}.xml"))
+    out = []
+    for k, row in enumerate(root.iter(f"{main}row"), 1):
+        cells = []
+        for cell in row.iter(f"{main}c"):
+            name = "".join(c for c in cell.get("r") or "" if c.isalpha())
+            at = 0
+            for c in name:
+                at = 26 * at + ord(c) - 64
+            cells += [""] * ((at or len(cells) + 1) - 1 - len(cells))
+            value = cell.find(f"{main}v")
+            if cell.get("t") == "s":
+                cells.append(shared[int(value.text)])
+            elif cell.get("t") == "inlineStr":
+                cells.append("".join(t.text or "" for t in cell.iter(f"{main}t")))
+            else:
+                cells.append("" if value is None else value.text or "")
+        out.append((int(row.get("r") or k), cells))
+    return out
+
+
+def spreadsheet(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
+    """SRC17: file, row (from 1), cells (texts) of a sheet of .xlsx workbooks; each workbook is one task's."""
+
+    def run(batches):
+        for batch in batches:
+            for file, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rows = _sheet_rows(body, sheet)
+                yield pa.RecordBatch.from_arrays([pa.array([file] * len(rows), pa.string()), pa.array([n for n, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.list_(pa.string()))], names=["file", "row", "cells"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, row int, cells array<string>")
+
+
 def translocation_pairs(rows: DataFrame, column: str) -> DataFrame:
     """SRC18: symbol_1, symbol_2 out of names such as A{T1.1}:r.1_142_B{T2.3}:r.444_3097. Of a name with two different parts
     their symbols make a pair, of one with more all parts of different transcripts do; a symbol makes none with itself."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,26 @@ def fasta(df: DataFrame, path: str, most_per_file: int = 0) -> None:
     writer.text(path)
 
 
+def fasta_parts(df: DataFrame, path: str, most_bases: int, id_col: str = "id", seq_col: str = "seq") -> None:
+    """SNK10: FASTA text in folders part=... whose sequences have at most ``most_bases`` bases in all (a longer sequence is alone).
+    Each task deals its own rows to parts as they come, so nothing is shuffled."""
+
+    def deal(batches):
+        task, part, held = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            parts = []
+            for n in pc.utf8_length(batch.column(1)).to_pylist():
+                if held and held + n > most_bases:
+                    part, held = part + 1, 0
+                held += n
+                parts.append(f"{task}-{part}")
+            lines = pc.binary_join_element_wise(">", batch.column(0), "\n", batch.column(1), "")
+            yield pa.RecordBatch.from_arrays([lines, pa.array(parts)], names=["value", "part"])
+
+    rows = df.select(F.col(id_col).cast("string"), F.coalesce(F.col(seq_col), F.lit("")))
+    rows.mapInArrow(deal, "value string, part string").write.partitionBy("part").text(path)
+
+
 def fastq(df: DataFrame, path: str) -> None:
     """SNK3."""
     df.select(F.concat(F.lit("@"), "read_id", F.lit("\n"), "seq", F.lit("\n+\n"), "qual").alias("value")).write.text(path)

@@ -2,6 +2,7 @@ import bz2
 import gzip
 import math
 import random
+import zipfile
 from collections import Counter
 
 import pandas as pd
@@ -69,12 +70,26 @@ def test_read_transformations(spark):
     # Solexa scores -5, 0, 1, 10, 40, 2 as probabilities: 1, 3, 4, 10, 40, 4
     assert reads.convert_quality(odd, "solexa", "sanger").first().qual == "".join(chr(33 + q) for q in (1, 3, 4, 10, 40, 4))
     assert reads.convert_quality(odd.withColumn("qual", F.lit("!\"#$+I")), "sanger", "illumina-1.5").first().qual == "BBBCJh"
-    many = reads.split_at(spark.createDataFrame([("a", "A" * 300, "I" * 300)], "read_id string, seq string, qual string"), spark.createDataFrame([("a", 150)], "read_id string, cut int"), wiggle=60)
+    many = reads.split_at(spark.createDataFrame([("a", "A" * 300, "I" * 300)], "read_id string, seq string, qual string"), spark.createDataFrame([("a", 149)], "read_id string, cut int"), wiggle=60)
     assert many.select("read_id").distinct().count() == many.count() == 242 and many.where("read_id = 'a__100a'").count() == 1
     wide = reads.fragment_pairs(spark.createDataFrame([("f", "A" * 300, "C" * 20)], "frag string, seq_1 string, seq_2 string"), 10, 2, 4)
     assert wide.select("read_id").distinct().count() == wide.count() > 100
-    cut = reads.split_at(spark.createDataFrame([("a", "A" * 20 + "C" * 20, "I" * 40)], "read_id string, seq string, qual string"), spark.createDataFrame([("a", 20)], "read_id string, cut int"))
-    assert {x.read_id: x.seq for x in cut.collect()} == {"a__01a": "A" * 20, "a__01b": "C" * 20}
+    two = spark.createDataFrame([("a", "A" * 20 + "C" * 20, "I" * 20 + "J" * 20)], "read_id string, seq string, qual string")
+    at = lambda *cuts: spark.createDataFrame([("a", c) for c in cuts], "read_id string, cut int")
+    parts = lambda df: {x.read_id: (x.seq, x.qual) for x in df.collect()}
+    assert parts(reads.split_at(two, at(19))) == {"a__00a": ("A" * 20, "I" * 20), "a__00b": ("C" * 20, "J" * 20)}
+    assert parts(reads.split_at(two, at(19), reverse_second=True))["a__00b"] == ("G" * 20, "J" * 20)
+    # part one of 15 and more, part two of 13 and more bases
+    assert {k: len(v[0]) for k, v in parts(reads.split_at(two, at(13, 14, 26, 27))).items()} == {"a__00a": 15, "a__00b": 25, "a__01a": 27, "a__01b": 13}
+    # one base between the parts, before and after the cut
+    assert {k: len(v[0]) for k, v in parts(reads.split_at(two, at(19), gap=1)).items()} == {"a__00a": 19, "a__00b": 20, "a__01a": 20, "a__01b": 19}
+    copies = parts(reads.split_at(two, at(22), anchor_max=18))
+    assert {k: len(v[0]) for k, v in copies.items()} == {"a__00a": 23, "a__00b": 17, "a__01a": 18, "a__01b": 17} and copies["a__01a"][0] == "A" * 15 + "CCC"
+    assert len(parts(reads.split_at(two, at(18), anchor_max=20))["a__01b"][0]) == 20
+    single = reads.half_pairs(spark.createDataFrame([("q/1", "ACCGT", "abcde")], "read_id string, seq string, qual string"), 1).first()
+    assert tuple(single) == ("q", "ACCG", "abcd", "ACGG", "edcb")
+    pairs = reads.fragment_pairs(spark.createDataFrame([("f", "ABCDEFGHIJ", "abcdefghij")], "frag string, seq_1 string, seq_2 string"), 4, 3, 1, 1)
+    assert [(x.read_id, x.seq_1, x.seq_2) for x in pairs.orderBy("read_id").collect()] == [("00_f", "ABCD", "abcd"), ("01_f", "DEFG", "abcd"), ("02_f", "GHIJ", "abcd"), ("03_f", "ABCD", "defg"), ("04_f", "ABCD", "ghij")]
 
 
 def test_mates(spark):
@@ -276,3 +291,24 @@ def test_read_files(spark, tmp_path):
     assert [tuple(map(base, p)) for p in pairs] == [("a_R1_001.fastq", "a_R2_001.fastq"), ("b_1.fq.gz", "b_2.fq.gz"), ("x.1.fastq.bz2", "x.2.fastq.bz2")]
     assert list(map(base, single)) == ["c_1.fq", "single.fq"]
     assert readers.paired_fastq(spark, *pairs[0]).count() == 1
+
+
+def test_fasta_parts(spark, tmp_path):
+    rows = [(f"s{i}", "A" * (i % 9 + 1)) for i in range(200)] + [("long", "C" * 90), ("none", None)]
+    sinks.fasta_parts(spark.createDataFrame(rows, "id string, seq string").repartition(3), str(tmp_path / "p"), 40)
+    parts = {}
+    for r in spark.read.text(str(tmp_path / "p")).collect():
+        if not r.value.startswith(">"):
+            parts.setdefault(r.part, []).append(len(r.value))
+    assert all(sum(x) <= 40 or x == [90] for x in parts.values()) and sum(map(sum, parts.values())) == sum(len(s or "") for _, s in rows)
+    assert readers.fasta(spark, str(tmp_path / "p")).count() == len(rows)
+
+
+def test_spreadsheet(spark, tmp_path):
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    sheet = f'<worksheet {ns}><sheetData><row r="1"><c r="A1" t="s"><v>1</v></c><c r="C1" t="inlineStr"><is><t>x</t></is></c></row><row r="3"><c r="A3"><v>7.5</v></c><c r="B3" t="s"><v>0</v></c></row></sheetData></worksheet>'
+    with zipfile.ZipFile(tmp_path / "w.xlsx", "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>BCR</t></si><si><r><t>AB</t></r><r><t>L1</t></r></si></sst>")
+    got = [(r.row, r.cells) for r in readers.spreadsheet(spark, str(tmp_path / "w.xlsx")).orderBy("row").collect()]
+    assert got == [(1, ["ABL1", "", "x"]), (3, ["7.5", "BCR"])]
