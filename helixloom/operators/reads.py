@@ -256,65 +256,161 @@ def _matrix(texts: pd.Series, width: int, fill: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(len(texts), width)
 
 
-def overlap_lengths(a: pd.Series, b: pd.Series, most: float = 0.3, least: int = 13, log_reject: bool = False) -> np.ndarray:
-    """Bases that each a's end shares with its b's start, the longest overlap with at most a share ``most`` of mismatches; 0 if
-    there is none. With ``log_reject`` an overlap above 50 bases may have log2 of its length and two mismatches. All pairs
-    of equal lengths are compared at once."""
-    out = np.zeros(len(a), np.int32)
-    sizes = pd.DataFrame({"a": a.str.len().to_numpy(), "b": b.str.len().to_numpy()})
-    for (la, lb), rows in sizes.groupby(["a", "b"]).indices.items():
-        for lo in range(0, len(rows), 4096):
-            part = rows[lo : lo + 4096]
-            x, y = _matrix(a.iloc[part], la, 0), _matrix(b.iloc[part], lb, 1)
-            open_ = np.arange(len(part))
-            for n in range(min(la, lb), least - 1, -1):
-                if not len(open_):
-                    break
-                miss = (x[open_, la - n :] != y[open_, :n]).sum(1)
-                hit = miss <= most * n
-                if log_reject and n > 50:
-                    hit &= miss - 2 <= math.log2(n)
-                out[part[open_[hit]]] = n
-                open_ = open_[~hit]
+#: Distances of a seed's end from the end of its sequence (fixed values).
+SEED_ENDS = (1, 10, 20, 30)
+
+
+def _first_place(seeds: np.ndarray, target: np.ndarray, rows: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """For each of ``rows`` the first place of its seed in target[begin:end], -1 if there is none."""
+    out, size = np.full(len(seeds), -1), seeds.shape[1]
+    for p in range(begin, end - size + 1):
+        if not len(rows):
+            break
+        hit = (target[rows, p : p + size] == seeds[rows]).all(1)
+        out[rows[hit]] = p
+        rows = rows[~hit]
     return out
 
 
-def mate_overlaps(pairs: DataFrame, most: float = 0.3, least: int = 13, log_reject: bool = False) -> DataFrame:
-    """Adds overlap, the bases shared by seq_1 and the reverse complement of seq_2."""
+def _plain_seeds(seeds: np.ndarray) -> np.ndarray:
+    """Seeds without N and . that aren't one base throughout."""
+    return ~((seeds == ord("N")) | (seeds == ord("."))).any(1) & (seeds != seeds[:, :1]).any(1)
 
-    @F.pandas_udf("int")
-    def found(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(overlap_lengths(a.fillna(""), b.fillna(""), most, least, log_reject))
 
-    return pairs.withColumn("overlap", found("seq_1", reverse_complement("seq_2")))
+def _groups(a: pd.Series, b: pd.Series):
+    """Rows of equal lengths, a few thousand at once, and their sequences as rows of bytes."""
+    sizes = pd.DataFrame({"a": a.str.len().to_numpy(), "b": b.str.len().to_numpy()})
+    for (la, lb), rows in sizes.groupby(["a", "b"]).indices.items():
+        for lo in range(0, len(rows), 4096):
+            part = rows[lo : lo + 4096]
+            yield part, _matrix(a.iloc[part], la, 0), _matrix(b.iloc[part], lb, 1)
 
 
-def merge_mates(pairs: DataFrame, most: float = 0.1, least: int = 11) -> DataFrame:
-    """Merged sequences of overlapping mates; the others keep null. Long overlaps with too many mismatches are rejected."""
-    rows = mate_overlaps(pairs, most, least, log_reject=True)
-    second = reverse_complement("seq_2")
-    return rows.withColumn("merged", F.when(F.col("overlap") > 0, F.concat("seq_1", F.substring(second, F.col("overlap") + 1, F.length(second)))))
+def mate_shifts(a: pd.Series, b: pd.Series, most: float, seed: int, wiggle: int, both: bool, log_reject: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per pair: found, how far b begins behind a, mismatches (two N are one).
+
+    The first seed of a, from SEED_ENDS, that occurs in b (but for its last ``wiggle`` bases) lays b on a. The pair is found
+    if mismatches are at most a share ``most`` of what lies together, and, with ``log_reject`` and more than 50 bases, at most
+    two more than the log2 of it. With ``both`` the other pairs are tried by seeds of b in a. Equal sequences are found.
+    """
+    found, shift, mism = np.zeros(len(a), bool), np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+    for part, x, y in _groups(a, b):
+        la, lb = x.shape[1], y.shape[1]
+        same = (x == y).all(1) if la == lb else np.zeros(len(part), bool)
+        found[part[same]] = True
+        for source, target, sign in ((x, y, 1), (y, x, -1)) if both else ((x, y, 1),):
+            rest = np.flatnonzero(~found[part])
+            n = source.shape[1]
+            for back in SEED_ENDS:
+                lo, hi = n - seed - back, n - back
+                if lo < 0 or not len(rest):
+                    continue
+                seeds = source[:, lo:hi]
+                at = _first_place(seeds, target, rest[_plain_seeds(seeds[rest])], 0, target.shape[1] - wiggle)
+                hit = rest[at[rest] >= 0]
+                rest = rest[at[rest] < 0]
+                for d in np.unique(lo - at[hit]):
+                    rows = hit[lo - at[hit] == d]
+                    s = sign * int(d)
+                    size = min(la - max(s, 0), lb - max(-s, 0))
+                    u, v = x[rows, max(s, 0) : max(s, 0) + size], y[rows, max(-s, 0) : max(-s, 0) + size]
+                    miss = ((u != v) | ((u == ord("N")) & (v == ord("N")))).sum(1)
+                    ok = miss <= most * size
+                    if log_reject and size > 50:
+                        ok &= miss - 2 <= math.log2(size)
+                    found[part[rows[ok]]], shift[part[rows[ok]]], mism[part[rows[ok]]] = True, s, miss[ok]
+    return found, shift, mism
+
+
+def mate_overlaps(pairs: DataFrame, most: float = 0.3, seed: int = 13, wiggle: int = 2, both: bool = True, log_reject: bool = False) -> DataFrame:
+    """Adds fragment, the length that seq_1 and the reverse complement of seq_2 span together, shift, how far the second
+    begins behind the first, and mismatches; all null for pairs that don't overlap."""
+
+    @F.pandas_udf("shift int, mismatches int")
+    def laid(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        found, shift, mism = mate_shifts(a.fillna(""), b.fillna(""), most, seed, wiggle, both, log_reject)
+        return pd.DataFrame({c: pd.Series(v).where(pd.Series(found)).astype("Int32") for c, v in (("shift", shift), ("mismatches", mism))})
+
+    rows = pairs.withColumn("_m", laid("seq_1", reverse_complement("seq_2", keep_n=True)))
+    return rows.withColumns({"fragment": F.col("_m.shift") + F.length("seq_2"), "shift": F.col("_m.shift"), "mismatches": F.col("_m.mismatches")}).drop("_m")
+
+
+def merge_mates(pairs: DataFrame, most: float = 0.1, seed: int = 11) -> DataFrame:
+    """Adds merged, the fragment's sequence, and merged_qual if ``pairs`` has qual_1 and qual_2; null for mates that don't
+    overlap. Mate 1 counts where both have a base, and is merged as it is if mate 2 ends inside it; of a fragment shorter
+    than mate 1 whose mate 2 begins before it, the fragment's bases of mate 1 stay."""
+    rows = mate_overlaps(pairs, most, seed, 1, both=False, log_reject=True)
+    n, f = F.length("seq_1"), F.col("fragment")
+
+    def whole(first: Column, second: Column) -> Column:
+        return F.when(F.col("shift") < 0, F.substring(first, F.lit(1), f)).when(n < f, F.concat(first, F.right(second, f - n))).when(f.isNotNull(), first)
+
+    rows = rows.withColumn("merged", whole(F.col("seq_1"), reverse_complement("seq_2", keep_n=True)))
+    return rows.withColumn("merged_qual", whole(F.col("qual_1"), F.reverse("qual_2"))) if {"qual_1", "qual_2"} <= set(pairs.columns) else rows
 
 
 def fragment_histogram(overlaps: DataFrame, read_length: int) -> tuple[DataFrame, DataFrame]:
-    """Counts per fragment length with share and running share; the mode (the largest of equals) and the bases read
-    twice."""
-    counts = overlaps.where("overlap > 0").groupBy((2 * F.lit(read_length) - F.col("overlap")).alias("fragment")).agg(F.count("*").alias("n"))
+    """Counts per fragment length (column fragment) with share and running share; the mode (the largest of equals) and
+    the bases read twice by two mates of ``read_length``."""
+    counts = overlaps.where("fragment is not null").groupBy("fragment").agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     shares = counts.select("fragment", "n", F.round(100 * F.col("n") / total, 6).alias("share"), F.round(100 * F.sum("n").over(Window.orderBy("fragment")) / total, 6).alias("running"))
     about = counts.agg(F.max(F.struct("n", "fragment")).alias("m"), F.sum((2 * read_length - F.col("fragment")) * F.col("n")).alias("wasted")).select(F.col("m.fragment").alias("mode"), "wasted")
     return shares, about
 
 
-def adapter(pairs: DataFrame, k: int = 13, share: float = 0.0001, first: int = 3_000_000) -> str | None:
-    """The most frequent k-mer that follows the overlap in mate 1 of the first ``first`` pairs (a fixed sample size of the
-    method); ties by the greater k-mer; None below the share. K-mers of at most two bases and repetitive ones (S10) don't
-    count."""
-    over = mate_overlaps(pairs.orderBy("frag").limit(first))
-    mers = over.where((F.col("overlap") > 0) & (F.length("seq_1") - F.col("overlap") >= k)).select(_cut("seq_1", F.col("overlap") + 1, F.lit(k)).alias("mer"))
-    good = mers.where(F.size(F.array_distinct(F.split("mer", ""))) > 2).where(no_repeats(F.col("mer")))
-    top = good.groupBy("mer").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("mer")).first()
-    return top["mer"] if top and top["n"] > share * first else None
+def flanks(a: pd.Series, b: pd.Series, k: int = 13) -> tuple[list[str], list[str]]:
+    """Per pair of a mate and the other's reverse complement that read past each other: the ``k`` bases behind the fragment in a,
+    and those before it in b, empty if there aren't as many.
+
+    Seeds of ``k`` bases of b are tried from its end, every seven bases in its last quarter. One that occurs in a, more to the
+    left, lays them on each other; with mismatches in less than a fifth of the bases the next one is tried. Bases of N count
+    as mismatches too if they are above three tenths.
+    """
+    behind, before = [""] * len(a), [""] * len(a)
+    for part, x, y in _groups(a, b):
+        la, lb = x.shape[1], y.shape[1]
+        rest = np.arange(len(part))
+        for back in range(3, lb // 4, 7):
+            lo = lb - k - back
+            if lo < 0 or not len(rest):
+                break
+            at = _first_place(y[:, lo : lo + k], x, rest, 2, la)
+            for i in rest[(at[rest] >= 0) & (at[rest] < lo)]:
+                s, size = lo - at[i], min(at[i] + lb - lo, la)
+                u, v = x[i, : min(size, lb - s)], y[i, s : s + min(size, lb - s)]
+                unknown = (u == ord("N")) | (v == ord("N"))
+                miss = ((u != v) | ((u == ord("N")) & (v == ord("N")))).sum()
+                if unknown.sum() > 0.3 * size:
+                    miss += unknown.sum()
+                if 0 < miss < 0.2 * size and size != la:
+                    continue
+                row = part[i]
+                if la - size >= k:
+                    behind[row] = a.iloc[row][size : size + k]
+                if s >= k:
+                    before[row] = b.iloc[row][s - k : s]
+                at[i] = -2
+            rest = rest[at[rest] != -2]
+    return behind, before
+
+
+def adapters(pairs: DataFrame, k: int = 13, share: float = 0.0001, first: int = 3_000_000) -> tuple[str | None, str | None]:
+    """The adapters at the 3' and the 5' end: the most frequent k-mers behind and before the fragments of the first
+    ``first`` pairs (a fixed sample size of the method, in order of frag); ties by the greater k-mer; None below the share.
+    K-mers of at most two bases and repetitive ones (S10) don't count."""
+
+    @F.pandas_udf("behind string, before string")
+    def cut(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        behind, before = flanks(a.fillna(""), b.fillna(""), k)
+        return pd.DataFrame({"behind": behind, "before": before})
+
+    mers = pairs.orderBy("frag").limit(first).select(cut("seq_1", reverse_complement("seq_2", keep_n=True)).alias("m"))
+    rows = mers.select(F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("m.behind").alias("mer")), F.struct(F.lit(1).alias("side"), F.col("m.before").alias("mer")))).alias("r")).select("r.*")
+    good = rows.where("mer <> ''").where(F.size(F.array_distinct(F.split("mer", ""))) > 2).where(no_repeats(F.col("mer")))
+    top = good.groupBy("side", "mer").agg(F.count("*").alias("n")).groupBy("side").agg(F.max(F.struct("n", "mer")).alias("t"))
+    best = {r.side: r.t.mer for r in top.collect() if r.t.n > share * first}
+    return best.get(0), best.get(1)
 
 
 def trim_adapter(reads: DataFrame, adapter_seq: str, mismatches: float = 0.3, least: int = 10, shortest: int = 20) -> DataFrame:
@@ -359,7 +455,7 @@ def deinterleave(reads: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def no_repeats(seq: Column, share: float = 0.30) -> Column:
-    """No pair of bases makes up ``share`` or more of the sequence."""
-    pairs = [a + b for a in "ACGT" for b in "ACGT"]
-    most = F.greatest(*[(F.length(seq) - F.length(F.replace(seq, F.lit(p), F.lit("")))) / F.length(seq) for p in pairs])
-    return F.coalesce(most < share, F.lit(True))
+    """No pair of neighbouring bases makes up ``share`` or more of all such pairs; true without a pair."""
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(seq) - 1)), lambda i: F.substring(seq, i, F.lit(2)))
+    most = F.array_max(F.transform(F.array_distinct(pairs), lambda p: F.size(F.filter(pairs, lambda x: x == p))))
+    return (F.length(seq) < 2) | (most < (F.length(seq) - 1) * F.lit(share))

@@ -369,7 +369,7 @@ def sliding_windows(spark, sf):
 
 @query(f"""WITH {A.ALN}, c AS (SELECT 200 - qty AS fragment, count(*) AS n FROM aln GROUP BY 1) SELECT fragment, n, round(100 * n / sum(n) OVER (), 6) AS share, round(100 * sum(n) OVER (ORDER BY fragment) / sum(n) OVER (), 6) AS running FROM c""")
 def fragment_histogram(spark, sf):
-    shares, _ = reads.fragment_histogram(A.alignments(spark, sf).select(F.col("qty").alias("overlap")), 100)
+    shares, _ = reads.fragment_histogram(A.alignments(spark, sf).select((200 - F.col("qty")).alias("fragment")), 100)
     return shares
 
 

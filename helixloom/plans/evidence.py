@@ -335,17 +335,37 @@ def read_headers(spark, sf):
     return reads.convert_headers(r).select("read_id", "seq", F.lit("convert").alias("kind")).union(reads.shorten_failed(r).select("read_id", "seq", F.lit("shorten")))
 
 
-OVERLAP = f"""{A.READS}, p AS (SELECT split_part(read_id, '/', 1) AS frag, replace(seq, 'N', 'A') AS a, replace(substr(seq, length(seq) // 3 + 1), 'N', 'A') || 'ACGTTGCA' AS b FROM reads), c AS (SELECT frag, a, b, n, len(list_filter(range(1, CAST(n AS BIGINT) + 1), lambda i: substr(right(a, n), i, 1) <> substr(b, i, 1))) AS m FROM p, range(6, 90) t(n) WHERE n <= least(length(a), length(b))),
-o AS (SELECT frag, CAST(max(n) AS INTEGER) AS overlap FROM c WHERE m <= 0.1 * n GROUP BY frag), r AS (SELECT frag, a, b, coalesce(overlap, 0) AS overlap FROM p LEFT JOIN o USING (frag))"""
+#: Mate 2 is the read from a third on with a few bases more, or the read's first two thirds behind some bases: it begins behind
+#: mate 1, or before it.
+MATES = f"""{A.READS}, p AS (SELECT read_id AS frag, replace(seq, 'N', 'A') AS a, CASE WHEN length(seq) % 3 = 0 THEN 'GATTACA' || left(replace(seq, 'N', 'A'), 2 * length(seq) // 3) ELSE replace(substr(seq, length(seq) // 3 + 1), 'N', 'A') || 'ACGTTGCA' END AS b FROM reads)"""
 
 
-@query(f"WITH {OVERLAP} SELECT frag, CAST(overlap AS INTEGER) AS overlap, CASE WHEN overlap > 0 THEN a || substr(b, overlap + 1) END AS merged FROM r")
-def merged_mates(spark, sf):
+def _mates(spark, sf):
     r = A.reads(spark, sf).withColumn("seq", F.replace("seq", F.lit("N"), F.lit("A")))
-    second = F.concat(F.substring(F.col("seq"), F.floor(F.length("seq") / 3).cast("int") + 1, F.length("seq")), F.lit("ACGTTGCA"))
-    back = F.reverse(F.translate(second, "ACGT", "TGCA"))
-    p = r.select(F.split_part("read_id", F.lit("/"), F.lit(1)).alias("frag"), F.col("seq").alias("seq_1"), back.alias("seq_2"))
-    return reads.merge_mates(p, 0.1, 6).select("frag", "overlap", "merged")
+    n = F.length("seq")
+    second = F.when(n % 3 == 0, F.concat(F.lit("GATTACA"), F.left("seq", F.floor(2 * n / 3).cast("int")))).otherwise(F.concat(F.substring(F.col("seq"), F.floor(n / 3).cast("int") + 1, n), F.lit("ACGTTGCA")))
+    return r.select(F.col("read_id").alias("frag"), F.col("seq").alias("seq_1"), F.reverse(F.translate(second, "ACGT", "TGCA")).alias("seq_2"))
+
+
+def _laid(first, second, most, wiggle, cut=""):
+    """The first seed that occurs, and what it gives if the mismatches allow it."""
+    sign = 1 if first == "a" else -1
+    return f"""(SELECT frag, shift, mis FROM (SELECT *, len(list_filter(range(1, CAST(size AS BIGINT) + 1), lambda i: substr(a, greatest(0, shift) + i, 1) <> substr(b, greatest(0, 0 - shift) + i, 1))) AS mis FROM (
+  SELECT frag, a, b, {sign} * (lo - place) AS shift, least(length(a) - greatest(0, {sign} * (lo - place)), length(b) - greatest(0, {-sign} * (lo - place))) AS size FROM (
+    SELECT frag, a, b, lo, instr(left({second}, length({second}) - {wiggle}), substr({first}, lo + 1, 6)) - 1 AS place, row_number() OVER (PARTITION BY frag ORDER BY back) AS k FROM (SELECT *, length({first}) - 6 - back AS lo FROM p, (VALUES (1), (10), (20), (30)) t(back))
+    WHERE lo >= 0 AND replace(substr({first}, lo + 1, 6), substr({first}, lo + 1, 1), '') <> '' AND instr(left({second}, greatest(0, length({second}) - {wiggle})), substr({first}, lo + 1, 6)) > 0) WHERE k = 1)) WHERE mis <= {most} * size {cut})"""
+
+
+@query(f"""WITH {MATES}, f AS {_laid('a', 'b', 0.3, 2)}, r AS {_laid('b', 'a', 0.3, 2)}
+SELECT frag, CAST(CASE WHEN a = b THEN length(a) ELSE length(b) + coalesce(f.shift, r.shift) END AS INTEGER) AS fragment, CAST(CASE WHEN a = b THEN 0 ELSE coalesce(f.mis, r.mis) END AS INTEGER) AS mismatches FROM p LEFT JOIN f USING (frag) LEFT JOIN r USING (frag)""")
+def mate_overlaps(spark, sf):
+    return reads.mate_overlaps(_mates(spark, sf), 0.3, 6).select("frag", "fragment", "mismatches")
+
+
+@query(f"""WITH {MATES}, f AS {_laid('a', 'b', 0.1, 1, 'AND (size <= 50 OR mis - 2 <= log2(size))')}, g AS (SELECT frag, a, b, CASE WHEN a = b THEN 0 ELSE shift END AS shift, length(b) + CASE WHEN a = b THEN 0 ELSE shift END AS n FROM p LEFT JOIN f USING (frag))
+SELECT frag, CAST(n AS INTEGER) AS fragment, CASE WHEN shift < 0 THEN left(a, n) WHEN length(a) < n THEN a || right(b, n - length(a)) WHEN n IS NOT NULL THEN a END AS merged FROM g""")
+def merged_mates(spark, sf):
+    return reads.merge_mates(_mates(spark, sf), 0.1, 6).select("frag", "fragment", "merged")
 
 
 QUALITY = f"""{A.READS}, q AS (SELECT read_id, seq, array_to_string(list_transform(range(1, length(seq) + 1), lambda i: CASE WHEN (i * 7 + length(seq)) % 11 < 4 THEN '!' ELSE 'I' END), '') AS qual FROM reads),
@@ -378,7 +398,8 @@ def trimmed_junctions(spark, sf):
     return report.split_junctions_trimmed(rows, size=20, reads=2, anchor2=40, mismatches=6).drop("seq")
 
 
-@query(f"WITH {A.READS}, f AS (SELECT read_id, max((length(seq) - length(replace(seq, a || b, ''))) / length(seq)) AS x FROM reads, (VALUES ('A'), ('C'), ('G'), ('T')) t(a), (VALUES ('A'), ('C'), ('G'), ('T')) u(b) GROUP BY read_id) SELECT read_id FROM f WHERE x < 0.3")
+@query(f"""WITH {A.READS}, q AS (SELECT read_id, length(seq) - 1 AS n, unnest(list_transform(range(1, length(seq)), lambda i: substr(seq, i, 2))) AS two FROM reads), c AS (SELECT read_id, n, two, count(*) AS k FROM q GROUP BY ALL)
+SELECT read_id FROM c GROUP BY read_id, n HAVING max(k) < n * CAST(0.3 AS DOUBLE)""")
 def repeat_free_reads(spark, sf):
     return A.reads(spark, sf).where(reads.no_repeats(F.col("seq"))).select("read_id")
 

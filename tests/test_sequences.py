@@ -96,18 +96,29 @@ def test_mates(spark):
     left = "ACGTTGCATTACGGATCCATGCAAGT"
     right = one(spark, left[10:] + "GGTTAACC", S.reverse_complement("x", keep_n=True))
     p = spark.createDataFrame([("f", left, right)], "frag string, seq_1 string, seq_2 string")
-    assert reads.mate_overlaps(p).first().overlap == 16
-    assert reads.merge_mates(p).first().merged == left + "GGTTAACC"
+    laid = reads.mate_overlaps(p).first()
+    assert (laid.fragment, laid.shift, laid.mismatches) == (34, 10, 0)
+    merged = reads.merge_mates(p.withColumn("qual_1", F.repeat(F.lit("I"), F.length("seq_1"))).withColumn("qual_2", F.repeat(F.lit("J"), F.length("seq_2")))).first()
+    assert (merged.merged, merged.merged_qual) == (left + "GGTTAACC", "I" * 26 + "J" * 8)
     long = "".join(random.Random(1).choices("ACGT", k=120))
     worse = list(long)
     for i in range(0, 110, 12):
         worse[i] = {"A": "C", "C": "G", "G": "T", "T": "A"}[worse[i]]
-    for other, found in ((worse, 0), (worse[:60] + list(long[60:]), 120)):  # 10 and 5 mismatches; log2 of 120 and 2 are 8.9
+    for other, found in ((worse, None), (worse[:60] + list(long[60:]), 120)):  # 10 and 5 mismatches; log2 of 120 and 2 are 8.9
         pair = spark.createDataFrame([("f", long, one(spark, "".join(other), S.reverse_complement("x")))], "frag string, seq_1 string, seq_2 string")
-        assert reads.merge_mates(pair).first().overlap == found
-    texts = [("ACGTAC", "TACGG"), ("AAAA", ""), ("ACGTACGT", "ACGTACGT")]
-    plain = lambda a, b: next((n for n in range(min(len(a), len(b)), 1, -1) if sum(x != y for x, y in zip(a[-n:], b[:n], strict=True)) <= 0.3 * n), 0)
-    assert reads.overlap_lengths(pd.Series([a for a, _ in texts]), pd.Series([b for _, b in texts]), 0.3, 2).tolist() == [plain(a, b) for a, b in texts]
+        assert reads.merge_mates(pair).first().fragment == found
+    # a fragment of 60 bases between adapters: mate 2 begins before mate 1
+    rng = random.Random(2)
+    fragments = ["".join(rng.choices("ACGT", k=60)) for _ in range(30)]
+    after, ahead = "AGATCGGAAGAGCACACG", "GTTCAGAGTTCTACAGTC"
+    rows = [(f"f{i:02d}", f + after, one(spark, ahead + f, S.reverse_complement("x"))) for i, f in enumerate(fragments[:3])]
+    rows += [(f"f{i:02d}", f + after, str(pd.Series([ahead + f])[0][::-1].translate(str.maketrans("ACGT", "TGCA")))) for i, f in enumerate(fragments[3:], 3)]
+    through = spark.createDataFrame(rows, "frag string, seq_1 string, seq_2 string")
+    assert {(r.fragment, r.merged) for r in reads.merge_mates(through).collect()} == {(60, f) for f in fragments}
+    assert reads.adapters(through, first=30) == (after[:13], ahead[-13:]) and reads.adapters(through, first=30_000_000) == (None, None)
+    assert reads.flanks(pd.Series([fragments[0] + after]), pd.Series([ahead[-5:] + fragments[0]]), 13) == ([after[:13]], [""])
+    texts = spark.createDataFrame([("ACGTACGTACGTA",), ("ACGTTGCATTCGA",), ("AAAAACGTCTGTG",), ("A",), ("",), (None,)], "x string")
+    assert [r[0] for r in texts.select(reads.no_repeats(F.col("x"))).collect()] == [True, True, False, True, True, None]
     made = reads.simulated_reads(spark.createDataFrame([("s", "ACGT" * 10)], "id string, seq string"), step=10, gap=5, length=10)
     assert made.count() == 2 and made.first().seq_1 == "ACGTACGTAC"
     ids = reads.short_ids(spark.createDataFrame([("y/1", "A", "I"), ("x/1", "A", "I"), ("x/2", "A", "I")], "read_id string, seq string, qual string"))
