@@ -27,6 +27,8 @@ def _remainder(modulus: int) -> Column:
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of whole texts by three-word shingles at 0.85. Texts without words are linked with nothing, rows of one
+    id are one node, an empty table gives an empty one (see ``near_duplicates``)."""
     return near_duplicates(_docs(spark, sf_dir), shingle_words=3, num=85, den=100)
 
 
@@ -38,10 +40,14 @@ def tokenizer_path(name: str) -> str:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of whole texts. Null and empty texts have zeros, rows are counted one by one, an empty table
+    gives an empty one (see ``token_counts``)."""
     return token_counts(_docs(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of whole texts, learnt from the rows whose remainder isn't 2. Null texts and those without a letter are ``und``
+    with score 0, a null id isn't held out, an empty table gives an empty one (see ``language_id.predict``)."""
     docs = _docs(spark, sf_dir)
     net = language_id.fit(docs, _remainder(4) != 2)
     return _with_held_out(language_id.predict(docs, net))
@@ -52,33 +58,47 @@ def _with_held_out(rows: DataFrame) -> DataFrame:
 
 
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and decoded texts as digests. Null and empty texts have no tokens, rows are encoded one by one, an empty table
+    gives an empty one (see ``codec_digests``)."""
     return codec_digests(_docs(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of whole texts, learnt from the rows whose remainder isn't 2. Null texts are scored like empty ones, a null id
+    isn't held out, an empty table gives an empty one (see ``quality_pu.predict``)."""
     docs = _docs(spark, sf_dir)
     net = quality_pu.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), _remainder(4) != 2)
     return _with_held_out(quality_pu.predict(docs, net))
 
 
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of whole texts and of their edited texts. Null texts count as empty, rows without an id have no next
+    document, an empty table gives an empty one (see ``fingerprints``)."""
     return fingerprints(_docs(spark, sf_dir))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of whole texts. Null and empty texts have none, rows are scanned one by one, an empty table gives an empty one
+    (see ``secret_spans``)."""
     docs = _docs(spark, sf_dir)
     return secret_scan.secret_spans(docs, secret_scan.fit(docs))
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors within a label at 0.98. Vectors without a label or a direction are linked with nothing, an empty
+    table gives an empty one (see ``near_duplicate_vectors``)."""
     return near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1,024 tokens. Null and empty texts are their end token alone, every row is packed,
+    an empty table gives an empty one (see ``pack_documents``)."""
     return pack_documents(_docs(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of whole texts, learnt from the rows whose remainder isn't 0. Null and empty texts are their end token
+    alone, rows without an id are held out, an empty table gives an empty one (see ``lm_scores``)."""
     return lm_scores(_docs(spark, sf_dir), held_out=_remainder(10) == 0)
 
 
