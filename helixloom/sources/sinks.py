@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,19 @@ def by_candidate(df: DataFrame, path: str, column: str = "fusion", listing: str
         df.select(F.col(column).cast("string")).distinct().orderBy(column).coalesce(1).write.text(listing)
 
 
+def candidate_name(prefix: str = "candidate") -> Column:
+    """SNK4: the name of a candidate's files out of symbol_i and g_i: prefix.s1--s2__g1--g2."""
+    return F.concat(F.lit(prefix + "."), "symbol_1", F.lit("--"), "symbol_2", F.lit("__"), "g_1", F.lit("--"), "g_2")
+
+
+def evidence_reads(evidence: DataFrame, reads: DataFrame, path: str) -> None:
+    """SNK5: a folder per fusion with its reads as FASTQ, each name followed by the read's role. ``evidence``: fusion, read_id,
+    role; ``reads``: read_id, seq, qual."""
+    rows = evidence.join(reads, "read_id")
+    lines = F.concat(F.lit("@"), "read_id", "role", F.lit("\n"), "seq", F.lit("\n+\n"), "qual")
+    rows.select("fusion", lines.alias("value")).write.partitionBy("fusion").text(path)
+
+
 #: Keys of the INFO column (fixed values): number, type, what it tells.
 VCF_INFO = {
     "SVTYPE": ("1", "String", "Type of structural variant"),

@@ -323,3 +323,15 @@ def test_spreadsheet(spark, tmp_path):
         z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>BCR</t></si><si><r><t>AB</t></r><r><t>L1</t></r></si></sst>")
     got = [(r.row, r.cells) for r in readers.spreadsheet(spark, str(tmp_path / "w.xlsx")).orderBy("row").collect()]
     assert got == [(1, ["ABL1", "", "x"]), (3, ["7.5", "BCR"])]
+
+
+def test_files_of_candidates(spark, tmp_path):
+    rows = spark.createDataFrame([("f1", "a/1", "_x"), ("f1", "b/1", "_y"), ("f2", "a/1", "_y")], "fusion string, read_id string, role string")
+    reads_ = spark.createDataFrame([("a/1", "ACGT", "IIII"), ("b/1", "GG", "II")], "read_id string, seq string, qual string")
+    sinks.evidence_reads(rows, reads_, str(tmp_path / "e"))
+    got = readers.fastq(spark, str(tmp_path / "e" / "fusion=f1")).collect()
+    assert sorted((r.read_id, r.seq) for r in got) == [("a/1_x", "ACGT"), ("b/1_y", "GG")]
+    named = spark.createDataFrame([("A", "B", "g1", "g2")], "symbol_1 string, symbol_2 string, g_1 string, g_2 string").withColumn("fusion", sinks.candidate_name("run"))
+    sinks.by_candidate(named, str(tmp_path / "c"), listing=str(tmp_path / "list"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "list")).collect()] == ["run.A--B__g1--g2"]
+    assert spark.read.parquet(str(tmp_path / "c")).first().fusion == "run.A--B__g1--g2"
