@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,17 +25,21 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_live: list[SharedTables] = []
+
+
 class SharedTables:
     """Parquet tables under one fresh folder of the shared folder.
 
     A lost executor costs only the tasks that read the table again: the files outlive executors. ``drop`` removes
-    tables that no later step reads; the rest goes when the driver's Python ends.
+    tables that no later step reads; the rest goes by ``dropped_after``, or when the driver's Python ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        _live.append(self)
         atexit.register(self.close)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
@@ -54,5 +60,19 @@ class SharedTables:
         target.getFileSystem(jsc.hadoopConfiguration()).delete(target, True)
 
     def close(self) -> None:
+        atexit.unregister(self.close)
+        if self in _live:
+            _live.remove(self)
         if self.spark.sparkContext._jsc is not None:
             self._delete(self.root)
+
+
+@contextmanager
+def dropped_after() -> Iterator[None]:
+    """Removes the tables of all operators that are called inside. Their results are read from these tables, so they must have
+    been stored before the block ends."""
+    before = list(_live)
+    yield
+    for store in list(_live):
+        if store not in before:
+            store.close()

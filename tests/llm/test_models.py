@@ -198,3 +198,21 @@ def test_stages_with_odd_rows(spark, tmp_path):
     packed = corpus_pipeline.packing(spark, one, "")
     assert packed.groupBy("piece").count().where("piece = 0").first()["count"] == count
     assert corpus_pipeline.packing(spark, one.limit(0), "").count() == 0
+
+
+def test_run_leaves_only_what_its_result_reads(spark):
+    from pathlib import Path
+
+    from helixloom.llm import shared
+
+    sf, before = "/root/testdata/sf0.001", list(shared._live)
+    result = corpus_pipeline.run(spark, sf)
+    rows = result.count()
+    left = [s for s in shared._live if s not in before]
+    tables = sorted(p.name for s in left for p in Path(s.root.removeprefix("file://")).iterdir())
+    assert len(left) == 2 and tables == ["001-pieces", "004-secrets"] and rows > 0
+    with shared.dropped_after():
+        stored = shared.SharedTables(spark, "test")
+        path = Path(stored.write(spark.range(3).toDF("x"), "x")._shared_path.removeprefix("file://"))
+        assert path.exists()
+    assert not path.exists() and stored not in shared._live
