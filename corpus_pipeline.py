@@ -14,7 +14,7 @@ from helixloom.llm import language_id, quality_pu, secret_scan
 from helixloom.llm.bin_packing import pack_documents
 from helixloom.llm.minhash_dedup import near_duplicates
 from helixloom.llm.queries import tokenizer_path
-from helixloom.llm.shared import SharedTables
+from helixloom.llm.shared import SharedTables, dropped_after
 
 QUALITY_CUT = 0.5
 LANGUAGE_SCORE = 0.3
@@ -83,8 +83,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. What a stage's operators keep in the shared folder goes once its result is stored, and so does
+    the result before it."""
     store = SharedTables(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, stored = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = store.write(stage(spark, docs, sf_dir), name)
+        with dropped_after():
+            docs = store.write(stage(spark, docs, sf_dir), name)
+        store.drop(*stored)
+        stored = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
