@@ -78,11 +78,22 @@ GENE_CLASSES = {
     "7sk": ("symbol", "7sk"),
     "metazoa": ("symbol", "metazoa"),
     "hla": ("symbol", "^hla-"),
+    "ig": ("symbol", "^ig[klhj]"),
     "ribosomal": ("description", "ribosomal protein"),
     "oncogene": ("description", "oncogene"),
 }
 
 
+#: Known fusions that lists of conjoined genes must not hide (fixed values): gene ids in order.
+NOT_CONJOINED = (("ENSG00000047932", "ENSG00000047936"), ("ENSG00000134853", "ENSG00000145216"))
+
+
+def conjoined(pairs: DataFrame, excluded: tuple[tuple[str, str], ...] = NOT_CONJOINED) -> DataFrame:
+    """pairs (g_lo, g_hi) of conjoined genes without the ``excluded`` ones."""
+    pair = F.concat_ws("|", "g_lo", "g_hi")
+    return pairs.where(~pair.isin(*["|".join(sorted(p)) for p in excluded]))
+
+
 def pseudogene_pairs(descriptions: DataFrame, paralogs: DataFrame) -> DataFrame:
     """Pairs of genes with one normalised description, at least one of them a pseudogene, and pairs of such a gene with
     paralogs of the other, without the paralogs themselves (J14)."""

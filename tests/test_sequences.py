@@ -226,6 +226,13 @@ def test_shield_regions(spark):
     assert [r.chrom for r in annotation.shield_regions(families, genes, symbols.where("gene = 'g3'")).collect()] == ["2"]
 
 
+def test_gene_classes(spark):
+    pairs = spark.createDataFrame([("ENSG00000047932", "ENSG00000047936"), ("ENSG00000047932", "ENSG00000145216")], "g_lo string, g_hi string")
+    assert [tuple(r) for r in annotation.conjoined(pairs).collect()] == [("ENSG00000047932", "ENSG00000145216")]
+    symbols = spark.createDataFrame([("g1", "IGHV1"), ("g2", "IGF1"), ("g3", "IGKC"), ("g4", "BIGH"), ("g1", "IGHJ")], "gene string, symbol string")
+    assert sorted(r.gene for r in annotation.gene_class(symbols, *annotation.GENE_CLASSES["ig"]).collect()) == ["g1", "g3"]
+
+
 def test_annotation(spark):
     seqs = spark.createDataFrame([("e1", "AC" * 50), ("e2", "GT" * 50)], "id string, seq string")
     exons = spark.createDataFrame([("t", "g", "e2", 2, 1, 100), ("t", "g", "e1", 1, 1, 100)], "transcript string, gene string, exon string, rank int, exon_start int, exon_end int")
