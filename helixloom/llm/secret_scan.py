@@ -24,6 +24,8 @@ from helixloom.llm.words import sub_batches, utf8
 LEAST = 20
 #: Share of the ordinary strings below the limit, bins of the histogram of ratios (a thousandth wide, around 0).
 BELOW, BIN, BINS = 0.999, 1e-3, 1 << 15
+#: Bytes of text whose characters are counted at once: some thirty times that is held meanwhile.
+COUNT_BYTES = 1 << 18
 #: Patterns and least lengths of the base kinds (fixed values).
 ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -281,7 +283,7 @@ def train(texts: list[str], seed: int = 9) -> Markov:
 def _texts(batches):
     for batch in batches:
         data, offsets = utf8(batch.column(0))
-        for lo, hi, _, _ in sub_batches(data, offsets):
+        for lo, hi, _, _ in sub_batches(data, offsets, COUNT_BYTES):
             yield batch.column(0).slice(lo, hi - lo)
 
 
