@@ -11,15 +11,18 @@ itself was never seen. Levels round counts down, so the bigram shares of a v add
 
 Workers get the model by broadcast while all copies of it in one executor (one a Python worker) take at most
 ``broadcast_bytes``. A larger model stays in its parts: the texts are stored in blocks, each block sends its distinct words
-and bigrams to the parts that hold them, the parts answer with counts, and the answers meet their block again. Blocks and
-parts are bounded, and all of it is linear in the input. The driver sees sums over the parts, never a list of them, unless
-the model is broadcast (at most MOST_PARTS parts then).
+and bigrams to the groups of parts that hold them, the groups answer with counts, and the answers meet their block again.
+Blocks and groups are bounded. A block asks every group, so the number of questions is the product of both; they are made
+large (ASK_BYTES of text, GROUP_BYTES of model) so that a question holds many hashes, and questions are answered together,
+each distinct hash once. The driver sees sums over the parts, never a list of them, unless the model is broadcast (at most
+MOST_PARTS parts then).
 """
 
 from __future__ import annotations
 
 import math
 import uuid
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,9 @@ LEVELS = np.unique(np.round(BASE ** np.arange(0, 80)).astype(np.float64))
 PART_TOKENS = 1 << 19
 FLUSH = 3 << 19
 BLOCK_BYTES = 1 << 20
+ASK_BYTES = 4 << 20
+GROUP_BYTES = 8 << 20
+ANSWER_KEYS = 1 << 20
 MOST_PARTS = 1 << 14
 
 
@@ -167,7 +173,11 @@ class Filter:
         self.offset = np.concatenate(([0], np.cumsum(bits))).astype(np.uint64)
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
-        """Quantised counts (0: absent) by repeated probes for rising levels."""
+        """Quantised counts (0: absent)."""
+        return counts_at(self.levels(grams))
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """Levels of counts (0: absent) by repeated probes for rising ones."""
         at = block_of(grams, self.blocks) - self.first
         level = np.zeros(len(grams), np.int64)
         live, q = np.arange(len(grams)), 1
@@ -179,7 +189,11 @@ class Filter:
             live = live[hit]
             level[live] = q
             q += 1
-        return np.where(level > 0, LEVELS[level - 1], 0.0)
+        return level
+
+
+def counts_at(levels: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0.0], LEVELS))[levels]
 
 
 def exact_counts(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -239,65 +253,96 @@ def _scorer(table, filt, model: Model):
 
 
 def _blocks(batches):
-    """Documents of about BLOCK_BYTES a row."""
+    """Documents of about ASK_BYTES a row."""
     for batch in batches:
         data, offsets = utf8(batch.column(0))
-        ranges = [(lo, hi) for lo, hi, _, _ in sub_batches(data, offsets, BLOCK_BYTES)]
+        ranges = [(lo, hi) for lo, hi, _, _ in sub_batches(data, offsets, ASK_BYTES)]
         cols = [pa.array([batch.column(c).slice(lo, hi - lo).to_pylist() for lo, hi in ranges], pa.list_(t)) for c, t in ((0, pa.string()), (1, pa.int64()), (2, pa.bool_()))]
         yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex for _ in ranges]), *cols], names=["block", "texts", "ids", "held"])
 
 
-def _probes(parts: int):
+def _probes(parts: int, per: int):
     def probe(batches):
         for batch in batches:
             for block, texts in zip(batch.column("block").to_pylist(), batch.column("texts"), strict=True):
                 _, words, _, _, grams, _ = _distinct(*utf8(texts.values))
                 rows = []
                 for kind, keys in ((0, words), (1, grams)):
-                    rows += [(kind, p, block, keys[lo:hi].tobytes()) for p, lo, hi in runs_of(block_of(keys, parts))]
-                kinds, ps, blocks, keys = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(ps, pa.int32()), pa.array(blocks), pa.array(keys, pa.binary())], names=["kind", "part", "block", "keys"])
+                    rows += [(kind, g, block, keys[lo:hi].tobytes()) for g, lo, hi in runs_of(block_of(keys, parts) // per)]
+                kinds, gs, blocks, keys = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(gs, pa.int32()), pa.array(blocks), pa.array(keys, pa.binary())], names=["kind", "group", "block", "keys"])
 
     return probe
 
 
-def _answers(parts: int):
-    """Counts for all blocks that ask, from rows sorted by part with the model's row before the questions to it. Rows are
-    answered as they come, so a part that every block asks (the most frequent words) takes no more memory than others."""
-
-    def lookup(kind, part, body, extra, size):
-        if body is None:
-            return lambda wanted: np.zeros(len(wanted))
-        if kind == 1:
-            return Filter(parts, part, np.array([size]), np.frombuffer(body, np.uint8)).counts
-        keys = np.frombuffer(body, np.uint64)
-        values = unpacked(extra, len(keys))
+def _lookup(kind: int, group: int, rows: list, parts: int, per: int):
+    """Counts of words (kind 0) or levels of bigrams (kind 1) from a group's stored parts, in order of parts."""
+    if kind == 0:
+        keys = [np.frombuffer(body, np.uint64) for _, body, _, _ in rows]
+        values = [unpacked(extra, len(k)) for (_, _, extra, _), k in zip(rows, keys, strict=True)]
+        keys, values = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *values])
         return lambda wanted: exact_counts(keys, values, wanted)
+    first = group * per
+    held = {part: (size, body) for part, body, _, size in rows}
+    of = [held.get(p, (64, bytes(8))) for p in range(first, min(first + per, parts))]
+    return Filter(parts, first, np.array([size for size, _ in of]), np.frombuffer(b"".join(body for _, body in of), np.uint8)).levels
+
+
+def _replies(kind: int, look, asked: list[bytes]):
+    """The packed answers to several questions; what they ask in common is looked up once."""
+    lo = 0
+    while lo < len(asked):
+        hi, n = lo + 1, len(asked[lo]) // 8
+        while hi < len(asked) and n + len(asked[hi]) // 8 <= ANSWER_KEYS:
+            n += len(asked[hi]) // 8
+            hi += 1
+        distinct, at = np.unique(np.frombuffer(b"".join(asked[lo:hi]), np.uint64), return_inverse=True)
+        found = look(distinct).astype(np.int64)[at]
+        ends = np.cumsum([len(x) // 8 for x in asked[lo:hi]])
+        for x in np.split(found, ends[:-1]):
+            yield packed(x) if kind == 0 else x.astype(np.uint8).tobytes()
+        lo = hi
+
+
+def _answers(parts: int, per: int):
+    """Answers to all blocks that ask, from rows sorted by group with the model's rows before the questions to it. Rows are
+    answered as they come, so a group that every block asks (the most frequent words) takes no more memory than others."""
 
     def answer(batches):
-        at, look = None, None
+        at, rows, look = None, [], None
         for batch in batches:
-            rows, counts = [], []
-            cols = [batch.column(c).to_pylist() for c in ("kind", "part", "block", "keys", "body", "extra", "size")]
-            for i, (kind, part, block, keys, body, extra, size) in enumerate(zip(*cols, strict=True)):
-                if at != (kind, part):
-                    at, look = (kind, part), lookup(kind, part, body, extra, size)
-                if block is not None:
-                    rows.append(i), counts.append(look(np.frombuffer(keys, np.uint64)).tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows, pa.int64())) for c in ("block", "kind", "part")), pa.array(counts, pa.binary())], names=["block", "kind", "part", "counts"])
+            cols = [batch.column(c).to_pylist() for c in ("kind", "group", "block", "keys", "part", "body", "extra", "size")]
+            out, replies = [], []
+            for key, of in groupby(enumerate(zip(*cols, strict=True)), lambda x: (x[1][0], x[1][1])):
+                if at != key:
+                    at, rows, look = key, [], None
+                asked = []
+                for i, (_, _, block, keys, *stored) in of:
+                    if block is None:
+                        rows.append(stored)
+                    else:
+                        out.append(i), asked.append(keys)
+                if asked and look is None:
+                    look, rows = _lookup(*key, rows, parts, per), []
+                replies += _replies(key[0], look, asked)
+            taken = batch.take(pa.array(out, pa.int64()))
+            sizes = pa.array([len(cols[3][i]) // 8 for i in out], pa.int32())
+            yield pa.RecordBatch.from_arrays([*(taken.column(c) for c in ("block", "kind", "group")), sizes, pa.array(replies, pa.binary())], names=["block", "kind", "group", "n", "counts"])
 
     return answer
 
 
 def _assembled(model: Model):
-    """One block's documents with the answers to all its questions, which in order of parts follow its sorted hashes."""
+    """One block's documents with the answers to all its questions, which in order of groups follow its sorted hashes."""
 
     def assemble(block: pa.Table, answers: pa.Table) -> pa.Table:
         texts = block.column("texts").combine_chunks().values
         bounds, _, at_word, at_before, _, at_gram = _distinct(*utf8(texts))
-        answers = answers.sort_by([("kind", "ascending"), ("part", "ascending")])
-        got = {k: np.frombuffer(b"".join(x for x, kind in zip(answers.column("counts").to_pylist(), answers.column("kind").to_pylist(), strict=True) if kind == k), np.float64) for k in (0, 1)}
-        sums = model.sums(bounds, got[0][at_word], got[0][at_before], got[1][at_gram])
+        answers = answers.sort_by([("kind", "ascending"), ("group", "ascending")])
+        rows = list(zip(*(answers.column(c).to_pylist() for c in ("kind", "n", "counts")), strict=True))
+        words = np.concatenate([unpacked(x, n) for kind, n, x in rows if kind == 0]).astype(np.float64)
+        pairs = counts_at(np.frombuffer(b"".join(x for kind, _, x in rows if kind == 1), np.uint8))
+        sums = model.sums(bounds, words[at_word], words[at_before], pairs[at_gram])
         ids, held = (block.column(c).combine_chunks().values for c in ("ids", "held"))
         return pa.table({"id": ids, "held_out": held, **{n: pa.array(x) for n, x in zip(SUMS, sums, strict=True)}})
 
@@ -360,8 +405,10 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
         out = rows.mapInArrow(_scorer(_unigrams(built, about), _filter(built, about, parts), model), schema)
     else:
         blocks = store.write(rows.mapInArrow(_blocks, "block string, texts array<string>, ids array<bigint>, held array<boolean>"), "blocks")
-        asked = blocks.select("block", "texts").mapInArrow(_probes(parts), "kind int, part int, block string, keys binary")
-        both = built.drop("total").unionByName(asked, allowMissingColumns=True).repartition("kind", "part").sortWithinPartitions("kind", "part", F.col("block").isNotNull())
-        answers = both.mapInArrow(_answers(parts), "block string, kind int, part int, counts binary")
+        per = max(1, GROUP_BYTES * 2 * parts // max(1, sums.bytes or 0))
+        asked = blocks.select("block", "texts").mapInArrow(_probes(parts, per), "kind int, group int, block string, keys binary")
+        stored = built.drop("total").withColumn("group", F.floor(F.col("part") / per).cast("int"))
+        both = stored.unionByName(asked, allowMissingColumns=True).repartition("kind", "group").sortWithinPartitions("kind", "group", F.col("block").isNotNull(), "part")
+        answers = both.mapInArrow(_answers(parts, per), "block string, kind int, group int, n int, counts binary")
         out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assembled(model), schema)
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
