@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from helixloom.plans import catalog
 
@@ -110,3 +111,30 @@ def test_extract_goes_by_the_limit(spark):
             taken += always or usual
         got = pairs.extract_candidates(df, threshold_pairs=2, threshold_count=limit).where("status = 'further_analysis'")
         assert {r.g_hi for r in got.collect()} == want, limit
+
+
+def test_exon_pairs_are_dealt_by_their_rows(spark, monkeypatch):
+    from helixloom.operators import junctions
+
+    monkeypatch.setattr(junctions, "TASK_ROWS", 100)
+    exons = [(g, f"T{i % 3}" if i % 11 else None, f"E{i}" if i % 7 else None, i if i % 5 else None, "ACGT" * 3 if i % 13 else None) for g in "AB" for i in range(40)]
+    exons = spark.createDataFrame(exons, "gene string, transcript string, exon string, rank int, seq string").coalesce(1)
+    pairs = spark.createDataFrame([("A", "B"), ("A", "A"), ("A", "B")], "g_lo string, g_hi string").coalesce(1)
+    want = []
+    for one, two in [("A", "B"), ("A", "A"), ("A", "B"), ("B", "A"), ("B", "A")]:
+        for a in (r for r in exons.collect() if r.gene == one):
+            for b in (r for r in exons.collect() if r.gene == two):
+                same = None not in (a.transcript, b.transcript) and (a.transcript < b.transcript or (a.transcript == b.transcript and None not in (a.rank, b.rank) and a.rank < b.rank))
+                if one != two or same:
+                    dash = lambda *x: "-".join(str(v) for v in x if v is not None)
+                    left, right = a.seq and a.seq[-5:], b.seq and b.seq[:5]
+                    parts = [dash(one, two), dash(a.transcript, b.transcript), dash(a.exon, b.exon), "rank_exon=" + dash(a.rank, b.rank), "length=10" if left and right else None, "junction=5" if left else None]
+                    want.append((";".join(x for x in parts if x is not None), one, two, left and 5, left + right if left and right else None))
+    tasks = {}
+    for together in (False, True):
+        rows = junctions.exon_exon_junctions(pairs, exons, 5, together=together)
+        assert sorted(map(str, map(tuple, rows.collect()))) == sorted(map(str, want))
+        where = rows.select("gene_1", "gene_2", F.spark_partition_id().alias("task")).distinct().collect()
+        tasks[together] = max(sum((r.gene_1, r.gene_2) == p for r in where) for p in (("A", "B"), ("A", "A")))
+    # few bytes, but many rows: one pair's rows come from many tasks, or from one if asked
+    assert tasks[False] > 5 and tasks[True] == 1
