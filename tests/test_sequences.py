@@ -2,6 +2,7 @@ import bz2
 import gzip
 import math
 import random
+import time
 import zipfile
 from collections import Counter
 
@@ -245,6 +246,21 @@ def test_annotation(spark):
     assert [r.c for r in chroms.where(annotation.is_chromosome(F.col("c"))).collect()] == ["1", "XIV", "MT"]
 
 
+def test_places_in_a_transcript_of_many_exons(spark):
+    n = 30_000
+    exons = spark.range(n).selectExpr("'t' transcript", "'g' gene", "id exon", "cast(id as int) rank", "1 exon_start", "2 exon_end")
+    seqs = spark.range(n).selectExpr("id", "case when id <> 5 then repeat('A', cast(1 + id % 3 as int)) end seq")
+    began = time.time()
+    t = annotation.transcripts(exons, seqs).first()
+    assert time.time() - began < 60  # in square time: minutes
+    want, at = [], 0
+    for i in range(n):
+        size = 1 + i % 3 if i != 5 else 0
+        want.append((i, i, at + 1, at + size) if size else (i, i, None, None))
+        at += size
+    assert len(t.seq) == at and list(map(tuple, t.exons)) == want
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "r.fq").write_text("@a/1\nACGT\n+\n@III\n@b/1\nTT\n+\nII\n@c/1\nG\n+\n@\n")
     got = readers.fastq(spark, str(tmp_path / "r.fq")).orderBy("ord").collect()
