@@ -9,8 +9,8 @@ The model interpolates: P(w | v) = share * c(v w) / c(v) + (1 - share) * (c(w) +
 the filter and the unigram counts exact (64 bits). Where the bigram is absent only the unigram part counts, in full if v
 itself was never seen. Levels round counts down, so the bigram shares of a v add up to 1 at most.
 
-Workers get the model by broadcast while all copies of it in one executor (one a Python worker) take at most
-``broadcast_bytes``. A larger model stays in its parts: the texts are stored in blocks, each block sends its distinct words
+Workers get the model by broadcast, in slices whose files they map (one copy an executor, in file pages), while it takes at
+most ``broadcast_bytes``. A larger model stays in its parts: the texts are stored in blocks, each block sends its distinct words
 and bigrams to the groups of parts that hold them, the groups answer with counts, and the answers meet their block again.
 Blocks and groups are bounded. A block asks every group, so the number of questions is the product of both; they are made
 large (ASK_BYTES of text, GROUP_BYTES of model) so that a question holds many hashes, and questions are answered together,
@@ -21,6 +21,8 @@ MOST_PARTS parts then).
 from __future__ import annotations
 
 import math
+import mmap
+import pickle
 import uuid
 from itertools import groupby
 
@@ -45,6 +47,8 @@ ASK_BYTES = 4 << 20
 GROUP_BYTES = 8 << 20
 ANSWER_KEYS = 1 << 20
 MOST_PARTS = 1 << 14
+SLICE_BYTES = 32 << 20
+MARK = b"\x93helixloom-slice"
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -235,17 +239,25 @@ def _empty_sums():
     return [np.zeros(0, np.int64)] * 2 + [np.zeros(0)] * 2
 
 
-def _scorer(table, filt, model: Model):
+def _scorer(slices: list, parts: int, model: Model):
     def score(batches):
-        (keys, counts), f = table.value, filt.value
+        looks = {kind: [(x.first, x.upto, x.look()) for x in slices if x.kind == kind] for kind in (0, 1)}
+
+        def found(kind, keys):
+            out, at = np.zeros(len(keys)), block_of(keys, parts)
+            for first, upto, look in looks[kind]:
+                lo, hi = np.searchsorted(at, (first, upto))
+                out[lo:hi] = look(keys[lo:hi])
+            return out
+
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             out = []
             for _, _, part, offs in sub_batches(data, offsets, BLOCK_BYTES):
                 bounds, words, at_word, at_before, grams, at_gram = _distinct(part, offs)
                 # a predecessor is a token of the block too, but for the end token, which every document has
-                c = exact_counts(keys, counts, words)
-                out.append(model.sums(bounds, c[at_word], c[at_before], f.counts(grams)[at_gram]))
+                c = found(0, words)
+                out.append(model.sums(bounds, c[at_word], c[at_before], found(1, grams)[at_gram]))
             cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else _empty_sums()
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *map(pa.array, cols)], names=[*batch.schema.names[1:], *SUMS])
 
@@ -256,9 +268,9 @@ def _blocks(batches):
     """Documents of about ASK_BYTES a row."""
     for batch in batches:
         data, offsets = utf8(batch.column(0))
-        ranges = [(lo, hi) for lo, hi, _, _ in sub_batches(data, offsets, ASK_BYTES)]
-        cols = [pa.array([batch.column(c).slice(lo, hi - lo).to_pylist() for lo, hi in ranges], pa.list_(t)) for c, t in ((0, pa.string()), (1, pa.int64()), (2, pa.bool_()))]
-        yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex for _ in ranges]), *cols], names=["block", "texts", "ids", "held"])
+        for lo, hi, _, _ in sub_batches(data, offsets, ASK_BYTES):
+            cols = [pa.array([batch.column(c).slice(lo, hi - lo).to_pylist()], pa.list_(t)) for c, t in ((0, pa.string()), (1, pa.int64()), (2, pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), *cols], names=["block", "texts", "ids", "held"])
 
 
 def _probes(parts: int, per: int):
@@ -349,28 +361,71 @@ def _assembled(model: Model):
     return assemble
 
 
-def _unigrams(built: DataFrame, about: list):
-    """Sorted hashes and counts; stored parts arrive one partition at a time and go to their place."""
-    sizes = {r.part: r["size"] for r in about if r.kind == 0}
-    at, total = {}, 0
-    for part in sorted(sizes):
-        at[part], total = total, total + sizes[part]
-    keys, counts = np.empty(total, np.uint64), np.empty(total, np.int64)
-    for r in built.where("kind = 0").select("part", "body", "extra").toLocalIterator():
-        keys[at[r.part] : at[r.part] + sizes[r.part]] = np.frombuffer(r.body, np.uint64)
-        counts[at[r.part] : at[r.part] + sizes[r.part]] = unpacked(r.extra, sizes[r.part])
-    return built.sparkSession.sparkContext.broadcast((keys, counts))
+class Slice:
+    """Neighbouring parts of one kind, broadcast as one body of bytes.
 
+    Workers map the file that Spark keeps of a broadcast instead of loading it, so all workers of an executor share one copy,
+    in file pages that the system can drop; a file that can't be mapped (encrypted) is loaded.
+    """
 
-def _filter(built: DataFrame, about: list, parts: int):
-    """All blocks as one array, filled like the unigrams."""
-    sizes = {r.part: r["size"] for r in about if r.kind == 1}
-    bits = np.array([sizes.get(p, 64) for p in range(parts)], np.int64)
-    start = np.concatenate(([0], np.cumsum(bits // 8)))
-    data = np.zeros(start[-1], np.uint8)
-    for r in built.where("kind = 1").select("part", "body").toLocalIterator():
-        data[start[r.part] : start[r.part + 1]] = np.frombuffer(r.body, np.uint8)
-    return built.sparkSession.sparkContext.broadcast(Filter(parts, 0, bits, data))
+    def __init__(self, spark, parts: int, kind: int, first: int, upto: int, sizes: list[int], body: bytes):
+        self.parts, self.kind, self.first, self.upto, self.sizes = parts, kind, first, upto, np.array(sizes, np.int64)
+        at = pickle.dumps(MARK + bytes(len(body) + 1), pickle.HIGHEST_PROTOCOL).index(MARK)
+        pad = -(at + len(MARK) + 1) % 8
+        self.length = len(body)
+        self.sent = spark.sparkContext.broadcast(b"".join((MARK, bytes([pad]), bytes(pad), body)))
+
+    def _body(self):
+        try:
+            with open(self.sent._path, "rb") as f:
+                held = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+            at = held.find(MARK, 0, 4096)
+            if at < 0 or at + self.length > len(held):
+                raise ValueError("not the plain file of a broadcast")
+        except (AttributeError, OSError, TypeError, ValueError):
+            held, at = self.sent.value, 0
+        return held, at + len(MARK) + 1 + held[at + len(MARK)]
+
+    def look(self):
+        """A function from sorted hashes to their counts (quantised ones of bigrams)."""
+        held, at = self._body()
+        if self.kind:
+            return Filter(self.parts, self.first, self.sizes, np.frombuffer(held, np.uint8, self.length, at)).counts
+        n = self.length // 16
+        keys, counts = np.frombuffer(held, np.uint64, n, at), np.frombuffer(held, np.int64, n, at + 8 * n)
+        return lambda wanted: exact_counts(keys, counts, wanted)
+
+
+def _slices(built: DataFrame, parts: int) -> list[Slice]:
+    """The stored parts in slices of about SLICE_BYTES; the driver holds one of them at a time."""
+    spark, out, held = built.sparkSession, [], []
+
+    def flush(upto):
+        kind, first = held[0][0], out[-1].upto if out and out[-1].kind == held[0][0] else 0
+        if kind == 0:
+            counts = [unpacked(extra, size) for _, _, _, extra, size in held]
+            body = b"".join([*(r[2] for r in held), *(c.tobytes() for c in counts)])
+            sizes = []
+        else:
+            of = {part: (size, body) for _, part, body, _, size in held}
+            of = [of.get(p, (64, bytes(8))) for p in range(first, upto)]
+            sizes, body = [size for size, _ in of], b"".join(x for _, x in of)
+        out.append(Slice(spark, parts, kind, first, upto, sizes, body))
+        held.clear()
+
+    size = 0
+    for r in built.select("kind", "part", "body", "extra", "size").orderBy("kind", "part").toLocalIterator():
+        if held and held[0][0] != r.kind:
+            flush(parts)
+            size = 0
+        elif held and size + len(r.body) > SLICE_BYTES:
+            flush(r.part)
+            size = 0
+        held.append((r.kind, r.part, bytes(r.body), bytes(r.extra), r["size"]))
+        size += len(r.body) * (1 if r.kind else 2)
+    if held:
+        flush(parts)
+    return out
 
 
 def workers_of(spark) -> int:
@@ -378,7 +433,7 @@ def workers_of(spark) -> int:
     return int(spark.sparkContext.getConf().get("spark.executor.cores") or spark.sparkContext.defaultParallelism)
 
 
-def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.1, share: float = 0.6, broadcast_bytes: int = 1 << 30) -> DataFrame:
+def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.1, share: float = 0.6, broadcast_bytes: int = 2 << 30) -> DataFrame:
     """Scores every row of ``docs``; learns from the rows where ``held_out`` is false.
 
     Returns ``<id_col>, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10 probabilities), one row per
@@ -394,21 +449,22 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     parts = 1 << max(0, math.ceil(math.log2(max(1, chars / 6 / PART_TOKENS))))
     gathered = train.mapInArrow(_gather(parts), "kind int, part int, keys binary, counts binary")
     built = gathered.groupBy("kind", "part").applyInArrow(_finish, "kind int, part int, body binary, extra binary, total bigint, size bigint")
-    built = store.write(built, "model")
+    built = store.write(built, "model", lean=True)
     sums = built.agg(F.sum("total").alias("total"), F.sum(F.when(F.col("kind") == 0, F.col("size"))).alias("distinct"), F.sum(F.length("body") + F.length("extra")).alias("bytes")).first()
     total, distinct = sums.total or 0, sums.distinct or 0
     model = Model(total, distinct, alpha, share)
     rows = plain.select("text", "id", "held_out")
     schema = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    if parts <= MOST_PARTS and (sums.bytes or 0) * workers_of(spark) <= broadcast_bytes:
-        about = built.select("kind", "part", "size").collect()
-        out = rows.mapInArrow(_scorer(_unigrams(built, about), _filter(built, about, parts), model), schema)
+    copies = workers_of(spark) if spark.sparkContext.getConf().get("spark.io.encryption.enabled", "false") == "true" else 1
+    if parts <= MOST_PARTS and (sums.bytes or 0) * copies <= broadcast_bytes:
+        out = rows.mapInArrow(_scorer(_slices(built, parts), parts, model), schema)
     else:
-        blocks = store.write(rows.mapInArrow(_blocks, "block string, texts array<string>, ids array<bigint>, held array<boolean>"), "blocks")
+        blocks = store.write(rows.mapInArrow(_blocks, "block string, texts array<string>, ids array<bigint>, held array<boolean>"), "blocks", lean=True)
         per = max(1, GROUP_BYTES * 2 * parts // max(1, sums.bytes or 0))
         asked = blocks.select("block", "texts").mapInArrow(_probes(parts, per), "kind int, group int, block string, keys binary")
         stored = built.drop("total").withColumn("group", F.floor(F.col("part") / per).cast("int"))
         both = stored.unionByName(asked, allowMissingColumns=True).repartition("kind", "group").sortWithinPartitions("kind", "group", F.col("block").isNotNull(), "part")
-        answers = both.mapInArrow(_answers(parts, per), "block string, kind int, group int, n int, counts binary")
+        answers = store.write(both.mapInArrow(_answers(parts, per), "block string, kind int, group int, n int, counts binary"), "answers", lean=True)
+        store.drop(built)
         out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assembled(model), schema)
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")

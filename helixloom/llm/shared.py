@@ -25,6 +25,26 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Settings of a lean write.
+LEAN = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 _live: list[SharedTables] = []
 
 
@@ -42,10 +62,12 @@ class SharedTables:
         _live.append(self)
         atexit.register(self.close)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, lean: bool = False) -> DataFrame:
+        """``lean``: for tables of few and long rows. Python gets small batches, and shuffle files go once the table is stored."""
         self.count += 1
         path = f"{self.root}/{self.count:03d}-{name}"
-        df.write.parquet(path)
+        with settings(self.spark, LEAN if lean else {}):
+            df.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
         table._shared_path = path
         return table

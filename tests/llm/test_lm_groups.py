@@ -38,3 +38,18 @@ def test_questions_do_not_grow_with_the_parts(many, monkeypatch):
     (parts, probe), blocks = seen[0], list(lm_bloom._blocks(many.select("text", "doc_id", F.lit(False).alias("held")).toArrow().to_batches()))
     assert parts >= 64
     assert sum(b.num_rows for b in probe(iter(blocks))) == 2 * sum(b.num_rows for b in blocks)
+
+
+def test_workers_map_the_slices_of_a_model(spark, many, monkeypatch):
+    monkeypatch.setattr(lm_bloom, "PART_TOKENS", 1000)
+    held = F.col("doc_id") % 10 == 0
+    results = []
+    for size in (2_000, 32 << 20):
+        monkeypatch.setattr(lm_bloom, "SLICE_BYTES", size)
+        results.append(sorted(map(tuple, lm_bloom.lm_scores(many, held).collect())))
+    assert results[0] == results[1] and len(results[0]) == 200
+    keys, counts = np.arange(0, 90_000, 3, dtype=np.uint64), np.arange(30_000, dtype=np.int64)
+    part = lm_bloom.Slice(spark, 1, 0, 0, 1, [], keys.tobytes() + counts.tobytes())
+    wanted = np.array([0, 1, 3, 89_997, 89_999], np.uint64)
+    kind, found = spark.sparkContext.parallelize([0], 1).map(lambda _: (type(part._body()[0]).__name__, part.look()(wanted).tolist())).first()
+    assert kind == "mmap" and found == [0, 0, 1, 29_999, 0]
