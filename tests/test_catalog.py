@@ -138,3 +138,16 @@ def test_exon_pairs_are_dealt_by_their_rows(spark, monkeypatch):
         tasks[together] = max(sum((r.gene_1, r.gene_2) == p for r in where) for p in (("A", "B"), ("A", "A")))
     # few bytes, but many rows: one pair's rows come from many tasks, or from one if asked
     assert tasks[False] > 5 and tasks[True] == 1
+
+
+def test_exons_are_sent_to_a_root_of_the_tasks(spark, monkeypatch):
+    from helixloom.operators import junctions
+
+    monkeypatch.setattr(junctions, "TASK_ROWS", 100)
+    exons = spark.range(80).selectExpr("if(id < 40, 'A', 'B') gene", "'T' transcript", "concat('E', id) exon", "cast(id as int) rank", "'ACGTACGT' seq")
+    pairs = spark.createDataFrame([("A", "B")], "g_lo string, g_hi string")
+    sent, plain = [], type(exons).repartition
+    monkeypatch.setattr(type(exons), "repartition", lambda self, *a: sent.append(self) or plain(self, *a))
+    assert junctions.exon_exon_junctions(pairs, exons, 5).distinct().count() == 2 * 40 * 40
+    # both directions of 40 by 40 exons in 16 tasks: each exon of either side goes to 4 of them
+    assert [x.count() for x in sent] == [2 * 40 * 4, 2 * 40 * 4]
